@@ -14,15 +14,23 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 ROWS_PER_CHUNK = 1_000_000
+ROWS_PER_UNKEYED_CHUNK = 100_000
 BINS_PER_CHUNK = 16
 MAX_BROADCAST_ROWS = 200_000
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A literal table as a local relation (no Python worker reads it)."""
+    names = [f.split()[0] for f in schema.split(",")]
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(names, r)) for r in rows]), schema=schema)
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True when df has at most max_rows rows; reads no more than that plus one."""
     return df.limit(max_rows + 1).count() <= max_rows
@@ -74,11 +82,14 @@ def arrange(df: DataFrame, key: Sequence[str], order: Sequence[str],
     """
     key, order, added = tuple(key), tuple(order), ()
     if not key:
+        # the whole table is one series, so cut it earlier to keep many tasks busy
         df, key, added = df.withColumn("_all", F.lit(0)), ("_all",), ("_all",)
+        rows_per_chunk = min(rows_per_chunk, ROWS_PER_UNKEYED_CHUNK)
     x = F.col(order[0]).cast("double")
+    finite = F.when(F.abs(x) < float("inf"), x)
     sizes = (
         df.groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(x).alias("_lo"), F.max(x).alias("_hi"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(finite).alias("_lo"), F.max(finite).alias("_hi"))
         .filter(F.col("_n") > rows_per_chunk)
         .withColumn("_bins", F.ceil(F.col("_n") / F.lit(rows_per_chunk)) * BINS_PER_CHUNK)
     )
@@ -88,6 +99,7 @@ def arrange(df: DataFrame, key: Sequence[str], order: Sequence[str],
     listed = len(hot) <= MAX_BROADCAST_ROWS
     hot_df = F.broadcast(df.sparkSession.createDataFrame(hot, sizes.schema)) if listed else sizes
     share = F.when(F.col("_hi") > F.col("_lo"), (x - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))).otherwise(0.0)
+    share = F.greatest(F.least(share, F.lit(1.0)), F.lit(0.0))
     fine = F.when(F.col("_n").isNotNull(), F.least(F.floor(share * F.col("_bins")), F.col("_bins") - 1)).otherwise(-1)
     binned = df.join(hot_df, list(key), "left").withColumn("_fine", fine).drop("_n", "_lo", "_hi", "_bins")
     before = Window.partitionBy(*key).orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1)
@@ -156,17 +168,18 @@ def row_numbers(lay: Layout, out: str) -> Layout:
 
 def fill(lay: Layout, col: str, out: str, forward: bool = True) -> Layout:
     """Nearest non-null value of col at or before (forward) / at or after the row."""
-    w, cw = lay.window(), lay.chunk_window()
-    span = (Window.unboundedPreceding, 0) if forward else (0, Window.unboundedFollowing)
-    pick = (lambda c: F.last(c, ignorenulls=True)) if forward else (lambda c: F.first(c, ignorenulls=True))
-    local = pick(F.col(col)).over(w.rowsBetween(*span))
+    # a backward fill is a forward one over the reversed order: frames that end at
+    # unboundedFollowing are evaluated in quadratic time
+    ahead = (lambda c: F.col(c)) if forward else (lambda c: F.col(c).desc())
+    w = Window.partitionBy(*lay.part).orderBy(*[ahead(c) for c in lay.order])
+    local = F.last(F.col(col), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     if not lay.split:
         return lay.with_columns({out: local})
     at = F.when(F.col(col).isNotNull(), lay.position())
     edge = (F.max_by(col, at) if forward else F.min_by(col, at)).alias("_e")
-    outer = (Window.unboundedPreceding, -1) if forward else (1, Window.unboundedFollowing)
+    cw = Window.partitionBy(*lay.key).orderBy(ahead("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
     edges = lay.df.groupBy(*lay.part).agg(edge)
-    edges = edges.select(*lay.part, pick(F.col("_e")).over(cw.rowsBetween(*outer)).alias("_o"))
+    edges = edges.select(*lay.part, F.last("_e", ignorenulls=True).over(cw).alias("_o"))
     df = lay.df.withColumn("_l", local).join(edges, lay.part, "left")
     return lay.map(df.withColumn(out, F.coalesce("_l", "_o")).drop("_l", "_o"))
 

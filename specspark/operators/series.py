@@ -154,12 +154,12 @@ def attach_interval(targets: DataFrame, x_t: str, intervals: DataFrame, x: str,
     carried = [c for c in targets.columns if c not in key]
     left = targets.select(*key, F.col(x_t).cast("double").alias("_x"), F.lit(1).alias("_kind"),
                           F.struct(*carried).alias("_t"), F.lit(None).alias("_hit"))
-    right = intervals.select(*key, F.col(x).cast("double").alias("_x"), F.lit(0).alias("_kind"),
+    start = F.when(F.col("_lowest"), F.lit(float("-inf"))).otherwise(F.col(x).cast("double"))
+    right = intervals.select(*key, start.alias("_x"), F.lit(0).alias("_kind"),
                              F.lit(None).alias("_t"), F.struct(*payload).alias("_hit"))
     lay = _lay(right.unionByName(left), key, ["_x", "_kind"], rows_per_chunk)
-    lay = fill(fill(lay, "_hit", "_at"), "_hit", "_above", forward=False)
-    merged = lay.df.filter("_kind = 1").withColumn("_hit", F.coalesce("_at", "_above"))
-    return merged.select(*key, "_t.*", "_hit")
+    merged = fill(lay, "_hit", "_at").df.filter("_kind = 1")
+    return merged.select(*key, "_t.*", F.col("_at").alias("_hit"))
 
 
 def _intervals(lay: Layout, x: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from specspark.operators import series as S
-from specspark.operators.layout import first_match
+from specspark.operators.layout import first_match, small_table
 from specspark.queries.common import (
     SERIES_SQL, SPECTRA_SQL, packed_spectra, rnd, series, table,
 )
@@ -156,7 +156,7 @@ SELECT l_suppkey, count(*) AS n, round(sum((ny - y) * ((l_extendedprice - x) / (
 FROM lineitem JOIN t ON nx IS NOT NULL AND (l_extendedprice >= x OR i = 1) AND (l_extendedprice < nx OR i = 4)
 GROUP BY l_suppkey""")
 def interp_linear_small(spark, d):
-    axis = spark.createDataFrame(SMALL_AXIS, "x double, y double")
+    axis = small_table(spark, SMALL_AXIS, "x double, y double")
     li = table(spark, d, "lineitem").select("l_suppkey", "l_extendedprice")
     df = S.interp_linear(li, "l_extendedprice", axis, "x", "y")
     return df.groupBy("l_suppkey").agg(
@@ -272,10 +272,10 @@ def shift_resample(spark, d):
    SELECT d.spec_id, d.i, CASE WHEN d.i = 0 THEN 0.0 ELSE d.v - d.c * u.m END FROM up u JOIN down d ON d.spec_id = u.spec_id AND d.i = u.i - 1),
  k AS (SELECT sp.spec_id, sp.i, sp.wave, sp.flux, u.m, lead(sp.flux) OVER w AS nflux, lead(u.m) OVER w AS nm
    FROM sp JOIN up u ON u.spec_id = sp.spec_id AND u.i = sp.i WINDOW w AS (PARTITION BY sp.spec_id ORDER BY sp.i)),
- ax AS (SELECT 4003.0::DOUBLE + 7 * unnest(range(89)) AS at)
-SELECT spec_id, at AS wave, round((m * pow(wave + 10 - at, 3) + nm * pow(at - wave, 3)) / 60
-  + (flux / 10 - m * 10 / 6) * (wave + 10 - at) + (nflux / 10 - nm * 10 / 6) * (at - wave), 5) AS flux
-FROM k JOIN ax ON at >= wave AND at < wave + 10 AND i < 63""")
+ ax AS (SELECT 4003.0::DOUBLE + 7 * unnest(range(89)) AS xt)
+SELECT spec_id, xt AS wave, round((m * pow(wave + 10 - xt, 3) + nm * pow(xt - wave, 3)) / 60
+  + (flux / 10 - m * 10 / 6) * (wave + 10 - xt) + (nflux / 10 - nm * 10 / 6) * (xt - wave), 5) AS flux
+FROM k JOIN ax ON xt >= wave AND xt < wave + 10 AND i < 63""")
 def spline_resample(spark, d):
     axis = [4003.0 + 7 * j for j in range(89)]
     df = S.resample_spline(packed_spectra(spark, d), ["spec_id"], "wave", "flux", axis)

@@ -15,6 +15,7 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8, checkpoint_dir:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if checkpoint_dir:

@@ -8,6 +8,7 @@ from __future__ import annotations
 import math
 import sys
 import time
+from collections import Counter
 from pathlib import Path
 
 import duckdb
@@ -76,8 +77,9 @@ def check(name, spark, con, sf_dir, queries, oracles):
     if len(a) != len(b):
         result.update(ok=False, why=f"rows {len(a)} != {len(b)}")
     elif a != b:
-        bad = [(x, y) for x, y in zip(a, b) if x != y]
-        result.update(ok=False, why=f"{len(bad)} of {len(a)} rows differ, e.g. {sorted(cols)} {bad[:3]}")
+        ours_only, theirs = Counter(a) - Counter(b), Counter(b) - Counter(a)
+        result.update(ok=False, why=f"{sum(ours_only.values())} of {len(a)} rows differ, {sorted(cols)} "
+                      f"{sorted(ours_only, key=repr)[:3]} != {sorted(theirs, key=repr)[:3]}")
     elif diff:
         simple = {c: v for c, v in diff.items() if "[" not in v[1] and "struct" not in v[1]}
         if simple:
