@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from specspark.operators.layout import arrange, first_match, maybe_broadcast, neighbours
-from specspark.operators.series import _intervals, attach_interval
+from specspark.operators.layout import Layout, arrange, first_match, fits, maybe_broadcast, neighbours
+from specspark.operators.series import SMALL_TABLE_ROWS, _intervals, attach_interval
 
 BLOCK = 65536
 
@@ -47,14 +47,15 @@ def assign_segment(lines: DataFrame, wave: str, segments: DataFrame, seg_id: str
     row and no aggregation over lines is needed.
     """
     ends = segments.select(F.explode(F.array(lo, hi)).alias("cut")).distinct()
-    lay = neighbours(arrange(ends, (), ["cut"]), ["cut"])
-    cuts = lay.done()
+    small = fits(ends, SMALL_TABLE_ROWS)
+    lay = Layout(ends, (), ("cut",), False) if small else arrange(ends, (), ["cut"])
+    cuts = neighbours(lay, ["cut"]).done()
     cover = range_join(cuts.select("cut", "next_cut"), "cut", segments.select(seg_id, lo, hi), lo, hi)
     after = F.when((F.col(hi) > F.col("cut")) & F.col("next_cut").isNotNull(), F.col(seg_id))
     cover = cover.groupBy(F.col("cut").alias("_cut")).agg(F.min(seg_id).alias("at"), F.min(after).alias("after"))
     table = cuts.join(cover, F.col("cut") == F.col("_cut"), "left").drop("_cut").withColumns(
         {"_hi": F.col("next_cut"), "_lowest": F.col("prev_cut").isNull()})
-    hit = attach_interval(lines, wave, table, "cut", (), ["cut", "at", "after"])
+    hit = attach_interval(lines, wave, table, "cut", (), ["cut", "at", "after"], small=small)
     w = F.col(wave)
     return hit.withColumn(seg_id, F.when(w == F.col("_hit.cut"), F.col("_hit.at"))
                           .when(w > F.col("_hit.cut"), F.col("_hit.after"))).drop("_hit")
@@ -125,8 +126,10 @@ def nearest_in_bins(matches: DataFrame, model: str, abundance: str, ref: str, po
 def bracket(targets: DataFrame, x_t: str, axis: DataFrame, x: str, key: Sequence[str] = (),
             low: str = "v_inf", high: str = "v_sup") -> DataFrame:
     """The two neighbouring distinct axis values around each target; beyond either end, the end pair."""
-    lay = neighbours(arrange(axis.select(*key, x).distinct(), key, [x]), [x])
-    hit = attach_interval(targets, x_t, _intervals(lay, x), x, key, [x, f"next_{x}"])
+    values = axis.select(*key, x).distinct()
+    small = fits(values, SMALL_TABLE_ROWS)
+    lay = Layout(values, tuple(key), (x,), False) if small else arrange(values, key, [x])
+    hit = attach_interval(targets, x_t, _intervals(neighbours(lay, [x]), x), x, key, [x, f"next_{x}"], small=small)
     return hit.withColumns({low: F.col(f"_hit.{x}"), high: F.col(f"_hit.next_{x}")}).drop("_hit")
 
 

@@ -134,23 +134,30 @@ def formal_intensity(df: DataFrame, key: Sequence[str], tau: str, source: str, m
 # --- interpolation ---------------------------------------------------------------------
 
 def attach_interval(targets: DataFrame, x_t: str, intervals: DataFrame, x: str, key: Sequence[str],
-                    payload: Sequence[str], rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+                    payload: Sequence[str], rows_per_chunk: int = ROWS_PER_CHUNK,
+                    small: bool | None = None) -> DataFrame:
     """Give every target the interval row whose [x, next x) holds it; the first interval of a series
     also takes targets below it.  ``intervals`` needs ``_hi`` (null on the last) and ``_lowest``.
 
-    A table of at most SMALL_TABLE_ROWS rows without a key is broadcast.  Otherwise table and targets
-    are merged on (key, x) and the last table row is carried onto the targets: one shuffle,
-    no pair of rows is ever formed, and hot keys are cut by ``arrange``.
+    A table counted to hold at most SMALL_TABLE_ROWS rows is broadcast (``small`` says the caller has
+    counted it; without a key it is counted here).  Otherwise table and targets are merged on (key, x)
+    and the last table row is carried onto the targets: one shuffle, no pair of rows is ever formed,
+    and hot keys are cut by ``arrange``.
     """
-    if not key and fits(intervals, SMALL_TABLE_ROWS):
+    if small is None:
+        small = not key and fits(intervals, SMALL_TABLE_ROWS)
+    if small:
         table = F.broadcast(intervals.select(
+            *[F.col(k).alias(f"_k_{k}") for k in key],
             F.when(F.col("_lowest"), F.lit(float("-inf"))).otherwise(F.col(x)).alias("_from"),
             F.coalesce(F.col("_hi"), F.lit(float("inf"))).alias("_to"),
             F.struct(*payload).alias("_hit")))
         t = F.col(x_t)
         # +inf itself stays in the last interval
-        return targets.join(table, (t >= F.col("_from")) & ((t < F.col("_to")) | (F.col("_to") == float("inf"))),
-                            "left").drop("_from", "_to")
+        on = (t >= F.col("_from")) & ((t < F.col("_to")) | (F.col("_to") == float("inf")))
+        for k in key:
+            on = on & (F.col(k) == F.col(f"_k_{k}"))
+        return targets.join(table, on, "left").drop("_from", "_to", *[f"_k_{k}" for k in key])
     carried = [c for c in targets.columns if c not in key]
     left = targets.select(*key, F.col(x_t).cast("double").alias("_x"), F.lit(1).alias("_kind"),
                           F.struct(*carried).alias("_t"), F.lit(None).alias("_hit"))

@@ -216,7 +216,7 @@ def extent(spark, d):
 
 # models for blending: one per (quantity, discount, tax) cell, depth index = line number parity
 CELL_SQL = """ce AS (SELECT l_quantity AS teff, l_discount * 50 AS logg, l_tax * -50 + 0.0 AS feh, (l_linenumber % 2)::INTEGER AS k,
-   avg(l_extendedprice) AS temp, ln(min(l_extendedprice)) AS log_pe, ln(max(l_extendedprice)) AS log_pg, avg(l_partkey) AS radius
+   avg(l_extendedprice) * 0.987654321::DOUBLE AS temp, ln(min(l_extendedprice)) AS log_pe, ln(max(l_extendedprice)) AS log_pg, avg(sqrt(l_partkey + 1)) AS radius
    FROM lineitem GROUP BY 1, 2, 3, 4)"""
 BLEND_SQL = BRACKETS_SQL.replace("l_returnflag AS turb", "'all' AS turb").replace(
     "CASE p_partkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'N' ELSE 'R' END", "'all'") + ", " + CELL_SQL
@@ -226,8 +226,8 @@ def _cells(spark, d):
     li = table(spark, d, "lineitem")
     cell = [F.col("l_quantity").alias("teff"), (F.col("l_discount") * 50).alias("logg"), (F.col("l_tax") * -50 + F.lit(0.0)).alias("feh")]
     depths = li.groupBy(*cell, (F.col("l_linenumber") % 2).alias("k")).agg(
-        F.avg("l_extendedprice").alias("temp"), F.log(F.min("l_extendedprice")).alias("log_pe"),
-        F.log(F.max("l_extendedprice")).alias("log_pg"), F.avg("l_partkey").alias("radius"))
+        (F.avg("l_extendedprice") * 0.987654321).alias("temp"), F.log(F.min("l_extendedprice")).alias("log_pe"),
+        F.log(F.max("l_extendedprice")).alias("log_pg"), F.avg(F.sqrt(F.col("l_partkey") + 1)).alias("radius"))
     name = F.concat_ws("_", F.col("teff").cast("string"), F.col("logg").cast("string"), F.col("feh").cast("string"))
     depths = depths.withColumn("model_id", name)
     models = depths.select("teff", "logg", "feh", "model_id").distinct().select(
