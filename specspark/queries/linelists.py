@@ -18,7 +18,7 @@ KEY_SQL = "l_orderkey, l_linenumber, l_partkey, species_id, wave"
 ATOMS_SQL = """la AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey AS species_id, l_extendedprice AS wave,
   (l_suppkey % 30 + 1)::INTEGER AS iel, (l_linenumber % 3 + 1)::INTEGER AS ion, l_discount * 160 AS chi_low, l_discount * 160 + l_tax * 100 AS chi_up,
   l_tax * -20 AS log_gf, l_quantity AS strength FROM lineitem)"""
-IONPOT_SQL = """ip AS (SELECT z::INTEGER AS z, i::INTEGER AS ion, 5.0::DOUBLE + z * 0.3 + (i - 1) * 7 AS chi_ion
+IONPOT_SQL = """ip AS (SELECT z::INTEGER AS z, i::INTEGER AS ion, 5.01234::DOUBLE + z * 0.3 + (i - 1) * 7 AS chi_ion
   FROM (SELECT unnest(range(1, 31)) AS z), (SELECT unnest(range(1, 4)) AS i))"""
 
 
@@ -33,7 +33,7 @@ def atoms(spark, d):
 
 
 def ionpot(spark):
-    rows = [(z, i, 5.0 + z * 0.3 + (i - 1) * 7) for z in range(1, 31) for i in (1, 2, 3)]
+    rows = [(z, i, 5.01234 + z * 0.3 + (i - 1) * 7) for z in range(1, 31) for i in (1, 2, 3)]
     return small_table(spark, rows, "z int, ion int, chi_ion double")
 
 
@@ -98,14 +98,12 @@ def abundance_guard(spark, d):
 
 @query("line_derived", """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey AS species_id, l_extendedprice AS wave, round(pow(10, l_tax * -20), 8) AS gf,
   round(l_discount * 50 + 3.40 * 3647.0 / l_extendedprice, 6) AS chi_up,
-  round(CASE WHEN l_linenumber = 1 THEN 6.669e15 * pow(10, l_tax * -20) / (l_quantity * l_extendedprice * l_extendedprice) ELSE l_partkey * 1000.0 END / 1e6, 3) AS gam_rad FROM lineitem""")
+  round(CASE WHEN l_linenumber = 1 THEN 6.669e15 * pow(10, l_tax * -20) / (l_quantity * l_extendedprice * l_extendedprice) ELSE (l_partkey + 1) * 1000.0 END / 1e6, 3) AS gam_rad FROM lineitem""")
 def line_derived(spark, d):
-    rad = F.when(F.col("l_linenumber") == 1, 0.0).otherwise(F.col("l_partkey") * 1000.0)
-    df = L.line_derived(lines(spark, d).withColumn("g_up", F.col("strength")).withColumn("gam_rad", F.when(
-        (F.col("l_linenumber") != 1) & (F.col("l_partkey") == 0), F.lit(None)).otherwise(rad)))
-    gam = F.coalesce("gam_rad", F.lit(0.0))
+    rad = F.when(F.col("l_linenumber") == 1, 0.0).otherwise((F.col("l_partkey") + 1) * 1000.0)
+    df = L.line_derived(lines(spark, d).withColumns({"g_up": F.col("strength"), "gam_rad": rad}))
     return df.select(*LINE_KEY, rnd("gf", 8).alias("gf"), rnd("chi_up", 6).alias("chi_up"),
-                     rnd(gam / 1e6, 3).alias("gam_rad"))
+                     rnd(F.col("gam_rad") / 1e6, 3).alias("gam_rad"))
 
 
 @query("vald_derived", """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey AS species_id, l_extendedprice AS wave, 2.0::DOUBLE * l_quantity / 2 + 1.0 AS g_up,
