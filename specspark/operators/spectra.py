@@ -292,6 +292,20 @@ def _with_ends(x: np.ndarray, y: np.ndarray, fwhm: float, kind: str, before: flo
     return np.concatenate([front, x, back]), np.pad(y, ((0, 0), (len(front), len(back)))), len(front)
 
 
+def sorted_groups(batches: Iterator[pd.DataFrame], key: Sequence[str]) -> Iterator[list[pd.DataFrame]]:
+    """The groups of a partition sorted by key; a group that runs over a batch is kept until it ends."""
+    rest = None
+    for pdf in batches:
+        pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+        ids = pdf[list(key)]
+        starts = np.flatnonzero((ids != ids.shift()).any(axis=1).to_numpy())
+        rest = pdf.iloc[starts[-1]:] if len(starts) else None
+        if len(starts) > 1:
+            yield [pdf.iloc[i:j] for i, j in zip(starts[:-1], starts[1:])]
+    if rest is not None and len(rest):
+        yield [rest]
+
+
 def convolve_packed(df: DataFrame, key: Sequence[str], cols: Sequence[str], fwhm: float, profile: str = "gauss",
                     wave: str = "wave") -> DataFrame:
     """Convolve one packed spectrum per row (arrays); fwhm < 0 in km/s, > 0 in milli-Angstrom.  No shuffle."""
@@ -339,20 +353,21 @@ def convolve(df: DataFrame, key: Sequence[str], cols: Sequence[str], fwhm: float
     # an inner join: a copy sent to a chunk that has no rows of its own is not needed
     spread = spread.join(edges, [*keys, "_c"])
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(wave, kind="stable")
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
         x, y = pdf[wave].to_numpy(float), pdf[cols].to_numpy(float).T
         edge = pdf.iloc[0]
         xe, ye, front = _with_ends(x, y, fwhm, profile, edge["_before"], edge["_after"],
                                    x[0] <= edge["_start"], x[-1] >= edge["_end"])
         own = np.flatnonzero((pdf["_home"] == pdf["_c"]).to_numpy())
-        result = pdf.iloc[own][[*keys, wave]].copy()
-        for c, v in zip(cols, _band(xe, ye, own + front, fwhm, profile)):
-            result[c] = v
-        return result
+        done = dict(zip(cols, _band(xe, ye, own + front, fwhm, profile)))
+        return pdf.iloc[own][[*keys, wave]].assign(**done)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for groups in sorted_groups(batches, [*keys, "_c"]):
+            yield pd.concat([one(g) for g in groups])
 
     schema = ", ".join([f"`{k}` {types[k]}" for k in keys] + [f"`{c}` double" for c in [wave, *cols]])
-    return spread.groupBy(*keys, "_c").applyInPandas(run, schema)
+    return spread.repartition(*keys, "_c").sortWithinPartitions(*keys, "_c", wave).mapInPandas(run, schema)
 
 
 def resolution_to_fwhm(resolution: float) -> float:
