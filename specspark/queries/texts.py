@@ -320,9 +320,9 @@ def model_kind(spark, d):
 def scan_model_catalog(spark, d):
     from specspark.queries.grids import _named
     k = F.col("p_partkey")
-    paths = _named(spark, d).select("p_partkey", F.when(k % 4 == 0, F.lit("file:/m/notes.mod")).otherwise(F.concat(F.lit("file:/m/"), "name")).alias("path"))
-    cat = M.parse_catalog(paths.withColumn("path", F.concat("path", F.lit("?"), k.cast("string"))).withColumn("path", F.substring_index("path", "?", 1)).distinct())
-    return paths.join(cat, "path").select("p_partkey", "teff", "logg", "turb")
+    name = F.when(k % 4 == 0, "notes.mod").otherwise(F.col("name"))
+    paths = _named(spark, d).select("p_partkey", F.format_string("file:/m/%d/%s", k, name).alias("path"))
+    return paths.join(M.parse_catalog(paths), "path").select("p_partkey", "teff", "logg", "turb")
 
 
 # --- departure coefficients, atoms, flags ----------------------------------------------------
@@ -502,10 +502,10 @@ def read_grid_csv(spark, d):
     return points.unionByName(n)
 
 
-@query("write_grid_csv", """SELECT concat_ws(',', 'v1', p_size * 100, printf('%.2f', p_retailprice / 1000), '01', printf('%+.2f', (p_partkey % 9) / 10.0::DOUBLE)) AS csv FROM part""")
+@query("write_grid_csv", """SELECT concat_ws(',', 'v1', p_size * 100, printf('%.2f', p_size / 10.0::DOUBLE), '01', printf('%+.2f', (p_partkey % 9) / 10.0::DOUBLE)) AS csv FROM part""")
 def write_grid_csv(spark, d):
     from specspark.operators.grid import format_grid
-    g = table(spark, d, "part").select((F.col("p_size") * 100).alias("teff"), (F.col("p_retailprice") / 1000 + 0.0001).alias("logg"), F.lit(0.0).alias("feh"), F.lit("01").alias("t_value"),
+    g = table(spark, d, "part").select((F.col("p_size") * 100).alias("teff"), (F.col("p_size") / F.lit(10.0)).alias("logg"), F.lit(0.0).alias("feh"), F.lit("01").alias("t_value"),
                                        ((F.col("p_partkey") % 9) / F.lit(10.0)).alias("a"))
     out = format_grid(g, {"grid_version": "v1"}).select(*T.GRID_COLUMNS)
     return out.select(F.concat_ws(",", "grid_version", F.col("teff").cast("string"), F.format_string("%.2f", "logg"), "turbvel", "a").alias("csv"))

@@ -22,6 +22,15 @@ def read_rows(spark: SparkSession, paths: str | Sequence[str], glob: str | None
         F.monotonically_increasing_id().alias("pos"), "value")
 
 
+def read_saved(spark: SparkSession, path: str, file: str) -> DataFrame:
+    """Rows written by ``save_rows``: the consecutive parts of one partition directory are one file again."""
+    raw = spark.read.text(path).select(
+        F.col(file).cast("string").alias("file"),
+        F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("bigint").alias("_part"),
+        F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("pos"), "value")
+    return raw.select("file", (F.col("_part") * F.lit(1 << 40) + F.col("_start")).alias("block"), "pos", "value")
+
+
 def read_whole(spark: SparkSession, paths: str | Sequence[str], glob: str | None = None) -> DataFrame:
     """(file, text), one row per file, for formats whose files are bounded (one model, one table)."""
     reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
