@@ -29,38 +29,63 @@ def line_strength(df: DataFrame) -> DataFrame:
     })
 
 
-def _reach(lam0: np.ndarray, a: list, dnud: list, ratio: list, eps: float, limit: float) -> np.ndarray:
-    """Largest |wavelength - lam0| at which ratio*H(a, v) is still >= eps at any depth.
+def _passing(lam0: np.ndarray, x0: np.ndarray, a: list, dnud: list, ratio: list, step: float, n: int,
+             eps: float) -> tuple[np.ndarray, np.ndarray]:
+    """How many grid points in a row, red and blue of each line, have ratio*H(a, v) >= eps at some depth.
 
-    H falls with |v|, so the distance is found by halving, for all lines and depths together.
+    x0 is the line position in grid steps; red starts at floor(x0)+1, blue at floor(x0).  H falls with
+    |v|, so the count is found by doubling and halving over the index, for all lines together.
     """
     sizes = np.array([len(v) for v in a])
-    if sizes.sum() == 0:
-        return np.zeros(len(lam0))
     line = np.repeat(np.arange(len(a)), sizes)
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     a_, d_, r_ = (np.concatenate([np.asarray(v, float) for v in col]) for col in (a, dnud, ratio))
-    scale = C_ANGSTROM / (lam0[line] ** 2) / d_
-    low, high = np.zeros(len(line)), np.full(len(line), limit)
-    alive = r_ * voigt_np(a_, np.zeros(len(line))) >= eps
-    for _ in range(60):
-        mid = (low + high) / 2
-        ok = r_ * voigt_np(a_, mid * scale) >= eps
-        low, high = np.where(ok, mid, low), np.where(ok, high, mid)
-    low = np.where(r_ * voigt_np(a_, limit * scale) >= eps, limit, low)
-    out = np.full(len(lam0), -1.0)
-    np.maximum.at(out, line, np.where(alive, low, -1.0))
-    return out
-
-
-def with_reach(lines: DataFrame, wave: str, eps: float, limit: float) -> DataFrame:
-    """Adds reach (Angstrom; -1 where even the centre is too weak) from the depth arrays a, dnud, ratio."""
+    scale = step * C_ANGSTROM / (lam0[line] ** 2) / d_
+    most = np.int64(n + 2) + np.ceil(np.abs(np.where(x0 < 0, x0, np.maximum(x0 - n, 0)))).astype(np.int64)
+
+    def passes(count: np.ndarray, first: np.ndarray, way: int, todo: np.ndarray) -> np.ndarray:
+        """Does the count-th point on a side still reach eps?  Only asked for the lines in todo."""
+        ok = np.zeros(len(count), bool)
+        use = todo[line]
+        dist = np.abs(first + way * (count - 1) - x0)[line][use]
+        peak = np.full(len(line), -1.0)
+        peak[use] = r_[use] * voigt_np(a_[use], dist * scale[use])
+        ok[:] = np.maximum.reduceat(peak, starts) >= eps
+        return ok & todo
+
+    out = []
+    base = np.floor(x0)
+    for first, way in ((base + 1, 1), (base, -1)):
+        low, high = np.zeros(len(a), np.int64), np.ones(len(a), np.int64)
+        growing = np.ones(len(a), bool)
+        while growing.any():
+            ok = passes(high, first, way, growing)
+            low = np.where(ok, high, low)
+            growing = ok & (high < most)
+            high = np.where(growing, np.minimum(high * 2, most), high)
+        high = np.where(low == high, high + 1, high)
+        open_ = high - low > 1
+        while open_.any():
+            mid = (low + high) // 2
+            ok = passes(mid, first, way, open_)
+            low, high = np.where(open_ & ok, mid, low), np.where(open_ & ~ok, mid, high)
+            open_ = high - low > 1
+        out.append(low)
+    return out[0], out[1]
+
+
+def with_passing(lines: DataFrame, wave: str, start: float, step: float, n: int, eps: float) -> DataFrame:
+    """Adds n_red and n_blue (see _passing) from the depth arrays a, dnud, ratio."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pdf.assign(reach=_reach(pdf[wave].to_numpy(float), list(pdf["a"]), list(pdf["dnud"]),
-                                          list(pdf["ratio"]), eps, limit))
+            if len(pdf):
+                lam0 = pdf[wave].to_numpy(float)
+                red, blue = _passing(lam0, (lam0 - start) / step, list(pdf["a"]), list(pdf["dnud"]), list(pdf["ratio"]),
+                                     step, n, eps)
+                yield pdf.assign(n_red=red, n_blue=blue)
 
-    fields = ", ".join(f"`{n}` {t}" for n, t in lines.dtypes)
-    return lines.mapInPandas(run, f"{fields}, reach double")
+    fields = ", ".join(f"`{c}` {t}" for c, t in lines.dtypes)
+    return lines.mapInPandas(run, f"{fields}, n_red bigint, n_blue bigint")
 
 
 def line_points(lines: DataFrame, wave: str, start: float, step: float, n: int, eps: float,
@@ -72,33 +97,36 @@ def line_points(lines: DataFrame, wave: str, start: float, step: float, n: int,
     the red side ran into the end of the grid; lines outside the grid are walked from its first or last
     point.  A line never becomes one big row: its range is cut into blocks of REACH_BLOCK points.
     """
-    limit = float(n * step + 2 * step)
-    df = with_reach(lines, wave, eps, limit)
-    x, reach = (F.col(wave) - start) / step, F.col("reach") / step
+    # neighbouring lines share a task, so partial sums over the grid collapse; equal wavelengths are
+    # spread by the hash
+    names = [c for c, t in lines.dtypes if not t.startswith("array")]
+    df = lines.repartitionByRange(F.col(wave), F.xxhash64(*names))
+    df = with_passing(df, wave, start, step, n, eps)
+    base = F.floor((F.col(wave) - start) / step)
+    red, blue, last = F.col("n_red"), F.col("n_blue"), n - 1
+    whole = (F.col(wave) - start) / step
     if mode == "symmetric":
-        lo = F.greatest(F.ceil(x - reach), F.lit(0))
-        hi = F.least(F.floor(x + reach), F.lit(n - 1))
-        lo, hi = F.when(F.col("reach") >= 0, lo).otherwise(0), F.when(F.col("reach") >= 0, hi).otherwise(-1)
+        lo, hi = F.greatest(base + 1 - blue, F.lit(0)), F.least(base + red, F.lit(last))
     elif mode == "compat":
-        first = F.least((x.cast("bigint") + 1), F.lit(n - 1))           # closest point red of the line
-        passed = F.greatest(F.floor(x + reach), first - 1)               # last point that still passes
-        red_end = F.col("reach") >= 0
-        stop = F.when(red_end, F.least(passed + 1, F.lit(n - 1))).otherwise(first)
-        hit_end = red_end & (passed >= n - 1)
-        blue_pass = F.when(red_end, F.ceil(x - reach)).otherwise(first)
-        walked = F.greatest(F.least(blue_pass, first) - 1, F.lit(0))
-        mirrored = F.greatest(first - (stop - first + 1) - 2, F.lit(0))
-        left_of_grid = x <= 0
-        lo = F.when(left_of_grid, F.lit(0)).when(hit_end, walked).otherwise(mirrored)
-        hi = F.when(left_of_grid, F.least(F.greatest(F.when(red_end, F.floor(x + reach)).otherwise(-1) + 1, F.lit(0)),
-                                          F.lit(n - 1))).otherwise(stop)
+        first = F.least(base + 1, F.lit(last))
+        # left of the grid: from its first point on
+        reached = F.when(red > 0, base + red).when((whole == 0) & (blue > 0), 0).otherwise(-1)
+        left_hi = F.least(F.greatest(reached, F.lit(-1)) + 1, F.lit(last))
+        # the red walk ran into the end: the blue walk is tested point by point
+        beyond = base + 1 > last
+        hit_end = F.when(beyond, base - blue + 1 <= last).otherwise(base + red >= last)
+        walked = F.greatest(F.least(base - blue, first - 1), F.lit(0))
+        stop = F.when(beyond, F.lit(last)).otherwise(F.least(base + red + 1, F.lit(last)))
+        mirrored = F.greatest(first - F.when(beyond, 1).otherwise(red + 1) - 2, F.lit(0))
+        lo = F.when(whole <= 0, 0).when(hit_end, walked).otherwise(mirrored)
+        hi = F.when(whole <= 0, left_hi).otherwise(stop)
     else:
         raise ValueError(f"unknown mode {mode}")
     df = df.withColumns({"_lo": lo.cast("bigint"), "_hi": hi.cast("bigint")}).filter("_hi >= _lo")
     blocks = F.sequence(F.floor(F.col("_lo") / REACH_BLOCK), F.floor(F.col("_hi") / REACH_BLOCK))
     df = df.withColumn("_b", F.explode(blocks))
     from_, to = F.greatest("_lo", F.col("_b") * REACH_BLOCK), F.least("_hi", (F.col("_b") + 1) * REACH_BLOCK - 1)
-    return df.withColumn("j", F.explode(F.sequence(from_, to))).drop("_lo", "_hi", "_b", "reach")
+    return df.withColumn("j", F.explode(F.sequence(from_, to))).drop("_lo", "_hi", "_b", "n_red", "n_blue")
 
 
 def line_opacity(lines: DataFrame, wave: str, start: float, step: float, n: int, eps: float,

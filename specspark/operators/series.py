@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from specspark.operators.layout import (
-    ROWS_PER_CHUNK, Layout, arrange, fill, fits, group_total, neighbours, row_numbers, running_sum,
+    MAX_BROADCAST_ROWS, ROWS_PER_CHUNK, Layout, arrange, fill, fits, group_total, neighbours, row_numbers, running_sum,
 )
 
 SMALL_TABLE_ROWS = 512
@@ -140,9 +140,10 @@ def attach_interval(targets: DataFrame, x_t: str, intervals: DataFrame, x: str,
     also takes targets below it.  ``intervals`` needs ``_hi`` (null on the last) and ``_lowest``.
 
     A table counted to hold at most SMALL_TABLE_ROWS rows is broadcast (``small`` says the caller has
-    counted it; without a key it is counted here).  Otherwise table and targets are merged on (key, x)
-    and the last table row is carried onto the targets: one shuffle, no pair of rows is ever formed,
-    and hot keys are cut by ``arrange``.
+    counted it; without a key it is counted here).  A larger one without a key that still fits a broadcast
+    is hashed on equal-width buckets.  Otherwise table and targets are merged on (key, x) and the last
+    table row is carried onto the targets: one shuffle, no pair of rows is ever formed, and hot keys are
+    cut by ``arrange``.
     """
     if small is None:
         small = not key and fits(intervals, SMALL_TABLE_ROWS)
@@ -158,6 +159,13 @@ def attach_interval(targets: DataFrame, x_t: str, intervals: DataFrame, x: str,
         for k in key:
             on = on & (F.col(k) == F.col(f"_k_{k}"))
         return targets.join(table, on, "left").drop("_from", "_to", *[f"_k_{k}" for k in key])
+    if not key:
+        spread = _bucketed(intervals, x, payload)
+        if spread is not None:
+            table, bucket = spread
+            t, hit = F.col(x_t), targets.withColumn("_bucket", bucket(F.col(x_t)))
+            on = (hit["_bucket"] == table["_tb"]) & (t >= F.col("_from")) & ((t < F.col("_to")) | (F.col("_to") == float("inf")))
+            return hit.join(F.broadcast(table), on, "left").drop("_bucket", "_tb", "_from", "_to")
     carried = [c for c in targets.columns if c not in key]
     left = targets.select(*key, F.col(x_t).cast("double").alias("_x"), F.lit(1).alias("_kind"),
                           F.struct(*carried).alias("_t"), F.lit(None).alias("_hit"))
@@ -169,6 +177,29 @@ def attach_interval(targets: DataFrame, x_t: str, intervals: DataFrame, x: str,
     return merged.select(*key, "_t.*", F.col("_at").alias("_hit"))
 
 
+def _bucketed(intervals: DataFrame, x: str, payload: Sequence[str]):
+    """(intervals copied to the equal-width buckets they touch, bucket expression), or None when there are too
+    many intervals for a broadcast or too many of them in one bucket."""
+    if not fits(intervals, MAX_BROADCAST_ROWS // 2):
+        return None
+    ends = intervals.agg(F.min(x).alias("a"), F.max(F.coalesce("_hi", x)).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    if not ends["n"] or not ends["b"] > ends["a"]:
+        return None
+    width = float((ends["b"] - ends["a"]) / ends["n"])
+
+    def bucket(c: Column) -> Column:
+        return F.least(F.greatest(F.floor((c - F.lit(float(ends["a"]))) / F.lit(width)), F.lit(0)), F.lit(int(ends["n"])))
+
+    first = F.when(F.col("_lowest"), F.lit(0)).otherwise(bucket(F.col(x)))
+    last = F.when(F.col("_hi").isNull(), F.lit(int(ends["n"]))).otherwise(bucket(F.col("_hi")))
+    table = intervals.select(
+        F.explode(F.sequence(first.cast("bigint"), last.cast("bigint"))).alias("_tb"),
+        F.when(F.col("_lowest"), F.lit(float("-inf"))).otherwise(F.col(x)).alias("_from"),
+        F.coalesce(F.col("_hi"), F.lit(float("inf"))).alias("_to"), F.struct(*payload).alias("_hit"))
+    fullest = table.groupBy("_tb").agg(F.count(F.lit(1)).alias("m")).agg(F.max("m")).first()[0]
+    return (table, bucket) if fullest <= SMALL_TABLE_ROWS else None
+
+
 def _intervals(lay: Layout, x: str) -> DataFrame:
     """Keep the rows that start an interval; ``lay`` already has prev_/next_ of x."""
     lay = neighbours(lay, [f"next_{x}"], before=False)

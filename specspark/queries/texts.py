@@ -40,8 +40,8 @@ def _raw_spectra(spark, d):
 SELECT sp.spec_id::VARCHAR AS spec_id, sp.wave, round(flux, 5) AS flux_norm, CASE WHEN flux * 1e4 < 9999.995 THEN round(flux * 1e4, 2) ELSE round(flux * 1e4, 1) END AS flux_abs,
   mu, CASE WHEN i_abs < 9999.995 THEN round(i_abs, 2) ELSE round(i_abs, 1) END AS i_abs, round(i_norm, 5) AS i_norm FROM sp JOIN it ON sp.spec_id = it.spec_id AND sp.wave = it.wave""")
 def read_spectra(spark, d):
-    spectrum, intensity = SS.parse_spectra(_raw_spectra(spark, d))
-    return spectrum.join(intensity, ["spec_id", "wave"])
+    rows = SS.spectrum_rows(_raw_spectra(spark, d))
+    return rows.select("spec_id", "wave", "flux_norm", "flux_abs", F.inline("points"))
 
 
 @query("load_all_spectra", f"""WITH {SPECTRA_SQL} SELECT concat(spec_id, '.spec') AS spec_id, count(*) AS n, round(sum(round(flux, 5)), 5) AS total FROM sp GROUP BY 1""")

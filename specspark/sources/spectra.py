@@ -11,8 +11,9 @@ from specspark.operators.layout import ROWS_PER_CHUNK, arrange, maybe_broadcast,
 from specspark.sources.text import base_name, numbers, read_rows, save_rows, tokens
 
 
-def parse_spectra(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(spectrum, intensity) from text rows (file, block, pos, value).
+def spectrum_rows(raw: DataFrame) -> DataFrame:
+    """(spec_id, wave, flux_norm, flux_abs, points) from text rows (file, block, pos, value); points is null
+    for flux spectra and else the array of (mu, i_abs, i_norm).
 
     The header is the last '#' row before the first data row.  A row whose first three words, or any of
     the intensity words it has, are not numbers is dropped whole; angles a row has no columns for are
@@ -35,12 +36,17 @@ def parse_spectra(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     wanted = F.when(F.col("_mu").isNull(), 3).otherwise(wanted)
     rows = rows.filter((F.size("_v") >= 3) & ~F.exists(F.slice("_v", F.lit(1), wanted), lambda v: v.isNull()))
     v = F.col("_v")
-    spectrum = rows.select(F.col("file").alias("spec_id"), v[0].alias("wave"), v[1].alias("flux_norm"), v[2].alias("flux_abs"))
-    pairs = F.transform(F.col("_mu"), lambda m, i: F.struct(
-        m.alias("mu"), F.get(v, 3 + 2 * i).alias("i_abs"), F.get(v, 4 + 2 * i).alias("i_norm")))
-    intensity = rows.filter("_mu IS NOT NULL").select(
-        F.col("file").alias("spec_id"), v[0].alias("wave"), F.inline(pairs)).filter("i_abs IS NOT NULL OR i_norm IS NOT NULL")
-    return spectrum, intensity
+    pairs = F.filter(F.transform(F.col("_mu"), lambda m, i: F.struct(
+        m.alias("mu"), F.get(v, 3 + 2 * i).alias("i_abs"), F.get(v, 4 + 2 * i).alias("i_norm"))),
+        lambda p: p["i_abs"].isNotNull() | p["i_norm"].isNotNull())
+    return rows.select(F.col("file").alias("spec_id"), v[0].alias("wave"), v[1].alias("flux_norm"), v[2].alias("flux_abs"),
+                       pairs.alias("points"))
+
+
+def parse_spectra(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(spectrum, intensity) tables from text rows."""
+    rows = spectrum_rows(raw)
+    return rows.drop("points"), rows.filter("points IS NOT NULL").select("spec_id", "wave", F.inline("points"))
 
 
 def read_spectra(spark: SparkSession, paths: str | Sequence[str], glob: str | None = None) -> tuple[DataFrame, DataFrame]:
