@@ -92,7 +92,7 @@ def unpack_blocks(spark, d):
 def _lines(spark, d):
     k = F.col("l_suppkey")
     return table(spark, d, "lineitem").select(
-        F.format_string("list%d", k % 3).alias("list_id"), k.alias("block_id"), F.format_string("%d.%03d", k % 92 + 1, k % 7).alias("species"),
+        F.format_string("list%d", k % 31).alias("list_id"), k.alias("block_id"), F.format_string("%d.%03d", k % 92 + 1, k % 7).alias("species"),
         (k % 2 + 1).cast("int").alias("ion"), F.format_string("S%d", k).alias("comment"), "l_orderkey", "l_linenumber", "l_partkey",
         F.col("l_extendedprice").alias("wave"), (F.col("l_discount") * 50).alias("chi_low"), (F.col("l_tax") * -20 + 0.0001).alias("log_gf"),
         (F.col("l_quantity") / 4).alias("fdamp"), F.col("l_linenumber").cast("double").alias("g_up"), F.lit(1.0e5).alias("gam_rad"),
@@ -109,7 +109,7 @@ def _raw_lines(spark, d):
     return rows.select(F.col("list_id").alias("file"), block.alias("block"), F.struct(*ORDER[1:]).alias("pos"), "value")
 
 
-LIST_SQL = """b AS (SELECT concat('list', l_suppkey % 3) AS list_id, l_suppkey, dense_rank() OVER (PARTITION BY l_suppkey % 3 ORDER BY l_suppkey) AS block_id,
+LIST_SQL = """b AS (SELECT concat('list', l_suppkey % 31) AS list_id, l_suppkey, dense_rank() OVER (PARTITION BY l_suppkey % 31 ORDER BY l_suppkey) AS block_id,
   row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice) AS line_no, * EXCLUDE (l_suppkey) FROM lineitem)"""
 
 
@@ -123,10 +123,10 @@ def read_linelist(spark, d):
                      (F.col("log_gf") + 0.0).alias("log_gf"), "fdamp", "g_up", "gam_rad", "gam_stark", "lev_lo", "lev_up", "descr", "format")
 
 
-@query("write_linelist", """SELECT concat('list', l_suppkey % 3) AS list_id, l_suppkey AS block_id, 2 AS kind, concat(printf('%10.3f %6.3f ', l_extendedprice, l_discount * 50), lpad(printf('%.3f', l_tax * -20 + 0.0001), 6, ' '),
+@query("write_linelist", """SELECT concat('list', l_suppkey % 31) AS list_id, l_suppkey AS block_id, 2 AS kind, concat(printf('%10.3f %6.3f ', l_extendedprice, l_discount * 50), lpad(printf('%.3f', l_tax * -20 + 0.0001), 6, ' '),
   printf(' %8.3f %6.1f %9.2E %7.3f ', l_quantity / 4, l_linenumber::DOUBLE, 1e5::DOUBLE, 0.0::DOUBLE), '''', lower(l_returnflag), ''' ''', lower(l_linestatus), ''' ', printf('%5.1f %6.1f ', 0.0::DOUBLE, 1.0::DOUBLE), '''S', l_suppkey, ' x''') AS value FROM lineitem
-UNION ALL SELECT concat('list', l_suppkey % 3), l_suppkey, 0, concat('''', rpad(concat(l_suppkey % 92 + 1, '.', lpad((l_suppkey % 7)::VARCHAR, 3, '0')), 20, ' '), ''' ', lpad((l_suppkey % 2 + 1)::VARCHAR, 2, ' '), ' ', lpad(count(*)::VARCHAR, 7, ' ')) FROM lineitem GROUP BY l_suppkey
-UNION ALL SELECT DISTINCT concat('list', l_suppkey % 3), l_suppkey, 1, concat('''S', l_suppkey, '''') FROM lineitem""")
+UNION ALL SELECT concat('list', l_suppkey % 31), l_suppkey, 0, concat('''', rpad(concat(l_suppkey % 92 + 1, '.', lpad((l_suppkey % 7)::VARCHAR, 3, '0')), 20, ' '), ''' ', lpad((l_suppkey % 2 + 1)::VARCHAR, 2, ' '), ' ', lpad(count(*)::VARCHAR, 7, ' ')) FROM lineitem GROUP BY l_suppkey
+UNION ALL SELECT DISTINCT concat('list', l_suppkey % 31), l_suppkey, 1, concat('''S', l_suppkey, '''') FROM lineitem""")
 def write_linelist(spark, d):
     return LL.render_linelist(_lines(spark, d), ORDER).select("list_id", "block_id", "kind", "value")
 
@@ -145,7 +145,7 @@ def detect_format(spark, d):
     species = F.when(k % 6 == 5, "608.012016").otherwise("26.000")
     rows = F.array(F.format_string("'%s            '    1       1", species), F.lit("'Fe I    NLTE'"), value)
     raw = table(spark, d, "supplier").select(F.lit("f").alias("file"), k.alias("block"), F.posexplode(rows).alias("pos", "value"))
-    fmt = LL.detect_format(LL.split_blocks(raw))
+    fmt = LL.detect_format(raw)
     return fmt.select((F.col("block_id") - 1).alias("block"), "format")
 
 

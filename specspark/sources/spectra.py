@@ -23,7 +23,7 @@ def spectrum_rows(raw: DataFrame) -> DataFrame:
     text = F.trim("value")
     starts = raw.filter((text != "") & ~F.startswith(text, F.lit("#"))).groupBy("file").agg(F.min(at).alias("_start"))
     marks = raw.filter(F.startswith(text, F.lit("#"))).select("file", at.alias("_at"), "value")
-    header = marks.join(maybe_broadcast(starts), "file").filter("_at < _start").groupBy("file").agg(
+    header = marks.join(starts, "file").filter("_at < _start").groupBy("file").agg(
         F.max_by("value", "_at").alias("_header"))
     words = F.split(F.trim("_header"), r"\s+")
     after = F.array_position(words, F.lit("mu-points")).cast("int")

@@ -48,12 +48,12 @@ def tokens(row: Column) -> Column:
 
 
 def unquote(word: Column) -> Column:
-    return F.trim(F.regexp_replace(word, "'", ""))
+    return F.trim(F.translate(word, "'", ""))
 
 
 def number(word: Column) -> Column:
     """A number, also with a D exponent; null if the word is something else."""
-    return F.regexp_replace(word, "[dD]", "E").try_cast("double")
+    return F.translate(word, "dD", "EE").try_cast("double")
 
 
 def numbers(row: Column) -> Column:
