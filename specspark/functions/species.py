@@ -23,7 +23,7 @@ ORBITALS = "spdfghik"
 
 def parse_species(code: Column) -> Column:
     """STRUCT<iel, atoms, isotopes> of a code such as 608.012016 (two digits per atom, three per isotope)."""
-    text = F.regexp_replace(F.trim(code), r"^0+(?=0)", "")
+    text = F.regexp_replace(F.trim(code), r"^0+(?=\d)", "")
     left, right = F.split_part(text, F.lit("."), F.lit(1)), F.split_part(text, F.lit("."), F.lit(2))
     left = F.when(F.length(left) % 2 == 1, F.concat(F.lit("0"), left)).otherwise(left)
     places = F.sequence(F.lit(1), F.greatest(F.floor(F.length(left) / 2), F.lit(1)).cast("int"))
