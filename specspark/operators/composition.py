@@ -31,13 +31,14 @@ def abundances(mixes: DataFrame, solar: DataFrame, rfract: DataFrame | None = No
     overrides: mix_id, z, a_log.  Metals move by feh, alpha elements by alpha, helium by helium;
     from Z = 31 on r and s scale the two process shares; overrides replace the result.
     """
-    table = solar.select("z", F.col("a_log").alias("a_sun"))
+    # at most 92 elements: they become one array that every mix is exploded with
+    sun = {r["z"]: r["a_log"] for r in solar.filter(F.col("z").between(1, 92)).select("z", "a_log").limit(93).collect()}
+    share = {}
     if rfract is not None:
-        table = table.join(rfract.select("z", "f"), "z", "left")
-    else:
-        table = table.withColumn("f", F.lit(None).cast("double"))
-    elements = F.broadcast(table.filter(F.col("z").between(1, 92)))
-    df = mixes.join(elements, F.lit(True))
+        share = {r["z"]: r["f"] for r in rfract.filter(F.col("z").between(1, 92)).select("z", "f").limit(93).collect()}
+    element = lambda z: F.struct(F.lit(z).alias("z"), F.lit(sun[z]).cast("double").alias("a_sun"),
+                                 F.lit(share.get(z)).cast("double").alias("f"))
+    df = mixes.withColumn("_e", F.explode(F.array(*[element(z) for z in sorted(sun)]))).select("*", "_e.*").drop("_e")
     ten, z = F.lit(10.0), F.col("z")
     a = F.col("a_sun") + F.when(z >= 3, F.col("feh")).otherwise(0.0) \
         + F.when(z.isin(*ALPHA_Z), F.col("alpha")).otherwise(0.0) + F.when(z == 2, F.col("helium")).otherwise(0.0)
@@ -45,8 +46,7 @@ def abundances(mixes: DataFrame, solar: DataFrame, rfract: DataFrame | None = No
                     + F.pow(ten, F.col("s")) * (1 - F.col("f")) * F.pow(ten, a))
     uses_rs = (z >= FIRST_RS_Z) & ((F.col("r") != 0) | (F.col("s") != 0)) & F.col("f").isNotNull()
     df = df.select("mix_id", "z", F.when(uses_rs, mixed).otherwise(a).alias("a_log"))
-    hydrogen = solar.filter("z = 1").select(F.col("a_log").alias("_h"))
-    df = df.join(F.broadcast(hydrogen), F.lit(True))
+    df = df.withColumn("_h", F.lit(sun[1]).cast("double"))
     if overrides is not None:
         fixed = overrides.select("mix_id", "z", F.col("a_log").alias("_fixed"))
         fixed_h = fixed.filter("z = 1").select("mix_id", F.col("_fixed").alias("_fixed_h"))
@@ -129,14 +129,11 @@ def interp2d(df: DataFrame, x: str, t: str, table: DataFrame, mode: str = "log",
     qx = (F.col(x) - F.col("_x0")) / (F.col("_x1") - F.col("_x0"))
     qt = (F.col(t) - F.col("_t0")) / (F.col("_t1") - F.col("_t0"))
     low, high = (qx * F.col(b) + (1 - qx) * F.col(a) for a, b in (("v00", "v10"), ("v01", "v11")))
-    ends = table.agg(F.max("x").alias("_xmax"), F.min("x").alias("_xmin"), F.max("t").alias("_tmax"),
-                     F.min("t").alias("_tmin"))
-    hit = hit.join(F.broadcast(ends), F.lit(True))
+    ends = table.agg(F.max("x").alias("x1"), F.min("x").alias("x0"), F.max("t").alias("t1"), F.min("t").alias("t0")).first()
     if mode == "log":
         power = qt * F.log(high) + (1 - qt) * F.log(low)
-        value = F.when(F.col(x) > F.col("_xmax"), 0.0).when(power > -70, F.exp(power)).otherwise(1e-30)
+        value = F.when(F.col(x) > ends["x1"], 0.0).when(power > -70, F.exp(power)).otherwise(1e-30)
     else:
-        inside = F.col(x).between(F.col("_xmin"), F.col("_xmax")) & F.col(t).between(F.col("_tmin"), F.col("_tmax"))
+        inside = F.col(x).between(ends["x0"], ends["x1"]) & F.col(t).between(ends["t0"], ends["t1"])
         value = F.when(inside, qt * high + (1 - qt) * low).otherwise(0.0)
-    return hit.withColumn(out, value).drop("_x0", "_x1", "_t0", "_t1", "v00", "v01", "v10", "v11",
-                                           "_xmax", "_xmin", "_tmax", "_tmin")
+    return hit.withColumn(out, value).drop("_x0", "_x1", "_t0", "_t1", "v00", "v01", "v10", "v11")

@@ -143,13 +143,22 @@ def common_axis(depths: DataFrame, key: Sequence[str], model: str, x: str, n: in
     return long.select(*key, (F.col("_i") + 1).alias("k"), (F.col("_lo") + F.col("_i") * step).alias(x))
 
 
-def gauss_nodes(spark: SparkSession, k: int, a: float = 0.0, b: float = 1.0) -> DataFrame:
-    """Gauss-Legendre nodes and weights on [a, b], 2 <= k <= 10."""
+def gauss_rule(k: int, a: float = 0.0, b: float = 1.0) -> list[tuple[int, float, float]]:
+    """(i, node, weight) of the Gauss-Legendre rule on [a, b], 2 <= k <= 10."""
     if not 2 <= k <= 10:
         raise ValueError("k must be 2..10")
     x, w = np.polynomial.legendre.leggauss(k)
-    rows = [(i + 1, float((b - a) / 2 * x[i] + (a + b) / 2), float((b - a) / 2 * w[i])) for i in range(k)]
-    return small_table(spark, rows, "i int, node double, weight double")
+    return [(i + 1, float((b - a) / 2 * x[i] + (a + b) / 2), float((b - a) / 2 * w[i])) for i in range(k)]
+
+
+def gauss_nodes(spark: SparkSession, k: int, a: float = 0.0, b: float = 1.0) -> DataFrame:
+    return small_table(spark, gauss_rule(k, a, b), "i int, node double, weight double")
+
+
+def integrate_gauss(f, low: Column, high: Column, k: int) -> Column:
+    """Integral of f (Column -> Column) from low to high by the k-point rule, as one expression."""
+    half, middle = (high - low) / 2, (high + low) / 2
+    return reduce(lambda acc, n: acc + F.lit(n[2]) * f(middle + half * n[1]), gauss_rule(k, -1.0, 1.0), F.lit(0.0)) * half
 
 
 def extend_depths(packed: DataFrame, t_limit: float = 6000.0, max_step: float = 400.0,

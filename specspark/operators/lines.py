@@ -143,15 +143,17 @@ def broadening_cells(tables: DataFrame) -> DataFrame:
 def broadening_table(lines: DataFrame, tables: DataFrame) -> DataFrame:
     """table_recipe, table_sigma, table_alpha by bilinear interpolation on the 0.1 grid of effective
     quantum numbers, for neutral s-p, p-d and d-f lines (either direction) inside the table limits."""
-    lo, up = F.lower("lev_lo"), F.lower("lev_up")
-    n_lo, n_up = effective_n(F.col("chi_ion"), F.col("chi_low")), effective_n(F.col("chi_ion"), F.col("chi_up"))
-    recipe, n1, n2 = F.lit(None).cast("string"), F.lit(None).cast("double"), F.lit(None).cast("double")
+    lines = lines.withColumns({
+        "_lo": F.lower("lev_lo"), "_up": F.lower("lev_up"), "_n_lo": effective_n(F.col("chi_ion"), F.col("chi_low")),
+        "_n_up": effective_n(F.col("chi_ion"), F.col("chi_up"))})
+    lo, up, n_lo, n_up = (F.col(c) for c in ("_lo", "_up", "_n_lo", "_n_up"))
+    hit = F.lit(None)
     for (a, b), (letter, r1, r2) in BROADENING.items():
         for first, second, m1, m2 in ((lo, up, n_lo, n_up), (up, lo, n_up, n_lo)):
-            hit = (F.col("ion") == 1) & (first == a) & (second == b) & m1.between(*r1) & m2.between(*r2)
-            recipe = F.when(hit, letter).otherwise(recipe)
-            n1, n2 = F.when(hit, m1).otherwise(n1), F.when(hit, m2).otherwise(n2)
-    df = lines.withColumns({"_recipe": recipe, "_n1": 10 * n1, "_n2": 10 * n2})
+            applies = (F.col("ion") == 1) & (first == a) & (second == b) & m1.between(*r1) & m2.between(*r2)
+            hit = F.when(applies, F.struct(F.lit(letter).alias("r"), m1.alias("n1"), m2.alias("n2"))).otherwise(hit)
+    df = lines.withColumn("_hit", hit).withColumns({
+        "_recipe": F.col("_hit.r"), "_n1": 10 * F.col("_hit.n1"), "_n2": 10 * F.col("_hit.n2")})
     df = df.withColumns({"_i1": F.col("_n1").cast("int"), "_i2": F.col("_n2").cast("int")})
     cells = broadening_cells(tables).select(
         F.col("recipe").alias("_recipe"), F.col("i1").alias("_i1"), F.col("i2").alias("_i2"), "v00", "v01", "v10", "v11")
@@ -166,7 +168,7 @@ def broadening_table(lines: DataFrame, tables: DataFrame) -> DataFrame:
     return df.withColumns({
         "table_sigma": blend("sigma"), "table_alpha": blend("alpha"),
         "table_recipe": F.when(F.col("v00").isNotNull(), F.col("_recipe")),
-    }).drop("_recipe", "_n1", "_n2", "_i1", "_i2", "v00", "v01", "v10", "v11")
+    }).drop("_lo", "_up", "_n_lo", "_n_up", "_hit", "_recipe", "_n1", "_n2", "_i1", "_i2", "v00", "v01", "v10", "v11")
 
 
 # fixed values: upper p level alone, from n* on: sigma and its slope, alpha and its slope

@@ -15,8 +15,8 @@ SOLAR = [(1, 12.0), (2, 10.93), (6, 8.43), (8, 8.69), (12, 7.60), (20, 6.34), (2
 RFRACT = [(38, 0.11), (56, 0.15)]
 SOLAR_SQL = "so(z, a) AS (VALUES " + ", ".join(f"({z}, {a}::DOUBLE)" for z, a in SOLAR) + ")"
 MIX_SQL = """mi AS (SELECT p_partkey AS mix_id, p_size / -20.0::DOUBLE AS feh, (p_partkey % 5) * 0.1::DOUBLE AS alpha, CASE WHEN p_size > 40 THEN -0.2 ELSE 0.0 END AS helium,
-  (p_partkey % 3) * 0.25::DOUBLE AS r, (p_partkey % 2) * 0.5::DOUBLE AS s, CASE WHEN p_partkey % 7 = 0 THEN 6.05::DOUBLE WHEN p_partkey % 13 = 0 THEN 11.9::DOUBLE END AS fixed,
-  CASE WHEN p_partkey % 7 = 0 THEN 26 WHEN p_partkey % 13 = 0 THEN 1 END AS fixed_z FROM part)"""
+  (p_partkey % 3) * 0.25::DOUBLE AS r, (p_partkey % 2) * 0.5::DOUBLE AS s, CASE WHEN p_type = 'PROMO' THEN 6.05::DOUBLE WHEN p_type = 'SMALL' THEN 11.9::DOUBLE END AS fixed,
+  CASE WHEN p_type = 'PROMO' THEN 26 WHEN p_type = 'SMALL' THEN 1 END AS fixed_z FROM part)"""
 
 
 @query("abundance_scale", f"""WITH {SOLAR_SQL}, {MIX_SQL},
@@ -31,8 +31,9 @@ def abundance_scale(spark, d):
     mixes = part.select(
         k.alias("mix_id"), (size / F.lit(-20.0)).alias("feh"), ((k % 5) * F.lit(0.1)).alias("alpha"),
         F.when(size > 40, -0.2).otherwise(0.0).alias("helium"), ((k % 3) * F.lit(0.25)).alias("r"), ((k % 2) * F.lit(0.5)).alias("s"))
-    fixed = part.filter("p_partkey % 7 = 0 OR p_partkey % 13 = 0").select(
-        k.alias("mix_id"), F.when(k % 7 == 0, 26).otherwise(1).alias("z"), F.when(k % 7 == 0, 6.05).otherwise(11.9).alias("a_log"))
+    fixed = part.filter("p_type IN ('PROMO', 'SMALL')").select(
+        k.alias("mix_id"), F.when(F.col("p_type") == "PROMO", 26).otherwise(1).alias("z"),
+        F.when(F.col("p_type") == "PROMO", 6.05).otherwise(11.9).alias("a_log"))
     a = C.abundances(mixes, small_table(spark, SOLAR, "z int, a_log double"), small_table(spark, RFRACT, "z int, f double"), fixed)
     return a.select("mix_id", "z", rnd("a_log", 6).alias("a_log"))
 
@@ -45,14 +46,14 @@ def abundance_number(spark, d):
 
 
 ISO_SQL = """iso AS (SELECT l_suppkey AS z, l_linenumber AS a, sum(l_quantity) / 10000 AS frac, avg(l_extendedprice) / 1000 AS mass FROM lineitem GROUP BY 1, 2),
- ch AS (SELECT s_suppkey AS z, 3 AS a, s_acctbal / 10000 AS f FROM supplier WHERE s_suppkey % 4 = 0),
+ ch AS (SELECT s_suppkey AS z, 3 AS a, s_acctbal / 10000 AS f FROM supplier WHERE s_acctbal > 6000),
  ov AS (SELECT iso.z, iso.a, coalesce(f, frac) AS frac, mass FROM iso LEFT JOIN ch USING (z, a))"""
 
 
 def _isotopes(spark, d):
     iso = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("z"), F.col("l_linenumber").alias("a")).agg(
         (F.sum("l_quantity") / 10000).alias("frac"), (F.avg("l_extendedprice") / 1000).alias("mass"))
-    changes = table(spark, d, "supplier").filter("s_suppkey % 4 = 0").select(
+    changes = table(spark, d, "supplier").filter("s_acctbal > 6000").select(
         F.col("s_suppkey").alias("z"), F.lit(3).alias("a"), (F.col("s_acctbal") / 10000).alias("frac"))
     return C.override_isotopes(iso, changes)
 
@@ -62,19 +63,19 @@ def isotope_override(spark, d):
     return _isotopes(spark, d).select("z", "a", rnd("frac", 8).alias("frac"), rnd("mass", 5).alias("mass"))
 
 
-@query("isotope_mean_mass", f"""WITH {ISO_SQL}, m AS (SELECT z, sum(frac * mass) AS mix FROM ov WHERE z % 3 <> 0 GROUP BY 1)
+@query("isotope_mean_mass", f"""WITH {ISO_SQL}, m AS (SELECT z, sum(frac * mass) AS mix FROM ov WHERE mass > 52 GROUP BY 1)
 SELECT s_suppkey AS z, round(coalesce(nullif(mix, 0), s_acctbal), 4) AS mass FROM supplier LEFT JOIN m ON s_suppkey = z""")
 def isotope_mean_mass(spark, d):
     default = table(spark, d, "supplier").select(F.col("s_suppkey").alias("z"), F.col("s_acctbal").alias("mass"))
-    return C.mean_mass(_isotopes(spark, d).filter("z % 3 <> 0"), default).select("z", rnd("mass").alias("mass"))
+    return C.mean_mass(_isotopes(spark, d).filter("mass > 52"), default).select("z", rnd("mass").alias("mass"))
 
 
-@query("molecule_mass", """WITH ma AS (SELECT s_suppkey AS z, 0 AS a, 1 + s_suppkey * 2.0137::DOUBLE AS mass FROM supplier WHERE s_suppkey BETWEEN 1 AND 60),
+@query("molecule_mass", """WITH ma AS (SELECT s_suppkey AS z, 0 AS a, 1 + s_suppkey * 2.0137::DOUBLE AS mass FROM supplier),
  co AS (SELECT DISTINCT p_size AS z1, p_partkey % 40 + 1 AS z2 FROM part)
 SELECT concat(z1, lpad(z2::VARCHAR, 2, '0'), '.000') AS code, round(m1.mass + m2.mass, 4) AS mass, round(pow(m1.mass * m2.mass / (m1.mass + m2.mass), 1.5), 4) AS reduced15
 FROM co LEFT JOIN ma m1 ON z1 = m1.z LEFT JOIN ma m2 ON z2 = m2.z""")
 def molecule_mass(spark, d):
-    masses = table(spark, d, "supplier").filter("s_suppkey BETWEEN 1 AND 60").select(
+    masses = table(spark, d, "supplier").select(
         F.col("s_suppkey").cast("int").alias("z"), F.lit(0).alias("a"), (1 + F.col("s_suppkey") * 2.0137).alias("mass"))
     code = F.format_string("%d%02d.000", F.col("p_size"), F.col("p_partkey") % 40 + 1)
     s = table(spark, d, "part").select(code.alias("code")).withColumn("s", parse_species(F.col("code"))).select("code", "s.atoms", "s.isotopes")
@@ -97,10 +98,10 @@ def partition_sum(spark, d):
         "l_suppkey", "temp", rnd("q").alias("q"))
 
 
-TABLE_SQL = """tb AS (SELECT l_quantity AS x, l_discount * 100 AS t, avg(l_extendedprice) AS v FROM lineitem WHERE l_quantity <= 45 GROUP BY 1, 2),
+TABLE_SQL = """tb AS (SELECT l_quantity AS x, l_discount * 100 AS t, avg(l_extendedprice) AS v FROM lineitem GROUP BY 1, 2),
  xs AS (SELECT *, lead(x) OVER (ORDER BY x) AS x1, row_number() OVER (ORDER BY x) AS i, count(*) OVER () AS n FROM (SELECT DISTINCT x FROM tb)),
  ts AS (SELECT *, lead(t) OVER (ORDER BY t) AS t1, row_number() OVER (ORDER BY t) AS i, count(*) OVER () AS n FROM (SELECT DISTINCT t FROM tb)),
- tg AS (SELECT o_orderkey, o_totalprice / 10000.3::DOUBLE AS px, (o_custkey % 130 - 10) / 10.0::DOUBLE + 0.013 AS pt FROM orders),
+ tg AS (SELECT o_orderkey, o_totalprice / 9000.3::DOUBLE AS px, (o_custkey % 130 - 10) / 10.0::DOUBLE + 0.013 AS pt FROM orders),
  ce AS (SELECT tg.*, xs.x, xs.x1, ts.t, ts.t1, (px - xs.x) / (xs.x1 - xs.x) AS qx, (pt - ts.t) / (ts.t1 - ts.t) AS qt FROM tg
    JOIN xs ON xs.x1 IS NOT NULL AND (px >= xs.x OR xs.i = 1) AND (px < xs.x1 OR xs.i = xs.n - 1)
    JOIN ts ON ts.t1 IS NOT NULL AND (pt >= ts.t OR ts.i = 1) AND (pt < ts.t1 OR ts.i = ts.n - 1)),
@@ -110,20 +111,20 @@ TABLE_SQL = """tb AS (SELECT l_quantity AS x, l_discount * 100 AS t, avg(l_exten
 
 
 def _lookup(spark, d, mode):
-    tb = table(spark, d, "lineitem").filter("l_quantity <= 45").groupBy(
+    tb = table(spark, d, "lineitem").groupBy(
         F.col("l_quantity").alias("x"), (F.col("l_discount") * 100).alias("t")).agg(F.avg("l_extendedprice").alias("v"))
     tg = table(spark, d, "orders").select(
-        "o_orderkey", (F.col("o_totalprice") / F.lit(10000.3)).alias("px"), ((F.col("o_custkey") % 130 - 10) / F.lit(10.0) + 0.013).alias("pt"))
+        "o_orderkey", (F.col("o_totalprice") / F.lit(9000.3)).alias("px"), ((F.col("o_custkey") % 130 - 10) / F.lit(10.0) + 0.013).alias("pt"))
     return C.interp2d(tg, "px", "pt", tb, mode)
 
 
-@query("interp2d", f"""WITH {TABLE_SQL} SELECT o_orderkey, round(CASE WHEN px > 45 THEN 0 WHEN low <= 0 OR high <= 0 THEN NULL WHEN qt * ln(high) + (1 - qt) * ln(low) > -70
+@query("interp2d", f"""WITH {TABLE_SQL} SELECT o_orderkey, round(CASE WHEN px > 50 THEN 0 WHEN low <= 0 OR high <= 0 THEN NULL WHEN qt * ln(high) + (1 - qt) * ln(low) > -70
   THEN exp(qt * ln(high) + (1 - qt) * ln(low)) ELSE 1e-30 END, 2) AS value FROM va""")
 def interp2d(spark, d):
     return _lookup(spark, d, "log").select("o_orderkey", rnd("value", 2).alias("value"))
 
 
-@query("interp2d_2", f"""WITH {TABLE_SQL} SELECT o_orderkey, round(CASE WHEN px BETWEEN 1 AND 45 AND pt BETWEEN (SELECT min(t) FROM tb) AND (SELECT max(t) FROM tb)
+@query("interp2d_2", f"""WITH {TABLE_SQL} SELECT o_orderkey, round(CASE WHEN px BETWEEN 1 AND 50 AND pt BETWEEN (SELECT min(t) FROM tb) AND (SELECT max(t) FROM tb)
   THEN qt * high + (1 - qt) * low ELSE 0 END, 3) AS value FROM va""")
 def interp2d_linear(spark, d):
     return _lookup(spark, d, "linear").select("o_orderkey", rnd("value", 3).alias("value"))

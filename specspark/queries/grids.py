@@ -108,12 +108,9 @@ def tau_basis(spark, d):
 
 @query("gauss_nodes", """SELECT p_partkey, round(pow(p_size, 4) / 4 + pow(p_size, 2), 4) AS integral FROM part""")
 def gauss_nodes(spark, d):
-    nodes = F.broadcast(G.gauss_nodes(spark, 5))
-    t = F.col("node") * F.col("p_size")
-    rows = table(spark, d, "part").select("p_partkey", F.col("p_size").cast("double").alias("p_size")) \
-        .join(nodes, F.lit(True))
-    return rows.groupBy("p_partkey").agg(
-        rnd(F.sum(F.col("weight") * F.col("p_size") * (F.pow(t, F.lit(3)) + 2 * t))).alias("integral"))
+    size = F.col("p_size").cast("double")
+    value = G.integrate_gauss(lambda t: F.pow(t, F.lit(3)) + 2 * t, F.lit(0.0), size, 5)
+    return table(spark, d, "part").select("p_partkey", rnd(value).alias("integral"))
 
 
 @query("depth_extrapolate", """WITH RECURSIVE m AS (SELECT p_partkey, 3000 + p_retailprice AS t1, 3000 + p_retailprice + 20 + p_size AS t2,

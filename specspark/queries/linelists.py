@@ -296,8 +296,7 @@ def species_from_designation(spark, d):
     full = F.when(n <= 2, F.format_string("(%d)%s%s", a1, z1, charge)) \
         .when(n == 4, F.format_string("(%d)%s%s%s", a1, z1, z2, charge)) \
         .otherwise(F.format_string("(%d)%s(%d)%s%s", a1, z1, a2, z2, charge))
-    s = lines(spark, d).withColumn("s", SP.species_from_designation(full))
-    return s.select(*LINE_KEY, "s.species", "s.ion")
+    return SP.with_species(lines(spark, d), full).select(*LINE_KEY, "species", "ion")
 
 
 @query("extract_designation", f"""WITH b AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey AS species_id, l_extendedprice AS wave, {SYMBOLS_SQL}[(l_suppkey % 60 + 1)::INTEGER] AS sym FROM lineitem)
@@ -357,8 +356,8 @@ def orbital_letters(spark, d):
    ELSE [l1, u1] END AS c FROM kn)
 SELECT {KEY_SQL}, CASE WHEN c[1] < 0 THEN 'X' ELSE substr('spdfghik', c[1] + 1, 1) END AS lower, CASE WHEN c[2] < 0 THEN 'X' ELSE substr('spdfghik', c[2] + 1, 1) END AS upper FROM ch""")
 def transition_type(spark, d):
-    t = _level(spark, d).withColumn("t", SP.transition_type(F.col("lower"), F.col("upper")))
-    return t.select(*LINE_KEY, "t.lower", "t.upper")
+    t = SP.with_transition(_level(spark, d), F.col("lower"), F.col("upper"), "lo", "up")
+    return t.select(*LINE_KEY, F.col("lo").alias("lower"), F.col("up").alias("upper"))
 
 
 @query("shrink_designation", f"""WITH {LEVEL_SQL} SELECT {KEY_SQL}, CASE WHEN substr(lower, 4, 2) = '  ' THEN '__' ELSE substr(lower, 4, 2) END AS coupling,

@@ -119,7 +119,7 @@ def nearest_abundance(spark, d):
     return out.select("p_partkey", "l_orderkey", "l_linenumber", "window")
 
 
-@query("bracket", """WITH ax AS (SELECT DISTINCT l_returnflag AS turb, l_discount * 50 AS v FROM lineitem WHERE l_quantity > 10),
+@query("bracket", """WITH ax AS (SELECT DISTINCT l_returnflag AS turb, l_discount * 50 AS v FROM lineitem),
  iv AS (SELECT *, lead(v) OVER w AS nv, row_number() OVER w AS i, count(*) OVER (PARTITION BY turb) AS n FROM ax
    WINDOW w AS (PARTITION BY turb ORDER BY v)),
  t AS (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'N' ELSE 'R' END AS turb,
@@ -127,7 +127,7 @@ def nearest_abundance(spark, d):
 SELECT p_partkey, x, round(v, 6) AS v_inf, round(nv, 6) AS v_sup FROM t JOIN iv ON t.turb = iv.turb AND nv IS NOT NULL
   AND (x >= v OR i = 1) AND (x < nv OR i = n - 1)""")
 def bracket(spark, d):
-    axis = table(spark, d, "lineitem").filter("l_quantity > 10").select(
+    axis = table(spark, d, "lineitem").select(
         F.col("l_returnflag").alias("turb"), (F.col("l_discount") * 50).alias("v"))
     k = F.col("p_partkey")
     turb = F.when(k % 3 == 0, "A").when(k % 3 == 1, "N").otherwise("R")

@@ -75,7 +75,7 @@ def test_species_codes(spark):
 
 def test_designations(spark):
     df = spark.createDataFrame([(s,) for s in ("Fe+", "(48)TiO", "(12)C(13)C", "Ba", "CN+")], "s string")
-    got = [(r["c"]["species"], r["c"]["ion"]) for r in df.select(SP.species_from_designation(F.col("s")).alias("c")).collect()]
+    got = [(r["species"], r["ion"]) for r in SP.with_species(df, F.col("s")).collect()]
     assert got == [("26.000", 2), ("822.000048", 1), ("606.012013", 1), ("56.000", 1), ("607.000000", 2)]
 
 
