@@ -32,8 +32,8 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when df has at most max_rows rows; reads no more than that plus one."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when df has at most max_rows rows, by a count (partial counts per task, nothing is moved)."""
+    return df.count() <= max_rows
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -145,6 +145,23 @@ def neighbours(lay: Layout, cols: Iterable[str], before: bool = True, after: boo
     return lay.map(df.withColumns(new).drop("_b", "_a", "_pl", "_nf"))
 
 
+def following(lay: Layout, col: str, n: int, out: str) -> Layout:
+    """Array of col on the next n rows of the series (shorter at its end), in one pass."""
+    w = lay.window()
+    leads = [F.struct(F.lead(F.lit(1), i).over(w).alias("there"), F.lead(col, i).over(w).alias("v")) for i in range(1, n + 1)]
+    inside = F.transform(F.filter(F.array(*leads), lambda s: s["there"].isNotNull()), lambda s: s["v"])
+    if not lay.split:
+        return lay.with_columns({out: inside})
+    # the first n rows of every chunk; short chunks are continued by the ones after them
+    first = lay.df.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n)
+    heads = first.groupBy(*lay.part).agg(F.array_sort(F.collect_list(F.struct("_r", col))).alias("_h"))
+    cw = lay.chunk_window()
+    later = F.slice(F.flatten(F.array_compact(F.array(*[F.lead("_h", i).over(cw) for i in range(1, n + 1)]))), 1, n)
+    heads = heads.select(*lay.part, F.transform(later, lambda s: s[col]).alias("_later"))
+    df = lay.df.withColumn("_inside", inside).join(heads, lay.part, "left")
+    return lay.map(df.withColumn(out, F.slice(F.concat("_inside", "_later"), 1, n)).drop("_inside", "_later"))
+
+
 def running_sum(lay: Layout, value: Column, out: str, include_current: bool = True) -> Layout:
     """Sum of value from the start of the series to this row (or to the row before)."""
     df = lay.df.withColumn("_v", value)

@@ -157,13 +157,13 @@ def read_manifest(spark, d):
     return LL.parse_manifest(raw, "/base/").select(F.col("block").alias("p_partkey"), "path")
 
 
-@query("read_vald3", """SELECT concat('v', l_suppkey % 3) AS file, l_orderkey, l_linenumber, concat('''Fe 1'',  ', printf('%10.4f', l_extendedprice), ', ', l_partkey) AS data, concat('''  LS lo', l_partkey, '''') AS lower,
+@query("read_vald3", """SELECT concat('v', l_suppkey % 31) AS file, l_orderkey, l_linenumber, concat('''Fe 1'',  ', printf('%10.4f', l_extendedprice), ', ', l_partkey) AS data, concat('''  LS lo', l_partkey, '''') AS lower,
   concat('''  LS up', l_suppkey, '''') AS upper, '''_  1 wl:K14 Fe''' AS refs FROM lineitem""")
 def read_vald3(spark, d):
     four = F.array(F.lit("* a comment row"), F.concat(F.lit("'Fe 1',  "), F.format_string("%10.4f", "l_extendedprice"), F.format_string(", %d", "l_partkey")),
                    F.format_string("'  LS lo%d'", "l_partkey"), F.format_string("'  LS up%d'", "l_suppkey"), F.lit("'_  1 wl:K14 Fe'"))
     raw = table(spark, d, "lineitem").select(
-        F.format_string("v%d", F.col("l_suppkey") % 3).alias("file"), F.col("l_orderkey").alias("block"), "l_linenumber", "l_partkey", "l_suppkey",
+        F.format_string("v%d", F.col("l_suppkey") % 31).alias("file"), F.col("l_orderkey").alias("block"), "l_linenumber", "l_partkey", "l_suppkey",
         "l_extendedprice", F.posexplode(four).alias("i", "value"))
     raw = raw.select("file", "block", F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "i").alias("pos"), "value",
                      F.col("block").alias("l_orderkey"), "l_linenumber")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from specspark.operators import series as S
-from specspark.operators.layout import arrange
+from specspark.operators.layout import arrange, following
 from specspark.queries.common import series
 
 KEY = ["user_id"]
@@ -32,7 +32,13 @@ def _unkeyed(df, n):
     return S.interp_linear(targets, "xt", table, "x", "y", (), rows_per_chunk=n).drop("user_id")
 
 
+def _following(df, n):
+    lay = following(arrange(df.select("user_id", "x", "event_id"), KEY, ["x"], n), "event_id", 3, "after")
+    return lay.done().withColumn("after", F.array_join("after", ","))
+
+
 CASES = {
+    "following": _following,
     "steps": lambda df, n: S.steps(df, KEY, "x", n),
     "log_diff": lambda df, n: S.log_diff(df, KEY, "x", "y", rows_per_chunk=n),
     "gradient": lambda df, n: S.gradient(df, KEY, "x", "y", rows_per_chunk=n),
@@ -88,3 +94,10 @@ def test_formal_intensity_of_a_linear_source(spark):
     df = spark.createDataFrame(rows, "k int, tau double, s double")
     got = S.formal_intensity(df, ["k"], "tau", "s").first()["intensity"]
     assert got == pytest.approx(5.0, rel=0.01)
+
+
+def test_following_over_short_chunks(spark):
+    df = spark.createDataFrame([(1, float(i), i) for i in range(200)], "user_id int, x double, event_id int")
+    lay = following(arrange(df, KEY, ["x"], 2), "event_id", 3, "after")
+    assert lay.split
+    assert all(r["after"] == list(range(r["event_id"] + 1, min(r["event_id"] + 4, 200))) for r in lay.df.collect())
