@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from specspark.functions.physics import partition_poly
 from specspark.operators.layout import Layout, arrange, fits, maybe_broadcast, neighbours
 from specspark.operators.ranges import bracket
 from specspark.operators.series import SMALL_TABLE_ROWS
@@ -101,6 +102,18 @@ def partition_sum(levels: DataFrame, key: Sequence[str], energy: str, g: str, te
     return wide.select(*key, F.inline(pairs))
 
 
+def partition_functions(coefs: DataFrame, temps: Sequence[float], levels: DataFrame | None = None) -> DataFrame:
+    """(z, stage, temp, q): the polynomial of each ion (coef array), or the level sum of the ions that
+    ``levels`` (z, stage, e, g) lists.  The polynomials fail for some heavy ions."""
+    long = coefs.select("z", "stage", "coef", F.explode(F.array(*[F.lit(float(t)) for t in temps])).alias("temp"))
+    q = partition_poly(F.col("coef"), F.col("temp"))
+    if levels is None:
+        return long.select("z", "stage", "temp", q.alias("q"))
+    sums = partition_sum(levels, ["z", "stage"], "e", "g", temps).withColumnRenamed("q", "_sum")
+    return long.join(maybe_broadcast(sums), ["z", "stage", "temp"], "left").select(
+        "z", "stage", "temp", F.coalesce(F.col("_sum"), q).alias("q"))
+
+
 def table_cells(table: DataFrame) -> DataFrame:
     """A table (x, t, v) as cells between neighbouring axis values: x0 x1 t0 t1 v00 v01 v10 v11 (x, t)."""
     def lay(df: DataFrame, key: str, order: str) -> Layout:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-EPOCH_US = 1704067200000000  # 2024-01-01, start of the events table
+START = "2024-01-01 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +17,9 @@ def rnd(c: Column | str, n: int = 4) -> Column:
 
 
 def series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events as one series per user: x in days, y the value."""
-    days = (F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(EPOCH_US)) / F.lit(8.64e10)
+    """events as one series per user: x in days from the start of the table, y the value."""
+    # a difference of two local times: the session time zone does not matter
+    days = F.timestamp_diff("MICROSECOND", F.lit(START).cast("timestamp_ntz"), F.col("ts")) / F.lit(8.64e10)
     return table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", days.alias("x"),
                                                  F.col("value").alias("y"))
 

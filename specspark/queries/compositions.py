@@ -128,3 +128,18 @@ def interp2d(spark, d):
   THEN qt * high + (1 - qt) * low ELSE 0 END, 3) AS value FROM va""")
 def interp2d_linear(spark, d):
     return _lookup(spark, d, "linear").select("o_orderkey", rnd("value", 3).alias("value"))
+
+
+@query("partition_functions", f"""WITH io AS (SELECT DISTINCT l_suppkey AS z, l_linenumber AS stage FROM lineitem),
+ lv AS (SELECT l_suppkey AS z, l_linenumber AS stage, l_extendedprice AS e, l_quantity AS g FROM lineitem WHERE l_linenumber IN (2, 3)),
+ t AS (SELECT unnest({TEMPS}::DOUBLE[]) AS temp),
+ sm AS (SELECT z, stage, temp, sum(g * exp(-1.43877 * e / temp)) AS q FROM lv, t GROUP BY 1, 2, 3)
+SELECT io.z, io.stage, t.temp, round(coalesce(sm.q, exp(0.6::DOUBLE + 0.02 * io.stage + 0.12 * ln(t.temp) + 0.001 * pow(ln(t.temp), 2))), 4) AS q
+FROM io CROSS JOIN t LEFT JOIN sm ON sm.z = io.z AND sm.stage = io.stage AND sm.temp = t.temp""")
+def partition_functions(spark, d):
+    li = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("z"), F.col("l_linenumber").alias("stage"),
+                                            F.col("l_extendedprice").alias("e"), F.col("l_quantity").alias("g"))
+    coefs = li.select("z", "stage").distinct().withColumn("coef", F.array(
+        F.lit(0.6) + F.lit(0.02) * F.col("stage"), F.lit(0.12), F.lit(0.001)))
+    q = C.partition_functions(coefs, TEMPS, li.filter("stage IN (2, 3)"))
+    return q.select("z", "stage", "temp", rnd("q").alias("q"))
