@@ -227,7 +227,7 @@ def _cells(models: DataFrame, turb: str, position: Sequence[str], tol: float) ->
         values = models.select(turb, axis).distinct()
         near = F.abs(F.col(f"l.{axis}") - F.col(f"r.{axis}")) < tol
         pairs = tolerance_join(cat, values, [turb], {axis: tol}, near)
-        cat = pairs.select("l.*", F.col(f"r.{axis}").alias(f"c_{axis}")).drop("_bucket")
+        cat = pairs.select(*[F.col(f"l.{c}") for c in cat.columns], F.col(f"r.{axis}").alias(f"c_{axis}"))
     return cat.groupBy(turb, F.col("teff").alias("c_teff"), "c_logg", "c_feh").agg(
         F.min_by("path", "_pos").alias("path"))
 

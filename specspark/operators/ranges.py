@@ -63,20 +63,29 @@ def assign_segment(lines: DataFrame, wave: str, segments: DataFrame, seg_id: str
 
 def tolerance_join(left: DataFrame, right: DataFrame, equal: Sequence[str], near: dict[str, float],
                    residual: Column | None = None, how: str = "inner") -> DataFrame:
-    """Rows with equal keys and |l.c - r.c| <= tol for every near column.  The first near column is
-    bucketed at its tolerance and the smaller, right side is copied to the three buckets it can meet."""
-    first, tol = next(iter(near.items()))
-    bucket = lambda c: F.floor(F.col(c) / F.lit(tol))
-    spread = right.withColumn("_bucket", F.explode(F.array(*[bucket(first) + k for k in (-1, 0, 1)])))
-    a, b = left.withColumn("_bucket", bucket(first)).alias("l"), maybe_broadcast(spread).alias("r")
-    on = F.col("l._bucket") == F.col("r._bucket")
+    """Rows with equal keys and |l.c - r.c| <= tol for every near column.  The first two near columns are
+    bucketed at their tolerance and the smaller, right side is copied to the buckets it can meet, so only
+    rows that nearly match are ever compared."""
+    cells = [(f"_bucket{i}", c, t) for i, (c, t) in enumerate(list(near.items())[:2])]
+    a, b = left, right
+    for name, c, t in cells:
+        bucket = F.floor(F.col(c) / F.lit(t))
+        a = a.withColumn(name, bucket)
+        b = b.withColumn(name, F.explode(F.array(*[bucket + k for k in (-1, 0, 1)])))
+    a, b = a.alias("l"), maybe_broadcast(b).alias("r")
+    on = F.lit(True)
+    for name, _, _ in cells:
+        on = on & (F.col(f"l.{name}") == F.col(f"r.{name}"))
     for c in equal:
         on = on & (F.col(f"l.{c}") == F.col(f"r.{c}"))
     for c, t in near.items():
         on = on & (F.abs(F.col(f"l.{c}") - F.col(f"r.{c}")) <= t)
     if residual is not None:
         on = on & residual
-    return a.join(b, on, how).drop(F.col("l._bucket")).drop(F.col("r._bucket"))
+    joined = a.join(b, on, how)
+    for name, _, _ in cells:
+        joined = joined.drop(F.col(f"l.{name}")).drop(F.col(f"r.{name}"))
+    return joined
 
 
 def match_special(lines: DataFrame, line_key: Sequence[str], special: DataFrame, equal: Sequence[str],
@@ -85,10 +94,12 @@ def match_special(lines: DataFrame, line_key: Sequence[str], special: DataFrame,
                   energy_tol: float = 0.02) -> DataFrame:
     """First special row (lowest seq) of the same species with |dwave| <= wave_tol and
     |denergy| < energy_tol; its payload is null where nothing matches."""
-    table = special.select(*equal, wave, F.col(energy).alias("_e"), F.struct(seq, *payload).alias("_special"))
-    pairs = tolerance_join(lines, table, equal, {wave: wave_tol},
-                           F.abs(F.col(f"l.{energy}") - F.col("r._e")) < energy_tol, "left")
-    pairs = pairs.select("l.*", "_special").drop("_bucket")
+    # of special rows at one place only the first can win
+    place = [*equal, wave, energy]
+    table = special.groupBy(*place).agg(F.min_by(F.struct(seq, *payload), F.col(seq)).alias("_special"))
+    pairs = tolerance_join(lines, table, equal, {wave: wave_tol, energy: energy_tol},
+                           F.abs(F.col(f"l.{energy}") - F.col(f"r.{energy}")) < energy_tol, "left")
+    pairs = pairs.select(*[F.col(f"l.{c}") for c in lines.columns], "_special")
     rest = [c for c in lines.columns if c not in line_key]
     best = pairs.groupBy(*line_key).agg(
         F.first(F.struct(*rest)).alias("_row") if rest else F.lit(None).alias("_row"),
@@ -102,8 +113,8 @@ def match_catalog(models: DataFrame, catalog: DataFrame, equal: Sequence[str] =
     catalogue columns come back as cat_<c>."""
     near = near or {"teff": 1.0, "logg": 0.01, "feh": 0.01}
     pairs = tolerance_join(models, catalog, equal, near)
-    return pairs.select("l.*", *[F.col(f"r.{c}").alias(f"cat_{c}") for c in catalog.columns if c not in equal]) \
-        .drop("_bucket", "cat__bucket")
+    return pairs.select(*[F.col(f"l.{c}") for c in models.columns],
+                        *[F.col(f"r.{c}").alias(f"cat_{c}") for c in catalog.columns if c not in equal])
 
 
 def nearest_in_bins(matches: DataFrame, model: str, abundance: str, ref: str, position: Sequence[str],
