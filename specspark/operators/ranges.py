@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from specspark.operators.layout import Layout, arrange, first_match, fits, maybe_broadcast, neighbours
+from specspark.operators.layout import Layout, arrange, first_match, fits, maybe_broadcast, neighbours, row_numbers
 from specspark.operators.series import SMALL_TABLE_ROWS, _intervals, attach_interval
 
 BLOCK = 65536
@@ -21,39 +21,51 @@ def explode_count(df: DataFrame, n: Column, out: str, block: int = BLOCK) -> Dat
     return df.withColumn(out, F.explode(F.sequence(start, stop))).drop("_n", "_b")
 
 
-def range_join(points: DataFrame, p: str, spans: DataFrame, lo: str, hi: str,
-               key: Sequence[str] = (), how: str = "inner") -> DataFrame:
-    """Points in [lo, hi] of each span: both sides are bucketed by the mean span length, so the
-    spans grow to about twice their number and no pair outside a bucket is formed."""
-    mean = spans.agg(F.avg(F.col(hi) - F.col(lo))).first()[0]
-    width = mean if mean and mean > 0 else 1.0
-    bucket = lambda c: F.floor(F.col(c) / F.lit(width))
-    wide = spans.withColumn("_first", bucket(lo))
-    wide = explode_count(wide, bucket(hi) - F.col("_first") + 1, "_j")
-    wide = wide.withColumn("_bucket", F.col("_first") + F.col("_j")).drop("_first", "_j")
-    left, right = points.withColumn("_bucket", bucket(p)).alias("l"), maybe_broadcast(wide).alias("r")
-    on = (F.col("l._bucket") == F.col("r._bucket")) & F.col(f"l.{p}").between(F.col(f"r.{lo}"), F.col(f"r.{hi}"))
-    for k in key:
-        on = on & (F.col(f"l.{k}") == F.col(f"r.{k}"))
-    joined = left.join(right, on, how)
-    return joined.drop(F.col("l._bucket")).drop(F.col("r._bucket"))
+def _cover(segments: DataFrame, cuts: DataFrame, seg_id: str, n_cuts: int) -> DataFrame:
+    """(i, at, after): lowest seg_id over cut i, and over the open interval behind it.
+
+    segments: seg_id and the cut numbers a..b it spans.  A span is written as a few dyadic blocks
+    (level, number), a cut lies in one block per level, and the two meet on (level, number): however many
+    segments overlap, no segment is paired with the cuts it covers.
+    """
+    levels = F.sequence(F.lit(0), F.lit(n_cuts.bit_length() + 1))
+    start = F.struct(F.col("lo").alias("l"), F.col("hi").alias("r"), F.array().cast("array<struct<level:int,node:bigint>>").alias("out"))
+    block = lambda level, node: F.array(F.struct(level.alias("level"), node.alias("node")))
+    none = F.array().cast("array<struct<level:int,node:bigint>>")
+
+    def rise(s: Column, level: Column) -> Column:
+        alive = s["l"] < s["r"]
+        left, right = alive & (s["l"] % 2 == 1), alive & (s["r"] % 2 == 1)
+        out = F.concat(s["out"], F.when(left, block(level, s["l"])).otherwise(none),
+                       F.when(right, block(level, s["r"] - 1)).otherwise(none))
+        return F.struct(F.floor((s["l"] + left.cast("bigint")) / 2).alias("l"), F.floor(s["r"] / 2).alias("r"), out.alias("out"))
+
+    kinds = F.array(F.struct(F.lit("at").alias("kind"), (F.col("b") + 1).alias("hi")), F.struct(F.lit("after").alias("kind"), F.col("b").alias("hi")))
+    spans = segments.withColumn("_k", F.explode(kinds)).select(seg_id, F.col("a").alias("lo"), "_k.kind", "_k.hi")
+    blocks = spans.withColumn("_n", F.explode(F.aggregate(levels, start, rise, lambda s: s["out"])))
+    best = blocks.groupBy("kind", F.col("_n.level").alias("level"), F.col("_n.node").alias("node")).agg(F.min(seg_id).alias("seg"))
+    above = F.transform(levels, lambda level: F.struct(
+        level.alias("level"), F.floor(F.col("i") / F.pow(F.lit(2.0), level)).alias("node")))
+    met = cuts.select("i", F.inline(above)).join(best, ["level", "node"])
+    return met.groupBy("i").agg(F.min(F.when(F.col("kind") == "at", F.col("seg"))).alias("at"),
+                                F.min(F.when(F.col("kind") == "after", F.col("seg"))).alias("after"))
 
 
 def assign_segment(lines: DataFrame, wave: str, segments: DataFrame, seg_id: str = "seg_id",
                    lo: str = "wmin", hi: str = "wmax") -> DataFrame:
     """seg_id of the first (lowest id) segment holding each line, null outside all of them.
 
-    The segment ends cut the axis into pieces that each have one answer, so a line meets at most one
-    row and no aggregation over lines is needed.
+    The segment ends cut the axis into points and open intervals that each have one answer, so a line meets
+    at most one row and no aggregation over lines is needed.
     """
     ends = segments.select(F.explode(F.array(lo, hi)).alias("cut")).distinct()
-    small = fits(ends, SMALL_TABLE_ROWS)
+    n_cuts = ends.count()
+    small = n_cuts <= SMALL_TABLE_ROWS
     lay = Layout(ends, (), ("cut",), False) if small else arrange(ends, (), ["cut"])
-    cuts = neighbours(lay, ["cut"]).done()
-    cover = range_join(cuts.select("cut", "next_cut"), "cut", segments.select(seg_id, lo, hi), lo, hi)
-    after = F.when((F.col(hi) > F.col("cut")) & F.col("next_cut").isNotNull(), F.col(seg_id))
-    cover = cover.groupBy(F.col("cut").alias("_cut")).agg(F.min(seg_id).alias("at"), F.min(after).alias("after"))
-    table = cuts.join(cover, F.col("cut") == F.col("_cut"), "left").drop("_cut").withColumns(
+    cuts = row_numbers(neighbours(lay, ["cut"]), "i").done()
+    number = lambda c, n: cuts.select(F.col("cut").alias(c), F.col("i").alias(n))
+    spans = segments.select(seg_id, lo, hi).join(number(lo, "a"), lo).join(number(hi, "b"), hi)
+    table = cuts.join(_cover(spans, cuts, seg_id, n_cuts), "i", "left").withColumns(
         {"_hi": F.col("next_cut"), "_lowest": F.col("prev_cut").isNull()})
     hit = attach_interval(lines, wave, table, "cut", (), ["cut", "at", "after"], small=small)
     w = F.col(wave)
@@ -166,5 +178,5 @@ def diff_series(a: DataFrame, b: DataFrame, key: Sequence[str], x: str, y: str,
 
 __all__ = [
     "assign_segment", "bracket", "check_grids", "diff_series", "explode_count", "first_match", "match_catalog",
-    "match_special", "nearest_in_bins", "range_join", "tolerance_join",
+    "match_special", "nearest_in_bins", "tolerance_join",
 ]

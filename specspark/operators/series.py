@@ -180,10 +180,8 @@ def attach_interval(targets: DataFrame, x_t: str, intervals: DataFrame, x: str,
 def _bucketed(intervals: DataFrame, x: str, payload: Sequence[str]):
     """(intervals copied to the equal-width buckets they touch, bucket expression), or None when there are too
     many intervals for a broadcast or too many of them in one bucket."""
-    if not fits(intervals, MAX_BROADCAST_ROWS // 2):
-        return None
     ends = intervals.agg(F.min(x).alias("a"), F.max(F.coalesce("_hi", x)).alias("b"), F.count(F.lit(1)).alias("n")).first()
-    if not ends["n"] or not ends["b"] > ends["a"]:
+    if not 0 < ends["n"] <= MAX_BROADCAST_ROWS // 2 or not ends["b"] > ends["a"]:
         return None
     width = float((ends["b"] - ends["a"]) / ends["n"])
 
