@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from specspark.operators.layout import Layout, arrange, first_match, fits, maybe_broadcast, neighbours, row_numbers
+from specspark.operators.layout import Layout, arrange, fits, maybe_broadcast, neighbours, row_numbers
 from specspark.operators.series import SMALL_TABLE_ROWS, _intervals, attach_interval
 
 BLOCK = 65536
@@ -175,8 +175,3 @@ def diff_series(a: DataFrame, b: DataFrame, key: Sequence[str], x: str, y: str,
     return left.join(right, [*key, "_k"]).drop("_k").withColumns(
         {"diff": F.col("a") - F.col("b"), "ratio": F.try_divide(F.col("a"), F.col("b"))})
 
-
-__all__ = [
-    "assign_segment", "bracket", "check_grids", "diff_series", "explode_count", "first_match", "match_catalog",
-    "match_special", "nearest_in_bins", "tolerance_join",
-]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from specspark.functions import physics as P
 from specspark.operators import opacity as O
-from specspark.queries.common import LINE_KEY, lines, rnd, table
+from specspark.queries.common import LINE_KEY, rnd, table
 from specspark.registry import query
 
 KEY_SQL = "l_orderkey, l_linenumber, l_partkey, species_id, wave"

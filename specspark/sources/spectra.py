@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specspark.operators.layout import ROWS_PER_CHUNK, arrange, maybe_broadcast, row_numbers
-from specspark.sources.text import base_name, numbers, read_rows, save_rows, tokens
+from specspark.operators.layout import ROWS_PER_CHUNK, arrange, maybe_broadcast, row_numbers, running_sum
+from specspark.sources.text import base_name, read_rows, save_rows
 
 
 def spectrum_rows(raw: DataFrame) -> DataFrame:
@@ -84,7 +84,7 @@ def write_spectra(spectrum: DataFrame, path: str, intensity: DataFrame | None =
 def render_rows_of_n(spectrum: DataFrame, key: Sequence[str], wave: str, flux: str, n: int = 10,
                      rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """(key, pos, value): a header row (first wavelength, last, step), then 1 - flux, n numbers per row."""
-    lay = row_numbers(arrange(df := spectrum, key, [wave], rows_per_chunk), "_rn")
+    lay = row_numbers(arrange(spectrum, key, [wave], rows_per_chunk), "_rn")
     cell = F.struct("_rn", F.format_string("%7.4f", 1 - F.col(flux)).alias("t"))
     body = lay.df.groupBy(*lay.key, F.floor((F.col("_rn") - 1) / n).alias("pos")).agg(
         F.array_sort(F.collect_list(cell)).alias("_c"))
@@ -100,13 +100,8 @@ def unpack_series(df: DataFrame, key: Sequence[str], order: Sequence[str], value
                   rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Blocks of values on one regular axis: x = start + step*pixel, the pixel count running over the
     blocks of a key in order."""
-    from specspark.operators.layout import running_sum
-
     lay = running_sum(arrange(df, key, order, rows_per_chunk), F.size(values), "_before", include_current=False)
     rows = lay.df.select(*key, "_before", start.alias("_s"), step.alias("_d"), F.posexplode(values).alias("_i", "y"))
     pixel = F.col("_before") + F.col("_i")
     return rows.select(*key, pixel.alias("pixel"), (F.col("_s") + F.col("_d") * pixel).alias("x"), "y")
 
-
-__all__ = ["load_all_spectra", "numbers", "parse_spectra", "read_spectra", "render_rows_of_n", "render_spectra",
-           "tokens", "unpack_series", "write_spectra"]
