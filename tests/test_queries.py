@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 import compare
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from specspark.registry import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
