@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specspark.llm import chat_format, entropy_mix, fit_packing, histogram_shards
+from specspark.llm import chat_format, entropy_mix, fit_packing, histogram_shards, quality_gam
 from specspark.llm.registry import query, table
 
 
@@ -48,3 +48,8 @@ def op7_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_fit_packing")
 def op8_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fit_packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op2_quality_gam")
+def op2_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_gam.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
