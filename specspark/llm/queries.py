@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specspark.llm import chat_format, entropy_mix, fit_packing, histogram_shards, quality_gam
+from specspark.llm import chat_format, circulant_minhash, entropy_mix, fit_packing, histogram_shards, quality_gam
 from specspark.llm.registry import query, table
 
 
@@ -53,3 +53,19 @@ def op8_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_quality_gam")
 def op2_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gam.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op1_circulant_minhash", oracle=r"""WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE
+  list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS sh FROM w),
+d AS (SELECT DISTINCT doc_id, hash(sh) AS sh FROM s),
+n AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM d a JOIN d b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 80 * (a.n + b.n - k)),
+r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.c AS component_id, doc_id = c.c AS kept
+FROM documents LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS c FROM r GROUP BY x) c USING (doc_id)""")
+def op1_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return circulant_minhash.groups(table(spark, sf_dir, "documents"), width=4)
