@@ -6,8 +6,10 @@ permuted(scattered - k). Two permutations in all, not K. BANDS bands of ROWS coo
 misses all of them with probability (1 - 0.8^5)^32 = 3e-6.
 
 Equal sets become one class before anything is paired. In a bucket the classes are not paired with each other: leaders are compared
-with all members, and a bucket is done when all its members are connected. In round t each of 4^t parts of a bucket names a leader,
-so every pair of a bucket is either compared or already connected at the end, and a bucket of copies ends after one round. A bucket
+with all members, and a bucket is done when all its members are connected. In each round the parts of a bucket, four times as many as before, name a
+leader each; later only among the members outside the bucket's largest component, and only members of other
+components are compared with it. So every pair of a bucket is either compared or already connected at the end, and a bucket of
+copies ends after one round. A bucket
 that still holds more than CROWD classes then is one of texts that share a passage without being alike; its classes are dealt
 anew, without loss, by their rarest shingles: sets at similarity t have one in common among the n - ceil(t n) + 1 that are rarest
 in each; and shingles that only one of them has bound what it can share. Compared pairs are confirmed on the full sets with 100 * intersection >= percent * union. Components spread the least
@@ -20,6 +22,7 @@ is not kept by `groups`. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -206,42 +209,46 @@ def class_labels(classes: DataFrame, signed: DataFrame, docs: DataFrame, width:
     shared = cut(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("bucket"))
     live = cut(members.join(shared, "bucket").select("node", "n", F.col("n").alias("most"), "bucket"))
     sets = class_sets(signed, live.select("node").distinct(), docs, width, key, text)
-    labels, parts, row = None, 1, ["node", "n", "most", "bucket"]
+    labels, row = None, ["node", "n", "most", "bucket", "c", "minor"]
+    live = live.select("*", F.col("node").alias("c"), F.lit(True).alias("minor"))
 
     def component(members: DataFrame) -> DataFrame:
         if labels is None:
             return cut(members.withColumn("c", F.col("node")))
-        return cut(members.join(labels, "node", "left").select(*row, F.coalesce("label", "node").alias("c")))
+        return cut(members.drop("c").join(labels, "node", "left").withColumn("c", F.coalesce("label", "node")))
 
     def mixed(members: DataFrame) -> DataFrame:
-        """The buckets whose members are not all connected."""
-        sides = members.groupBy("bucket").agg(F.min("c").alias("a"), F.max("c").alias("z"), F.count(F.lit(1)).alias("m"))
-        return cut(sides.where("a != z").select("bucket", "m"))
-
-    while not live.isEmpty():
+        """The buckets whose members are not all connected: their size and the component that most are of."""
+        sides = members.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("m")).groupBy("bucket").agg(
+            F.max(F.struct("m", "c")).alias("major"), F.sum("m").alias("size"))
+        return cut(sides.where("size > major.m").select("bucket", "size", F.col("major.c").alias("major")))
+
+    for turn in itertools.count():
+        if live.isEmpty():
+            return labels
+        parts = 4 ** max(turn - 1, 0)
         part = F.pmod(F.xxhash64("node"), F.lit(parts)).alias("part")
-        leaders = cut(live.groupBy("bucket", part).agg(F.min(F.struct("node", "n", "most")).alias("lead")).select(
-            "bucket", F.col("lead.node").alias("lead"), F.col("lead.n").alias("lead_n"), F.col("lead.most").alias("lead_most")))
+        own = (F.col("n") - F.col("most")).alias("own")  # an original has few shingles that none of its copies has
+        leaders = cut(live.where("minor").groupBy("bucket", part).agg(F.min(F.struct(own, "node", "n", "most", "c")).alias("x")).select(
+            "bucket", F.col("x.node").alias("lead"), F.col("x.n").alias("lead_n"), F.col("x.most").alias("lead_most"),
+            F.col("x.c").alias("lead_c")))
         both = F.least("most", "lead_most", "n", "lead_n")  # no larger intersection is possible
         met = live.join(leaders, "bucket").where(
-            (F.col("node") != F.col("lead")) & (100 * both >= percent * (F.col("n") + F.col("lead_n") - both)))
+            (F.col("c") != F.col("lead_c")) & (100 * both >= percent * (F.col("n") + F.col("lead_n") - both)))
         pairs = met.select(F.least("node", "lead").alias("u"), F.greatest("node", "lead").alias("v")).distinct()
-        if labels is not None:
-            pairs = _between(pairs, labels).where("lu != lv").select("u", "v")
         edges = cut(confirmed(cut(pairs), sets, percent))
         if not edges.isEmpty():
             labels = spread_labels(edges, labels)
-        rest = component(live.join(leaders.select("bucket", F.col("lead").alias("node")), ["bucket", "node"], "left_anti"))
+        rest = component(live.drop("minor").join(leaders.select("bucket", F.col("lead").alias("node")), ["bucket", "node"], "left_anti"))
         open_ = mixed(rest)
-        if parts == 1:  # crowds are dealt anew
-            crowded = rest.join(open_.where(F.col("m") > CROWD), "bucket").select("node").distinct()
+        minor = (F.col("c") != F.col("major")).alias("minor")
+        if turn == 0:  # crowds are dealt anew
+            crowded = rest.join(open_.where(F.col("size") > CROWD), "bucket").select("node").distinct()
             fresh = component(rare_buckets(cut(sets.join(crowded, "node")), percent))
-            small = rest.join(open_.where(F.col("m") <= CROWD), "bucket").select(*row)
-            live = cut(small.unionByName(fresh.join(mixed(fresh), "bucket").select(*row)))
+            small = rest.join(open_.where(F.col("size") <= CROWD), "bucket").withColumn("minor", minor).select(*row)
+            live = cut(small.unionByName(fresh.join(mixed(fresh), "bucket").withColumn("minor", minor).select(*row)))
         else:
-            live = cut(rest.join(open_, "bucket").select(*row))
-        parts *= 4
-    return labels
+            live = cut(rest.join(open_, "bucket").withColumn("minor", minor).select(*row))
 
 
 def _linked(docs: DataFrame, width: int, percent: int, key: str, text: str) -> tuple[DataFrame, DataFrame]:
