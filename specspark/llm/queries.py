@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specspark.llm import chat_format, circulant_minhash, entropy_mix, fit_packing, histogram_shards, quality_gam
+from specspark.llm import (chat_format, circulant_minhash, entropy_mix, fit_packing, histogram_shards, order_minhash,
+                           quality_gam, sliced_topk)
 from specspark.llm.registry import query, table
 
 
@@ -69,3 +70,18 @@ SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.c AS component_id, doc_
 FROM documents LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS c FROM r GROUP BY x) c USING (doc_id)""")
 def op1_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return circulant_minhash.groups(table(spark, sf_dir, "documents"), width=4)
+
+
+@query("op10_sliced_topk", oracle="""WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 10""")
+def op10_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sliced_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+@query("op6_order_minhash")
+def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.compare(table(spark, sf_dir, "documents"))
