@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specspark.llm import (chat_format, circulant_minhash, entropy_mix, fit_packing, histogram_shards, order_minhash,
-                           quality_gam, sliced_topk)
+                           quality_gam, sliced_topk, suffix_dedup)
 from specspark.llm.registry import query, table
 
 
@@ -85,3 +85,9 @@ def op10_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_order_minhash")
 def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.compare(table(spark, sf_dir, "documents"))
+
+
+@query("op9_suffix_dedup")
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return rest.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
