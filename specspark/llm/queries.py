@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specspark.llm import (chat_format, circulant_minhash, entropy_mix, fit_packing, histogram_shards, order_minhash,
-                           quality_gam, sliced_topk, suffix_dedup)
+from specspark.llm import (chat_format, circulant_minhash, entropy_mix, fit_packing, histogram_shards, license_scan,
+                           order_minhash, quality_gam, sliced_topk, suffix_dedup)
 from specspark.llm.registry import query, table
 
 
@@ -91,3 +91,12 @@ def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return rest.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op5_license_scan")
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files <source>/<lang>/<digits of the id but the last two, a directory each>/<id>."""
+    number = F.col("doc_id").cast("string")
+    digits = F.expr("transform(sequence(1, greatest(length(cast(doc_id AS string)) - 2, 1)), i -> substring(cast(doc_id AS string), i, 1))")
+    path = F.concat_ws("/", "source", "lang", F.when(F.length(number) > 2, digits).otherwise(F.array().cast("array<string>")), number)
+    return license_scan.licensed(table(spark, sf_dir, "documents"), path)
