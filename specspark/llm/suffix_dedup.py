@@ -3,7 +3,8 @@
 Every string of LENGTH bytes holds an anchor that depends on the string alone: its rightmost least hash of GRAM bytes. Documents
 name their anchors, with LENGTH - GRAM bytes of context on both sides as the anchor's segment; strings that are equal lie in
 segments of equal anchors. Segments of equal content are one class before anything is sorted; a class seen twice is repeated
-whole. The classes that share an anchor with another class go to a shard by that anchor, and each shard
+whole. A segment's strings fall into PARTS ranges by the place of the anchor in them, and all strings of a range hold its core; only
+the ranges whose core another class has too are looked at further. They go to a shard by their anchor, and each shard
 
   1. classifies its suffixes, sorts the leftmost-smaller (LMS) substrings by induction, names them, and orders the shorter
      string of names by doubling their ranks (only as far as LENGTH),
@@ -11,9 +12,10 @@ whole. The classes that share an anchor with another class go to a shard by that
   3. computes the permuted common prefixes: lengths where the preceding bytes differ, the others by counting down,
   4. marks the suffixes that agree with a neighbour of another origin over LENGTH bytes.
 
-The passes run over whole buckets at a time in numpy, so their cost is a few array operations a byte. Anchors with more than CROWD
-classes (a passage in very many documents) would not fit a shard: their strings are counted by hash instead, pre-aggregated and
-dealt by string, which is the exact way for the rest. Marked runs return to all members of a class and are united per document.
+The passes run over whole buckets at a time in numpy, so their cost is a few array operations a byte. An anchor with a core
+in more than CROWD classes (a passage in very many documents) would not fit a shard. The exact way for those: their strings fall into finer ranges of
+FINE places, equal ranges become one class again, and only ranges that are not whole, with a core in common, are counted string
+by string, pre-aggregated and dealt by string. Marked runs return to all members of a class and are united per document.
 
 Nulls and ties: null texts are empty. Null ids are documents of their own like others, and so are repeated rows, so a repeated
 row of LENGTH bytes or more goes wholly. Shorter texts stay. An empty table gives an empty result.
@@ -33,7 +35,8 @@ from pyspark.sql import functions as F
 from specspark.llm.shared import cut
 
 LENGTH, GRAM = 400, 32
-CROWD = 512
+PARTS, FINE = 4, 23
+CROWD = 1024
 SHARD_BYTES = 1 << 20
 _M = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -77,9 +80,21 @@ def anchors(h: np.ndarray, wide: int) -> np.ndarray:
     return np.flatnonzero(equal)
 
 
-def segments(text: bytes) -> dict[tuple[int, int], list[int]]:
-    """(anchor, hash of the segment) -> the anchor's positions."""
-    found: dict[tuple[int, int], list[int]] = {}
+#: The ranges of an anchor's place in a string: EDGES[j] up to EDGES[j + 1] - 1.
+EDGES = [(LENGTH - GRAM + 1) * j // PARTS for j in range(PARTS + 1)]
+
+
+def _core(text: bytes, p: int, near: int, far: int, size: int) -> int | None:
+    """Hash of what all strings share that hold the anchor p at places near .. far, None if none of them is in the text."""
+    if max(near, p + LENGTH - size) > min(far, p):
+        return None
+    x = xxhash.xxh3_64_intdigest(text[p - near:p - far + LENGTH])
+    return (x & 0xFFFFFFFF) - (1 << 31)
+
+
+def segments(text: bytes) -> dict[tuple[int, int], list]:
+    """(anchor, hash of the segment) -> the anchor's positions, and the hashes of the cores of its ranges."""
+    found: dict[tuple[int, int], list] = {}
     if len(text) < LENGTH:
         return found
     h = gram_hashes(np.frombuffer(text, np.uint8))
@@ -87,7 +102,10 @@ def segments(text: bytes) -> dict[tuple[int, int], list[int]]:
     for p in anchors(h, reach + 1).tolist():
         lo = max(0, p - reach)
         own = (int(h[p]), xxhash.xxh3_64_intdigest(text[lo:p + LENGTH], seed=p - lo))
-        found.setdefault(own, []).append(p)
+        if own in found:
+            found[own][0].append(p)
+        else:
+            found[own] = [[p], [_core(text, p, EDGES[j], EDGES[j + 1] - 1, len(text)) for j in range(PARTS)]]
     return found
 
 
@@ -275,113 +293,151 @@ RUNS = "array<struct<a:int,b:int>>"
 
 
 def _found_anchors(docs: DataFrame) -> DataFrame:
-    """One row for each (document, anchor, segment): doc, anchor, segment, places, size of the segment."""
+    """One row for each (document, anchor, segment): doc, anchor, segment, places, size of the segment, cores."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                raw = text.encode("utf-8", "surrogatepass")
-                for (anchor, segment), places in segments(raw).items():
-                    size = min(len(raw), places[0] + LENGTH) - max(0, places[0] - LENGTH + GRAM)
-                    rows.append((doc, _signed(anchor), _signed(segment), places, size))
-            if rows:
-                cols = list(zip(*rows))
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()),
-                                                  pa.array(cols[3], pa.list_(pa.int32())), pa.array(cols[4], pa.int32())],
-                                                 ["doc", "anchor", "segment", "places", "size"])
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                b = batch.slice(at, 1000)
+                rows = []
+                for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    raw = text.encode("utf-8", "surrogatepass")
+                    for (anchor, segment), (places, cores) in segments(raw).items():
+                        size = min(len(raw), places[0] + LENGTH) - max(0, places[0] - LENGTH + GRAM)
+                        rows.append((doc, _signed(anchor), _signed(segment), places, size, cores))
+                if rows:
+                    c = list(zip(*rows))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.int64()), pa.array(c[3], pa.list_(pa.int32())),
+                         pa.array(c[4], pa.int32()), pa.array(c[5], pa.list_(pa.int32()))], ["doc", "anchor", "segment", "places", "size", "cores"])
+
+    return docs.select("doc", "text").mapInArrow(
+        run, "doc long, anchor long, segment long, places array<int>, size int, cores array<int>")
 
-    return docs.select("doc", "text").mapInArrow(run, "doc long, anchor long, segment long, places array<int>, size int")
+
+def _shared_ranges(classes: DataFrame) -> DataFrame:
+    """classes with part_lo, part_hi (the ranges whose core another class has too) and crowd; the others are left out."""
+    kinds = cut(classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("anchor"))
+    mixed = cut(classes.join(kinds, "anchor"))
+    each = mixed.select("anchor", "segment", F.posexplode("cores").alias("part", "core")).where("core is not null")
+    common = cut(each.groupBy("anchor", "part", "core").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    active = each.join(common, ["anchor", "part", "core"]).groupBy("anchor", "segment").agg(
+        F.min("part").alias("part_lo"), F.max("part").alias("part_hi"))
+    # all classes of an anchor go the same way, as any two of them may share a string
+    crowds = common.groupBy("anchor").agg((F.max("n") > CROWD).alias("crowd"))
+    return mixed.join(active, ["anchor", "segment"]).join(cut(crowds), "anchor")
 
 
 def _class_bytes(classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """classes (anchor, segment, rep, place, ...) with the bytes of their segment and lo, the number of its first byte: bytes of the
-    corpus are numbered from the document's hash, and all that counts is whether two numbers are equal."""
-    wanted = classes.groupBy(F.col("rep").alias("doc")).agg(F.collect_list(F.struct("anchor", "segment", "place", "many", "crowd")).alias("wanted"))
+    """classes with the bytes of their ranges, rel (their first byte, from the anchor) and lo, its number: bytes of the corpus are
+    numbered from the document's hash, and all that counts is whether two numbers are equal."""
+    wanted = classes.groupBy(F.col("rep").alias("doc")).agg(
+        F.collect_list(F.struct("anchor", "segment", "place", "many", "crowd", "part_lo", "part_hi")).alias("wanted"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["anchor", "segment", "place", "many", "crowd", "lo", "bytes"]
+        names = ["anchor", "segment", "many", "crowd", "rel", "lo", "bytes"]
         for b in batches:
             for i in range(b.num_rows):
                 raw = b.column(0)[i].as_py().encode("utf-8", "surrogatepass")
                 rows = b.column(1)[i].as_py()
-                lows = [max(0, r["place"] - LENGTH + GRAM) for r in rows]
-                cols = [[r[n] for r in rows] for n in names[:5]]
+                place = np.array([r["place"] for r in rows], np.int64)
+                lows = np.maximum(place - [EDGES[r["part_hi"] + 1] - 1 for r in rows], 0)
+                ends = place - [EDGES[r["part_lo"]] for r in rows] + LENGTH
+                kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.bool_())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.bool_()),
-                     pa.array(cols[4], pa.bool_()), pa.array(b.column(2)[i].as_py() + np.array(lows, np.int64), pa.int64()),
-                     pa.array([raw[x:r["place"] + LENGTH] for x, r in zip(lows, rows)], pa.binary())], names)
+                    [*(pa.array([r[n] for r in rows], k) for n, k in zip(names, kinds)), pa.array(lows - place, pa.int32()),
+                     pa.array(b.column(2)[i].as_py() + lows, pa.int64()), pa.array([raw[x:y] for x, y in zip(lows, ends)], pa.binary())], names)
 
     once = docs.groupBy("doc").agg(F.first("text").alias("text"))  # of repeated rows one
     return once.join(wanted, "doc").select("text", "wanted", "doc").mapInArrow(
-        run, "anchor long, segment long, place int, many boolean, crowd boolean, lo long, bytes binary")
+        run, "anchor long, segment long, many boolean, crowd boolean, rel int, lo long, bytes binary")
 
 
 def _sorted_runs(pieces: DataFrame, total: int) -> DataFrame:
-    """anchor, segment, runs: repeated runs of the classes, from the suffix arrays of shards."""
+    """anchor, segment, runs (from the anchor): repeated runs of the classes, from the suffix arrays of shards."""
     shards = max(1, -(-total // SHARD_BYTES))
 
     def build(b: pd.DataFrame) -> pd.DataFrame:
         starts = repeated_starts(b["bytes"].tolist(), b["lo"].to_numpy(), b["many"].to_numpy())
-        runs = [[{"a": x, "b": y} for x, y in _runs(s)] for s in starts]
+        runs = [[{"a": x + r, "b": y + r} for x, y in _runs(s)] for s, r in zip(starts, b["rel"].tolist())]
         return pd.DataFrame({"anchor": b["anchor"], "segment": b["segment"], "runs": runs})[[bool(r) for r in runs]]
 
     return pieces.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInPandas(
         build, f"anchor long, segment long, runs {RUNS}")
 
 
+def _fine(raw: bytes, rel: int) -> Iterator[tuple[int, int, int, int, int | None]]:
+    """The fine ranges of a piece: number, least and greatest place of the anchor in its strings, hash of all of it, hash of the core."""
+    near, far = -(rel + len(raw) - LENGTH), -rel
+    for q in range(max(near, 0) // FINE, far // FINE + 1):
+        lo, hi = max(near, q * FINE), min(far, q * FINE + FINE - 1)
+        if lo <= hi:
+            part = xxhash.xxh3_64_intdigest(raw[-rel - hi:-rel - lo + LENGTH], seed=hi)
+            yield q, lo, hi, _signed(part), _core(raw, -rel, q * FINE, q * FINE + FINE - 1, len(raw))
+
+
 def _counted_runs(pieces: DataFrame) -> DataFrame:
-    """The same for classes of crowded anchors: their strings counted by hash, dealt by string."""
+    """The same for the classes of crowded cores: finer ranges, and single strings of those that are not whole."""
 
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):
-                raw, n = b.column(3)[i].as_py(), len(b.column(3)[i].as_py()) - LENGTH + 1
-                if n > 0:
-                    hashes = [xxhash.xxh3_128_digest(raw[j:j + LENGTH]) for j in range(n)]
-                    lo = b.column(2)[i].as_py()
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([b.column(0)[i].as_py()] * n, pa.int64()), pa.array([b.column(1)[i].as_py()] * n, pa.int64()),
-                         pa.array(range(n), pa.int32()), pa.array(range(lo, lo + n), pa.int64()), pa.array([b.column(4)[i].as_py()] * n, pa.bool_()),
-                         pa.array([int.from_bytes(h[:8], "little", signed=True) for h in hashes], pa.int64()),
-                         pa.array([int.from_bytes(h[8:], "little", signed=True) for h in hashes], pa.int64())],
-                        ["anchor", "segment", "j", "origin", "many", "x", "y"])
-
-    each = cut(pieces.select("anchor", "segment", "lo", "bytes", "many").mapInArrow(
-        strings, "anchor long, segment long, j int, origin long, many boolean, x long, y long"))
-    again = cut(each.groupBy("x", "y").agg(F.min("origin").alias("lo"), F.max("origin").alias("hi"), F.max("many").alias("several")).where(
-        "lo <> hi OR several").select("x", "y"))
-    starts = each.join(again, ["x", "y"]).groupBy("anchor", "segment").agg(F.array_sort(F.collect_list("j")).alias("j"))
-
-    def unite(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pd.DataFrame({"anchor": b["anchor"], "segment": b["segment"],
-                                "runs": [[{"a": x, "b": y} for x, y in _runs(np.asarray(j))] for j in b["j"]]})
+            rows = [(a, s, m, *f) for a, s, m, r, raw in zip(*(c.to_pylist() for c in b.columns)) for f in _fine(raw, r)]
+            if rows:
+                kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+                                                 ["anchor", "segment", "many", "q", "near", "far", "part", "core"])
+
+    fine = cut(pieces.select("anchor", "segment", "many", "rel", "bytes").mapInArrow(
+        split, "anchor long, segment long, many boolean, q int, near int, far int, part long, core int"))
+    parts = cut(fine.groupBy("anchor", "q", "part").agg(
+        F.min("segment").alias("segment"), F.first("core").alias("core"), ((F.count(F.lit(1)) > 1) | F.max("many")).alias("several")))
+    common = cut(parts.groupBy("anchor", "q", "core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+    todo = parts.join(common, ["anchor", "q", "core"]).groupBy("anchor", "segment").agg(
+        F.collect_list(F.struct("q", "part", "several")).alias("todo"))
 
-    return starts.mapInPandas(unite, f"anchor long, segment long, runs {RUNS}")
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for anchor, lo, rel, raw, wanted in zip(*(c.to_pylist() for c in b.columns)):
+                own = {q: (near, far) for q, near, far, _, _ in _fine(raw, rel)}
+                rows = [(anchor, w["q"], w["part"], w["several"], o, xxhash.xxh3_128_digest(raw[-rel - o:-rel - o + LENGTH]))
+                        for w in wanted for o in range(own[w["q"]][0], own[w["q"]][1] + 1)]
+                c = list(zip(*rows))
+                both = np.frombuffer(b"".join(c[5]), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c[0], pa.int64()), pa.array(c[1], pa.int32()), pa.array(c[2], pa.int64()), pa.array(c[3], pa.bool_()),
+                     pa.array(c[4], pa.int32()), pa.array(np.int64(lo) - np.int64(rel) - np.array(c[4], np.int64)),
+                     pa.array(both[:, 0]), pa.array(both[:, 1])], ["anchor", "q", "part", "several", "o", "origin", "x", "y"])
+
+    each = cut(pieces.join(todo, ["anchor", "segment"]).select("anchor", "lo", "rel", "bytes", "todo").mapInArrow(
+        strings, "anchor long, q int, part long, several boolean, o int, origin long, x long, y long"))
+    again = cut(each.groupBy("x", "y").agg(F.min("origin").alias("lo"), F.max("origin").alias("hi"), F.max("several").alias("any")).where(
+        "lo <> hi OR any").select("x", "y"))
+    single = each.where("not several").join(again, ["x", "y"]).groupBy("anchor", "q", "part").agg(F.collect_list("o").alias("o"))
+    known = cut(parts.select("anchor", "q", "part", "several").join(single, ["anchor", "q", "part"], "left").where("several OR o is not null"))
+    run = lambda near, far: F.struct((-far).alias("a"), (F.lit(LENGTH) - near).alias("b"))
+    runs = F.when(F.col("several"), F.array(run(F.col("near"), F.col("far")))).otherwise(F.transform("o", lambda o: run(o, o)))
+    return fine.join(known, ["anchor", "q", "part"]).select("anchor", "segment", runs.alias("r")).groupBy("anchor", "segment").agg(
+        F.flatten(F.collect_list("r")).alias("runs"))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """doc, spans (disjoint, rising, of bytes): what repeats in each document that has any. docs: doc (equal for repeated rows only), text."""
+    """doc, spans (rising, of bytes): what repeats in each document that has any. docs: doc (equal for repeated rows only), text."""
     found = cut(_found_anchors(docs))
-    place = F.col("places")[0]
-    classes = found.groupBy("anchor", "segment").agg(
-        F.sum(F.size("places")).alias("times"), F.min(F.struct("doc", place.alias("place"), "size")).alias("first"))
-    classes = cut(classes.select("anchor", "segment", (F.col("times") > 1).alias("many"), F.col("first.doc").alias("rep"),
-                                 F.col("first.place").alias("place"), F.col("first.size").alias("size")))
-    kinds = cut(classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"))
-    mixed = classes.join(kinds, "anchor").withColumn("crowd", F.col("kinds") > CROWD).drop("kinds")
-    pieces = cut(_class_bytes(mixed, docs))
-    total = pieces.where("not crowd").agg(F.sum(F.length("bytes"))).first()[0] or 0
-    lo = F.greatest(F.col("place") - F.lit(LENGTH - GRAM), F.lit(0))
-    runs = _sorted_runs(pieces.where("not crowd"), total)
-    if not pieces.where("crowd").isEmpty():
+    first = F.min(F.struct("doc", F.col("places")[0].alias("place"), "size")).alias("first")
+    classes = cut(found.groupBy("anchor", "segment").agg(F.sum(F.size("places")).alias("times"), first, F.first("cores").alias("cores")).select(
+        "anchor", "segment", (F.col("times") > 1).alias("many"), F.col("first.doc").alias("rep"), F.col("first.place").alias("place"),
+        F.col("first.size").alias("size"), "cores"))
+    pieces = cut(_class_bytes(_shared_ranges(classes), docs))
+    sizes = pieces.groupBy("crowd").agg(F.sum(F.length("bytes")).alias("n")).collect()
+    runs = _sorted_runs(pieces.where("not crowd"), sum(r["n"] for r in sizes if not r["crowd"]))
+    if any(r["crowd"] for r in sizes):
         runs = runs.unionByName(_counted_runs(pieces.where("crowd")))
-    whole = classes.where("many").select("anchor", "segment", F.array(F.struct(F.lit(0).alias("a"), F.col("size").alias("b"))).alias("runs"))
+    lead = -F.least("place", F.lit(LENGTH - GRAM))
+    whole = classes.where("many").select("anchor", "segment", F.array(F.struct(lead.alias("a"), (lead + F.col("size")).alias("b"))).alias("runs"))
     some = runs.join(classes.select("anchor", "segment", "many"), ["anchor", "segment"]).where("not many").select("anchor", "segment", "runs")
     known = cut(whole.unionByName(some))
-    places = found.join(known, ["anchor", "segment"]).select("doc", F.explode("places").alias("place"), "runs")
-    spans = places.select("doc", F.explode(F.transform("runs", lambda r: F.struct((lo + r["a"]).alias("a"), (lo + r["b"]).alias("b")))).alias("span"))
+    places = found.select("doc", "anchor", "segment", "places").join(known, ["anchor", "segment"]).select("doc", F.explode("places").alias("p"), "runs")
+    spans = places.select("doc", F.explode(F.transform("runs", lambda r: F.struct((F.col("p") + r["a"]).alias("a"), (F.col("p") + r["b"]).alias("b")))).alias("span"))
     return spans.groupBy("doc").agg(F.array_sort(F.collect_set("span")).alias("spans"))
 
 
