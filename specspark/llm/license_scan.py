@@ -2,8 +2,8 @@
 
 Each line of a text is a sparse TF-IDF vector over words (lower-case runs of letters and digits, joined by dots and hyphens) and is
 compared by cosine with the templates' vectors. Inverse document frequencies are those of the templates; a word that no template
-has weighs most. A line reaches a template at THRESHOLD or more. Only lines with one of the templates' own words are taken apart:
-the words that STOP lists make up less than THRESHOLD of every template, so no other line can reach it.
+has weighs most. A line reaches a template at THRESHOLD or more. Only lines with a telling word of a template are taken apart: a
+template's other words make up less than THRESHOLD of its vector, so a line with those alone can't reach it.
 
 A text's license is that of its best line. A licence file (a text of few words, whose license is found by itself) covers its
 directory and all below: every directory inherits from its nearest ancestor that holds one, by a join of ancestor paths, and texts
@@ -53,17 +53,28 @@ def template_vectors(templates: dict[str, str]) -> tuple[dict[str, dict[str, flo
     for name, c in counts.items():
         size = math.sqrt(sum((n * weight[w]) ** 2 for w, n in c.items()))
         unit[name] = {w: n * weight[w] / size for w, n in c.items()}
-        if math.sqrt(sum(v * v for w, v in unit[name].items() if w in STOP)) >= THRESHOLD:
-            raise ValueError(f"{name} is made of stop words")
     return unit, weight, math.log(1 + len(counts)) + 1
 
 
+def telling(unit: dict[str, dict[str, float]]) -> set[str]:
+    """Words of which a line must have one to reach any template. By Cauchy and Schwarz a line that shares only the words W with a
+    template has a cosine of at most the length of the template's part in W; common words are left out up to that length."""
+    kept = set()
+    for vector in unit.values():
+        left = THRESHOLD ** 2 * 0.999
+        for word in sorted(vector, key=lambda w: (w not in STOP, len(w), w)):
+            left -= vector[word] ** 2
+            if left <= 0:
+                kept.add(word)
+    return kept
+
+
 def scan(texts: DataFrame, key: str, text: str, templates: dict[str, str] | None = None) -> DataFrame:
     """key, license, similarity, line: the best line of every row that has one. key: unique name of a row."""
     spark = texts.sparkSession
     unit, weight, other = template_vectors(templates or TEMPLATES)
-    own = "|".join(re.escape(w) for w in sorted(weight, key=len, reverse=True) if w not in STOP)
-    lines = texts.select(key, F.posexplode(F.split(F.col(text), "\n")).alias("line", "_words")).where(F.lower("_words").rlike(rf"(?<![a-z0-9])(?:{own})"))
+    own = "|".join(re.escape(w) for w in sorted(telling(unit)))
+    lines = texts.select(key, F.posexplode(F.split(F.col(text), "\n")).alias("line", "_words")).where(F.lower("_words").rlike(rf"(?<![a-z0-9])(?:{own})(?![a-z0-9])"))
     words = lines.select(key, "line", F.explode(F.regexp_extract_all(F.lower("_words"), F.lit(rf"({WORDS})"), F.lit(1))).alias("word"))
     counted = words.groupBy(key, "line", "word").agg(F.count(F.lit(1)).alias("n"))
     # a table of the templates' words, as large as the templates

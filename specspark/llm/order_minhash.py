@@ -88,8 +88,10 @@ def edited(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     """key, text, edited (the last third of its code points replaced by as many first ones of the next document), k and h (its place
     in the order), next_k and next_h (those of the next one)."""
     none = -(1 << 63)
-    whole = docs.select(F.col(key).alias("id"), F.coalesce(text, F.lit("")).alias("text")).withColumn(
-        "k", F.coalesce(F.col("id").cast("long"), F.lit(none))).withColumn("h", F.xxhash64("text"))
+    # no other columns: then the texts move once, for their heads and for themselves
+    whole = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(none)).alias("k"), F.coalesce(text, F.lit("")).alias("text")).withColumn(
+        "h", F.xxhash64("text"))
+    named = F.when(F.col("k") != none, F.col("k")).cast(docs.schema[key].dataType).alias(key)
     keys = cut(whole.select("k", "h", F.char_length("text").cast("long").alias("n")).groupBy("k", "h", "n").agg(
         F.count(F.lit(1)).alias("times")))
     around = neighbours(keys)
@@ -99,13 +101,13 @@ def edited(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     repeated = not keys.where("times > 1").isEmpty()
     if repeated:  # one row of equal ones gives the head, and one of them is followed by another document
         heads = heads.dropDuplicates(["k", "h"])
-        placed = placed.withColumn("nth", F.row_number().over(Window.partitionBy("k", "h").orderBy("id")))
+        placed = placed.withColumn("nth", F.row_number().over(Window.partitionBy("k", "h").orderBy("size")))
     own = (F.col("nth") < F.col("times")) if repeated else F.lit(False)
     third = F.floor(F.col("size") / 3).cast("int")
     front = F.expr("substring(text, 1, cast(size - floor(size / 3) AS int))")
     joined = placed.join(heads, ["k", "h"])
     head = F.when(own, F.substring("text", F.lit(1), third)).otherwise(F.col("head"))
-    return joined.select(F.col("id").alias(key), "text", F.concat(front, head).alias("edited"), "k", "h", F.col("size").alias("n_chars"),
+    return joined.select(named, "text", F.concat(front, head).alias("edited"), "k", "h", F.col("size").alias("n_chars"),
                          F.when(own, F.col("k")).otherwise(F.col("next_k")).alias("next_k"),
                          F.when(own, F.col("h")).otherwise(F.col("next_h")).alias("next_h"))
 
