@@ -125,7 +125,7 @@ def digests(pieces: DataFrame, key: str = "conv_id") -> DataFrame:
     """What can be read back from formatted conversations: key, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars.
     pieces: key, turn, piece, mask. The pieces of a conversation stream by in order; only running digests are held."""
     kind = dict(pieces.dtypes)[key]
-    ordered = pieces.select(F.col(key).alias("_k"), "turn", "piece", "mask").repartition("_k").sortWithinPartitions(
+    ordered = pieces.select(F.col(key).cast("string").alias("_k"), "turn", "piece", "mask").repartition("_k").sortWithinPartitions(
         "_k", "turn", "piece")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -135,7 +135,7 @@ def digests(pieces: DataFrame, key: str = "conv_id") -> DataFrame:
             out.append((state[0], state[1], state[2].hexdigest(), state[3], state[4].hexdigest(), state[5]))
 
         for b in batches:
-            keys = b["_k"].astype(object).where(b["_k"].notna(), None)
+            keys = [None if k is None or k != k else k for k in b["_k"]]
             for k, piece, mask in zip(keys, b["piece"], b["mask"], strict=True):
                 if not held or k != state[0]:
                     if held:
@@ -158,8 +158,8 @@ def digests(pieces: DataFrame, key: str = "conv_id") -> DataFrame:
     names = [key, "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
     def frame(rows: list[tuple]) -> pd.DataFrame:
-        made = pd.DataFrame(rows, columns=names)
-        return made.astype({key: object})
+        return pd.DataFrame(rows, columns=names).astype({key: object})
 
-    return ordered.mapInPandas(run, f"`{key}` {kind}, n_turns long, turns_sha256 string, loss_chars long, "
-                                    "loss_sha256 string, formatted_chars long")
+    read = ordered.mapInPandas(run, f"`{key}` string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
+                                    "formatted_chars long")
+    return read.withColumn(key, F.col(key).cast(kind))

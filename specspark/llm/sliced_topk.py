@@ -28,6 +28,7 @@ from specspark.llm.shared import cut
 
 BLOCK, QUERIES, SLICES = 32768, 256, 7
 LIMIT = 1 << 25
+NONE = (1 << 63) - 1  # stands for a null id
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -122,8 +123,8 @@ def top_of_block(q: np.ndarray, values: np.ndarray, ids: np.ndarray, slices: np.
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), key, score for every row of vectors where is_query holds."""
-    rows = cut(vectors.where(usable(F.col(vector))).select(F.col(key).cast("long").alias("id"), integers(F.col(vector)).alias("v"),
-                                                           F.coalesce(is_query, F.lit(False)).alias("asks")))
+    rows = cut(vectors.where(usable(F.col(vector))).select(F.coalesce(F.col(key).cast("long"), F.lit(NONE)).alias("id"), integers(F.col(vector)).alias("v"),
+                                                           (F.col(key).isNotNull() & F.coalesce(is_query, F.lit(False))).alias("asks")))
     counts = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("asks").cast("long")).alias("q"), F.max(F.size("v")).alias("d")).first()
     blocks, dims = max(1, -(-counts["n"] // BLOCK)), counts["d"] or 0
     parts = max(1, -(-(counts["q"] or 0) // QUERIES))
@@ -135,12 +136,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id"
         return out
 
     def build(b: pd.DataFrame) -> pd.DataFrame:
-        b = b.sort_values("id", na_position="last")
-        ids = b["id"].fillna(np.iinfo(np.int64).max).to_numpy(np.int64)
+        b = b.sort_values("id")
+        ids = b["id"].to_numpy(np.int64)
         values = matrix(b["v"])
         slices, _, shift = slice_block(values)
         return pd.DataFrame({"block": [b["block"].iloc[0]], "n": [len(ids)], "ids": [ids.tobytes()], "vals": [values.astype(np.int32).tobytes()],
-                             "slices": [slices.tobytes()], "shift": [shift], "nulls": [int(b["id"].isna().sum())]})
+                             "slices": [slices.tobytes()], "shift": [shift], "nulls": [int((ids == NONE).sum())]})
 
     index = cut(rows.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int")).select("block", "id", "v").groupBy(
         "block").applyInPandas(build, "block int, n int, ids binary, vals binary, slices binary, shift int, nulls int"))
@@ -174,5 +175,5 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id"
         search, "query_id long, qhash long, vec_id long, score long")
     order = Window.partitionBy("query_id", "qhash").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    missing = F.when(F.col("vec_id") == np.iinfo(np.int64).max, F.lit(None)).otherwise(F.col("vec_id"))
+    missing = F.when(F.col("vec_id") == NONE, F.lit(None)).otherwise(F.col("vec_id"))
     return ranked.select("query_id", "rank", missing.cast("long").alias(key), "score")
