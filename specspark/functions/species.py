@@ -90,13 +90,13 @@ def coupling(designation: Column) -> Column:
 
 def shrink_designation(designation: Column) -> Column:
     """STRUCT<coupling, desig>: text from column 6, left-adjusted, blanks collapsed."""
-    text = F.trim(F.regexp_replace(F.substring(designation, 6, 1000), r" +", " "))
+    text = F.trim(F.regexp_replace(F.substring(designation, 6, 1 << 30), r" +", " "))
     return F.struct(coupling(designation).alias("coupling"), text.alias("desig"))
 
 
 def orbital_letters(designation: Column) -> Column:
     """l of the last and the last but one orbital letter of the configuration, -1 where there is none."""
-    config = F.regexp_extract(F.rtrim(F.substring(designation, 6, 1000)), r"^(.*) +\S+$", 1)
+    config = F.regexp_extract(F.rtrim(F.substring(designation, 6, 1 << 30)), r"^(.*) +\S+$", 1)
     at = lambda letters, back: F.coalesce(
         F.nullif(F.instr(F.lit(ORBITALS), F.try_element_at(letters, F.lit(-back))), F.lit(0)) - 1, F.lit(-1))
     return let(F.regexp_extract_all(config, F.lit(f"([{ORBITALS}])"), 1), lambda found: F.array(at(found, 1), at(found, 2)))

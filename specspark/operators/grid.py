@@ -162,12 +162,13 @@ def integrate_gauss(f, low: Column, high: Column, k: int) -> Column:
 
 
 def extend_depths(packed: DataFrame, t_limit: float = 6000.0, max_step: float = 400.0,
-                  max_layers: int = 150) -> DataFrame:
+                  max_layers: int | None = None) -> DataFrame:
     """Append layers to each packed model (arrays temp, log_pg, rho; deepest last) until T > t_limit.
 
     The k-th new layer is hotter by min(max_step, dT*2^(k/2)), with dT the last step of the model;
     log Pg and rho continue along their last slope against T.  One model is one row, so the
-    recurrence is an array fold inside the row and needs no shuffle.
+    recurrence is an array fold inside the row and needs no shuffle.  ``max_layers`` stops a model at so many
+    layers; without it the fold runs as long as the growing steps can need.
     """
     last = lambda c, back=1: F.element_at(c, -back)
     dt = last("temp") - last("temp", 2)
@@ -178,10 +179,15 @@ def extend_depths(packed: DataFrame, t_limit: float = 6000.0, max_step: float =
     def grow(state: Column, k: Column) -> Column:
         hot = F.element_at(state, -1) > t_limit
         step = F.least(F.lit(max_step), F.col("_dt") * F.pow(F.lit(2.0), k / F.lit(2.0)))
-        return F.when(hot | (F.size(state) >= max_layers) | (F.col("_dt") <= 0), state).otherwise(
+        full = F.lit(False) if max_layers is None else F.size(state) >= max_layers
+        return F.when(hot | full | ~(F.col("_dt") > 0), state).otherwise(
             F.concat(state, F.array(F.element_at(state, -1) + step)))
 
-    df = df.withColumn("_t", F.aggregate(F.sequence(F.lit(1), F.lit(max_layers)), F.col("temp"), grow))
+    # steps double every second layer up to max_step
+    turns = F.ceil(2 * F.log2(F.greatest(F.lit(max_step) / F.col("_dt"), F.lit(1.0)))) + F.ceil(
+        F.greatest(F.lit(t_limit) - last("temp"), F.lit(0.0)) / max_step) + 2
+    turns = F.when(F.col("_dt") > 0, turns).otherwise(1).cast("int")
+    df = df.withColumn("_t", F.aggregate(F.sequence(F.lit(1), turns), F.col("temp"), grow))
     tail = F.slice("_t", F.size("temp") + 1, F.greatest(F.size("_t") - F.size("temp"), F.lit(0)))
     along = lambda c, s: F.concat(F.col(c), F.transform(
         tail, lambda t: F.element_at(F.col(c), -1) + F.col(s) * (t - F.element_at(F.col("temp"), -1))))

@@ -174,7 +174,8 @@ def attach_interval(targets: DataFrame, x_t: str, intervals: DataFrame, x: str,
                              F.lit(None).alias("_t"), F.struct(*payload).alias("_hit"))
     lay = _lay(right.unionByName(left), key, ["_x", "_kind"], rows_per_chunk)
     merged = fill(lay, "_hit", "_at").df.filter("_kind = 1")
-    return merged.select(*key, "_t.*", F.col("_at").alias("_hit"))
+    # a null target lies in no interval, whichever way the table is joined
+    return merged.select(*key, "_t.*", F.when(F.col("_x").isNotNull(), F.col("_at")).alias("_hit"))
 
 
 def _bucketed(intervals: DataFrame, x: str, payload: Sequence[str]):

@@ -148,7 +148,7 @@ def parse_isotopes(raw: DataFrame) -> DataFrame:
     df = df.withColumn("z", F.trim(F.substring(F.get("_l", F.lit(0)), 1, 3)).try_cast("int"))
     df = df.select("file", "z", F.explode("_l").alias("row"))
     value = lambda i: F.get(F.regexp_extract_all(
-        F.substring("row", 12, 200), F.lit(r"([0-9.]+)\([^)]*\)#?"), 1), F.lit(i)).try_cast("double")
+        F.substring("row", 12, 1 << 30), F.lit(r"([0-9.]+)\([^)]*\)#?"), 1), F.lit(i)).try_cast("double")
     return df.select("file", "z", F.trim(F.substring("row", 9, 3)).try_cast("int").alias("a"), value(0).alias("mass"),
                      value(1).alias("frac"), value(2).alias("mix"))
 

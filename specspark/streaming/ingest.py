@@ -12,9 +12,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see: spark.checkpoint.dir of the session; a temporary one only where that is
-    unset, as in tests."""
-    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="specspark-")
+    """The folder all executors see: spark.checkpoint.dir of the session. A local session without it gets a
+    temporary one; on a cluster the setting is required."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder or tempfile.mkdtemp(prefix="specspark-")
 
 
 def new_folder(spark: SparkSession) -> str:
