@@ -12,7 +12,8 @@ components are compared with it. So every pair of a bucket is either compared or
 copies ends after one round. A bucket
 that still holds more than CROWD classes then is one of texts that share a passage without being alike; its classes are dealt
 anew, without loss, by their rarest shingles: sets at similarity t have one in common among the n - ceil(t n) + 1 that are rarest
-in each; and shingles that only one of them has bound what it can share. Compared pairs are confirmed on the full sets with 100 * intersection >= percent * union. Components spread the least
+in each; shingles that only one of them has, and the place of the bucket among a text's shingles, bound what it can share. Of buckets that hold
+the same classes one is kept. Compared pairs are confirmed on the full sets with 100 * intersection >= percent * union. Components spread the least
 label along links, with pointer jumping, one written table a step.
 
 Nulls and ties: texts that are null, empty or blank have an empty set and are linked with nothing, not even with each other. Rows with
@@ -191,25 +192,39 @@ def class_sets(signed: DataFrame, nodes: DataFrame, docs: DataFrame, width: int,
     return cut(found.select("node", "text").dropDuplicates(["node"]).mapInArrow(run, "node binary, s array<long>"))
 
 
+def distinct_buckets(members: DataFrame, order: list[str]) -> DataFrame:
+    """members without buckets of one node, and of buckets that hold the same nodes only the first in `order`: the others would
+    give the same pairs again. Sets of nodes are told apart by their size and 128 bits of hashes."""
+    held = members.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("node")).alias("h"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("g"),
+        F.min(F.struct(*order)).alias("place"))
+    first = held.where("m > 1").groupBy("m", "h", "g").agg(F.min_by("bucket", "place").alias("bucket")).select("bucket")
+    return members.join(cut(first), "bucket")
+
+
 def rare_buckets(sets: DataFrame, percent: int) -> DataFrame:
-    """node, n, most (shingles that it has not alone), bucket: each node of sets under its rarest shingles, as many as a text that is
-    alike must share one of. Shingles that no other node has make no bucket."""
+    """node, n, own (shingles that it has alone), most, bucket: each node of sets under its rarest shingles, as many as a text that is
+    alike must share one of. Shingles that no other node has make no bucket. most: its shingles that others have, from the bucket's
+    on in the common order; two nodes share no more than the lesser of theirs in the first bucket that they have in common."""
     each = sets.select("node", F.size("s").cast("long").alias("n"), F.explode("s").alias("s"))
     common = cut(each.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
     owned = each.join(common, "s").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("s"))
     first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("s"))
-    return owned.select("node", "n", F.size("s").cast("long").alias("most"), F.explode(F.slice(
-        "s", F.lit(1), F.greatest(first, F.lit(0)).cast("int"))["s"]).alias("bucket"))
+    held = F.size("s").cast("long")
+    each = owned.select("node", "n", held.alias("held"), F.posexplode(F.slice(
+        "s", F.lit(1), F.greatest(first, F.lit(0)).cast("int"))).alias("at", "x"))
+    each = cut(each.select("node", "n", (F.col("n") - F.col("held")).alias("own"), (F.col("held") - F.col("at")).alias("most"),
+                           F.col("x.s").alias("bucket"), F.col("x.df").alias("df")))
+    return distinct_buckets(each, ["df", "bucket"]).drop("df")
 
 
 def class_labels(classes: DataFrame, signed: DataFrame, docs: DataFrame, width: int, percent: int, key: str,
                  text: str) -> DataFrame | None:
     """node, label for every class that is linked with another; None if there is no link."""
     members = classes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
-    shared = cut(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("bucket"))
-    live = cut(members.join(shared, "bucket").select("node", "n", F.col("n").alias("most"), "bucket"))
+    live = cut(distinct_buckets(members, ["bucket"]).select("node", "n", F.lit(0).cast("long").alias("own"), F.col("n").alias("most"), "bucket"))
     sets = class_sets(signed, live.select("node").distinct(), docs, width, key, text)
-    labels, row = None, ["node", "n", "most", "bucket", "c", "minor"]
+    labels, row = None, ["node", "n", "own", "most", "bucket", "c", "minor"]
     live = live.select("*", F.col("node").alias("c"), F.lit(True).alias("minor"))
 
     def component(members: DataFrame) -> DataFrame:
@@ -228,8 +243,8 @@ def class_labels(classes: DataFrame, signed: DataFrame, docs: DataFrame, width:
             return labels
         parts = 4 ** max(turn - 1, 0)
         part = F.pmod(F.xxhash64("node"), F.lit(parts)).alias("part")
-        own = (F.col("n") - F.col("most")).alias("own")  # an original has few shingles that none of its copies has
-        leaders = cut(live.where("minor").groupBy("bucket", part).agg(F.min(F.struct(own, "node", "n", "most", "c")).alias("x")).select(
+        # an original has few shingles that none of its copies has
+        leaders = cut(live.where("minor").groupBy("bucket", part).agg(F.min(F.struct("own", "node", "n", "most", "c")).alias("x")).select(
             "bucket", F.col("x.node").alias("lead"), F.col("x.n").alias("lead_n"), F.col("x.most").alias("lead_most"),
             F.col("x.c").alias("lead_c")))
         both = F.least("most", "lead_most", "n", "lead_n")  # no larger intersection is possible
