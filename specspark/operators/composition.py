@@ -28,26 +28,35 @@ def abundances(mixes: DataFrame, solar: DataFrame, rfract: DataFrame | None = No
                overrides: DataFrame | None = None) -> DataFrame:
     """(mix_id, z, a_log) for every mix and element, on the scale A(H) = 12.
 
-    mixes: mix_id, feh, alpha, helium, r, s.  solar: z, a_log (null = absent).  rfract: z, f.
+    mixes: mix_id, feh, alpha, helium, r, s.  solar: z, a_log (null = absent); with a column set_id in
+    both, each mix is built on its own solar set.  A set without hydrogen is taken to be on that scale.  rfract: z, f.
     overrides: mix_id, z, a_log.  Metals move by feh, alpha elements by alpha, helium by helium;
     from Z = 31 on r and s scale the two process shares; overrides replace the result.
     """
-    # at most 92 elements: they become one array that every mix is exploded with
-    sun = {r["z"]: r["a_log"] for r in solar.filter(F.col("z").between(1, 92)).select("z", "a_log").limit(93).collect()}
-    share = {}
-    if rfract is not None:
-        share = {r["z"]: r["f"] for r in rfract.filter(F.col("z").between(1, 92)).select("z", "f").limit(93).collect()}
-    element = lambda z: F.struct(F.lit(z).alias("z"), F.lit(sun[z]).cast("double").alias("a_sun"),
-                                 F.lit(share.get(z)).cast("double").alias("f"))
-    df = mixes.withColumn("_e", F.explode(F.array(*[element(z) for z in sorted(sun)]))).select("*", "_e.*").drop("_e")
+    by = ["set_id", "z"] if "set_id" in solar.columns else ["z"]
+    sizes = solar.groupBy(*by).count().agg(F.max("count").alias("rows"), F.max("z").alias("z")).first()
+    if (sizes["rows"] or 0) > 1:
+        raise ValueError(f"solar has several rows of one {' and '.join(by)}")
+    sun = solar.select(*by, F.col("a_log").cast("double").alias("a_sun"))
+    if rfract is None:
+        sun = sun.withColumn("f", F.lit(None).cast("double"))
+    else:
+        sun = sun.join(rfract.select("z", F.col("f").cast("double").alias("f")), "z", "left")
+    own_h = sun.filter("z = 1").select(*by[:-1], F.col("a_sun").alias("_h"))
+    every_z = F.explode(F.sequence(F.lit(1), F.lit(max(sizes["z"] or 1, 1))))
+    df = mixes.withColumn("z", every_z).join(maybe_broadcast(sun), by)
+    if len(by) > 1:
+        df = df.join(maybe_broadcast(own_h), by[:-1], "left").withColumn("_h", F.coalesce("_h", F.lit(12.0)))
+    else:
+        found = own_h.first()
+        df = df.withColumn("_h", F.lit(found["_h"] if found and found["_h"] is not None else 12.0))
     ten, z = F.lit(10.0), F.col("z")
     a = F.col("a_sun") + F.when(z >= 3, F.col("feh")).otherwise(0.0) \
         + F.when(z.isin(*ALPHA_Z), F.col("alpha")).otherwise(0.0) + F.when(z == 2, F.col("helium")).otherwise(0.0)
     mixed = F.log10(F.pow(ten, F.col("r")) * F.col("f") * F.pow(ten, a)
                     + F.pow(ten, F.col("s")) * (1 - F.col("f")) * F.pow(ten, a))
     uses_rs = (z >= FIRST_RS_Z) & ((F.col("r") != 0) | (F.col("s") != 0)) & F.col("f").isNotNull()
-    df = df.select("mix_id", "z", F.when(uses_rs, mixed).otherwise(a).alias("a_log"))
-    df = df.withColumn("_h", F.lit(sun[1]).cast("double"))
+    df = df.select("mix_id", "z", F.when(uses_rs, mixed).otherwise(a).alias("a_log"), "_h")
     if overrides is not None:
         fixed = overrides.select("mix_id", "z", F.col("a_log").alias("_fixed"))
         fixed_h = fixed.filter("z = 1").select("mix_id", F.col("_fixed").alias("_fixed_h"))

@@ -32,8 +32,8 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when df has at most max_rows rows, by a count (partial counts per task, nothing is moved)."""
-    return df.count() <= max_rows
+    """True when df has at most max_rows rows, by a count that ends at one row more."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:

@@ -250,15 +250,14 @@ def cubic_slopes(lay: Layout, x: str, y: str, mode: int = 3) -> Layout:
     else:
         u = (s * dxm + sm * dx) / (dxm + dx)
     if mode == 3:
-        low, high = F.least(u / 2, s, sm), F.greatest(u / 2, s, sm)
-        u = 2 * (F.greatest(low, F.lit(0.0)) + F.least(high, F.lit(0.0)))
+        # no steeper than twice the flatter secant, and flat at an extremum
+        steepest = F.least(F.abs(u), 2 * F.abs(s), 2 * F.abs(sm))
+        u = F.when(F.signum(s) * F.signum(sm) > 0, F.signum(s) * steepest).otherwise(0.0)
     lay = lay.with_columns({"_s": s, "_sm": sm, "_u": F.when(inner, u)})
     lay = neighbours(lay, ["_u"])
-    edge = {1: (1.0, 0.0), 2: (2.0, 1.0), 3: (1.5, 0.5)}[mode]
-    secant = F.coalesce("_s", "_sm")
-    beside = F.coalesce("next__u", "prev__u")
-    at_end = F.when(beside.isNull(), secant).otherwise(edge[0] * secant - edge[1] * beside)
-    lay = lay.with_columns({"u": F.coalesce("_u", at_end)})
+    secant, beside = F.coalesce("_s", "_sm"), F.coalesce("next__u", "prev__u")
+    overshoot = {1: 0.0, 2: 1.0, 3: 0.5}[mode]
+    lay = lay.with_columns({"u": F.coalesce("_u", secant + F.coalesce(overshoot * (secant - beside), F.lit(0.0)))})
     return lay.map(lay.df.drop("_s", "_sm", "_u", "next__u", "prev__u"))
 
 
@@ -276,8 +275,9 @@ def interp_cubic(targets: DataFrame, x_t: str, table: DataFrame, x: str, y: str,
     x1, y1, u1 = (F.col(f"_hit.next_{c}") for c in (x, y, "u"))
     d, rise = x1 - x0, y1 - y0
     r = (t - x0) / d
-    inside = ((((u0 + u1) * d - 2.0 * rise) * r + ((-2.0 * u0 - u1) * d + 3.0 * rise)) * r + u0 * d) * r + y0
-    slope = ((3.0 * u0 + 3.0 * u1 - 6.0 * rise / d) * r + (-4.0 * u0 - 2.0 * u1 + 6.0 * rise / d)) * r + u0
+    q = 1 - r
+    inside = (1 + 2 * r) * q * q * y0 + (3 - 2 * r) * r * r * y1 + d * r * q * (q * u0 - r * u1)
+    slope = 6 * r * q * rise / d + q * (1 - 3 * r) * u0 + r * (3 * r - 2) * u1
     return hit.withColumns({
         out: F.when(t < x0, y0 + u0 * (t - x0)).when(t >= x1, y1 + u1 * (t - x1)).otherwise(inside),
         f"{out}_slope": F.when(t < x0, u0).when(t >= x1, u1).otherwise(slope),
@@ -285,14 +285,19 @@ def interp_cubic(targets: DataFrame, x_t: str, table: DataFrame, x: str, y: str,
     }).drop("_hit")
 
 
+def hermite_area(h: Column, y0: Column, y1: Column, u0: Column, u1: Column) -> Column:
+    """Integral over an interval of width h of the Hermite cubic with end values y and end slopes u."""
+    return h * ((y0 + y1) / 2 + h * (u0 - u1) / 12)
+
+
 def cubic_integral(df: DataFrame, key: Sequence[str], x: str, y: str, mode: int = 3, out: str = "integral",
                    rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Running integral (from 0 on the first row) of the cubic of ``interp_cubic``."""
     lay = cubic_slopes(_lay(df, key, [x], rows_per_chunk), x, y, mode)
     lay = neighbours(lay, ["u"], after=False)
     h = F.col(x) - F.col(f"prev_{x}")
-    piece = F.coalesce(h * (F.col(y) + F.col(f"prev_{y}")) / 2 + h * h * (F.col("prev_u") - F.col("u")) / 12,
-                       F.lit(0.0))
+    area = hermite_area(h, F.col(f"prev_{y}"), F.col(y), F.col("prev_u"), F.col("u"))
+    piece = F.coalesce(area, F.lit(0.0))
     return running_sum(lay, piece, out).done(f"prev_{x}", f"next_{x}", f"prev_{y}", f"next_{y}", "u", "prev_u")
 
 
@@ -349,18 +354,26 @@ def shift_resample(series: DataFrame, key: Sequence[str], x: str, y: str, shift:
 
 # --- spline on a common axis (bounded groups only) -------------------------------------
 
+def _second_derivatives(h: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Of the natural spline at every point: one sweep down the tridiagonal system and one back."""
+    n, bend = len(y), 6 * np.diff(np.diff(y) / h)
+    ratio, m = np.zeros(n), np.zeros(n)
+    for i in range(1, n - 1):
+        pivot = 2 * (h[i - 1] + h[i]) - h[i - 1] * ratio[i - 1]
+        ratio[i] = h[i] / pivot
+        m[i] = (bend[i - 1] - h[i - 1] * m[i - 1]) / pivot
+    for i in range(n - 2, 0, -1):
+        m[i] -= ratio[i] * m[i + 1]
+    return m
+
+
 def natural_spline(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Cubic spline with zero second derivative at both ends, evaluated at ``at``."""
     n = len(x)
     if n < 3:
         return np.interp(at, x, y)
     h = np.diff(x)
-    secant = np.diff(y) / h
-    system = np.zeros((n, n))
-    system[0, 0] = system[-1, -1] = 1.0
-    inner = np.arange(1, n - 1)
-    system[inner, inner - 1], system[inner, inner], system[inner, inner + 1] = h[:-1], 2 * (h[:-1] + h[1:]), h[1:]
-    m = np.linalg.solve(system, np.concatenate([[0.0], 6 * np.diff(secant), [0.0]]))
+    m = _second_derivatives(h, y)
     i = np.clip(np.searchsorted(x, at, side="right") - 1, 0, n - 2)
     a, b = x[i + 1] - at, at - x[i]
     return (m[i] * a**3 + m[i + 1] * b**3) / (6 * h[i]) + (y[i] / h[i] - m[i] * h[i] / 6) * a \

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from specspark.functions.names import LIGHT_KMS
 from specspark.operators.layout import ROWS_PER_CHUNK, arrange, neighbours, small_table
-from specspark.operators.series import interp_linear, interp_newton3
+from specspark.operators.series import hermite_area, interp_linear, interp_newton3
 
 PACKED_EW_TAIL = 1e-4
 MAX_CHUNK_ROWS = 500_000
@@ -67,14 +67,13 @@ def spline_quadrature(df: DataFrame, key: Sequence[str], x: str, f: str, out: st
     lay = neighbours(lay, [f"next_{x}", f"next_{f}"], before=False)
     nx, px, nf, pf = (F.col(f"{s}_{c}") for c in (x, f) for s in ("next", "prev"))
     nnx, nnf = F.col(f"next_next_{x}"), F.col(f"next_next_{f}")
-    h1, h2 = nx - F.col(x), nnx - nx
-    p = -h1 / (h1 + h2)
-    first = p * ((nnf - nf) / h2) + (1 - p) * ((nf - F.col(f)) / h1)
-    slope = (F.when(nx.isNull(), 0.0).when(px.isNull(), first).when(nnx.isNull(), 2 * (nf - F.col(f)) / h1)
+    secant = (nf - F.col(f)) / (nx - F.col(x))
+    bend = ((nnf - nf) / (nnx - nx) - secant) / (nnx - F.col(x))
+    three_point = secant - bend * (nx - F.col(x))
+    slope = (F.when(nx.isNull(), 0.0).when(px.isNull(), three_point).when(nnx.isNull(), 2 * secant)
              .otherwise((nf - pf) / (nx - px)))
     lay = neighbours(lay.with_columns({"_d": slope}), ["_d"], after=False)
-    h = F.col(x) - px
-    piece = h * (F.col(f) + pf) / 2 + (F.col("prev__d") - F.col("_d")) * h * h / 12
+    piece = hermite_area(F.col(x) - px, pf, F.col(f), F.col("prev__d"), F.col("_d"))
     return lay.df.groupBy(*lay.key).agg(F.sum(piece).alias(out)).drop(*lay.added)
 
 
