@@ -456,8 +456,8 @@ def _kept(raw: bytes, spans: list[dict] | None) -> tuple[bytes, int]:
 
 
 def without_repeats(docs: DataFrame, text: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """row (struct of the columns `carry`, all by default), n_bytes, n_removed, n_spans, kept (binary): every row of docs without the
-    bytes of strings that repeat anywhere. A row is known by a 64-bit hash of its columns `carry` and text."""
+    """row (struct of the columns `carry`, all by default), n_bytes, n_removed, n_spans, kept (binary), kept_text (kept without the
+    parts of characters that a seam leaves): every row of docs without the bytes of strings that repeat anywhere. A row is known by a 64-bit hash of its columns `carry` and text."""
     carry = docs.columns if carry is None else carry
     whole = docs.select(F.xxhash64(*carry, text).alias("doc"), F.struct(*[c for c in carry if c != text]).alias("row"),
                         F.coalesce(text, F.lit("")).alias("text"))
@@ -475,18 +475,19 @@ def without_repeats(docs: DataFrame, text: str = "text", carry: list[str] | None
                 runs.append(n)
                 kept.append(rest)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array(removed, pa.int64()),
-                                              pa.array(runs, pa.int64()), pa.array(kept, pa.binary())],
-                                             ["row", "n_bytes", "n_removed", "n_spans", "kept"])
+                                              pa.array(runs, pa.int64()), pa.array(kept, pa.binary()),
+                                              pa.array([rest.decode("utf-8", "ignore") for rest in kept], pa.string())],
+                                             ["row", "n_bytes", "n_removed", "n_spans", "kept", "kept_text"])
 
     row = joined.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(run, f"row {row}, n_bytes long, n_removed long, n_spans long, kept binary")
+    return joined.mapInArrow(run, f"row {row}, n_bytes long, n_removed long, n_spans long, kept binary, kept_text string")
 
 
 def shortened(docs: DataFrame, text: str = "text", count: str = "n_chars") -> DataFrame:
     """docs with what stays of each text, columns as they came; `count`, where there is such a column, follows. Parts of
     characters left at a seam go too. Null texts become empty."""
-    rest = without_repeats(docs, text).select("row.*", F.expr("try_validate_utf8(decode(kept, 'utf-8'))").alias("_text"))
-    values = {text: F.coalesce(F.col("_text"), F.lit(""))}
+    rest = without_repeats(docs, text)
+    values = {text: F.col("kept_text")}
     if count in docs.columns:
         values[count] = F.char_length(values[text]).cast(docs.schema[count].dataType)
-    return rest.select(*[values.get(c, F.col(c)).alias(c) for c in docs.columns])
+    return rest.select(*[values.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

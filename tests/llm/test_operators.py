@@ -342,6 +342,14 @@ def test_repeats(docs, rows, nothing, monkeypatch, crowd):
         assert suffix_dedup.without_repeats(nothing).count() == 0
 
 
+def test_seams_inside_characters(spark):
+    """The repeated string starts with the second byte of characters whose first bytes differ."""
+    passage = " ".join(f"p{i}" for i in range(200))[:420]
+    df = spark.createDataFrame([(1, "one \u00e9" + passage + " end"), (2, "two \u0129" + passage + "."), (3, "\u00e9t\u00e9")],
+                               "doc_id long, text string")
+    assert {r.doc_id: r.text for r in suffix_dedup.shortened(df).collect()} == {1: "one  end", 2: "two .", 3: "\u00e9t\u00e9"}
+
+
 def test_suffix_arrays():
     rng = random.Random(1)
     for _ in range(40):
