@@ -160,13 +160,14 @@ def spread_labels(edges: DataFrame, labels: DataFrame | None) -> DataFrame:
     both = cut(edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
     now = cut(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("least")).select("node", F.least("node", "least").alias("label")))
     while True:
-        near = both.join(now.select(F.col("node").alias("u"), "label"), "u").select(F.col("v").alias("node"), "label")
-        spread = cut(near.unionByName(now).groupBy("node").agg(F.min("label").alias("label")))
+        near = both.join(now.select(F.col("node").alias("u"), "label"), "u").select(
+            F.col("v").alias("node"), "label", F.lit(None).cast("binary").alias("was"))
+        spread = cut(near.unionByName(now.withColumn("was", F.col("label"))).groupBy("node").agg(
+            F.min("label").alias("label"), F.max("was").alias("was")))
         jump = spread.select(F.col("node").alias("label"), F.col("label").alias("far"))
-        after = cut(spread.join(jump, "label").select("node", F.col("far").alias("label")))
-        changed = after.join(now.select("node", F.col("label").alias("was")), "node").where("label != was").limit(1).count()
-        now = after
-        if not changed:
+        after = cut(spread.join(jump, "label").select("node", F.col("far").alias("label"), "was"))
+        now = after.select("node", "label")
+        if after.where("label != was").isEmpty():
             break
     if labels is None:
         return now
@@ -236,7 +237,7 @@ def class_labels(classes: DataFrame, signed: DataFrame, docs: DataFrame, width:
         """The buckets whose members are not all connected: their size and the component that most are of."""
         sides = members.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("m")).groupBy("bucket").agg(
             F.max(F.struct("m", "c")).alias("major"), F.sum("m").alias("size"))
-        return cut(sides.where("size > major.m").select("bucket", "size", F.col("major.c").alias("major")))
+        return sides.where("size > major.m").select("bucket", "size", F.col("major.c").alias("major"))
 
     for turn in itertools.count():
         if live.isEmpty():
@@ -255,7 +256,7 @@ def class_labels(classes: DataFrame, signed: DataFrame, docs: DataFrame, width:
         if not edges.isEmpty():
             labels = spread_labels(edges, labels)
         rest = component(live.drop("minor").join(leaders.select("bucket", F.col("lead").alias("node")), ["bucket", "node"], "left_anti"))
-        open_ = mixed(rest)
+        open_ = cut(mixed(rest)) if turn == 0 else mixed(rest)
         minor = (F.col("c") != F.col("major")).alias("minor")
         if turn == 0:  # crowds are dealt anew
             crowded = rest.join(open_.where(F.col("size") > CROWD), "bucket").select("node").distinct()
