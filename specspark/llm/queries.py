@@ -99,4 +99,4 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.col("doc_id").cast("string")
     digits = F.expr("transform(sequence(1, greatest(length(cast(doc_id AS string)) - 2, 1)), i -> substring(cast(doc_id AS string), i, 1))")
     path = F.concat_ws("/", "source", "lang", F.when(F.length(number) > 2, digits).otherwise(F.array().cast("array<string>")), number)
-    return license_scan.licensed(table(spark, sf_dir, "documents"), path)
+    return license_scan.licensed_windows(table(spark, sf_dir, "documents"), path)

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import duckdb
@@ -204,6 +205,32 @@ def test_licenses(spark, nothing):
     assert license_scan.licensed(nothing, F.col("row")).count() == 0
 
 
+def test_license_windows(spark, nothing):
+    apache = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'
+    texts = ["Copyright (c) 2020 A B. Released under the MIT License.", "This file is released under the MIT License. See LICENSE for details.", apache,
+             "/*\n * This program is free software: you can redistribute it\n * and/or modify it under the terms of the GNU General Public\n * License as published by the Free Software Foundation, either version 3 of\n * the License, or (at your option) any later version.\n */\nint x;",
+             "int y;\nReleased under the MIT License.\n" + "some words between them " * 40 + "\nparts are Licensed under CC BY-NC 4.0.", "no notice in this text, use it", None, ""]
+    df = spark.createDataFrame([(i, f"d/{i}.c", t) for i, t in enumerate(texts)], "doc_id long, path string, text string")
+    out = {r.doc_id: r for r in license_scan.licensed_windows(df.unionByName(df.where("doc_id = 2")), F.col("path")).collect()}
+    assert [out[i].own_license for i in range(8)] == ["MIT", "MIT", "Apache-2.0", "GPL-3.0", "CC-BY-NC-4.0", None, None, None]
+    assert {"MIT", "CC-BY-NC-4.0"} <= {x.license for x in out[4].found} and out[4].line == 3 and out[3].line == 1 and out[5].found == []
+    words = [re.findall(license_scan.WORDS, (t or "").lower()) for t in [*texts, texts[2]]]
+    idf = lambda w: math.log((1 + len(words)) / (1 + sum(w in x for x in words))) + 1
+    vector = lambda ws: {w: n * idf(w) for w, n in Counter(ws).items()}
+    for i, ws in enumerate(words[:8]):
+        best = {}
+        for name, passage in license_scan.PASSAGES:
+            p = re.findall(license_scan.WORDS, passage.lower())
+            a = vector(p)
+            for s in range(len(ws)):
+                b = vector(ws[s:s + len(p)])
+                cos = sum(v * a.get(w, 0) for w, v in b.items()) / math.hypot(*a.values()) / math.hypot(*b.values())
+                if ws[s] in a and cos >= license_scan.THRESHOLD:
+                    best[name] = max(best.get(name, 0), cos)
+        assert {x.license: x.similarity for x in out[i].found} == pytest.approx(best), i
+    assert license_scan.licensed_windows(nothing, F.col("row")).count() == 0
+
+
 def test_no_telling_word_means_no_license():
     unit, weight, other = license_scan.template_vectors(license_scan.TEMPLATES)
     tell = license_scan.telling(unit)
