@@ -3,6 +3,7 @@
 `licensed_windows` is what the query runs. A text is one run of words, across its lines, and every window of a passage's length that
 starts at a word of the passage and holds one of its telling words is compared with it by cosine. Weights are inverse document
 frequencies over all rows given, of the texts' words as of the passages'. All licenses reached are kept; own_license is the best.
+A file covers its directory if it has a license and its name says so (FILE_NAME), or FILE_SHARE of its words belong to the license.
 
 `scan` and `licensed` compare single lines with one sentence per license, weighed by the sentences alone. Each line of a text is a sparse TF-IDF vector over words (lower-case runs of letters and digits, joined by dots and hyphens) and is
 compared by cosine with the templates' vectors. Inverse document frequencies are those of the templates; a word that no template
@@ -13,7 +14,7 @@ A text's license is that of its best line. A licence file (a text of few words,
 directory and all below: every directory inherits from its nearest ancestor that holds one, by a join of ancestor paths, and texts
 without a license of their own take the directory's. Directories, not texts, are joined with ancestors.
 
-Nulls and ties: null and empty texts have no license of their own. Equal cosines go to the template first by name, then the first
+Nulls and ties, where windows of equal cosine go to the license with more words of the text first: null and empty texts have no license of their own. Equal cosines go to the template first by name, then the first
 line; among licence files of a directory the best cosine, then the least license name. A null path has no directory and inherits
 nothing. Repeated rows are scanned alike. An empty table gives an empty result.
 """
@@ -33,6 +34,10 @@ from specspark.operators.layout import maybe_broadcast
 
 THRESHOLD = 0.7
 FILE_WORDS = 40
+#: Names of licence files, in any case: LICENSE, COPYING and their kin, with or without an ending.
+FILE_NAME = r"(?i)^(?:un)?(?:licen[sc]es?|copying|copyright)(?:[._-].*)?$"
+#: A text of any name is a licence file if this part of its words belongs to a reached passage.
+FILE_SHARE = 0.8
 #: Wording of common license notices.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -55,7 +60,6 @@ PASSAGES = tuple((name.removesuffix("-text"), text) for name, text in TEMPLATES.
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
     ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION"),
     ("Apache-2.0", "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license"),
-    ("BSD-2-Clause", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice"),
     ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
@@ -68,10 +72,18 @@ PASSAGES = tuple((name.removesuffix("-text"), text) for name, text in TEMPLATES.
     ("MIT", "Licensed under the MIT License"),
     ("MIT", "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so"),
     ("MIT", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software"),
+    ("MIT", "The software is provided as is, without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement"),
+    ("MIT", "In no event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection with the software or the use or other dealings in the software"),
+    ("ISC", "The software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness"),
+    ("ISC", "In no event shall the author be liable for any special, direct, indirect, or consequential damages or any damages whatsoever resulting from loss of use, data or profits, whether in an action of contract, negligence or other tortious action, arising out of or in connection with the use or performance of this software"),
     ("MPL-2.0", "Mozilla Public License Version 2.0"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at"),
     ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software"),
-)
+) + tuple((name, text) for name in ("BSD-2-Clause", "BSD-3-Clause") for text in (
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution",
+    "This software is provided by the copyright holders and contributors as is and any express or implied warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    "In no event shall the copyright holder or contributors be liable for any direct, indirect, incidental, special, exemplary, or consequential damages (including, but not limited to, procurement of substitute goods or services; loss of use, data, or profits; or business interruption) however caused and on any theory of liability, whether in contract, strict liability, or tort (including negligence or otherwise) arising in any way out of the use of this software, even if advised of the possibility of such damage",
+)) + (("BSD-2-Clause", TEMPLATES["BSD-3-Clause"]),)
 
 
 def template_vectors(templates: dict[str, str]) -> tuple[dict[str, dict[str, float]], dict[str, float], float]:
@@ -221,10 +233,12 @@ def licensed_windows(files: DataFrame, path: Column, key: str = "doc_id", text:
     rows = _placed(files, path, key, text)
     each = scan_windows(rows.select("_row", "_text"), "_row", "_text")
     found = each.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("license", "similarity", "line", "covered"))).alias("_all"))
-    slim = rows.select(key, "path", "dir", "_row", (n_words(F.col("_text")) <= FILE_WORDS).alias("_file"))
-    best = F.array_min(F.transform("_all", lambda x: F.struct((-x["similarity"]).alias("far"), x["license"].alias("license"), x["line"].alias("line"))))
+    called = F.coalesce(F.element_at(F.split("path", "/"), -1).rlike(FILE_NAME), F.lit(False))
+    slim = rows.select(key, "path", "dir", "_row", called.alias("_called"), F.coalesce(F.size(words_of(F.col("_text"))), F.lit(0)).alias("_words"))
+    best = F.array_min(F.transform("_all", lambda x: F.struct((-x["similarity"]).alias("far"), (-x["covered"]).alias("few"), x["license"].alias("license"), x["line"].alias("line"))))
     named = F.transform("_all", lambda x: F.struct(x["license"].alias("license"), x["similarity"].alias("similarity"), x["line"].alias("line")))
+    file = F.col("_called") | (-F.col("_best.few") >= FILE_SHARE * F.col("_words"))
     own = cut(slim.join(found, "_row", "left").withColumn("_best", best).select(
-        key, "path", "dir", "_file", F.col("_best.license").alias("own_license"), (-F.col("_best.far")).alias("similarity"),
+        key, "path", "dir", file.alias("_file"), F.col("_best.license").alias("own_license"), (-F.col("_best.far")).alias("similarity"),
         F.col("_best.line").alias("line"), F.coalesce(named, F.array().cast("array<struct<license:string,similarity:double,line:int>>")).alias("found")))
     return _inherit(own, [key, "path", "own_license", "similarity", "line", "found"])

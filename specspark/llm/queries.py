@@ -95,8 +95,10 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_license_scan")
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files <source>/<lang>/<digits of the id but the last two, a directory each>/<id>."""
+    """Documents as files <source>/<lang>/<digits of the id but the last two, a directory each>/<id>; those whose id ends in 0
+    are the licence files LICENSE-<id>."""
     number = F.col("doc_id").cast("string")
     digits = F.expr("transform(sequence(1, greatest(length(cast(doc_id AS string)) - 2, 1)), i -> substring(cast(doc_id AS string), i, 1))")
-    path = F.concat_ws("/", "source", "lang", F.when(F.length(number) > 2, digits).otherwise(F.array().cast("array<string>")), number)
+    path = F.concat_ws("/", "source", "lang", F.when(F.length(number) > 2, digits).otherwise(F.array().cast("array<string>")),
+                       F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("LICENSE-"), number)).otherwise(number))
     return license_scan.licensed_windows(table(spark, sf_dir, "documents"), path)

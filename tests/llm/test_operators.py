@@ -231,6 +231,21 @@ def test_license_windows(spark, nothing):
     assert license_scan.licensed_windows(nothing, F.col("row")).count() == 0
 
 
+def test_licence_files_by_name_and_share(spark):
+    whole = {n: "\n".join(p for m, p in license_scan.PASSAGES if m == n) for n in ("MIT", "BSD-2-Clause", "BSD-3-Clause")}
+    mit = whole["MIT"] + " as is, without warranty of any kind. " * 60
+    files = [("a/LICENSE", mit), ("a/x/f.c", "int x;"), ("b/read.me", "a short text. Released under the MIT License. see more of it there"), ("b/g.c", "int x;"),
+             ("c/terms", "Released under the MIT License."), ("c/d/h.c", None), ("e/Copying.txt", "notes, and\nReleased under the\nMIT License. " + "and more " * 90), ("e/i.c", ""),
+             ("f/LICENSE", "no notice here"), ("f/j.c", "int x;"), ("g/mit.txt", whole["MIT"]), (None, "Released under the MIT License."), ("g/k.c", ""),
+             ("h/two", whole["BSD-2-Clause"]), ("i/three", whole["BSD-3-Clause"])]
+    df = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(files)], "doc_id long, path string, text string")
+    out = {r.doc_id: r for r in license_scan.licensed_windows(df, F.col("path")).collect()}
+    assert len(mit.split()) > license_scan.FILE_WORDS
+    assert [(out[i].license, out[i].inherited_from) for i in (1, 3, 5, 7, 9, 12)] == [("MIT", "a"), (None, None), ("MIT", "c"), ("MIT", "e"), (None, None), ("MIT", "g")]
+    assert out[2].own_license == "MIT" and out[11].own_license == "MIT" and out[8].own_license is None
+    assert out[13].own_license == "BSD-2-Clause" and out[14].own_license == "BSD-3-Clause"
+
+
 def test_no_telling_word_means_no_license():
     unit, weight, other = license_scan.template_vectors(license_scan.TEMPLATES)
     tell = license_scan.telling(unit)
