@@ -127,13 +127,19 @@ def order_axis(spark, d):
 
 @query("incremental_ingest", "SELECT event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1")
 def incremental_ingest(spark, d):
-    schema = table(spark, d, "events").schema
+    """Events as spectrum files with one angle, a million ids a file: counts from the spectra, totals from the intensities."""
     folder = I.new_folder(spark)
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    rows = table(spark, d, "events").select("event_type", F.floor(F.col("event_id") / 1_000_000).alias("part"), F.col("event_id").alias("pos"),
+                                            F.concat_ws(" ", "event_id", "value", "value", "value", F.lit("1.0")).alias("value"))
+    heads = rows.select("event_type", "part").distinct().withColumns({"pos": F.lit(None).cast("long"), "value": F.lit("# mu-points 1.0")})
+    rows.unionByName(heads).repartition("event_type", "part").sortWithinPartitions("event_type", "part", F.col("pos").asc_nulls_first()) \
+        .select("event_type", "value").write.partitionBy("event_type").text(f"{folder}/in")
     for _ in range(2):  # the second run finds nothing new
-        I.incremental_ingest(stream, lambda b: b.select("event_type", "value"), f"{folder}/table", f"{folder}/checkpoint").awaitTermination()
-    rows = spark.read.parquet(f"{folder}/table")
-    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), rnd(F.sum("value"), 2).alias("total"))
+        I.ingest_spectra(spark, f"{folder}/in", f"{folder}/table", f"{folder}/checkpoint", glob="*.txt").awaitTermination()
+    event = F.url_decode(F.regexp_extract("spec_id", "event_type=([^/]*)/", 1)).alias("event_type")
+    counts = spark.read.parquet(f"{folder}/table").groupBy(event).agg(F.count(F.lit(1)).alias("n"))
+    totals = spark.read.parquet(f"{folder}/table_intensity").groupBy(event).agg(rnd(F.sum("i_abs"), 2).alias("total"))
+    return counts.join(totals, "event_type", "left")
 
 
 @query("job_progress", COUNTS_SQL)

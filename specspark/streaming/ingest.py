@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,13 +26,20 @@ def new_folder(spark: SparkSession) -> str:
 
 def incremental_ingest(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], table: str,
                        checkpoint: str) -> StreamingQuery:
-    """Append transform(new rows) to ``table`` and stop when nothing is left.
+    """Append transform(new rows) to ``table`` and stop when nothing is left."""
+    return ingest_tables(stream, lambda batch: [transform(batch)], [table], checkpoint)
 
-    Each micro-batch overwrites its own batch_id folder, so a batch that is repeated after a failure does
-    not add its rows twice.
+
+def ingest_tables(stream: DataFrame, transform: Callable[[DataFrame], Sequence[DataFrame]], tables: Sequence[str],
+                  checkpoint: str) -> StreamingQuery:
+    """Append each DataFrame of transform(new rows) to its table and stop when nothing is left.
+
+    Each micro-batch overwrites its own batch_id folders, so a batch that is repeated after a failure does
+    not add its rows twice.  It counts as done when all its tables are written.
     """
     def append(batch: DataFrame, batch_id: int) -> None:
-        transform(batch).write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        for rows, table in zip(transform(batch), tables, strict=True):
+            rows.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
 
     return (stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
@@ -48,12 +55,21 @@ def with_position(batch: DataFrame) -> DataFrame:
     return batch.withColumn("pos", F.monotonically_increasing_id())
 
 
-def ingest_spectra(spark: SparkSession, source: str, table: str, checkpoint: str) -> StreamingQuery:
-    """New *.spec files into the spectrum table, each file once."""
+def ingest_spectra(spark: SparkSession, source: str, table: str, checkpoint: str, intensity: str | None = None,
+                   glob: str = "*.spec") -> StreamingQuery:
+    """New spectrum files, each file once: spectra into ``table``, intensities into ``intensity`` (by default
+    the folder <table>_intensity)."""
     from specspark.sources.spectra import parse_spectra
 
-    return incremental_ingest(text_stream(spark, source, "*.spec"),
-                              lambda b: parse_spectra(with_position(b))[0], table, checkpoint)
+    return ingest_tables(text_stream(spark, source, glob), lambda b: parse_spectra(with_position(b)),
+                         [table, intensity or f"{table.rstrip('/')}_intensity"], checkpoint)
+
+
+def ingest_linelists(spark: SparkSession, source: str, table: str, checkpoint: str, glob: str = "*") -> StreamingQuery:
+    """New line-list files into the table of lines, each file once; duplicate lines are kept."""
+    from specspark.sources.linelists import parse_linelist
+
+    return incremental_ingest(text_stream(spark, source, glob), lambda b: parse_linelist(with_position(b)), table, checkpoint)
 
 
 def job_progress(log: DataFrame) -> DataFrame:

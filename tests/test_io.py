@@ -114,3 +114,27 @@ def test_files_are_ingested_once(spark, tmp_path):
     write(tmp_path / "in" / "b.spec", "1.0 2.0 3.0\n2.0 2.0 3.0\n")
     I.ingest_spectra(spark, src, table, ck).awaitTermination()
     assert spark.read.parquet(table).count() == 3
+
+
+def test_intensities_are_ingested_once(spark, tmp_path):
+    src, table, ck = str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "ck")
+    for name in ("a", "b"):
+        write(tmp_path / "in" / f"{name}.spec", "# mu-points 0.1 1.0\n1.0 2.0 3.0 4.0 5.0 6.0 7.0\n2.0 2.0 3.0 4.5 5.0 6.5 7.0\n")
+        for _ in range(2):
+            I.ingest_spectra(spark, src, table, ck).awaitTermination()
+    assert spark.read.parquet(table).count() == 4
+    _, whole = SS.read_spectra(spark, src, "*.spec")
+    kept = spark.read.parquet(f"{table}_intensity").select(*whole.columns)
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, whole.collect())) and kept.count() == 8
+
+
+def test_line_lists_are_ingested_once(spark, sf, tmp_path):
+    src, table, ck = str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "ck")
+    text = "'  26.000            '    1       2\n'Fe I'\n  4200.087  3.884 -1.130 2.5 7.0 1.0E+05 'p' 'd' 0.0 1.0 'Fe I'\n  4200.463  4.154 -3.374 2.5 9.0 1.0E+05 'p' 'd' 0.0 1.0 'Fe I'\n"
+    for name in ("a.dat", "b.dat"):
+        write(tmp_path / "in" / name, text)
+        for _ in range(2):
+            I.ingest_linelists(spark, src, table, ck).awaitTermination()
+    whole = LL.read_linelist(spark, src)
+    kept = spark.read.parquet(table).select(*whole.columns)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, whole.collect())) and kept.count() == 4
