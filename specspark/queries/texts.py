@@ -10,6 +10,8 @@ from specspark.sources import linelists as LL
 from specspark.sources import models as M
 from specspark.sources import spectra as SS
 from specspark.sources import tables as T
+from specspark.sources.text import read_saved
+from specspark.streaming.ingest import new_folder
 
 # --- spectra -----------------------------------------------------------------------------
 
@@ -513,8 +515,11 @@ def write_grid_csv(spark, d):
 
 @query("concat_linelists", """SELECT CASE WHEN l_linenumber % 2 = 0 THEN 'even' ELSE 'all' END AS list_id, count(*) AS n FROM lineitem GROUP BY 1""")
 def concat_linelists(spark, d):
-    li = table(spark, d, "lineitem").select(*[c for c in ("l_orderkey", "l_linenumber")])
-    odd, even = li.filter("l_linenumber % 2 = 1").withColumn("list_id", F.lit("all")), li.filter("l_linenumber % 2 = 0").withColumn("list_id", F.lit("even"))
-    return odd.unionByName(even).groupBy("list_id").agg(F.count(F.lit(1)).alias("n"))
-
-
+    """The lines as two list files, read as one table."""
+    folder = new_folder(spark)
+    lines = _lines(spark, d)
+    raw = []
+    for name, rest in (("all", 1), ("even", 0)):
+        LL.write_linelist(lines.filter(F.col("l_linenumber") % 2 == rest).withColumn("list_id", F.lit(name)), f"{folder}/{name}", ORDER)
+        raw.append(read_saved(spark, f"{folder}/{name}", "list_id"))
+    return LL.parse_linelist(raw[0].unionByName(raw[1])).groupBy("list_id").agg(F.count(F.lit(1)).alias("n"))

@@ -138,3 +138,14 @@ def test_line_lists_are_ingested_once(spark, sf, tmp_path):
     whole = LL.read_linelist(spark, src)
     kept = spark.read.parquet(table).select(*whole.columns)
     assert sorted(map(str, kept.collect())) == sorted(map(str, whole.collect())) and kept.count() == 4
+
+
+def test_queries_call_their_operators(spark, sf, monkeypatch):
+    from specspark.queries import job_runs
+
+    called = []
+    parse, counts = LL.parse_linelist, job_runs.J.status_counts
+    monkeypatch.setattr(LL, "parse_linelist", lambda raw: called.append("lines") or parse(raw))
+    monkeypatch.setattr(job_runs.J, "status_counts", lambda log: called.append("counts") or counts(log))
+    assert {r["list_id"] for r in Q.concat_linelists(spark, sf).collect()} == {"all", "even"} and job_runs.sort_status(spark, sf).count() > 0
+    assert called == ["lines", "counts"]
