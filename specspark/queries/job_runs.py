@@ -129,17 +129,20 @@ def order_axis(spark, d):
 def incremental_ingest(spark, d):
     """Events as spectrum files with one angle, a million ids a file: counts from the spectra, totals from the intensities."""
     folder = I.new_folder(spark)
-    rows = table(spark, d, "events").select("event_type", F.floor(F.col("event_id") / 1_000_000).alias("part"), F.col("event_id").alias("pos"),
-                                            F.concat_ws(" ", "event_id", "value", "value", "value", F.lit("1.0")).alias("value"))
+    number_of = F.coalesce("event_id", F.lit(0).cast("long"))
+    number, known = F.coalesce(F.col("value").cast("string"), F.lit("NaN")), F.when(F.col("value").isNull(), "0.0").otherwise("1.0")
+    rows = table(spark, d, "events").select(F.concat(F.lit("t"), "event_type").alias("event_type"), F.floor(number_of / 1_000_000).alias("part"), number_of.alias("pos"),
+                                            F.concat_ws(" ", number_of, number, number, number, known).alias("value"))
     heads = rows.select("event_type", "part").distinct().withColumns({"pos": F.lit(None).cast("long"), "value": F.lit("# mu-points 1.0")})
     rows.unionByName(heads).repartition("event_type", "part").sortWithinPartitions("event_type", "part", F.col("pos").asc_nulls_first()) \
         .select("event_type", "value").write.partitionBy("event_type").text(f"{folder}/in")
     for _ in range(2):  # the second run finds nothing new
         I.ingest_spectra(spark, f"{folder}/in", f"{folder}/table", f"{folder}/checkpoint", glob="*.txt").awaitTermination()
-    event = F.url_decode(F.regexp_extract("spec_id", "event_type=([^/]*)/", 1)).alias("event_type")
+    inside = F.regexp_extract("spec_id", "event_type=t([^/]*)/", 1)
+    event = F.when(F.contains("spec_id", F.lit("event_type=t")), F.url_decode(inside)).alias("event_type")
     counts = spark.read.parquet(f"{folder}/table").groupBy(event).agg(F.count(F.lit(1)).alias("n"))
-    totals = spark.read.parquet(f"{folder}/table_intensity").groupBy(event).agg(rnd(F.sum("i_abs"), 2).alias("total"))
-    return counts.join(totals, "event_type", "left")
+    totals = spark.read.parquet(f"{folder}/table_intensity").groupBy(event).agg(rnd(F.sum(F.when(F.col("i_norm") == 1, F.col("i_abs"))), 2).alias("total"))
+    return counts.alias("c").join(totals.alias("t"), F.expr("c.event_type <=> t.event_type"), "left").select("c.event_type", "n", "total")
 
 
 @query("job_progress", COUNTS_SQL)
