@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specspark.llm import (chat_format, circulant_minhash, entropy_mix, fit_packing, histogram_shards, license_scan,
-                           order_minhash, quality_gam, sliced_topk, suffix_dedup)
+from specspark.llm import (chat_format, circulant_minhash, entropy_mix, fit_packing, histogram_shards, license_scan, line_filters,
+                           merkle_manifest, order_minhash, quality_gam, sliced_topk, stripe_divergence, suffix_dedup)
 from specspark.llm.registry import query, table
 
 
@@ -102,3 +102,87 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.concat_ws("/", "source", "lang", F.when(F.length(number) > 2, digits).otherwise(F.array().cast("array<string>")),
                        F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("LICENSE-"), number)).otherwise(number))
     return license_scan.licensed_windows(table(spark, sf_dir, "documents"), path)
+
+
+@query("op11_stripe_divergence", oracle=r"""WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term FROM w GROUP BY ALL HAVING count(DISTINCT r) >= 10),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT lang, source, coalesce(total, 0) AS total, coalesce(v, 0) AS v FROM (SELECT DISTINCT lang, source FROM d)
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL) USING (lang, source) LEFT JOIN v USING (lang)),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.total + 2 * g.v) AS p
+  FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+l AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 2)) // (sum(sum(n)) OVER (PARTITION BY lang) + 2 * any_value(v)) AS q
+  FROM c JOIN v USING (lang) GROUP BY lang, term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+o AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value FROM g a
+    JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (((p - q) * (p - q)) // (p + q))::BIGINT FROM p JOIN l USING (lang, term) WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM o)
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 10""")
+def op11_stripe_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stripe_divergence.audit(table(spark, sf_dir, "documents"), min_docs=10, top=10)
+
+
+@query("op12_line_filters", oracle=r"""WITH d AS (SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM d),
+k AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+x AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10),
+s AS (SELECT r, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE x.key IS NULL), '') AS kept, count(x.key) AS n_dropped
+  FROM k LEFT JOIN x USING (key) GROUP BY r)
+SELECT doc_id, len(lines)::BIGINT AS n_lines, n_dropped::BIGINT AS n_dropped, sha256(kept) AS kept_sha256 FROM d JOIN s USING (r)""")
+def op12_line_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = line_filters.drop_repeats(table(spark, sf_dir, "documents"), carry=["doc_id"], min_docs=10, min_chars=1)
+    return rest.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def _merkle_sql(leaf_levels: int = 6, group_levels: int = 3) -> str:
+    """The tree written out level by level: trees of at most 16^levels leaves a source and 16^levels sources."""
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def leaf(text: str) -> str:
+        one = "coalesce(octet_length(encode({0})) || ':' || {0}, '-')"
+        return "sha256(" + " || ".join(one.format(v) for v in ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)) + ")"
+
+    crc = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(regexp_extract_all(doc_id::VARCHAR, '.'),
+      lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x)
+      WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END), 4294967295::BIGINT)"""
+    ctes = [f"""b AS (SELECT doc_id, coalesce('1' || source, '0') AS g, {leaf('text')} AS leaf,
+      CASE WHEN {crc} % 5 = 0 THEN {leaf(lower)} ELSE {leaf('text')} END AS f FROM documents),
+    n0 AS (SELECT g, doc_id, leaf, f, leaf AS d, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM b),
+    f0 AS (SELECT g, doc_id, leaf, pos AS spot, f, '' AS s FROM n0)"""]
+    frame = "string_agg(d, '') OVER (PARTITION BY g, pos // 16 ORDER BY pos ROWS BETWEEN {})"
+
+    def level(nodes: str, folds: str, up: str, fup: str) -> str:
+        return f"""{nodes}s AS (SELECT g, pos, d, count(*) OVER (PARTITION BY g) AS n,
+      coalesce({frame.format('UNBOUNDED PRECEDING AND 1 PRECEDING')}, '') AS l, coalesce({frame.format('1 FOLLOWING AND UNBOUNDED FOLLOWING')}, '') AS r FROM {nodes}),
+    {up} AS (SELECT g, pos // 16 AS pos, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(d, '' ORDER BY pos)) ELSE any_value(d) END AS d FROM {nodes}s GROUP BY g, pos // 16),
+    {fup} AS (SELECT g, doc_id, leaf, spot // 16 AS spot, CASE WHEN n > 1 THEN sha256(l || f || r) ELSE f END AS f, s || l || r AS s%s
+      FROM {folds} JOIN {nodes}s USING (g) WHERE spot = {nodes}s.pos)"""
+
+    for k in range(leaf_levels):
+        ctes.append(level(f"n{k}", f"f{k}", f"n{k + 1}", f"f{k + 1}") % "")
+    top = leaf_levels
+    ctes.append(f"""u0 AS (SELECT '' AS g, g AS of, d, row_number() OVER (ORDER BY g) - 1 AS pos FROM n{top}),
+    h0 AS (SELECT '' AS g, doc_id, leaf, u0.pos AS spot, f, s, u0.d AS subroot FROM f{top} JOIN u0 ON u0.of = f{top}.g)""")
+    for k in range(group_levels):
+        ctes.append(level(f"u{k}", f"h{k}", f"u{k + 1}", f"h{k + 1}") % ", subroot")
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT doc_id, leaf, subroot, u.d AS root, sha256(s) AS proof_sha256, f AS folded_root, f = u.d AS verified
+FROM h{group_levels} JOIN u{group_levels} u USING (g)"""
+
+
+@query("op13_merkle_manifest", oracle=_merkle_sql())
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.col
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    head, text = [c("doc_id"), c("source"), c("lang"), c("n_chars")], c("text")
+    tampered = F.when(F.crc32(c("doc_id").cast("string").cast("binary")) % 5 == 0,
+                      merkle_manifest.digest([*head, F.translate(text, capitals, capitals.lower())]))
+    made = merkle_manifest.build(table(spark, sf_dir, "documents"), [*head, text], c("source"), c("doc_id"), tampered, carry=["doc_id"])
+    return merkle_manifest.proofs(made).select("row.doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root",
+                                               (c("folded_root") == c("root")).alias("verified"))
