@@ -117,18 +117,18 @@ def audit(docs: DataFrame, min_docs: int = 10, top: int = 10) -> DataFrame:
     sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"))
     groups = cut(base.select("lang", "source").distinct().join(per_source, ["lang", "source"], "left").join(sizes, ["lang"], "left")
                  .na.fill(0, ["total", "terms"])
-                 .withColumn("absent", share(F.lit(0), F.col("total"), F.col("terms"))))
-    langs = groups.groupBy("lang").agg(F.sum("total").alias("lang_total"))
+                 .withColumns({"absent": share(F.lit(0), F.col("total"), F.col("terms")),
+                               "lang_total": F.sum("total").over(Window.partitionBy("lang"))}))
 
-    # the share of every term in every source that has it
+    # the share of every term in every source that has it, and in the language
     shares = cut(kept.withColumn("lang_n", F.aggregate("stripe", F.lit(0).cast("long"), lambda s, c: s + c["n"]))
                  .select("lang", "term", "lang_n", F.explode("stripe").alias("c")).select("lang", "term", "lang_n", "c.*")
-                 .join(groups, ["lang", "source"]).withColumn("p", share(F.col("n"), F.col("total"), F.col("terms")))
-                 .select("lang", "term", "lang_n", "source", "p", "absent"))
+                 .join(groups, ["lang", "source"])
+                 .select("lang", "term", "source", share(F.col("n"), F.col("total"), F.col("terms")).alias("p"),
+                         share(F.col("lang_n"), F.col("lang_total"), F.col("terms")).alias("q"), "absent"))
 
     by_value = [F.col("value").desc(), F.col("item")]
-    lang_share = share(F.col("lang_n"), F.col("lang_total"), F.col("terms"))
-    above = (shares.join(langs.join(sizes, "lang"), "lang").withColumn("q", lang_share).filter("p > q")
+    above = (shares.filter("p > q")
              .select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), gap(F.col("p"), F.col("q")).alias("value")))
     ranked = above.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "source").orderBy(*by_value)))
     return pairs(shares, groups).withColumn(
