@@ -90,7 +90,7 @@ def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_suffix_dedup")
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"), carry=["doc_id"])
-    return rest.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return rest.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "kept_text")
 
 
 @query("op5_license_scan")

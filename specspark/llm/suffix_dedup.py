@@ -1,4 +1,4 @@
-"""Exact removal of repeated strings with suffix arrays built by induced sorting.
+"""Exact removal of repeated strings with suffix arrays built by induced sorting. LENGTH below stands for the parameter `length`.
 
 Every string of LENGTH bytes holds an anchor that depends on the string alone: its rightmost least hash of GRAM bytes. Documents
 name their anchors, with LENGTH - GRAM bytes of context on both sides as the anchor's segment; strings that are equal lie in
@@ -13,7 +13,7 @@ the ranges whose core another class has too are looked at further. They go to a
   4. marks the suffixes that agree with a neighbour of another origin over LENGTH bytes.
 
 The passes run over whole buckets at a time in numpy, so their cost is a few array operations a byte. An anchor with a core
-in more than CROWD classes (a passage in very many documents) would not fit a shard. The exact way for those: their strings fall into finer ranges of
+in more than CROWD classes (a passage in very many documents), or with classes of more than ANCHOR_BYTES, would not fit a shard. The exact way for those: their strings fall into finer ranges of
 FINE places, equal ranges become one class again, and only ranges that are not whole, with a core in common, are counted string
 by string, pre-aggregated and dealt by string. Marked runs return to all members of a class and are united per document.
 
@@ -37,7 +37,7 @@ from specspark.llm.shared import cut
 LENGTH, GRAM = 400, 32
 PARTS, FINE = 4, 23
 CROWD = 1024
-SHARD_BYTES = 1 << 20
+SHARD_BYTES, ANCHOR_BYTES = 1 << 20, 4 << 20
 _M = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -80,32 +80,33 @@ def anchors(h: np.ndarray, wide: int) -> np.ndarray:
     return np.flatnonzero(equal)
 
 
-#: The ranges of an anchor's place in a string: EDGES[j] up to EDGES[j + 1] - 1.
-EDGES = [(LENGTH - GRAM + 1) * j // PARTS for j in range(PARTS + 1)]
+def _edges(length: int) -> list[int]:
+    """The ranges of an anchor's place in a string: edges[j] up to edges[j + 1] - 1."""
+    return [(length - GRAM + 1) * j // PARTS for j in range(PARTS + 1)]
 
 
-def _core(text: bytes, p: int, near: int, far: int, size: int) -> int | None:
+def _core(text: bytes, p: int, near: int, far: int, size: int, length: int) -> int | None:
     """Hash of what all strings share that hold the anchor p at places near .. far, None if none of them is in the text."""
-    if max(near, p + LENGTH - size) > min(far, p):
+    if max(near, p + length - size) > min(far, p):
         return None
-    x = xxhash.xxh3_64_intdigest(text[p - near:p - far + LENGTH])
+    x = xxhash.xxh3_64_intdigest(text[p - near:p - far + length])
     return (x & 0xFFFFFFFF) - (1 << 31)
 
 
-def segments(text: bytes) -> dict[tuple[int, int], list]:
+def segments(text: bytes, length: int = LENGTH) -> dict[tuple[int, int], list]:
     """(anchor, hash of the segment) -> the anchor's positions, and the hashes of the cores of its ranges."""
     found: dict[tuple[int, int], list] = {}
-    if len(text) < LENGTH:
+    if len(text) < length:
         return found
     h = gram_hashes(np.frombuffer(text, np.uint8))
-    reach = LENGTH - GRAM
+    reach, edges = length - GRAM, _edges(length)
     for p in anchors(h, reach + 1).tolist():
         lo = max(0, p - reach)
-        own = (int(h[p]), xxhash.xxh3_64_intdigest(text[lo:p + LENGTH], seed=p - lo))
+        own = (int(h[p]), xxhash.xxh3_64_intdigest(text[lo:p + length], seed=p - lo))
         if own in found:
             found[own][0].append(p)
         else:
-            found[own] = [[p], [_core(text, p, EDGES[j], EDGES[j + 1] - 1, len(text)) for j in range(PARTS)]]
+            found[own] = [[p], [_core(text, p, edges[j], edges[j + 1] - 1, len(text), length) for j in range(PARTS)]]
     return found
 
 
@@ -256,8 +257,8 @@ def permuted_prefixes(text: np.ndarray, left: np.ndarray, order: np.ndarray) ->
     return np.minimum(out, np.minimum(left, np.where(has, left[prior], 0)))
 
 
-def repeated_starts(pieces: list[bytes], origin: np.ndarray, many: np.ndarray) -> list[np.ndarray]:
-    """For every piece the starts of strings of LENGTH bytes that occur at another origin too. origin: global number of each
+def repeated_starts(pieces: list[bytes], origin: np.ndarray, many: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
+    """For every piece the starts of strings of `length` bytes that occur at another origin too. origin: global number of each
     piece's first byte; many: pieces that stand for several."""
     sizes = np.array([len(p) for p in pieces])
     text = np.frombuffer(b"\0".join(pieces) + b"\0", np.uint8)
@@ -267,24 +268,24 @@ def repeated_starts(pieces: list[bytes], origin: np.ndarray, many: np.ndarray) -
     piece = np.repeat(np.arange(len(pieces)), sizes + 1)
     offset = np.arange(len(text)) - first[piece]
     left = sizes[piece] - offset
-    order = suffix_array(t, LENGTH)
-    long_ = permuted_prefixes(text, left, order)[order] >= LENGTH
+    order = suffix_array(t, length)
+    long_ = permuted_prefixes(text, left, order)[order] >= length
     group = np.cumsum(~long_)
     place = origin[piece[order]] + offset[order]
     edges = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
     spread = np.maximum.reduceat(place, edges) != np.minimum.reduceat(place, edges)
     several = np.maximum.reduceat(many[piece[order]], edges)
-    marked = (spread | several)[group - group[0]] & (left[order] >= LENGTH)
+    marked = (spread | several)[group - group[0]] & (left[order] >= length)
     hit = np.sort(order[marked])
     return [hit[np.searchsorted(hit, f):np.searchsorted(hit, f + s)] - f for f, s in zip(first, sizes)]
 
 
-def _runs(starts: np.ndarray) -> list[tuple[int, int]]:
-    """The union of the LENGTH-byte strings from rising starts."""
+def _runs(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
+    """The union of the strings of `length` bytes from rising starts."""
     if not len(starts):
         return []
-    gap = np.flatnonzero(starts[1:] > starts[:-1] + LENGTH)
-    return list(zip(starts[np.concatenate(([0], gap + 1))].tolist(), (starts[np.append(gap, len(starts) - 1)] + LENGTH).tolist()))
+    gap = np.flatnonzero(starts[1:] > starts[:-1] + length)
+    return list(zip(starts[np.concatenate(([0], gap + 1))].tolist(), (starts[np.append(gap, len(starts) - 1)] + length).tolist()))
 
 
 # ---- the job -----------------------------------------------------------------------------------------------------------------------
@@ -292,7 +293,7 @@ def _runs(starts: np.ndarray) -> list[tuple[int, int]]:
 RUNS = "array<struct<a:int,b:int>>"
 
 
-def _found_anchors(docs: DataFrame) -> DataFrame:
+def _found_anchors(docs: DataFrame, length: int) -> DataFrame:
     """One row for each (document, anchor, segment): doc, anchor, segment, places, size of the segment, cores."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,8 +303,8 @@ def _found_anchors(docs: DataFrame) -> DataFrame:
                 rows = []
                 for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                     raw = text.encode("utf-8", "surrogatepass")
-                    for (anchor, segment), (places, cores) in segments(raw).items():
-                        size = min(len(raw), places[0] + LENGTH) - max(0, places[0] - LENGTH + GRAM)
+                    for (anchor, segment), (places, cores) in segments(raw, length).items():
+                        size = min(len(raw), places[0] + length) - max(0, places[0] - length + GRAM)
                         rows.append((doc, _signed(anchor), _signed(segment), places, size, cores))
                 if rows:
                     c = list(zip(*rows))
@@ -324,25 +325,27 @@ def _shared_ranges(classes: DataFrame) -> DataFrame:
     active = each.join(common, ["anchor", "part", "core"]).groupBy("anchor", "segment").agg(
         F.min("part").alias("part_lo"), F.max("part").alias("part_hi"))
     # all classes of an anchor go the same way, as any two of them may share a string
-    crowds = common.groupBy("anchor").agg((F.max("n") > CROWD).alias("crowd"))
+    held = mixed.groupBy("anchor").agg(F.sum("size").alias("held"))
+    crowds = common.groupBy("anchor").agg(F.max("n").alias("most")).join(held, "anchor").select(
+        "anchor", ((F.col("most") > CROWD) | (F.col("held") > ANCHOR_BYTES)).alias("crowd"))
     return mixed.join(active, ["anchor", "segment"]).join(cut(crowds), "anchor")
 
 
-def _class_bytes(classes: DataFrame, docs: DataFrame) -> DataFrame:
+def _class_bytes(classes: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     """classes with the bytes of their ranges, rel (their first byte, from the anchor) and lo, its number: bytes of the corpus are
     numbered from the document's hash, and all that counts is whether two numbers are equal."""
     wanted = classes.groupBy(F.col("rep").alias("doc")).agg(
         F.collect_list(F.struct("anchor", "segment", "place", "many", "crowd", "part_lo", "part_hi")).alias("wanted"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["anchor", "segment", "many", "crowd", "rel", "lo", "bytes"]
+        names, edges = ["anchor", "segment", "many", "crowd", "rel", "lo", "bytes"], _edges(length)
         for b in batches:
             for i in range(b.num_rows):
                 raw = b.column(0)[i].as_py().encode("utf-8", "surrogatepass")
                 rows = b.column(1)[i].as_py()
                 place = np.array([r["place"] for r in rows], np.int64)
-                lows = np.maximum(place - [EDGES[r["part_hi"] + 1] - 1 for r in rows], 0)
-                ends = place - [EDGES[r["part_lo"]] for r in rows] + LENGTH
+                lows = np.maximum(place - [edges[r["part_hi"] + 1] - 1 for r in rows], 0)
+                ends = place - [edges[r["part_lo"]] for r in rows] + length
                 kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.bool_())
                 yield pa.RecordBatch.from_arrays(
                     [*(pa.array([r[n] for r in rows], k) for n, k in zip(names, kinds)), pa.array(lows - place, pa.int32()),
@@ -353,35 +356,35 @@ def _class_bytes(classes: DataFrame, docs: DataFrame) -> DataFrame:
         run, "anchor long, segment long, many boolean, crowd boolean, rel int, lo long, bytes binary")
 
 
-def _sorted_runs(pieces: DataFrame, total: int) -> DataFrame:
+def _sorted_runs(pieces: DataFrame, total: int, length: int) -> DataFrame:
     """anchor, segment, runs (from the anchor): repeated runs of the classes, from the suffix arrays of shards."""
     shards = max(1, -(-total // SHARD_BYTES))
 
     def build(b: pd.DataFrame) -> pd.DataFrame:
-        starts = repeated_starts(b["bytes"].tolist(), b["lo"].to_numpy(), b["many"].to_numpy())
-        runs = [[{"a": x + r, "b": y + r} for x, y in _runs(s)] for s, r in zip(starts, b["rel"].tolist())]
+        starts = repeated_starts(b["bytes"].tolist(), b["lo"].to_numpy(), b["many"].to_numpy(), length)
+        runs = [[{"a": x + r, "b": y + r} for x, y in _runs(s, length)] for s, r in zip(starts, b["rel"].tolist())]
         return pd.DataFrame({"anchor": b["anchor"], "segment": b["segment"], "runs": runs})[[bool(r) for r in runs]]
 
     return pieces.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInPandas(
         build, f"anchor long, segment long, runs {RUNS}")
 
 
-def _fine(raw: bytes, rel: int) -> Iterator[tuple[int, int, int, int, int | None]]:
+def _fine(raw: bytes, rel: int, length: int) -> Iterator[tuple[int, int, int, int, int | None]]:
     """The fine ranges of a piece: number, least and greatest place of the anchor in its strings, hash of all of it, hash of the core."""
-    near, far = -(rel + len(raw) - LENGTH), -rel
+    near, far = -(rel + len(raw) - length), -rel
     for q in range(max(near, 0) // FINE, far // FINE + 1):
         lo, hi = max(near, q * FINE), min(far, q * FINE + FINE - 1)
         if lo <= hi:
-            part = xxhash.xxh3_64_intdigest(raw[-rel - hi:-rel - lo + LENGTH], seed=hi)
-            yield q, lo, hi, _signed(part), _core(raw, -rel, q * FINE, q * FINE + FINE - 1, len(raw))
+            part = xxhash.xxh3_64_intdigest(raw[-rel - hi:-rel - lo + length], seed=hi)
+            yield q, lo, hi, _signed(part), _core(raw, -rel, q * FINE, q * FINE + FINE - 1, len(raw), length)
 
 
-def _counted_runs(pieces: DataFrame) -> DataFrame:
+def _counted_runs(pieces: DataFrame, length: int) -> DataFrame:
     """The same for the classes of crowded cores: finer ranges, and single strings of those that are not whole."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(a, s, m, *f) for a, s, m, r, raw in zip(*(c.to_pylist() for c in b.columns)) for f in _fine(raw, r)]
+            rows = [(a, s, m, *f) for a, s, m, r, raw in zip(*(c.to_pylist() for c in b.columns)) for f in _fine(raw, r, length)]
             if rows:
                 kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
@@ -398,8 +401,8 @@ def _counted_runs(pieces: DataFrame) -> DataFrame:
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for anchor, lo, rel, raw, wanted in zip(*(c.to_pylist() for c in b.columns)):
-                own = {q: (near, far) for q, near, far, _, _ in _fine(raw, rel)}
-                rows = [(anchor, w["q"], w["part"], w["several"], o, xxhash.xxh3_128_digest(raw[-rel - o:-rel - o + LENGTH]))
+                own = {q: (near, far) for q, near, far, _, _ in _fine(raw, rel, length)}
+                rows = [(anchor, w["q"], w["part"], w["several"], o, xxhash.xxh3_128_digest(raw[-rel - o:-rel - o + length]))
                         for w in wanted for o in range(own[w["q"]][0], own[w["q"]][1] + 1)]
                 c = list(zip(*rows))
                 both = np.frombuffer(b"".join(c[5]), np.int64).reshape(-1, 2)
@@ -414,31 +417,32 @@ def _counted_runs(pieces: DataFrame) -> DataFrame:
         "lo <> hi OR any").select("x", "y"))
     single = each.where("not several").join(again, ["x", "y"]).groupBy("anchor", "q", "part").agg(F.collect_list("o").alias("o"))
     known = cut(parts.select("anchor", "q", "part", "several").join(single, ["anchor", "q", "part"], "left").where("several OR o is not null"))
-    run = lambda near, far: F.struct((-far).alias("a"), (F.lit(LENGTH) - near).alias("b"))
+    run = lambda near, far: F.struct((-far).alias("a"), (F.lit(length) - near).alias("b"))
     runs = F.when(F.col("several"), F.array(run(F.col("near"), F.col("far")))).otherwise(F.transform("o", lambda o: run(o, o)))
     return fine.join(known, ["anchor", "q", "part"]).select("anchor", "segment", runs.alias("r")).groupBy("anchor", "segment").agg(
         F.flatten(F.collect_list("r")).alias("runs"))
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc, spans (rising, of bytes): what repeats in each document that has any. docs: doc (equal for repeated rows only), text."""
-    found = cut(_found_anchors(docs))
+    found = cut(_found_anchors(docs, length))
     first = F.min(F.struct("doc", F.col("places")[0].alias("place"), "size")).alias("first")
     classes = cut(found.groupBy("anchor", "segment").agg(F.sum(F.size("places")).alias("times"), first, F.first("cores").alias("cores")).select(
         "anchor", "segment", (F.col("times") > 1).alias("many"), F.col("first.doc").alias("rep"), F.col("first.place").alias("place"),
         F.col("first.size").alias("size"), "cores"))
-    pieces = cut(_class_bytes(_shared_ranges(classes), docs))
+    pieces = cut(_class_bytes(_shared_ranges(classes), docs, length))
     sizes = pieces.groupBy("crowd").agg(F.sum(F.length("bytes")).alias("n")).collect()
-    runs = _sorted_runs(pieces.where("not crowd"), sum(r["n"] for r in sizes if not r["crowd"]))
+    runs = _sorted_runs(pieces.where("not crowd"), sum(r["n"] for r in sizes if not r["crowd"]), length)
     if any(r["crowd"] for r in sizes):
-        runs = runs.unionByName(_counted_runs(pieces.where("crowd")))
-    lead = -F.least("place", F.lit(LENGTH - GRAM))
+        runs = runs.unionByName(_counted_runs(pieces.where("crowd"), length))
+    lead = -F.least("place", F.lit(length - GRAM))
     whole = classes.where("many").select("anchor", "segment", F.array(F.struct(lead.alias("a"), (lead + F.col("size")).alias("b"))).alias("runs"))
     some = runs.join(classes.select("anchor", "segment", "many"), ["anchor", "segment"]).where("not many").select("anchor", "segment", "runs")
     known = cut(whole.unionByName(some))
-    places = found.select("doc", "anchor", "segment", "places").join(known, ["anchor", "segment"]).select("doc", F.explode("places").alias("p"), "runs")
-    spans = places.select("doc", F.explode(F.transform("runs", lambda r: F.struct((F.col("p") + r["a"]).alias("a"), (F.col("p") + r["b"]).alias("b")))).alias("span"))
-    return spans.groupBy("doc").agg(F.array_sort(F.collect_set("span")).alias("spans"))
+    at = lambda p: F.transform("runs", lambda r: F.struct((p + r["a"]).alias("a"), (p + r["b"]).alias("b")))
+    spans = found.select("doc", "anchor", "segment", "places").join(known, ["anchor", "segment"]).select(
+        "doc", F.flatten(F.transform("places", at)).alias("spans"))
+    return spans.groupBy("doc").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
 
 
 def _kept(raw: bytes, spans: list[dict] | None) -> tuple[bytes, int]:
@@ -455,13 +459,14 @@ def _kept(raw: bytes, spans: list[dict] | None) -> tuple[bytes, int]:
     return b"".join([*out, raw[at:]]), runs
 
 
-def without_repeats(docs: DataFrame, text: str = "text", carry: list[str] | None = None) -> DataFrame:
+def without_repeats(docs: DataFrame, text: str = "text", carry: list[str] | None = None, length: int = LENGTH) -> DataFrame:
     """row (struct of the columns `carry`, all by default), n_bytes, n_removed, n_spans, kept (binary), kept_text (kept without the
-    parts of characters that a seam leaves): every row of docs without the bytes of strings that repeat anywhere. A row is known by a 64-bit hash of its columns `carry` and text."""
+    parts of characters that a seam leaves): every row of docs without the bytes of strings of `length` bytes (2 * GRAM at least) that
+    repeat anywhere. A row is known by a 64-bit hash of its columns `carry` and text."""
     carry = docs.columns if carry is None else carry
     whole = docs.select(F.xxhash64(*carry, text).alias("doc"), F.struct(*[c for c in carry if c != text]).alias("row"),
                         F.coalesce(text, F.lit("")).alias("text"))
-    spans = repeated_spans(whole.select("doc", "text"))
+    spans = repeated_spans(whole.select("doc", "text"), length)
     joined = whole.join(spans, "doc", "left").select("row", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -483,10 +488,10 @@ def without_repeats(docs: DataFrame, text: str = "text", carry: list[str] | None
     return joined.mapInArrow(run, f"row {row}, n_bytes long, n_removed long, n_spans long, kept binary, kept_text string")
 
 
-def shortened(docs: DataFrame, text: str = "text", count: str = "n_chars") -> DataFrame:
+def shortened(docs: DataFrame, text: str = "text", count: str = "n_chars", length: int = LENGTH) -> DataFrame:
     """docs with what stays of each text, columns as they came; `count`, where there is such a column, follows. Parts of
     characters left at a seam go too. Null texts become empty."""
-    rest = without_repeats(docs, text)
+    rest = without_repeats(docs, text, length=length)
     values = {text: F.col("kept_text")}
     if count in docs.columns:
         values[count] = F.char_length(values[text]).cast(docs.schema[count].dataType)

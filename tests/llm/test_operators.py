@@ -372,11 +372,12 @@ def _brute_repeats(texts, length=400):
     return out
 
 
-@pytest.mark.parametrize("crowd", [1024, 1])
-def test_repeats(docs, rows, nothing, monkeypatch, crowd):
+@pytest.mark.parametrize("crowd,length,held", [(1024, 400, 4 << 20), (1, 400, 4 << 20), (1024, 240, 2000), (1, 97, 4 << 20)])
+def test_repeats(docs, rows, nothing, monkeypatch, crowd, length, held):
     monkeypatch.setattr(suffix_dedup, "CROWD", crowd)
-    out = suffix_dedup.without_repeats(docs, carry=["doc_id"]).collect()
-    want = Counter((r.doc_id, *b) for r, b in zip(rows, _brute_repeats([r.text for r in rows])))
+    monkeypatch.setattr(suffix_dedup, "ANCHOR_BYTES", held)
+    out = suffix_dedup.without_repeats(docs, carry=["doc_id"], length=length).collect()
+    want = Counter((r.doc_id, *b) for r, b in zip(rows, _brute_repeats([r.text for r in rows], length)))
     assert Counter((r.row.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in out) == want
     if crowd > 1:
         rest = suffix_dedup.shortened(docs)
