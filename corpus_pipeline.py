@@ -10,6 +10,9 @@ from specspark.llm import circulant_minhash, entropy_mix, fit_packing, quality_g
 from specspark.llm.registry import table
 from specspark.llm.shared import cut
 
+#: A passage that may not repeat: 50 words of 4.8 bytes, separators included.
+PASSAGE_BYTES = 240
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go; it learns from the labels of the documents that are there."""
@@ -22,8 +25,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes of strings that repeat go; the documents stay."""
-    return suffix_dedup.shortened(docs)
+    """Bytes of strings of PASSAGE_BYTES that repeat go; the documents stay."""
+    return suffix_dedup.shortened(docs, length=PASSAGE_BYTES)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
