@@ -24,7 +24,7 @@ from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _ESCAPES = {"\\": "\\\\", "<": "\\l", ">": "\\g", "#": "\\h"}
@@ -121,12 +121,22 @@ def read_turn(piece: str) -> tuple[str, str]:
     return unescape(m[1]), unescape(m[2])
 
 
+def plain(escaped: Column) -> Column:
+    """unescape() as a column. No raw # is in an escaped text, so it can stand for the backslash until the other three are back."""
+    out = F.replace(escaped, F.lit("\\\\"), F.lit("#"))
+    for code, char in (("\\l", "<"), ("\\g", ">"), ("\\h", "\\")):
+        out = F.replace(out, F.lit(code), F.lit(char))
+    return F.translate(out, "#\\", "\\#")
+
+
 def digests(pieces: DataFrame, key: str = "conv_id") -> DataFrame:
     """What can be read back from formatted conversations: key, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars.
     pieces: key, turn, piece, mask. The pieces of a conversation stream by in order; only running digests are held."""
     kind = dict(pieces.dtypes)[key]
-    ordered = pieces.select(F.col(key).cast("string").alias("_k"), "turn", "piece", "mask").repartition("_k").sortWithinPartitions(
-        "_k", "turn", "piece")
+    role = F.regexp_extract("piece", "^<turn:([^<>]*)>", 1)
+    text = F.substr(F.col("piece"), F.length(role) + F.lit(8), F.length("piece") - F.length(role) - F.lit(15))
+    ordered = pieces.select(F.col(key).cast("string").alias("_k"), "turn", "piece", "mask", plain(role).alias("_role"), plain(text).alias(
+        "_text")).repartition("_k").sortWithinPartitions("_k", "turn", "_role", "_text").drop("_role", "_text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, state, out = False, None, []

@@ -339,6 +339,15 @@ def test_packing(docs, rows, nothing):
     assert fit_packing.pack(nothing).count() == 0
 
 
+def test_equal_turns_stand_by_role_and_text(spark):
+    texts = ["a!", "a", "aB", "a<", "a#", "a\\", "a\\h", "a#h", "a>", "a\\\\l", "a<l", "a\\<", ""]
+    rows = [(1, 0, role, [{"type": "text", "text": t}]) for t in texts for role in ("user", "user2", "assistant", "<")]
+    df = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts array<{chat_format.PART}>").repartition(3)
+    (out,) = chat_format.digests(chat_format.format_turns(df)).collect()
+    want = "".join(f"{role}\n{t}\n" for role, t in sorted((r[2], r[3][0]["text"]) for r in rows))
+    assert out.turns_sha256 == hashlib.sha256(want.encode()).hexdigest()
+
+
 def test_runs_of_bins_equal_single_bins():
     """Best fit on the histogram against best fit one piece at a time."""
     rng = random.Random(5)
