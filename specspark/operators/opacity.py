@@ -29,18 +29,18 @@ def line_strength(df: DataFrame) -> DataFrame:
     })
 
 
-def _passing(lam0: np.ndarray, x0: np.ndarray, a: list, dnud: list, ratio: list, step: float, n: int,
-             eps: float) -> tuple[np.ndarray, np.ndarray]:
+def _passing(lam0: np.ndarray, x0: np.ndarray, a: list, dnud: list, ratio: list, step: float | np.ndarray,
+             n: int | np.ndarray, eps: float) -> tuple[np.ndarray, np.ndarray]:
     """How many grid points in a row, red and blue of each line, have ratio*H(a, v) >= eps at some depth.
 
-    x0 is the line position in grid steps; red starts at floor(x0)+1, blue at floor(x0).  H falls with
+    step and n are those of the grid, or of each line's own piece of it; x0 is the line position in grid steps; red starts at floor(x0)+1, blue at floor(x0).  H falls with
     |v|, so the count is found by doubling and halving over the index, for all lines together.
     """
     sizes = np.array([len(v) for v in a])
     line = np.repeat(np.arange(len(a)), sizes)
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     a_, d_, r_ = (np.concatenate([np.asarray(v, float) for v in col]) for col in (a, dnud, ratio))
-    scale = step * C_ANGSTROM / (lam0[line] ** 2) / d_
+    scale = np.broadcast_to(step, lam0.shape)[line] * C_ANGSTROM / (lam0[line] ** 2) / d_
     most = np.int64(n + 2) + np.ceil(np.abs(np.where(x0 < 0, x0, np.maximum(x0 - n, 0)))).astype(np.int64)
 
     def passes(count: np.ndarray, first: np.ndarray, way: int, todo: np.ndarray) -> np.ndarray:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from specspark.functions import physics as P
 from specspark.operators import opacity as O
+from specspark.operators import synthesis as S
 from specspark.queries.common import LINE_KEY, rnd, table
 from specspark.registry import query
 
@@ -129,7 +130,7 @@ def _continuum(spark, d):
 @query("total_opacity", f"""WITH {POINTS_SQL}, {CONT_SQL}, un AS (SELECT k, j, kappa, 0.0 AS sigma FROM su UNION ALL SELECT k, j, kappa, sigma FROM ct)
 SELECT k, j, round(sum(kappa), 5) AS kappa, round(sum(sigma), 5) + 0.0 AS sigma FROM un GROUP BY 1, 2""")
 def total_opacity(spark, d):
-    t = O.total_opacity(O.opacity_sum(contributions(spark, d)), _continuum(spark, d))
+    t = O.total_opacity(_sums(spark, d), _continuum(spark, d))
     return t.select("k", "j", rnd("kappa", 5).alias("kappa"), rnd("sigma", 5).alias("sigma"))
 
 
@@ -141,7 +142,143 @@ B_SQL = f"(1 / ((exp(1.438769e8 / w / temp) - 1) * pow(w, 5) / 1.191044e27))"
  sb AS (SELECT *, {B_SQL} AS b FROM sw)
 SELECT k, j, round(log10(emissivity * b / kappa), 6) AS s_line, round(log10((emissivity * b + b * 2.5) / (kappa + 2.5)), 6) AS s_total FROM sb""")
 def source_function(spark, d):
-    op = O.opacity_sum(contributions(spark, d)).withColumn("cont", F.lit(2.5))
+    op = _sums(spark, d).withColumn("cont", F.lit(2.5))
     temp = F.element_at(F.array(*[F.lit(t) for t in TEMPS]), F.col("k") + 1)
     s = O.source_function(op, temp, F.lit(START) + F.col("j") * STEP, "cont")
     return s.select("k", "j", rnd(F.log10("s_line"), 6).alias("s_line"), rnd(F.log10("s_total"), 6).alias("s_total"))
+
+
+# --- sums in blocks, segments, and the whole chain ---------------------------------------------
+
+def _sums(spark, d, scattering=0.0):
+    """The same sums without a row for each line, point and depth."""
+    placed = S.regular_index(depth_lines(spark, d), START, STEP, N)
+    return S.block_opacity(placed, "wave", EPS, scattering=scattering).drop("seg_id")
+
+
+@query("opacity_blocks", f"WITH {POINTS_SQL} SELECT k, j, round(sum(kappa) * 0.9, 5) AS kappa, round(sum(kappa) * 0.1, 5) AS sigma FROM co GROUP BY 1, 2")
+def opacity_blocks(spark, d):
+    return _sums(spark, d, 0.1).select("k", "j", rnd("kappa", 5).alias("kappa"), rnd("sigma", 5).alias("sigma"))
+
+
+RESOLUTION, SEG_EPS = 20000.0, 1e-3
+SEGMENTS_SQL = f"""sg AS (SELECT seg_id, wmin, wmax, step, (ceil((wmax - wmin) / step) + 1)::BIGINT AS n
+   FROM (SELECT *, (wmin + wmax) / 2.0 / {RESOLUTION} AS step FROM (SELECT p_partkey AS seg_id, p_retailprice + 4000 AS wmin, p_retailprice + 4000 + p_size AS wmax FROM part))),
+ li AS (SELECT row_number() OVER () AS id, l_suppkey AS species_id, l_extendedprice AS wave, pow(10.0, l_tax * -20) AS gf, l_discount * 50 AS chi_low,
+   CASE WHEN l_linenumber % 2 = 0 THEN 'R' ELSE 'U' END AS recipe, 1e8 * l_quantity AS gam_rad, l_quantity / 20 AS fdamp, -30.0 - l_discount * 10 AS log_c6 FROM lineitem),
+ pl AS (SELECT id, min(seg_id) AS seg_id FROM li JOIN sg ON wave >= wmin AND wave <= wmax GROUP BY id),
+ sl AS (SELECT li.*, sg.seg_id, wmin AS start, step, n FROM li JOIN pl USING (id) JOIN sg USING (seg_id))"""
+# five layers from region, one species a supplier, a continuum from nation
+LAYERS_SQL = """dp AS (SELECT r_regionkey AS k, 4200.0 + 600 * r_regionkey AS temp, 5e6 * (1 + 0.1 * r_regionkey) AS xi, 0.01 * (1 + r_regionkey) AS ross,
+   1e4 * (1 + r_regionkey) AS pg FROM region),
+ sp AS (SELECT s_suppkey AS species_id, 1.6735e-24 * (1 + s_nationkey) AS mass, 1e10 * (1 + s_suppkey % 7) AS number, 20.0 + s_nationkey % 3 AS q FROM supplier),
+ ct AS (SELECT 4850.0 + 52.0 * n_nationkey AS x, 1e-3 * (1 + n_nationkey / 25.0) AS c FROM nation)"""
+BESIDE_SQL = """(SELECT s.id, CASE WHEN s.wave <= (SELECT min(x) FROM ct) THEN (SELECT c FROM ct ORDER BY x LIMIT 1)
+   ELSE coalesce(ct.c, (SELECT c FROM ct ORDER BY x DESC LIMIT 1)) END AS c FROM sl s ASOF LEFT JOIN ct ON s.wave < ct.x)"""
+CHAIN_SQL = f"""{SEGMENTS_SQL}, {LAYERS_SQL}, be AS {BESIDE_SQL},
+ l0 AS (SELECT sl.*, dp.k, dp.temp, sqrt(2 * 1.38066e-16 * dp.temp / sp.mass + dp.xi * dp.xi) / (sl.wave * 1e-8) AS dnud, dp.ross, dp.pg * 0.9 AS ph,
+   sp.number * (dp.k + 1) / (sp.q + dp.k) AS n_q, be.c * (1 + dp.k) AS cont,
+   1 - exp(-(6.6256e-27 * 2.9979e10 / 1.38066e-16) / (sl.wave * 1e-8) / dp.temp) AS stim FROM sl JOIN sp USING (species_id) JOIN be USING (id), dp),
+ l1 AS (SELECT *, gam_rad + CASE WHEN recipe = 'R' THEN 0 ELSE pow(10.0, 8.6735 + 0.7 * log10(5040 / temp) + log10(ph) + 0.4 * log_c6) * 1e8
+     * (1 + 0.1 * 0.41336 + 0.01 * 0.85) * fdamp END AS gamma,
+   sqrt(pi()) * 4.80298e-10 * 4.80298e-10 / 9.1091e-28 / 2.9979e10 * gf * n_q * pow(10.0, -chi_low * 5040 / temp) / dnud / ross AS strength FROM l0),
+ ld AS (SELECT id, seg_id, wave, start, step, n, k, temp, dnud, gamma / (4 * pi() * dnud) AS a, strength * stim AS kappa0, strength * stim AS emis0,
+   strength * stim / cont AS ratio FROM l1),
+ pt AS (SELECT *, unnest(range(n)) AS j FROM ld),
+ pv AS (SELECT *, (start + j * step - wave) * 2.9979e18 / (wave * wave) / dnud AS v FROM pt),
+ vo AS ({voigt_sql('pv')}),
+ pk AS (SELECT id, j, max(ratio * voigt) >= {SEG_EPS} AS ok FROM vo GROUP BY ALL)"""
+#: The walk, told by what it does: out to the red until a point fails, then as far to the blue, or on to the blue point by point.
+WALK_SQL = """wf AS (SELECT DISTINCT id, n, (wave - start) / step AS x0, least(floor((wave - start) / step)::BIGINT + 1, n - 1) AS f FROM sl),
+ wr AS (SELECT wf.id, wf.n, x0, f, min(pk.j) FILTER (WHERE NOT ok AND pk.j >= f) AS stop, max(pk.j) FILTER (WHERE NOT ok AND pk.j < f) AS down,
+   min(pk.j) FILTER (WHERE NOT ok) AS any_stop FROM wf JOIN pk USING (id) GROUP BY ALL),
+ wk AS (SELECT id, CASE WHEN x0 <= 0 THEN 0 WHEN stop IS NULL THEN coalesce(down, 0) ELSE greatest(f - (stop - f + 1) - 2, 0) END AS lo,
+   CASE WHEN x0 <= 0 THEN coalesce(any_stop, n - 1) ELSE coalesce(stop, n - 1) END AS hi FROM wr)"""
+
+
+def _segments(spark, d):
+    seg = table(spark, d, "part").select(
+        F.col("p_partkey").alias("seg_id"), (F.col("p_retailprice") + 4000).alias("wmin"),
+        (F.col("p_retailprice") + 4000 + F.col("p_size")).alias("wmax"))
+    return S.segment_index(seg, RESOLUTION)
+
+
+def _line_list(spark, d):
+    c = F.col
+    return table(spark, d, "lineitem").select(
+        c("l_suppkey").alias("species_id"), c("l_extendedprice").alias("wave"), F.pow(F.lit(10.0), c("l_tax") * -20).alias("gf"),
+        (c("l_discount") * 50).alias("chi_low"), F.when(c("l_linenumber") % 2 == 0, "R").otherwise("U").alias("recipe"),
+        (F.lit(1e8) * c("l_quantity")).alias("gam_rad"), (c("l_quantity") / 20).alias("fdamp"),
+        (F.lit(-30.0) - c("l_discount") * 10).alias("log_c6"), F.lit(None).cast("double").alias("sigma"), F.lit(None).cast("double").alias("alpha"))
+
+
+def _layers(spark, d):
+    k = F.col("r_regionkey")
+    pg = F.lit(1e4) * (1 + k)
+    return table(spark, d, "region").select(
+        k.alias("k"), (F.lit(4200.0) + 600 * k).alias("temp"), (F.lit(5e6) * (1 + 0.1 * k)).alias("xi"), (F.lit(0.01) * (1 + k)).alias("ross"),
+        pg.alias("pg"), (pg * 0.9).alias("ph"), (pg * 0.9 * 0.1).alias("phe"), (pg * 0.9 * 0.01).alias("ph2"))
+
+
+def _species(spark, d):
+    layers = F.sequence(F.lit(0), F.lit(4))
+    return table(spark, d, "supplier").select(
+        F.col("s_suppkey").alias("species_id"), (F.lit(1.6735e-24) * (1 + F.col("s_nationkey"))).alias("mass"),
+        F.transform(layers, lambda k: F.lit(1e10) * (1 + F.col("s_suppkey") % 7) * (k + 1)).alias("number"),
+        F.transform(layers, lambda k: F.lit(20.0) + F.col("s_nationkey") % 3 + k).alias("q"))
+
+
+def _continuum_rows(spark, d):
+    k = F.sequence(F.lit(0), F.lit(4))
+    return table(spark, d, "nation").select(
+        (F.lit(4850.0) + 52.0 * F.col("n_nationkey")).alias("x"),
+        F.transform(k, lambda i: F.lit(1e-3) * (1 + F.col("n_nationkey") / 25.0) * (1 + i)).alias("cont"))
+
+
+def _chain(spark, d, mode):
+    """Lines, segments, populations and continuum to opacity sums."""
+    placed = S.place_lines(_line_list(spark, d), "wave", _segments(spark, d))
+    strong = S.line_depths(placed, S.pack_depths(_layers(spark, d), _species(spark, d)))
+    beside = S.continuum_beside(strong, "wave", _continuum_rows(spark, d), ["cont"])
+    ready = beside.withColumn("ratio", F.zip_with("kappa0", "cont", lambda a, b: a / b))
+    return S.block_opacity(ready, "wave", SEG_EPS, mode)
+
+
+@query("segment_index", f"""WITH {SEGMENTS_SQL} SELECT seg_id, round(step, 9) AS step, n,
+ coalesce(sum(n) OVER (ORDER BY seg_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first FROM sg""")
+def segment_index(spark, d):
+    return _segments(spark, d).select("seg_id", rnd("step", 9).alias("step"), "n", "first")
+
+
+@query("segment_opacity", f"""WITH {CHAIN_SQL} SELECT seg_id, j, k, round(log10(sum(kappa0 * voigt)), 4) + 0.0 AS kappa FROM vo JOIN pk USING (id, j) WHERE ok GROUP BY 1, 2, 3""")
+def segment_opacity(spark, d):
+    return _chain(spark, d, "symmetric").select("seg_id", "j", "k", (rnd(F.log10("kappa"), 4) + 0.0).alias("kappa"))
+
+
+@query("segment_opacity_walk", f"""WITH {CHAIN_SQL}, {WALK_SQL}
+SELECT seg_id, j, k, round(log10(sum(kappa0 * voigt)), 4) + 0.0 AS kappa FROM vo JOIN wk USING (id) WHERE j BETWEEN lo AND hi GROUP BY 1, 2, 3""")
+def segment_opacity_walk(spark, d):
+    return _chain(spark, d, "compat").select("seg_id", "j", "k", (rnd(F.log10("kappa"), 4) + 0.0).alias("kappa"))
+
+
+@query("lines_to_source_function", f"""WITH {CHAIN_SQL},
+ su AS (SELECT seg_id, j, k, any_value(start + j * step) AS w, any_value(temp) AS temp, sum(kappa0 * voigt) AS kappa, sum(emis0 * voigt) AS emissivity
+   FROM vo JOIN pk USING (id, j) WHERE ok GROUP BY 1, 2, 3),
+ sb AS (SELECT *, {B_SQL} AS b, 1e-3 * (1 + k) AS cont FROM su)
+SELECT seg_id, j, k, round(log10(emissivity * b / kappa), 4) + 0.0 AS s_line, round(log10((emissivity * b + b * cont) / (kappa + cont)), 4) + 0.0 AS s_total FROM sb""")
+def lines_to_source_function(spark, d):
+    op = _chain(spark, d, "symmetric").join(_segments(spark, d).select("seg_id", F.col("wmin").alias("start"), "step"), "seg_id")
+    op = op.join(_layers(spark, d).select("k", "temp"), "k").withColumn("cont", F.lit(1e-3) * (1 + F.col("k")))
+    s = O.source_function(op, F.col("temp"), F.col("start") + F.col("j") * F.col("step"), "cont")
+    return s.select("seg_id", "j", "k", (rnd(F.log10("s_line"), 4) + 0.0).alias("s_line"), (rnd(F.log10("s_total"), 4) + 0.0).alias("s_total"))
+
+
+@query("continuum_beside", """WITH ct AS (SELECT p_retailprice * 50 AS x, avg(p_size) AS c FROM part GROUP BY 1),
+ b AS (SELECT l.*, CASE WHEN l_extendedprice <= (SELECT min(x) FROM ct) THEN (SELECT c FROM ct ORDER BY x LIMIT 1)
+   ELSE coalesce(ct.c, (SELECT c FROM ct ORDER BY x DESC LIMIT 1)) END AS c FROM lineitem l ASOF LEFT JOIN ct ON l_extendedprice < ct.x)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey AS species_id, l_extendedprice AS wave, round(c, 6) AS c0, round(c * 1.5, 6) AS c1 FROM b""")
+def continuum_beside(spark, d):
+    rows = table(spark, d, "part").groupBy((F.col("p_retailprice") * 50).alias("x")).agg(F.avg("p_size").alias("c"))
+    rows = rows.select("x", F.array(F.col("c"), F.col("c") * 1.5).alias("cont"))
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_suppkey").alias("species_id"), F.col("l_extendedprice").alias("wave"))
+    return S.continuum_beside(li, "wave", rows, ["cont"]).select(*LINE_KEY, rnd(F.col("cont")[0], 6).alias("c0"), rnd(F.col("cont")[1], 6).alias("c1"))
