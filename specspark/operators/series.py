@@ -139,8 +139,8 @@ def attach_interval(targets: DataFrame, x_t: str, intervals: DataFrame, x: str,
     """Give every target the interval row whose [x, next x) holds it; the first interval of a series
     also takes targets below it.  ``intervals`` needs ``_hi`` (null on the last) and ``_lowest``.
 
-    A table counted to hold at most SMALL_TABLE_ROWS rows is broadcast (``small`` says the caller has
-    counted it; without a key it is counted here).  A larger one without a key that still fits a broadcast
+    A table counted to hold at most SMALL_TABLE_ROWS rows (``small`` says the caller has counted it; without
+    a key it is counted here) becomes a sorted array that every target searches by halving.  A larger one without a key that still fits a broadcast
     is hashed on equal-width buckets.  Otherwise table and targets are merged on (key, x) and the last
     table row is carried onto the targets: one shuffle, no pair of rows is ever formed, and hot keys are
     cut by ``arrange``.
@@ -148,17 +148,7 @@ def attach_interval(targets: DataFrame, x_t: str, intervals: DataFrame, x: str,
     if small is None:
         small = not key and fits(intervals, SMALL_TABLE_ROWS)
     if small:
-        table = F.broadcast(intervals.select(
-            *[F.col(k).alias(f"_k_{k}") for k in key],
-            F.when(F.col("_lowest"), F.lit(float("-inf"))).otherwise(F.col(x)).alias("_from"),
-            F.coalesce(F.col("_hi"), F.lit(float("inf"))).alias("_to"),
-            F.struct(*payload).alias("_hit")))
-        t = F.col(x_t)
-        # +inf itself stays in the last interval
-        on = (t >= F.col("_from")) & ((t < F.col("_to")) | (F.col("_to") == float("inf")))
-        for k in key:
-            on = on & (F.col(k) == F.col(f"_k_{k}"))
-        return targets.join(table, on, "left").drop("_from", "_to", *[f"_k_{k}" for k in key])
+        return _searched(targets, F.col(x_t), intervals, x, key, payload)
     if not key:
         spread = _bucketed(intervals, x, payload)
         if spread is not None:
@@ -178,6 +168,31 @@ def attach_interval(targets: DataFrame, x_t: str, intervals: DataFrame, x: str,
     return merged.select(*key, "_t.*", F.when(F.col("_x").isNotNull(), F.col("_at")).alias("_hit"))
 
 
+def _searched(targets: DataFrame, t: Column, intervals: DataFrame, x: str, key: Sequence[str], payload: Sequence[str]) -> DataFrame:
+    """targets with _hit from one array of the intervals in the order of key and start, a scalar subquery: no target meets more
+    rows than a search by halving takes."""
+    types = dict(intervals.dtypes)
+
+    def at(start: Column) -> Column:
+        return F.struct(*[F.col(k).cast(types[k]).alias(f"k{i}") for i, k in enumerate(key)], start.cast("double").alias("start"))
+
+    start = F.when(F.col("_lowest"), F.lit(float("-inf"))).otherwise(F.col(x).cast("double"))
+    row = F.struct(at(start).alias("at"), F.coalesce(F.col("_hi").cast("double"), F.lit(float("inf"))).alias("stop"),
+                   F.struct(*payload).alias("hit"))
+    # of intervals with one start only the last has any width
+    table = intervals.select(row.alias("r")).agg(F.sort_array(F.collect_list("r")).alias("rows"))
+    df = targets.withColumns({"_rows": table.scalar(), "_probe": at(t)})
+    steps = F.array(*[F.lit(2**b) for b in range(SMALL_TABLE_ROWS.bit_length(), -1, -1)])
+    found = F.aggregate(steps, F.lit(0), lambda n, step: F.when(
+        F.get("_rows", n + step - 1)["at"] <= F.col("_probe"), n + step).otherwise(n))
+    df = df.withColumn("_row", F.get("_rows", found - 1)).drop("_rows", "_probe")
+    inside = (t < F.col("_row.stop")) | (F.col("_row.stop") == float("inf"))
+    for i, k in enumerate(key):
+        inside = inside & (F.col("_row.at")[f"k{i}"] == F.col(k))
+    # neither a null target nor a null key lies in an interval
+    return df.withColumn("_hit", F.when(inside & t.isNotNull(), F.col("_row.hit"))).drop("_row")
+
+
 def _bucketed(intervals: DataFrame, x: str, payload: Sequence[str]):
     """(intervals copied to the equal-width buckets they touch, bucket expression), or None when there are too
     many intervals for a broadcast or too many of them in one bucket."""
