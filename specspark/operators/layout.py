@@ -3,7 +3,8 @@
 A plain ``Window.partitionBy(key).orderBy(x)`` puts every row of a key into one
 task.  ``arrange`` measures the keys first.  If none holds more than
 ``rows_per_chunk`` rows the plain window is the best plan (one shuffle).
-Otherwise the hot keys are cut along x into chunks of about that size, and each
+Otherwise the hot keys are cut into chunks of about that size at quantiles of their
+whole order (so neither an outlier nor equal x can fill one chunk), and each
 operator here becomes a two-level scan: a window inside (key, chunk), a partial
 aggregate per chunk, a window over the few chunk rows, and an equi-join back on
 (key, chunk), which the first window has already partitioned.
@@ -21,7 +22,9 @@ from pyspark.sql.window import WindowSpec
 
 ROWS_PER_CHUNK = 1_000_000
 ROWS_PER_UNKEYED_CHUNK = 100_000
-BINS_PER_CHUNK = 16
+SAMPLES_PER_CHUNK = 64
+MAX_CHUNKS = 8192  # of one key; beyond it chunks grow
+MAX_HOT_KEYS = 10_000
 MAX_BROADCAST_ROWS = 200_000
 
 
@@ -76,44 +79,40 @@ class Layout:
 
 def arrange(df: DataFrame, key: Sequence[str], order: Sequence[str],
             rows_per_chunk: int = ROWS_PER_CHUNK) -> Layout:
-    """Choose the layout of a series: plain keys, or keys cut into chunks along order[0].
+    """Choose the layout of a series: plain keys, or hot keys cut into chunks along the order.
 
-    order[0] is numeric and not null; the whole of ``order`` is a total order in a key.
+    order[0] is not null; the whole of ``order`` is a total order in a key.  Cuts are quantiles of a sample
+    by a hash of the order, SAMPLES_PER_CHUNK a chunk, so every evaluation of the plan gives a row the same chunk.
     """
     key, order, added = tuple(key), tuple(order), ()
     if not key:
         # the whole table is one series, so cut it earlier to keep many tasks busy
         df, key, added = df.withColumn("_all", F.lit(0)), ("_all",), ("_all",)
         rows_per_chunk = min(rows_per_chunk, ROWS_PER_UNKEYED_CHUNK)
-    x = F.col(order[0]).cast("double")
-    finite = F.when(F.abs(x) < float("inf"), x)
-    sizes = (
-        df.groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(finite).alias("_lo"), F.max(finite).alias("_hi"))
-        .filter(F.col("_n") > rows_per_chunk)
-        .withColumn("_bins", F.ceil(F.col("_n") / F.lit(rows_per_chunk)) * BINS_PER_CHUNK)
-    )
-    hot = sizes.limit(MAX_BROADCAST_ROWS + 1).collect()
+    chunks = F.least(F.ceil(F.col("_n") / F.lit(rows_per_chunk)), F.lit(MAX_CHUNKS))
+    sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_chunk)
+    sizes = sizes.withColumn("_rows", F.floor(F.col("_n") / chunks)).select(
+        *key, F.greatest(F.floor(F.col("_rows") / SAMPLES_PER_CHUNK), F.lit(1)).alias("_stride"), "_rows", chunks.alias("_chunks"))
+    hot = sizes.limit(MAX_HOT_KEYS + 1).collect()
     if not hot:
         return Layout(df, key, order, False, added)
-    listed = len(hot) <= MAX_BROADCAST_ROWS
-    hot_df = F.broadcast(df.sparkSession.createDataFrame(hot, sizes.schema)) if listed else sizes
-    share = F.when(F.col("_hi") > F.col("_lo"), (x - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))).otherwise(0.0)
-    share = F.greatest(F.least(share, F.lit(1.0)), F.lit(0.0))
-    fine = F.when(F.col("_n").isNotNull(), F.least(F.floor(share * F.col("_bins")), F.col("_bins") - 1)).otherwise(-1)
-    binned = df.join(hot_df, list(key), "left").withColumn("_fine", fine).drop("_n", "_lo", "_hi", "_bins")
-    before = Window.partitionBy(*key).orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1)
-    chunks = (
-        binned.filter("_fine >= 0").groupBy(*key, "_fine").agg(F.count(F.lit(1)).alias("_m"))
-        .withColumn("_chunk", F.floor(F.coalesce(F.sum("_m").over(before), F.lit(0)) / F.lit(rows_per_chunk)))
-        .drop("_m")
-    )
-    if listed and sum(r["_bins"] for r in hot) <= MAX_BROADCAST_ROWS:
-        chunks = F.broadcast(chunks)
-    cut = (
-        binned.join(chunks, [*key, "_fine"], "left").drop("_fine")
-        .withColumn("_chunk", F.coalesce("_chunk", F.lit(0).cast("bigint")))
-    )
+    spark = df.sparkSession
+    listed = len(hot) <= MAX_HOT_KEYS
+    place = F.struct(*[F.col(c) for c in order])
+    if added:
+        sampled = df.withColumns({"_stride": F.lit(hot[0]["_stride"]), "_rows": F.lit(hot[0]["_rows"])})
+    else:
+        sampled = df.join(F.broadcast(spark.createDataFrame(hot, sizes.schema)) if listed else sizes, list(key))
+    sampled = sampled.filter(F.pmod(F.xxhash64(*order), F.col("_stride")) == 0)
+    every = F.greatest(F.floor(F.col("_rows") / F.col("_stride")), F.lit(1))
+    cuts = sampled.groupBy(*key).agg(F.sort_array(F.collect_list(place)).alias("_s"), F.first(every).alias("_every"))
+    cuts = cuts.select(*key, F.filter("_s", lambda v, i: (i > 0) & (i % F.col("_every") == 0)).alias("_cuts"))
+    if listed and sum(r["_chunks"] for r in hot) <= MAX_BROADCAST_ROWS // 4:
+        cuts = F.broadcast(spark.createDataFrame(cuts.collect(), cuts.schema))
+    with_cuts = df.withColumn("_cuts", cuts.select("_cuts").scalar()) if added else df.join(cuts, list(key), "left")
+    steps = F.array(*[F.lit(2**b) for b in range(MAX_CHUNKS.bit_length(), -1, -1)])
+    below = F.aggregate(steps, F.lit(0), lambda n, step: F.when(F.get("_cuts", n + step - 1) <= F.col("_at"), n + step).otherwise(n))
+    cut = with_cuts.withColumn("_at", place).withColumn("_chunk", F.coalesce(below, F.lit(0)).cast("bigint")).drop("_cuts", "_at")
     return Layout(cut, key, order, True, added)
 
 

@@ -157,12 +157,14 @@ def attach_interval(targets: DataFrame, x_t: str, intervals: DataFrame, x: str,
             on = (hit["_bucket"] == table["_tb"]) & (t >= F.col("_from")) & ((t < F.col("_to")) | (F.col("_to") == float("inf")))
             return hit.join(F.broadcast(table), on, "left").drop("_bucket", "_tb", "_from", "_to")
     carried = [c for c in targets.columns if c not in key]
-    left = targets.select(*key, F.col(x_t).cast("double").alias("_x"), F.lit(1).alias("_kind"),
+    # targets at one x need no order, but a third column lets chunks part them
+    hashed = [c for c in carried if "map<" not in dict(targets.dtypes)[c]]
+    left = targets.select(*key, F.col(x_t).cast("double").alias("_x"), F.lit(1).alias("_kind"), F.xxhash64(*hashed).alias("_tie"),
                           F.struct(*carried).alias("_t"), F.lit(None).alias("_hit"))
     start = F.when(F.col("_lowest"), F.lit(float("-inf"))).otherwise(F.col(x).cast("double"))
-    right = intervals.select(*key, start.alias("_x"), F.lit(0).alias("_kind"),
+    right = intervals.select(*key, start.alias("_x"), F.lit(0).alias("_kind"), F.lit(0).cast("bigint").alias("_tie"),
                              F.lit(None).alias("_t"), F.struct(*payload).alias("_hit"))
-    lay = _lay(right.unionByName(left), key, ["_x", "_kind"], rows_per_chunk)
+    lay = _lay(right.unionByName(left), key, ["_x", "_kind", "_tie"], rows_per_chunk)
     merged = fill(lay, "_hit", "_at").df.filter("_kind = 1")
     # a null target lies in no interval, whichever way the table is joined
     return merged.select(*key, "_t.*", F.when(F.col("_x").isNotNull(), F.col("_at")).alias("_hit"))

@@ -1,10 +1,12 @@
 """A series cut into chunks gives the same rows as the plain window."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from specspark.operators import series as S
-from specspark.operators.layout import arrange, following
+from specspark import queries  # noqa: F401
+from specspark.operators.layout import arrange, following, row_numbers
 from specspark.queries.common import series
 
 KEY = ["user_id"]
@@ -101,3 +103,30 @@ def test_following_over_short_chunks(spark):
     lay = following(arrange(df, KEY, ["x"], 2), "event_id", 3, "after")
     assert lay.split
     assert all(r["after"] == list(range(r["event_id"] + 1, min(r["event_id"] + 4, 200))) for r in lay.df.collect())
+
+
+@pytest.mark.parametrize("shape", ["outlier", "equal", "steps", "even"])
+@pytest.mark.parametrize("key", [KEY, []])
+def test_no_chunk_holds_twice_its_rows(spark, shape, key):
+    """However x is spread, and with the rest of the order alone where x is equal."""
+    x = {"outlier": F.when(F.col("id") == 0, 1e15).otherwise(F.col("id") / 1e6), "equal": F.lit(5.0),
+         "steps": F.floor(F.col("id") / 25_000) * 1.0, "even": F.col("id") * 1.0}[shape]
+    df = spark.range(100_000).select(F.lit(1).alias("user_id"), x.alias("x"), "id")
+    lay = arrange(df, key, ["x", "id"], 1000)
+    counts = [r["count"] for r in lay.df.groupBy("_chunk").count().collect()]
+    assert lay.split and sum(counts) == 100_000 and max(counts) <= 2000 and len(counts) >= 80
+    numbered = row_numbers(lay, "place").done()
+    assert numbered.agg(F.countDistinct("place"), F.min("place"), F.max("place")).first()[:] == (100_000, 1, 100_000)
+    after = F.lead(F.struct("x", "id")).over(Window.orderBy("place"))
+    assert numbered.withColumn("after", after).filter(F.struct("x", "id") >= F.col("after")).isEmpty()
+
+
+NO_PAIRS = ["trilinear", "interp2d", "limb_profile", "assign_segment", "interp_linear_2", "filter_on_spectrum", "bracket"]
+
+
+@pytest.mark.parametrize("name", NO_PAIRS)
+def test_intervals_are_found_without_pairs(spark, sf, name):
+    from specspark.registry import QUERIES
+
+    plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
