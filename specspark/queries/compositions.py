@@ -63,11 +63,11 @@ def isotope_override(spark, d):
     return _isotopes(spark, d).select("z", "a", rnd("frac", 8).alias("frac"), rnd("mass", 5).alias("mass"))
 
 
-@query("isotope_mean_mass", f"""WITH {ISO_SQL}, m AS (SELECT z, sum(frac * mass) AS mix FROM ov WHERE mass > 52 GROUP BY 1)
+@query("isotope_mean_mass", f"""WITH {ISO_SQL}, m AS (SELECT z, sum(frac * mass) AS mix FROM ov GROUP BY 1)
 SELECT s_suppkey AS z, round(coalesce(nullif(mix, 0), s_acctbal), 4) AS mass FROM supplier LEFT JOIN m ON s_suppkey = z""")
 def isotope_mean_mass(spark, d):
     default = table(spark, d, "supplier").select(F.col("s_suppkey").alias("z"), F.col("s_acctbal").alias("mass"))
-    return C.mean_mass(_isotopes(spark, d).filter("mass > 52"), default).select("z", rnd("mass").alias("mass"))
+    return C.mean_mass(_isotopes(spark, d), default).select("z", rnd("mass").alias("mass"))
 
 
 @query("molecule_mass", """WITH ma AS (SELECT s_suppkey AS z, 0 AS a, 1 + s_suppkey * 2.0137::DOUBLE AS mass FROM supplier),

@@ -165,7 +165,7 @@ BROAD_SQL = """tb AS (SELECT r AS recipe, i1, i2, 100.0::DOUBLE + i1 * i2 + k *
    CASE l_linenumber WHEN 1 THEN 's' WHEN 2 THEN 'p' WHEN 3 THEN 'd' WHEN 4 THEN 'p' WHEN 5 THEN 'd' WHEN 6 THEN 'f' ELSE 'x' END AS lo,
    CASE l_linenumber WHEN 1 THEN 'p' WHEN 2 THEN 's' WHEN 3 THEN 'p' WHEN 4 THEN 'd' WHEN 5 THEN 'f' WHEN 6 THEN 'd' ELSE 'x' END AS up,
    8.0 - 5.03 * l_discount * 10 AS chi_low, 8.0 - 3.07 * l_tax * 12.5 - 0.6 AS chi_up FROM lineitem),
- bn AS (SELECT *, 1 / sqrt((8.0 - chi_low) / 13.595) AS nlo, 1 / sqrt((8.0 - chi_up) / 13.595) AS nup FROM bl WHERE chi_low < 8 AND chi_up < 8),
+ bn AS (SELECT *, CASE WHEN chi_low < 8 THEN 1 / sqrt((8.0 - chi_low) / 13.595) END AS nlo, CASE WHEN chi_up < 8 THEN 1 / sqrt((8.0 - chi_up) / 13.595) END AS nup FROM bl),
  br AS (SELECT *, CASE WHEN lo = 's' AND up = 'p' AND nlo BETWEEN 1.0 AND 3.0 AND nup BETWEEN 1.3 AND 3.0 OR lo = 'p' AND up = 's' AND nup BETWEEN 1.0 AND 3.0 AND nlo BETWEEN 1.3 AND 3.0 THEN 'A'
    WHEN lo = 'p' AND up = 'd' AND nlo BETWEEN 1.3 AND 3.0 AND nup BETWEEN 2.3 AND 4.0 OR lo = 'd' AND up = 'p' AND nup BETWEEN 1.3 AND 3.0 AND nlo BETWEEN 2.3 AND 4.0 THEN 'B'
    WHEN lo = 'd' AND up = 'f' AND nlo BETWEEN 2.3 AND 4.0 AND nup BETWEEN 3.3 AND 5.0 OR lo = 'f' AND up = 'd' AND nup BETWEEN 2.3 AND 4.0 AND nlo BETWEEN 3.3 AND 5.0 THEN 'C' END AS recipe,
@@ -191,7 +191,7 @@ def _broadened(spark, d):
         pick("spdpdf").alias("lev_lo"), pick("pspdfd").alias("lev_up"),
         (F.lit(8.0) - F.lit(5.03) * F.col("l_discount") * 10).alias("chi_low"),
         (F.lit(8.0) - F.lit(3.07) * F.col("l_tax") * 12.5 - 0.6).alias("chi_up"), F.lit(8.0).alias("chi_ion"), F.lit(1).alias("ion"))
-    return L.broadening_table(df, tables).filter("chi_low < 8 AND chi_up < 8")
+    return L.broadening_table(df, tables)
 
 
 @query("table_bilinear", f"""WITH {BROAD_SQL} SELECT {KEY_SQL}, CASE WHEN sigma IS NOT NULL THEN recipe END AS recipe,
@@ -202,7 +202,7 @@ def table_bilinear(spark, d):
 
 
 @query("p_state_fallback", f"""WITH {BROAD_SQL},
- pf AS (SELECT *, sigma IS NULL AND lo = 'd' AND up = 'p' AND nlo < 2.0 AND nup BETWEEN 2.6 AND 3.0 AS hit FROM bv)
+ pf AS (SELECT *, coalesce(sigma IS NULL AND lo = 'd' AND up = 'p' AND nlo < 2.0 AND nup BETWEEN 2.6 AND 3.0, false) AS hit FROM bv)
 SELECT {KEY_SQL}, CASE WHEN hit THEN 'S' WHEN sigma IS NOT NULL THEN recipe END AS recipe,
   round(CASE WHEN NOT hit THEN sigma WHEN nup <= 2.7 THEN 762 + 960 * (nup - 2.6) WHEN nup <= 2.8 THEN 858 + 1110 * (nup - 2.7)
     WHEN nup <= 2.9 THEN 969 + 610 * (nup - 2.8) ELSE 1030 + 440 * (nup - 2.9) END, 4) AS sigma,

@@ -99,7 +99,14 @@ def _lines(spark, d):
         F.col("l_extendedprice").alias("wave"), (F.col("l_discount") * 50).alias("chi_low"), (F.col("l_tax") * -20 + 0.0001).alias("log_gf"),
         (F.col("l_quantity") / 4).alias("fdamp"), F.col("l_linenumber").cast("double").alias("g_up"), F.lit(1.0e5).alias("gam_rad"),
         F.lit(0.0).alias("gam_stark"), F.lower("l_returnflag").alias("lev_lo"), F.lower("l_linestatus").alias("lev_up"), F.lit(0.0).alias("eqw"),
-        F.lit(1.0).alias("eqw_err"), F.format_string("S%d x", k).alias("descr"))
+        F.lit(1.0).alias("eqw_err"), F.format_string("S%d x", k).alias("descr"), *_level_columns(k % 2 == 0))
+
+
+def _level_columns(known):
+    """Level numbers and names of the blocks in the layout with levels."""
+    n = F.col("l_linenumber")
+    values = {"ilev_lo": n, "ilev_up": n + 7, "id_lo": F.format_string("z%dD*", n), "id_up": F.lit("none")}
+    return [F.when(known, v).alias(c) for c, v in values.items()]
 
 
 ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "wave"]
@@ -118,15 +125,17 @@ LIST_SQL = """b AS (SELECT concat('list', l_suppkey % 31) AS list_id, l_suppkey,
 @query("read_linelist", f"""WITH {LIST_SQL} SELECT list_id, block_id, line_no, concat(l_suppkey % 92 + 1, '.', lpad((l_suppkey % 7)::VARCHAR, 3, '0')) AS species,
   (l_suppkey % 92 + 1)::BIGINT AS iel, (l_suppkey % 2 + 1)::INTEGER AS ion, (l_suppkey % 7)::INTEGER AS isotope, concat('S', l_suppkey) AS comment, l_extendedprice AS wave, round(l_discount * 50, 3) AS chi_low,
   round(l_tax * -20 + 0.0001, 3) + 0.0 AS log_gf, round(l_quantity / 4, 3) AS fdamp, l_linenumber::DOUBLE AS g_up, 1e5::DOUBLE AS gam_rad, 0.0::DOUBLE AS gam_stark, lower(l_returnflag) AS lev_lo, lower(l_linestatus) AS lev_up,
-  concat('S', l_suppkey, ' x') AS descr, 'stark' AS format FROM b""")
+  concat('S', l_suppkey, ' x') AS descr, 0.0::DOUBLE AS eqw, 1.0::DOUBLE AS eqw_err, CASE WHEN l_suppkey % 2 = 0 THEN l_linenumber END AS ilev_lo, CASE WHEN l_suppkey % 2 = 0 THEN l_linenumber + 7 END AS ilev_up,
+  CASE WHEN l_suppkey % 2 = 0 THEN concat('z', l_linenumber, 'D*') END AS id_lo, CASE WHEN l_suppkey % 2 = 0 THEN 'none' END AS id_up, CASE WHEN l_suppkey % 2 = 0 THEN 'stark_levels' ELSE 'stark' END AS format FROM b""")
 def read_linelist(spark, d):
     ll = LL.parse_linelist(_raw_lines(spark, d))
     return ll.select("list_id", "block_id", "line_no", "species", "iel", "ion", F.element_at("isotopes", 1).alias("isotope"), "comment", "wave", "chi_low",
-                     (F.col("log_gf") + 0.0).alias("log_gf"), "fdamp", "g_up", "gam_rad", "gam_stark", "lev_lo", "lev_up", "descr", "format")
+                     (F.col("log_gf") + 0.0).alias("log_gf"), "fdamp", "g_up", "gam_rad", "gam_stark", "lev_lo", "lev_up", "descr", "eqw", "eqw_err", "ilev_lo", "ilev_up", "id_lo", "id_up", "format")
 
 
 @query("write_linelist", """SELECT concat('list', l_suppkey % 31) AS list_id, l_suppkey AS block_id, 2 AS kind, concat(printf('%10.3f %6.3f ', l_extendedprice, l_discount * 50), lpad(printf('%.3f', l_tax * -20 + 0.0001), 6, ' '),
-  printf(' %8.3f %6.1f %9.2E %7.3f ', l_quantity / 4, l_linenumber::DOUBLE, 1e5::DOUBLE, 0.0::DOUBLE), '''', lower(l_returnflag), ''' ''', lower(l_linestatus), ''' ', printf('%5.1f %6.1f ', 0.0::DOUBLE, 1.0::DOUBLE), '''S', l_suppkey, ' x''') AS value FROM lineitem
+  printf(' %8.3f %6.1f %9.2E %7.3f ', l_quantity / 4, l_linenumber::DOUBLE, 1e5::DOUBLE, 0.0::DOUBLE), '''', lower(l_returnflag), ''' ''', lower(l_linestatus), ''' ', printf('%5.1f %6.1f ', 0.0::DOUBLE, 1.0::DOUBLE), '''S', l_suppkey, ' x''',
+  CASE WHEN l_suppkey % 2 = 0 THEN concat(printf(' %3d %3d ', l_linenumber, l_linenumber + 7), '''z', l_linenumber, 'D*'' ''none'' ''c'' ''x''') ELSE '' END) AS value FROM lineitem
 UNION ALL SELECT concat('list', l_suppkey % 31), l_suppkey, 0, concat('''', rpad(concat(l_suppkey % 92 + 1, '.', lpad((l_suppkey % 7)::VARCHAR, 3, '0')), 20, ' '), ''' ', lpad((l_suppkey % 2 + 1)::VARCHAR, 2, ' '), ' ', lpad(count(*)::VARCHAR, 7, ' ')) FROM lineitem GROUP BY l_suppkey
 UNION ALL SELECT DISTINCT concat('list', l_suppkey % 31), l_suppkey, 1, concat('''S', l_suppkey, '''') FROM lineitem""")
 def write_linelist(spark, d):
@@ -193,9 +202,9 @@ def read_hydrogen_lines(spark, d):
 
 
 # --- models --------------------------------------------------------------------------------
-# one file per embedding with 12 depths; v(k, j) is its value 4k+j
+# one file per embedding with a depth for every four of its 64 values; v(k, j) is its value 4k+j
 
-def _values(spark, d, n=12):
+def _values(spark, d, n=16):
     e = table(spark, d, "embeddings").select(F.col("vec_id").alias("file"), F.transform("embedding", lambda v: v.cast("double")).alias("e"))
     depth = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.struct(
         k.alias("k"), (3500 + 250 * k + 100 * F.get("e", 4 * k)).alias("t"), (1 + 0.1 * k + 0.2 * F.get("e", 4 * k + 1)).alias("a"),
@@ -204,7 +213,7 @@ def _values(spark, d, n=12):
 
 
 VALUES_SQL = """v AS (SELECT vec_id AS file, k, 3500 + 250 * k + 100 * embedding[4 * k + 1]::DOUBLE AS t, 1 + 0.1::DOUBLE * k + 0.2 * embedding[4 * k + 2]::DOUBLE AS a,
-  3 + 0.2::DOUBLE * k + 0.5 * embedding[4 * k + 3]::DOUBLE AS b, 2.0::DOUBLE + embedding[4 * k + 4]::DOUBLE AS c FROM embeddings, (SELECT unnest(range(12)) AS k))"""
+  3 + 0.2::DOUBLE * k + 0.5 * embedding[4 * k + 3]::DOUBLE AS b, 2.0::DOUBLE + embedding[4 * k + 4]::DOUBLE AS c FROM embeddings, (SELECT unnest(range(16)) AS k))"""
 
 
 def _text(spark, d, head, row, mid=None, row2=None, tail=None):
@@ -225,7 +234,7 @@ def _depths(packed, *cols):
   round(log10(round(b, 4)), 6) AS log_pe, round(log10(round(b * 100, 3)), 6) AS log_pg, 1.5::DOUBLE AS xi, round(7e10 - round(c * 1e5, 1), 1) AS radius, round(log10(round(c, 4)), 6) AS log_kappa FROM v""")
 def read_marcs(spark, d):
     head = ["s5777_g+4.4_m1.0", "  5777.      Teff [K].", "  9.4E+10 Flux", "  2.7542E+04 Surface gravity", "  1.5   Microturbulence", "  1.0 Mass",
-            " -0.25  0.00 Metallicity", "  7.0E+10 Radius [cm]", "  12 Number of depth points", "Model structure", " k lgTauR  lgTau5    Depth     T        Pe          Pg"]
+            " -0.25  0.00 Metallicity", "  7.0E+10 Radius [cm]", "  16 Number of depth points", "Model structure", " k lgTauR  lgTau5    Depth     T        Pe          Pg"]
     row = lambda z: F.format_string("%3d %8.4f %8.4f %.1f %9.2f %.4f %.3f 0.0 0.0", z["k"] + 1, z["b"], z["a"], z["c"] * 1e5, z["t"], z["b"], z["b"] * 100)
     row2 = lambda z: F.format_string("%3d %8.4f %.4f %.4E 1.3 0.0 0.0", z["k"] + 1, z["b"], z["c"], z["a"])
     packed = M.parse_marcs(_text(spark, d, head, row, " k lgTauR    KappaRoss   Density   Mu", row2))
@@ -251,34 +260,34 @@ def read_tau_model(spark, d):
 
 
 @query("write_tau_model", f"""WITH {VALUES_SQL}, r AS (SELECT file, k + 1 AS k, printf('%8.4f %8.2f %8.4f %8.4f %8.4f %15.6E %8.4f', a - 3, t, a, b, c, c * 1e10, a - 2.5) AS value FROM v)
-SELECT file, k::INTEGER AS k, value FROM r UNION ALL SELECT vec_id, 0, concat('''', CASE WHEN vec_id % 2 = 0 THEN 'sph' ELSE 'pp' END, 'INTERPOL''  12   5000.  4.44 0 0.00') FROM embeddings""")
+SELECT file, k::INTEGER AS k, value FROM r UNION ALL SELECT vec_id, 0, concat('''', CASE WHEN vec_id % 2 = 0 THEN 'sph' ELSE 'pp' END, 'INTERPOL''  16   5000.  4.44 0 0.00') FROM embeddings""")
 def write_tau_model(spark, d):
     return M.render_tau_model(_packed_model(spark, d)).select("file", F.posexplode(F.split("text", "\n")).alias("k", "value"))
 
 
 @query("write_tau_listing", f"""WITH {VALUES_SQL}, r AS (SELECT file, k + 2 AS k, printf('%5d %8.4f %8.2f %8.4f %8.4f %15.6E', k + 1, a - 3, t, a, b, b * c) AS value FROM v)
 SELECT file, k::INTEGER AS k, value FROM r UNION ALL SELECT vec_id, 1, '    k    log(tau)  T    log(Pe)   log(Pg)    rhox' FROM embeddings
-UNION ALL SELECT vec_id, 0, concat(CASE WHEN vec_id % 2 = 0 THEN 'sph' ELSE 'pp' END, 'INTERPOL  12   5000.') FROM embeddings""")
+UNION ALL SELECT vec_id, 0, concat(CASE WHEN vec_id % 2 = 0 THEN 'sph' ELSE 'pp' END, 'INTERPOL  16   5000.') FROM embeddings""")
 def write_tau_listing(spark, d):
     return M.render_tau_listing(_packed_model(spark, d)).select("file", F.posexplode(F.split("text", "\n")).alias("k", "value"))
 
 
 @query("write_atmos_dscale", f"""WITH {VALUES_SQL} SELECT file, (k + 2)::INTEGER AS k, printf('%11.7f %9.2f %12.5E %9.5f %9.5f', a - 3, t, pow(10, a) / t / 1.38064852e-16, 0.0::DOUBLE, c) AS value FROM v
-UNION ALL SELECT vec_id, 0, '4.44' FROM embeddings UNION ALL SELECT vec_id, 1, '12' FROM embeddings""")
+UNION ALL SELECT vec_id, 0, '4.44' FROM embeddings UNION ALL SELECT vec_id, 1, '16' FROM embeddings""")
 def write_atmos_dscale(spark, d):
     return M.render_multi(_packed_model(spark, d)).select("file", F.posexplode(F.split("text", "\n")).alias("k", "value"))
 
 
 @query("read_kurucz", f"""WITH {VALUES_SQL} SELECT file, (k + 1)::INTEGER AS k, round(t, 1) AS temp, round(c, 5) AS rhox, round(log10(round(b * 1e12, 0) * round(t, 1) * 1.38065e-16), 6) AS log_pe, round(log10(round(b, 4)), 6) AS log_pg FROM v""")
 def read_kurucz(spark, d):
-    head = ["TEFF   5777.  GRAVITY 4.44000 LTE", "TITLE [0.0]", "READ DECK6 12 RHOX,T,P,XNE,ABROSS"]
+    head = ["TEFF   5777.  GRAVITY 4.44000 LTE", "TITLE [0.0]", "READ DECK6 16 RHOX,T,P,XNE,ABROSS"]
     row = lambda z: F.format_string("%.5f %9.1f %.4f %.0f %.4E 0.0", z["c"], z["t"], z["b"], z["b"] * 1e12, z["a"])
     return _depths(M.parse_kurucz(_text(spark, d, head, row)), "temp", "rhox", rnd("log_pe", 6).alias("log_pe"), rnd("log_pg", 6).alias("log_pg"))
 
 
 @query("read_multi", f"""WITH {VALUES_SQL} SELECT file, (k + 1)::INTEGER AS k, round(a, 4) AS log_tau5000, round(t, 1) AS temp, round(log10(round(b * 1e12, 0) * round(t, 1) * 1.38065e-16), 6) AS log_pe, round(round(c, 3) * 1e5, 2) AS velocity, round(c, 3) AS xi FROM v""")
 def read_multi(spark, d):
-    head = ["sun model", "* a comment", "  TAU (5000)", "* log g", "4.44", "* NDEP", "12", "* lg tau  T  ne v vturb"]
+    head = ["sun model", "* a comment", "  TAU (5000)", "* log g", "4.44", "* NDEP", "16", "* lg tau  T  ne v vturb"]
     row = lambda z: F.format_string("%8.4f %9.1f %.0f %.3f %.3f", z["a"], z["t"], z["b"] * 1e12, z["c"], z["c"])
     return _depths(M.parse_multi(_text(spark, d, head, row)), "log_tau5000", "temp", rnd("log_pe", 6).alias("log_pe"), rnd("velocity", 2).alias("velocity"), "xi")
 
@@ -286,20 +295,20 @@ def read_multi(spark, d):
 @query("read_stagger", f"""WITH {VALUES_SQL} SELECT file, (k + 1)::INTEGER AS k, 5768.0::DOUBLE AS teff, round(t, 1) AS temp, round(b, 3) AS radius, round(log10(round(c, 4) * 1.38065e-16 * round(t, 1) / 1.3 / 1.660e-24), 6) AS log_pg FROM v""")
 def read_stagger(spark, d):
     row = lambda z: F.format_string("%.3f %9.1f %.4f", z["b"], z["t"], z["c"])
-    models, rows = M.split_models(M.parse_stagger(_text(spark, d, ["'Stagger'  12  5000. 4.43770 0 0.0", "  5768.00  4.43770 0.00000 12"], row)))
+    models, rows = M.split_models(M.parse_stagger(_text(spark, d, ["'Stagger'  16  5000. 4.43770 0 0.0", "  5768.00  4.43770 0.00000 16"], row)))
     return rows.join(models, "file").select("file", "k", "teff", "temp", "radius", rnd("log_pg", 6).alias("log_pg"))
 
 
 @query("read_hoefner", f"""WITH {VALUES_SQL} SELECT file, (k + 1)::INTEGER AS k, round(t, 1) AS temp, round(a, 4) AS radius, round(log10(round(b, 4)), 6) AS log_pg, round(c, 4) AS rho, 5e5::DOUBLE AS velocity FROM v""")
 def read_hoefner(spark, d):
     row = lambda z: F.format_string("%.4f %.4f %9.1f %.4f 0 0 0 0 1.0 0", z["a"], z["c"], z["t"], z["b"])
-    return _depths(M.parse_hoefner(_text(spark, d, ["'Hoefner' 12 5000. 0.5 0 0.0", "# r rho T", "# cm"], row)), "temp", "radius", rnd("log_pg", 6).alias("log_pg"), "rho", "velocity")
+    return _depths(M.parse_hoefner(_text(spark, d, ["'Hoefner' 16 5000. 0.5 0 0.0", "# r rho T", "# cm"], row)), "temp", "radius", rnd("log_pg", 6).alias("log_pg"), "rho", "velocity")
 
 
 @query("read_bowe", f"""WITH {VALUES_SQL}, r AS (SELECT *, round(c, 4) * 1.38e-16 * round(t, 1) / 1.26 / 1.67e-24 AS pg FROM v)
-SELECT file, (12 - k)::INTEGER AS k, round(t, 1) AS temp, round(a, 4) AS radius, round(log10(pg), 6) AS log_pg, round(log10(round(b, 4) * 0.908 * pg), 6) AS log_pe FROM r""")
+SELECT file, (16 - k)::INTEGER AS k, round(t, 1) AS temp, round(a, 4) AS radius, round(log10(pg), 6) AS log_pg, round(log10(round(b, 4) * 0.908 * pg), 6) AS log_pe FROM r""")
 def read_bowe(spark, d):
-    head = ["'bowe' 12 5000. 0.5 0 0.0"] + [f"header {i}" for i in range(12)]
+    head = ["'bowe' 16 5000. 0.5 0 0.0"] + [f"header {i}" for i in range(12)]
     row = lambda z: F.format_string("%d %.4f 0.1 %9.1f %.4f 2.0 %.4f", z["k"], z["a"], z["t"], z["c"], z["b"])
     return _depths(M.parse_bowe(_text(spark, d, head, row)), "temp", "radius", rnd("log_pg", 6).alias("log_pg"), rnd("log_pe", 6).alias("log_pe"))
 
@@ -308,7 +317,7 @@ def read_bowe(spark, d):
   round(CASE WHEN round(t - 2500, 1) < 2000 THEN log10(1e-4 * round(b, 4) * pow(round(t - 2500, 1) / 3000, 30)) ELSE -4 END, 5) AS log_pe FROM v""")
 def read_alva(spark, d):
     row = lambda z: F.format_string("%9.1f %.4f %.4f %.3f", z["t"] - 2500, z["b"], z["c"], z["a"])
-    return _depths(M.parse_alva(_text(spark, d, ["'alva' 12 5000. 0.5 0 0.0"], row)), "temp", rnd("log_pg", 6).alias("log_pg"), "radius", "xi", rnd("log_pe", 5).alias("log_pe"))
+    return _depths(M.parse_alva(_text(spark, d, ["'alva' 16 5000. 0.5 0 0.0"], row)), "temp", rnd("log_pg", 6).alias("log_pg"), "radius", "xi", rnd("log_pe", 5).alias("log_pe"))
 
 
 @query("model_kind", """SELECT vec_id AS file, CASE WHEN label % 2 = 0 THEN 'interpolated' ELSE 'marcs' END AS kind FROM embeddings""")
@@ -329,16 +338,16 @@ def scan_model_catalog(spark, d):
 
 # --- departure coefficients, atoms, flags ----------------------------------------------------
 
-DEP_SQL = """dv AS (SELECT vec_id AS file, k, embedding[k + 1]::DOUBLE * 10 - 2 AS lt, [1.2::DOUBLE + 0.3 * embedding[8 + 4 * k + 1]::DOUBLE, 1.2::DOUBLE + 0.3 * embedding[8 + 4 * k + 2]::DOUBLE, 1.2::DOUBLE + 0.3 * embedding[8 + 4 * k + 3]::DOUBLE] AS b
-  FROM embeddings, (SELECT unnest(range(8)) AS k))"""
+DEP_SQL = """dv AS (SELECT vec_id AS file, k, embedding[k + 1]::DOUBLE * 10 - 2 AS lt, [1.2::DOUBLE + 0.3 * embedding[16 + 3 * k + 1]::DOUBLE, 1.2::DOUBLE + 0.3 * embedding[16 + 3 * k + 2]::DOUBLE, 1.2::DOUBLE + 0.3 * embedding[16 + 3 * k + 3]::DOUBLE] AS b
+  FROM embeddings, (SELECT unnest(range(16)) AS k))"""
 
 
 def _departures(spark, d):
     e = table(spark, d, "embeddings").select(F.col("vec_id").alias("file"), F.transform("embedding", lambda v: v.cast("double")).alias("e"))
     power = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(1.0).alias("x"), F.lit(0.95).alias("y"), F.lit(1.0).alias("z"))
                       for n in ("tau5000", "tauross", "T", "logPe", "logPg", "xit", "rr", "logkappa")])
-    return e.select("file", F.lit(7.5).alias("a_log"), F.transform(F.slice("e", 1, 8), lambda v: v * 10 - 2).alias("log_tau"), F.transform(
-        F.sequence(F.lit(0), F.lit(7)), lambda k: F.transform(F.sequence(F.lit(0), F.lit(2)), lambda j: 1.2 + 0.3 * F.get("e", 8 + 4 * k + j))).alias("b"), power.alias("powers"))
+    return e.select("file", F.lit(7.5).alias("a_log"), F.transform(F.slice("e", 1, 16), lambda v: v * 10 - 2).alias("log_tau"), F.transform(
+        F.sequence(F.lit(0), F.lit(15)), lambda k: F.transform(F.sequence(F.lit(0), F.lit(2)), lambda j: 1.2 + 0.3 * F.get("e", 16 + 3 * k + j))).alias("b"), power.alias("powers"))
 
 
 @query("read_departures", f"""WITH {DEP_SQL}, l AS (SELECT file, k, lt, unnest([1, 2, 3]) AS level, unnest(b) AS b FROM dv UNION ALL SELECT file, k, lt, 0, 1.0 FROM dv)
@@ -359,10 +368,11 @@ def read_departures_csv(spark, d):
 
 
 @query("write_departures", f"""WITH {DEP_SQL} SELECT file, (k + 11)::INTEGER AS pos, printf('%8.4f ', lt) AS value FROM dv
-UNION ALL SELECT file, (k + 19)::INTEGER, concat(printf('%12.5E', b[1]), ' ', printf('%12.5E', b[2]), ' ', printf('%12.5E', b[3]), ' ') FROM dv""")
+UNION ALL SELECT vec_id, i::INTEGER, concat('# ', lpad(['tau5000', 'tauross', 'T', 'logPe', 'logPg', 'xit', 'rr', 'logkappa'][i + 1], 15, ' '), '   1.000000   0.950000   1.000000') FROM embeddings, (SELECT unnest(range(8)) AS i)
+UNION ALL SELECT vec_id, i, v FROM embeddings, (SELECT unnest([8, 9, 10]) AS i, unnest(['  7.500000 ', ' 16 ', '   3 ']) AS v)
+UNION ALL SELECT file, (k + 27)::INTEGER, concat(printf('%12.5E', b[1]), ' ', printf('%12.5E', b[2]), ' ', printf('%12.5E', b[3]), ' ') FROM dv""")
 def write_departures(spark, d):
-    rows = T.render_departures(_departures(spark, d)).select("file", F.posexplode(F.split("text", "\n")).alias("pos", "value"))
-    return rows.filter("pos >= 11")
+    return T.render_departures(_departures(spark, d)).select("file", F.posexplode(F.split("text", "\n")).alias("pos", "value"))
 
 
 @query("read_departure_catalog", """SELECT p_partkey AS file, i::INTEGER AS cat_pos, concat('m', p_partkey, '_', i) AS model_id, 5000.0::DOUBLE + p_size AS teff, 4.5::DOUBLE AS logg, p_size / 10.0::DOUBLE AS abundance, (p_partkey * 1000 + i)::BIGINT AS byte_pos
@@ -463,14 +473,14 @@ def read_grid_table(spark, d):
 
 # --- continuous opacity --------------------------------------------------------------------------
 
-CONT_SQL = """co AS (SELECT vec_id AS file, k, w, 1.5::DOUBLE + embedding[k * 12 + w + 1]::DOUBLE AS kappa, 2.5::DOUBLE + embedding[k * 12 + w + 2]::DOUBLE AS sigma FROM embeddings, (SELECT unnest(range(3)) AS k), (SELECT unnest(range(11)) AS w))"""
+CONT_SQL = """co AS (SELECT vec_id AS file, k, w, 1.5::DOUBLE + embedding[k * 16 + w + 1]::DOUBLE AS kappa, 2.5::DOUBLE + embedding[k * 16 + w + 2]::DOUBLE AS sigma FROM embeddings, (SELECT unnest(range(4)) AS k), (SELECT unnest(range(15)) AS w))"""
 
 
 def _opacity_tables(spark, d):
     e = table(spark, d, "embeddings").select(F.col("vec_id").alias("file"), F.transform("embedding", lambda v: v.cast("double")).alias("e"))
-    waves = F.array(*[F.lit(4000.0 + 100 * w) for w in range(11)])
-    point = lambda k, base, shift: F.transform(F.sequence(F.lit(0), F.lit(10)), lambda w: base + F.get("e", k * 12 + w + shift))
-    depths = F.transform(F.sequence(F.lit(0), F.lit(2)), lambda k: F.struct(
+    waves = F.array(*[F.lit(4000.0 + 100 * w) for w in range(15)])
+    point = lambda k, base, shift: F.transform(F.sequence(F.lit(0), F.lit(14)), lambda w: base + F.get("e", k * 16 + w + shift))
+    depths = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda k: F.struct(
         F.array(*[k * 10.0 + i + 0.5 for i in range(8)]).alias("scalars"), point(k, 1.5, 0).alias("kappa"), point(k, 2.5, 1).alias("sigma")))
     return e.select("file", F.lit("sun").alias("code"), F.lit(5000.0).alias("xls"), waves.alias("waves"), depths.alias("depths"))
 
@@ -482,11 +492,12 @@ def read_cont_opacity(spark, d):
 
 
 @query("write_cont_opacity", f"""WITH {CONT_SQL}, p AS (SELECT file, k, w, printf('%11.4E%11.4E', kappa, sigma) AS cell FROM co)
-SELECT file, (4 + k * 5 + 1 + w // 3)::INTEGER AS pos, concat(' ', string_agg(cell, '' ORDER BY w)) AS value FROM p GROUP BY file, k, w // 3
-UNION ALL SELECT vec_id, 0, ' ''sun''    3   5000.00' FROM embeddings""")
+SELECT file, (4 + k * 6 + 1 + w // 3)::INTEGER AS pos, concat(' ', string_agg(cell, '' ORDER BY w)) AS value FROM p GROUP BY file, k, w // 3
+UNION ALL SELECT vec_id, 0, ' ''sun''    4   5000.00' FROM embeddings UNION ALL SELECT vec_id, 1, '    15' FROM embeddings
+UNION ALL SELECT vec_id, (2 + w // 10)::INTEGER, concat(' ', string_agg(printf('%11.3f', 4000.0::DOUBLE + 100 * w), '' ORDER BY w)) FROM embeddings, (SELECT unnest(range(15)) AS w) GROUP BY vec_id, w // 10
+UNION ALL SELECT vec_id, (4 + k * 6)::INTEGER, concat(' ', string_agg(printf('%14.7E', k * 10.0::DOUBLE + i + 0.5), '' ORDER BY i)) FROM embeddings, (SELECT unnest(range(4)) AS k), (SELECT unnest(range(8)) AS i) GROUP BY vec_id, k""")
 def write_cont_opacity(spark, d):
-    rows = T.render_cont_opacity(_opacity_tables(spark, d)).select("file", F.posexplode(F.split("text", "\n")).alias("pos", "value"))
-    return rows.filter("pos = 0 OR (pos >= 5 AND (pos - 4) % 5 <> 0)")
+    return T.render_cont_opacity(_opacity_tables(spark, d)).select("file", F.posexplode(F.split("text", "\n")).alias("pos", "value"))
 
 
 # --- grid tables -----------------------------------------------------------------------------------
@@ -504,13 +515,18 @@ def read_grid_csv(spark, d):
     return points.unionByName(n)
 
 
-@query("write_grid_csv", """SELECT concat_ws(',', 'v1', p_size * 100, printf('%.2f', p_size / 10.0::DOUBLE), '01', printf('%+.2f', (p_partkey % 9) / 10.0::DOUBLE)) AS csv FROM part""")
+@query("write_grid_csv", """SELECT 'v1' AS grid_version, (p_size * 100)::INTEGER AS teff, round(p_size / 10.0::DOUBLE, 2) AS logg, 0.0::DOUBLE AS feh, 6000.0::DOUBLE AS lam_min, 6100.0::DOUBLE AS lam_max,
+ 0.01::DOUBLE AS lam_step, '01' AS turbvel, '01' AS t_value, printf('%+.2f', (p_partkey % 9) / 10.0::DOUBLE) AS a, '+0.00' AS c, '+0.00' AS n, '+0.00' AS o, '+0.00' AS r, '+0.00' AS s,
+ 'Flux' AS output_mode, '1D' AS mode, 'LTE' AS calculation_mode FROM part""")
 def write_grid_csv(spark, d):
+    """The grid written as CSV and read again."""
     from specspark.operators.grid import format_grid
     g = table(spark, d, "part").select((F.col("p_size") * 100).alias("teff"), (F.col("p_size") / F.lit(10.0)).alias("logg"), F.lit(0.0).alias("feh"), F.lit("01").alias("t_value"),
                                        ((F.col("p_partkey") % 9) / F.lit(10.0)).alias("a"))
+    folder = f"{new_folder(spark)}/grid"
     out = format_grid(g, {"grid_version": "v1"}).select(*T.GRID_COLUMNS)
-    return out.select(F.concat_ws(",", "grid_version", F.col("teff").cast("string"), F.format_string("%.2f", "logg"), "turbvel", "a").alias("csv"))
+    T.write_grid(out, folder)
+    return spark.read.schema(out.schema).option("header", True).csv(folder)
 
 
 @query("concat_linelists", """SELECT CASE WHEN l_linenumber % 2 = 0 THEN 'even' ELSE 'all' END AS list_id, count(*) AS n FROM lineitem GROUP BY 1""")
