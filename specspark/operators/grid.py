@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -9,8 +10,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specspark.operators.layout import arrange, row_numbers, small_table
+from specspark.operators.layout import arrange, maybe_broadcast, row_numbers, small_table
 from specspark.operators.ranges import bracket, explode_count, tolerance_join
+from specspark.session import new_folder
 
 
 # --- axes and sampling -----------------------------------------------------------------
@@ -27,17 +29,16 @@ def axis_values(df: DataFrame, low: str, high: str, step: str, out: str = "value
     return long.withColumn(out, lo + F.col("_i") * st).drop("_i")
 
 
-def axis_list(df: DataFrame, column: str, max_values: int = 100_000) -> list:
-    """The sorted distinct values of a column as a Python axis; refuses an axis beyond max_values."""
-    rows = df.select(column).distinct().orderBy(column).limit(max_values + 1).collect()
-    if len(rows) > max_values:
-        raise ValueError(f"{column} has more than {max_values} distinct values")
-    return [r[0] for r in rows]
+def axis_table(df: DataFrame, column: str) -> DataFrame:
+    """i, value: the sorted distinct values of a column, numbered from 0. An axis may be of any length."""
+    values = df.select(F.col(column).alias("value")).filter(F.col("value").isNotNull()).distinct()
+    return row_numbers(arrange(values, (), ["value"]), "_n").done().select((F.col("_n") - 1).alias("i"), "value")
 
 
 def _unit(seed: int, *cols: Column) -> Column:
-    """Uniform number in [0, 1) from a hash: the same on every recomputation."""
-    return F.pmod(F.xxhash64(F.lit(seed), *cols), F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53))
+    """Uniform number in [0, 1) from a hash: the same on every recomputation, and in any engine with md5."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *[c.cast("string") for c in cols]).cast("binary"))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
 def axis_distribution(df: DataFrame, key: Sequence[str], count: str, kind: str = "gaussian", mean: float = 0.0,
@@ -57,37 +58,82 @@ def axis_distribution(df: DataFrame, key: Sequence[str], count: str, kind: str =
     return long.withColumn(out, mean + sigma * F.sqrt(-2 * F.log(1 - u)) * F.cos(angle))
 
 
-def _pick(values: Sequence, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + 1)
+Axis = Sequence | DataFrame
 
 
-def grid_full(spark: SparkSession, axes: dict[str, Sequence], max_rows: int | None = None) -> DataFrame:
-    """Cartesian product in axis order (last axis fastest) decoded from one row index: no join."""
-    total = int(np.prod([len(v) for v in axes.values()], dtype=object))
-    df, below = spark.range(min(total, max_rows) if max_rows else total), 1
-    cols = {}
-    for name, values in reversed(list(axes.items())):
-        cols[name] = _pick(values, F.pmod(F.floor(F.col("id") / F.lit(below)), F.lit(len(values))))
-        below *= len(values)
-    return df.withColumns({n: cols[n] for n in axes}).withColumnRenamed("id", "row_id")
+def _tables(spark: SparkSession, axes: dict[str, Axis]) -> dict[str, tuple[DataFrame, int]]:
+    """Each axis as an indexed table and its length: what axis_table gives (written once, so that its source is scanned once),
+    or a list of values in their own order."""
+    out = {}
+    for name, axis in axes.items():
+        if isinstance(axis, DataFrame):
+            folder = new_folder(spark)
+            axis.select("i", "value").write.parquet(folder)
+            table = spark.read.schema(axis.select("i", "value").schema).parquet(folder)
+            out[name] = table, table.count()
+        else:
+            kind = spark.createDataFrame([(v,) for v in axis], [name]).schema[0].dataType.simpleString()
+            out[name] = small_table(spark, list(enumerate(axis)), f"i bigint, value {kind}"), len(axis)
+    return out
 
 
-def grid_random(spark: SparkSession, axes: dict[str, Sequence], n: int, seed: int = 0) -> DataFrame:
+def _decoded(df: DataFrame, tables: dict[str, tuple[DataFrame, int]], index: dict[str, Column]) -> DataFrame:
+    """df with one column an axis: its value at the index, found by a join."""
+    df = df.withColumns({f"_i_{name}": c.cast("bigint") for name, c in index.items()})
+    for name, (table, _) in tables.items():
+        df = df.join(maybe_broadcast(table.select(F.col("i").alias(f"_i_{name}"), F.col("value").alias(name))), f"_i_{name}")
+    return df.select("row_id", *tables)
+
+
+def grid_full(spark: SparkSession, axes: dict[str, Axis], max_rows: int | None = None) -> DataFrame:
+    """Cartesian product in axis order (last axis fastest): the digits of the row number, each joined to its axis."""
+    tables = _tables(spark, axes)
+    total, below, index = math.prod(n for _, n in tables.values()), 1, {}
+    for name, (_, n) in reversed(tables.items()):
+        index[name] = F.pmod(F.floor(F.call_function("div", F.col("row_id"), F.lit(below).cast("bigint"))), F.lit(n))
+        below *= n
+    df = spark.range(total if max_rows is None else min(total, max_rows)).withColumnRenamed("id", "row_id")
+    return _decoded(df, tables, index)
+
+
+def grid_random(spark: SparkSession, axes: dict[str, Axis], n: int, seed: int = 0) -> DataFrame:
     """n independent draws per axis, with replacement."""
-    cols = {name: _pick(v, F.floor(_unit(seed + i, F.col("id")) * len(v)))
-            for i, (name, v) in enumerate(axes.items())}
-    return spark.range(n).withColumns(cols).withColumnRenamed("id", "row_id")
-
-
-def grid_lhs(spark: SparkSession, axes: dict[str, Sequence], n: int, seed: int = 0) -> DataFrame:
-    """Latin hypercube: each axis index is (rank of the row under an own hash order) modulo its length,
-    so every value occurs floor(n/m) or ceil(n/m) times."""
-    df = spark.range(n).withColumnRenamed("id", "row_id")
-    for i, (name, values) in enumerate(axes.items()):
-        df = df.withColumn("_h", F.xxhash64(F.lit(seed + i), F.col("row_id")).cast("double"))
-        lay = row_numbers(arrange(df, (), ["_h", "row_id"]), "_rank")
-        df = lay.with_columns({name: _pick(values, F.pmod(F.col("_rank") - 1, F.lit(len(values))))}).done("_h", "_rank")
-    return df
+    tables = _tables(spark, axes)
+    index = {name: F.floor(_unit(seed + i, F.col("row_id")) * m) for i, (name, (_, m)) in enumerate(tables.items())}
+    return _decoded(spark.range(n).withColumnRenamed("id", "row_id"), tables, index)
+
+
+ROUNDS, WALK = 6, 64
+
+
+def permuted(x: Column, n: int, seed: int) -> Column:
+    """A permutation of 0 .. n - 1 as an expression: no sort and no shuffle.
+
+    x is split into (left, right) of a x b cells, a * b >= n, and each round adds a hash of the one half to the other, which is a
+    bijection of the cells; numbers of n or more (fewer than a) are sent through again until they fall below n."""
+    a = math.isqrt(n - 1) + 1 if n > 1 else 1
+    b = -(-n // a)
+    key = lambda r, half: F.xxhash64(F.lit(seed), r, half)
+
+    def turn(s: Column, r: Column) -> Column:
+        left = F.struct(F.pmod(s["l"] + F.pmod(key(r, s["r"]), F.lit(a)), F.lit(a)).alias("l"), s["r"].alias("r"))
+        right = F.struct(s["l"].alias("l"), F.pmod(s["r"] + F.pmod(key(r, s["l"]), F.lit(b)), F.lit(b)).alias("r"))
+        return F.when(r % 2 == 0, left).otherwise(right)
+
+    def once(v: Column) -> Column:
+        halves = F.struct(F.call_function("div", v, F.lit(b).cast("bigint")).alias("l"), F.pmod(v, F.lit(b).cast("bigint")).alias("r"))
+        return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), halves, turn, lambda s: s["l"] * F.lit(b).cast("bigint") + s["r"])
+
+    again = F.sequence(F.lit(1), F.lit(WALK))
+    return F.aggregate(again, once(x.cast("bigint")), lambda v, _: F.when(v < n, v).otherwise(once(v)))
+
+
+def grid_lhs(spark: SparkSession, axes: dict[str, Axis], n: int, seed: int = 0) -> DataFrame:
+    """Latin hypercube: each axis index is the row number, permuted by the axis's own key, modulo the axis length, so every value
+    occurs floor(n/m) or ceil(n/m) times."""
+    tables = _tables(spark, axes)
+    index = {name: F.pmod(permuted(F.col("row_id"), n, seed + i), F.lit(m)) for i, (name, (_, m)) in enumerate(tables.items())}
+    return _decoded(spark.range(n).withColumnRenamed("id", "row_id"), tables, index)
 
 
 GRID_COLUMNS = ["grid_version", "teff", "logg", "feh", "lam_min", "lam_max", "lam_step", "turbvel", "t_value",

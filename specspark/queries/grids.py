@@ -28,15 +28,19 @@ def axis_values(spark, d):
     return G.axis_values(_spans(spark, d), "lo", "hi", "step").select("l_suppkey", rnd("value").alias("value"))
 
 
-@query("axis_distribution", """SELECT c_nationkey, count(*) AS n, true AS inside, true AS centred FROM customer GROUP BY 1""")
+def _unit_sql(seed, *cols):
+    return f"(('0x' || substr(md5(concat_ws(':', {seed}, {', '.join(cols)})), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE)"
+
+
+@query("axis_distribution", f"""WITH n AS (SELECT c_nationkey, unnest(range(count(*))) AS i FROM customer GROUP BY c_nationkey)
+SELECT c_nationkey, i, 'gaussian' AS kind, round(2.0::DOUBLE + 0.5 * sqrt(-2 * ln(1 - {_unit_sql(7, 'c_nationkey', 'i')})) * cos(2 * pi() * {_unit_sql(8, 'c_nationkey', 'i')}), 6) AS value FROM n
+UNION ALL SELECT c_nationkey, i, 'uniform', round(1.0::DOUBLE + 2.0 * {_unit_sql(11, 'c_nationkey', 'i')}, 6) FROM n""")
 def axis_distribution(spark, d):
     sizes = table(spark, d, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
-    gauss = G.axis_distribution(sizes, ["c_nationkey"], "n", "gaussian", 2.0, 0.5, seed=7)
-    flat = G.axis_distribution(gauss.withColumn("one", F.lit(1)).drop("i"), ["c_nationkey", "value"], "one",
-                               "uniform", low=1.0, high=3.0, seed=11, out="u")
-    return flat.groupBy("c_nationkey").agg(
-        F.count(F.lit(1)).alias("n"), F.bool_and(F.col("u").between(1.0, 3.0)).alias("inside"),
-        (F.abs(F.avg("value") - 2.0) < 4 * 0.5 / F.sqrt(F.count(F.lit(1)))).alias("centred"))
+    gauss = G.axis_distribution(sizes, ["c_nationkey"], "n", "gaussian", 2.0, 0.5, seed=7, out="value")
+    flat = G.axis_distribution(sizes, ["c_nationkey"], "n", "uniform", low=1.0, high=3.0, seed=11, out="value")
+    both = gauss.withColumn("kind", F.lit("gaussian")).unionByName(flat.withColumn("kind", F.lit("uniform")))
+    return both.select("c_nationkey", "i", "kind", rnd("value", 6).alias("value"))
 
 
 @query("grid_full", """WITH a AS (SELECT DISTINCT p_brand FROM part), b AS (SELECT DISTINCT p_type FROM part), c AS (SELECT DISTINCT p_size FROM part),
@@ -44,18 +48,19 @@ g AS (SELECT *, row_number() OVER (ORDER BY p_brand, p_type, p_size) - 1 AS row_
 SELECT row_id, p_brand, p_type, p_size FROM g""")
 def grid_full(spark, d):
     part = table(spark, d, "part")
-    axes = {c: G.axis_list(part, c) for c in ("p_brand", "p_type", "p_size")}
+    axes = {c: G.axis_table(part, c) for c in ("p_brand", "p_type", "p_size")}
     return G.grid_full(spark, axes)
 
 
-@query("grid_random", """SELECT count(*) AS n, true AS on_axis, true AS spread FROM lineitem""")
+@query("grid_random", f"""WITH r AS (SELECT unnest(range(count(*))) AS row_id FROM lineitem),
+a AS (SELECT p_brand, row_number() OVER (ORDER BY p_brand) - 1 AS i, count(*) OVER () AS m FROM (SELECT DISTINCT p_brand FROM part)),
+b AS (SELECT p_size, row_number() OVER (ORDER BY p_size) - 1 AS i, count(*) OVER () AS m FROM (SELECT DISTINCT p_size FROM part)),
+x AS (SELECT row_id, floor({_unit_sql(5, 'row_id')} * (SELECT any_value(m) FROM a))::BIGINT AS ia, floor({_unit_sql(6, 'row_id')} * (SELECT any_value(m) FROM b))::BIGINT AS ib FROM r)
+SELECT row_id, p_brand, p_size FROM x JOIN a ON a.i = ia JOIN b ON b.i = ib""")
 def grid_random(spark, d):
     part = table(spark, d, "part")
-    axes = {c: G.axis_list(part, c) for c in ("p_brand", "p_size")}
-    n = table(spark, d, "lineitem").count()
-    g = G.grid_random(spark, axes, n, seed=5)
-    return g.agg(F.count(F.lit(1)).alias("n"), F.bool_and(F.col("p_size").isin(axes["p_size"])).alias("on_axis"),
-                 (F.countDistinct("p_size") == len(axes["p_size"])).alias("spread"))
+    axes = {c: G.axis_table(part, c) for c in ("p_brand", "p_size")}
+    return G.grid_random(spark, axes, table(spark, d, "lineitem").count(), seed=5)
 
 
 @query("grid_lhs", """WITH b AS (SELECT DISTINCT p_brand AS v FROM part), n AS (SELECT count(*) AS n FROM orders),
@@ -63,7 +68,7 @@ k AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS i, count(*) OVER () AS m F
 SELECT v AS p_brand, n // m + CASE WHEN i < n % m THEN 1 ELSE 0 END AS n FROM k, n""")
 def grid_lhs(spark, d):
     part = table(spark, d, "part")
-    axes = {"p_size": G.axis_list(part, "p_size"), "p_brand": G.axis_list(part, "p_brand")}
+    axes = {"p_size": G.axis_table(part, "p_size"), "p_brand": G.axis_table(part, "p_brand")}
     g = G.grid_lhs(spark, axes, table(spark, d, "orders").count(), seed=3)
     return g.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"))
 

@@ -2,26 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see: spark.checkpoint.dir of the session. A local session without it gets a
-    temporary one; on a cluster the setting is required."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return folder or tempfile.mkdtemp(prefix="specspark-")
-
-
-def new_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{uuid.uuid4().hex}"
+from specspark.session import new_folder, shared_folder  # noqa: F401
 
 
 def incremental_ingest(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], table: str,

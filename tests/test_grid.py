@@ -29,6 +29,23 @@ def test_hypercube_counts(spark):
     assert sorted(map(tuple, g.collect())) == sorted(map(tuple, again.collect()))
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 1000, 4097])
+def test_permutations(spark, n):
+    """Every number once, for every seed, and not in order."""
+    ids = spark.range(n)
+    for seed in (0, 1, 99):
+        got = [r["p"] for r in ids.select(G.permuted(F.col("id"), n, seed).alias("p")).collect()]
+        assert sorted(got) == list(range(n)) and (n < 10 or got != sorted(got))
+
+
+def test_axis_of_a_million_values(spark):
+    axis = G.axis_table(spark.range(1_000_000).select((F.col("id") * 3).alias("v")), "v")
+    g = G.grid_lhs(spark, {"v": axis, "w": ["a", "b"]}, 2_000_000, seed=4)
+    assert g.groupBy("v").count().agg(F.count("*"), F.min("count"), F.max("count")).first()[:] == (1_000_000, 2, 2)
+    full = G.grid_full(spark, {"w": ["a", "b"], "v": axis}, 1_500_000)
+    assert full.filter(F.col("v") != F.col("row_id") % 1_000_000 * 3).isEmpty() and full.filter("w = 'b'").count() == 500_000
+
+
 def test_segment_grid_passes_the_end(spark):
     seg = spark.createDataFrame([(1, 4805.0, 4805.1)], "seg_id int, wmin double, wmax double")
     w = [r["wave"] for r in G.wave_grid_segments(seg, 500000.0).orderBy("j").collect()]
