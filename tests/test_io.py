@@ -78,11 +78,21 @@ def test_documented_line_list(spark, tmp_path):
     assert (co["iel"], co["atoms"], co["isotopes"], co["gam_rad"], co["gam_stark"], co["lev_lo"]) == (608, [6, 8], [12, 16], 1e5, None, "X")
 
 
+def test_line_lists_come_back_whole(spark, sf, tmp_path):
+    """Blocks with level numbers and names, and blocks without."""
+    lines = Q._lines(spark, sf).filter("block_id <= 4")
+    LL.write_linelist(lines, str(tmp_path / "out"), Q.ORDER)
+    back = LL.parse_linelist(Q.read_saved(spark, str(tmp_path / "out"), "list_id"))
+    cols = ["wave", "fdamp", "g_up", "lev_lo", "lev_up", "eqw", "eqw_err", "descr", "ilev_lo", "ilev_up", "id_lo", "id_up"]
+    got, want = (sorted(map(tuple, df.select(*cols).collect()), key=repr) for df in (back, lines.withColumn("fdamp", F.round("fdamp", 3))))
+    assert got == want and {r[0] for r in back.select("format").distinct().collect()} == {"stark", "stark_levels"}
+
+
 def test_model_files(spark, sf, tmp_path):
     packed = Q._packed_model(spark, sf).filter("file < 4").withColumn("file", F.format_string("m%d", "file"))
     save_whole(M.render_tau_model(packed), str(tmp_path / "m"))
     models, depths = M.read_models(spark, str(tmp_path / "m"), "tau")
-    assert models.count() == 4 and depths.count() == 48
+    assert models.count() == 4 and depths.count() == 4 * 16
     assert {r["geometry"] for r in models.collect()} == {"sph", "pp"}
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from specspark.functions.physics import voigt_np, with_voigt
 from specspark.operators import opacity as O
+from specspark.operators import synthesis as S
 
 START, STEP, N = 5000.0, 0.05, 400
 C = O.C_ANGSTROM
@@ -93,3 +94,55 @@ def test_departures_of_one_equal_lte(spark):
     nlte, lte = O.line_strength(df).first(), O.line_strength(df.drop("b_lo", "b_up")).first()
     assert nlte["kappa0"] == pytest.approx(lte["kappa0"]) and nlte["emis0"] == pytest.approx(lte["emis0"])
     assert lte["kappa0"] == pytest.approx(lte["emis0"])
+
+
+DEEP = "id int, wave double, a array<double>, dnud array<double>, ratio array<double>"
+
+
+@pytest.mark.parametrize("mode", ["symmetric", "compat"])
+@pytest.mark.parametrize("small", [False, True])
+def test_blocks_hold_the_sums_of_the_walks(spark, mode, small, monkeypatch):
+    """Sums in blocks against one point at a time; small blocks, pieces and memory cut them everywhere."""
+    if small:
+        for name, value in (("BLOCK", 32), ("PIECE", 7), ("PAIRS", 40), ("HELD_BYTES", 1)):
+            monkeypatch.setattr(S, name, value)
+    lines, eps = make_lines(), 1e-4
+    lines += [(100 + i, lines[5][1], *lines[5][2:]) for i in range(30)]  # many lines at one wavelength
+    df = S.regular_index(spark.createDataFrame(lines, DEEP), START, STEP, N).withColumns({"kappa0": F.col("ratio"), "emis0": F.transform("ratio", lambda x: x * 2)})
+    got = {(r["j"], r["k"]): (r["kappa"], r["sigma"], r["emissivity"]) for r in S.block_opacity(df, "wave", eps, mode, scattering=0.25).collect()}
+    want = {}
+    for line in lines:
+        _, lam, a, dnud, ratio = line
+        points = walk(line, eps) if mode == "compat" else [j for j in range(N) if peaks(line, j) >= eps]
+        for j in points:
+            for k in range(3):
+                v = abs(START + j * STEP - lam) * C / lam**2 / dnud[k]
+                want[j, k] = want.get((j, k), 0.0) + ratio[k] * float(voigt_np(np.array([a[k]]), np.array([v]))[0])
+    assert got.keys() == want.keys()
+    for key, total in want.items():
+        assert got[key] == pytest.approx((0.75 * total, 0.25 * total, 2 * total), rel=1e-9)
+
+
+def test_lines_stay_in_their_segment(spark):
+    """Overlapping segments: the lowest id takes the line, and its walk ends where that segment does."""
+    seg = spark.createDataFrame([(3, 5000.0, 5004.0), (1, 5002.0, 5006.0), (7, 5010.0, 5010.5)], "seg_id int, wmin double, wmax double")
+    index = S.segment_index(seg, 50000.0)
+    rows = {r["seg_id"]: r for r in index.collect()}
+    assert [rows[i]["first"] for i in (1, 3, 7)] == [0, rows[1]["n"], rows[1]["n"] + rows[3]["n"]]
+    for r in rows.values():
+        assert r["wmin"] + (r["n"] - 2) * r["step"] < r["wmax"] <= r["wmin"] + (r["n"] - 1) * r["step"] + 1e-9
+    deep = ([0.01], [C / 5000.0**2 * 0.2], [5.0])
+    lines = [(1, 5003.0, *deep), (2, 5000.5, *deep), (3, 5010.5, *deep), (4, 5008.0, *deep), (5, None, *deep)]
+    placed = S.place_lines(spark.createDataFrame(lines, DEEP), "wave", index).withColumns({"kappa0": F.col("ratio"), "emis0": F.col("ratio")})
+    assert {r["id"]: r["seg_id"] for r in placed.collect()} == {1: 1, 2: 3, 3: 7}
+    ends = S.block_opacity(placed, "wave", 1e-3).groupBy("seg_id").agg(F.min("j").alias("a"), F.max("j").alias("b"))
+    for r in ends.collect():
+        assert 0 <= r["a"] <= r["b"] < rows[r["seg_id"]]["n"]
+
+
+def test_continuum_next_above_the_line(spark):
+    cont = spark.createDataFrame([(10.0, [1.0, 2.0]), (20.0, [3.0, 4.0]), (30.0, [5.0, 6.0])], "x double, cont array<double>")
+    lines = spark.createDataFrame([(w,) for w in (5.0, 10.0, 10.5, 20.0, 29.9, 30.0, 99.0, None)], "wave double")
+    got = {r["wave"]: r["cont"] for r in S.continuum_beside(lines, "wave", cont, ["cont"]).collect()}
+    one, two, three = [1.0, 2.0], [3.0, 4.0], [5.0, 6.0]
+    assert got == {5.0: one, 10.0: one, 10.5: two, 20.0: three, 29.9: three, 30.0: three, 99.0: three, None: None}
