@@ -10,7 +10,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "line_opacity", "opacity_sum", "source_function", "voigt", "damping_width", "damping_recipe", "special_lines",
+    "line_opacity", "opacity_sum", "opacity_blocks", "segment_opacity", "source_function", "voigt", "damping_width", "damping_recipe", "special_lines",
     "assign_segment", "assign_segment_2", "interp_linear", "interp_linear_2", "monotone_cubic", "newton3", "cumulative_trapz",
     "column_mass", "formal_intensity", "grid_corners", "trilinear_2", "plan_jobs", "equivalent_width", "synthetic_photometry",
     "colours", "convolve", "convolve_2", "limb_profile", "curve_of_growth", "interp2d", "abundance_scale", "partition_sum",
