@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from specspark.operators.layout import maybe_broadcast
@@ -43,6 +43,15 @@ def vald_reject(vald: DataFrame, ionpot: DataFrame, max_chi: float = 15.0) -> Da
     return vald.join(table, ["iel", "ion"], "left").withColumn("reject_reason", reason)
 
 
+def observe_rejects(df: DataFrame, reasons: Sequence[str], reason: str = "reject_reason") -> tuple[DataFrame, Observation]:
+    """The rows without a reason, and an Observation that the first action on them fills: `rows`, one count for each of the
+    reasons, and `other`. The counts ride on the same scan, so no rejected row is read a second time."""
+    seen, found = F.col(reason), Observation()
+    counts = [F.count_if(F.coalesce(seen == r, F.lit(False))).alias(r) for r in reasons]
+    rest = F.count_if(F.coalesce(~seen.isin(*reasons), F.lit(False))).alias("other")
+    return df.observe(found, F.count(F.lit(1)).alias("rows"), *counts, rest).filter(seen.isNull()).drop(reason), found
+
+
 def split_rejects(df: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame]:
     """(kept, rejected): rows whose reason is null, and the others with their reason."""
     marked = df.withColumn("reject_reason", reason)

@@ -59,3 +59,25 @@ def test_flux_of_constant_intensity(spark):
     rows = spark.createDataFrame([(1, i, 2.0, 4.0) for i in range(1, 7)], "s int, i int, i_line double, i_cont double")
     r = X.flux_from_intensity(rows, ["s"], gauss_nodes(spark, 6)).first()
     assert r["flux_abs"] == pytest.approx(2 * np.pi) and r["flux_norm"] == pytest.approx(0.5)
+
+
+def test_rejects_are_counted_on_the_way(spark, sf):
+    """The counts of one pass equal those of the rejects themselves, and lines outside all segments are counted alike."""
+    from specspark.operators import lines as L
+    from specspark.operators.ranges import assign_segment
+    from specspark.queries.linelists import atoms, ionpot
+
+    marked = L.vald_reject(atoms(spark, sf), ionpot(spark))
+    want = {r["reject_reason"]: r["count"] for r in marked.groupBy("reject_reason").count().collect()}
+    reasons = sorted(k for k in want if k)
+    kept, seen = L.observe_rejects(marked, reasons[1:])
+    assert "reject_reason" not in kept.columns and kept.count() == want[None]
+    assert seen.get == {"rows": sum(want.values()), **{r: want[r] for r in reasons[1:]}, "other": want[reasons[0]]}
+
+    seg = spark.createDataFrame([(1, 5000.0, 9000.0), (2, 20000.0, 40000.0)], "seg_id int, wmin double, wmax double")
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").select(F.col("l_extendedprice").alias("wave"))
+    placed = assign_segment(lines, "wave", seg).withColumn("reject_reason", F.when(F.col("seg_id").isNull(), "outside"))
+    inside, seen = L.observe_rejects(placed, ["outside"])
+    n = inside.count()
+    assert n == lines.filter("wave between 5000 and 9000 or wave between 20000 and 40000").count()
+    assert seen.get == {"rows": lines.count(), "outside": lines.count() - n, "other": 0}
