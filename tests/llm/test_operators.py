@@ -460,7 +460,7 @@ def test_pipeline(spark, sf):
             sets, _, groups = _components(before, 5)
             assert len(kept[name]) == sum(1 if sets[g[0]] else len(g) for g in groups)
         if name == "repeated_passages":
-            want = {r.doc_id: b[3].decode("utf-8", "ignore") for r, b in zip(before, _brute_repeats([r.text for r in before]))}
+            want = {r.doc_id: b[3].decode("utf-8", "ignore") for r, b in zip(before, _brute_repeats([r.text for r in before], pipeline.PASSAGE_BYTES))}
             assert {r.doc_id: r.text for r in kept[name]} == want
         if name == "packing":
             assert sum(r.length for r in kept[name]) == sum(len(r.text.encode().split()) for r in before)
