@@ -371,42 +371,67 @@ def shift_resample(series: DataFrame, key: Sequence[str], x: str, y: str, shift:
 
 # --- spline on a common axis (bounded groups only) -------------------------------------
 
-def _second_derivatives(h: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Of the natural spline at every point: one sweep down the tridiagonal system and one back."""
-    n, bend = len(y), 6 * np.diff(np.diff(y) / h)
+def _second_derivatives(h: np.ndarray, y: np.ndarray, ends: str) -> np.ndarray:
+    """Of the spline at every point: one sweep down the tridiagonal system and one back.
+
+    ends="natural": zero at both ends. ends="third": the third derivative of an end interval is that of the cubic through
+    the four points nearest to the end (none with three points: one parabola), so the second derivative at the end
+    is that of its neighbour and a known step.
+    """
+    n, slope = len(y), np.diff(y) / h
+    bend = 6 * np.diff(slope)
+    same, first, last = 0.0, 0.0, 0.0  # whether an end follows its neighbour, and by which steps
+    if ends == "third":
+        same = 1.0
+        if n > 3:
+            second = np.diff(slope) / (h[:-1] + h[1:])
+            third = np.diff(second) / (h[:-2] + h[1:-1] + h[2:])
+            first, last = -6 * h[0] * third[0], 6 * h[-1] * third[-1]
+    pivots = 2 * (h[:-1] + h[1:])
+    pivots[0] += same * h[0]
+    pivots[-1] += same * h[-1]
+    bend[0] -= first * h[0]
+    bend[-1] -= last * h[-1]
     ratio, m = np.zeros(n), np.zeros(n)
     for i in range(1, n - 1):
-        pivot = 2 * (h[i - 1] + h[i]) - h[i - 1] * ratio[i - 1]
+        pivot = pivots[i - 1] - h[i - 1] * ratio[i - 1]
         ratio[i] = h[i] / pivot
         m[i] = (bend[i - 1] - h[i - 1] * m[i - 1]) / pivot
-    for i in range(n - 2, 0, -1):
+    for i in range(n - 3, 0, -1):
         m[i] -= ratio[i] * m[i + 1]
+    m[0], m[-1] = same * m[1] + first, same * m[-2] + last
     return m
 
 
-def natural_spline(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Cubic spline with zero second derivative at both ends, evaluated at ``at``."""
+def cubic_spline(x: np.ndarray, y: np.ndarray, at: np.ndarray, ends: str = "natural") -> np.ndarray:
+    """Cubic spline evaluated at ``at``; beyond the ends the outer pieces go on. Two points are a line, one is a constant,
+    none is nothing."""
     n = len(x)
-    if n < 3:
-        return np.interp(at, x, y)
+    if n < 2:
+        return np.full(len(at), y[0] if n else np.nan)
     h = np.diff(x)
-    m = _second_derivatives(h, y)
+    if n == 2:
+        return y[0] + (at - x[0]) * (y[1] - y[0]) / h[0]
+    m = _second_derivatives(h, y, ends)
     i = np.clip(np.searchsorted(x, at, side="right") - 1, 0, n - 2)
     a, b = x[i + 1] - at, at - x[i]
     return (m[i] * a**3 + m[i + 1] * b**3) / (6 * h[i]) + (y[i] / h[i] - m[i] * h[i] / 6) * a \
         + (y[i + 1] / h[i] - m[i + 1] * h[i] / 6) * b
 
 
-def resample_spline(packed: DataFrame, key: Sequence[str], x: str, y: str, axis: Sequence[float]) -> DataFrame:
-    """Spline of every packed series (arrays ``x`` sorted, ``y``) onto one axis, one array per row.
+def resample_spline(packed: DataFrame, key: Sequence[str], x: str, y: str, axis: Sequence[float], ends: str = "natural") -> DataFrame:
+    """Spline of every packed series (arrays ``x`` sorted, ``y``) onto one axis, one array per row; ``ends`` is "natural" or
+    "third" (see ``_second_derivatives``).
 
     A row is one depth scale, so its size is fixed by the reader; nothing is grouped.
     """
+    if ends not in ("natural", "third"):
+        raise ValueError(f"no such ends of a spline: {ends}")
     at = np.asarray(axis, dtype=float)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            values = [natural_spline(np.asarray(a, float), np.asarray(b, float), at)
+            values = [cubic_spline(np.asarray(a, float), np.asarray(b, float), at, ends)
                       for a, b in zip(pdf[x], pdf[y])]
             yield pdf[list(key)].assign(axis=[at] * len(pdf), value=values)
 

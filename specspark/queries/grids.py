@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from specspark.functions import names as N
 from specspark.operators import grid as G
 from specspark.operators.layout import first_match
+from specspark.plans import settings as ST
 from specspark.queries.common import SERIES_SQL, rnd, series, table
 from specspark.registry import query
 
@@ -399,3 +400,31 @@ def config_override(spark, d):
     ev = ev.withColumn("o", F.element_at(N.parse_overrides(text), 1))
     return ev.select("event_id", N.config_override(F.col("k").try_cast("double"), F.lit(1.5)).alias("setting"),
                      "o.z", "o.a")
+
+
+NESTED_SQL = """WITH c AS (SELECT c_custkey, c_nationkey AS n, c_mktsegment = 'BUILDING' AS b, c_custkey % 3 AS k, c_acctbal FROM customer),
+ sc AS (SELECT c_custkey, 'metallicity' AS item, NULL::INTEGER AS z, NULL::INTEGER AS a, CASE WHEN k = 0 THEN round(c_acctbal / 1000, 3) WHEN b THEN -0.5 ELSE n / 10 END::DOUBLE AS value FROM c
+   UNION ALL SELECT c_custkey, 'turbvel', NULL, NULL, CASE WHEN k = 1 THEN 2 ELSE 1 END FROM c),
+ ab AS (SELECT c_custkey, 'abundance', 26, NULL, CASE WHEN k = 0 THEN 7.0 ELSE round(7.5 + n / 100, 2) END FROM c UNION ALL SELECT c_custkey, 'abundance', 20, NULL, CASE WHEN b THEN 6.0 ELSE 6.34 END FROM c
+   UNION ALL SELECT c_custkey, 'abundance', 8, NULL, 8.69 FROM c WHERE k = 0),
+ iso AS (SELECT c_custkey, 'isotope', 6, 12, CASE WHEN b THEN 0.95 ELSE 0.9 END FROM c UNION ALL SELECT c_custkey, 'isotope', 6, 13, CASE WHEN k = 0 THEN 0.05 ELSE 0.1 END FROM c
+   UNION ALL SELECT c_custkey, 'isotope', 12, 24, 0.79 FROM c UNION ALL SELECT c_custkey, 'isotope', 3, 7, 1.0 FROM c WHERE k = 0)
+SELECT * FROM sc UNION ALL SELECT * FROM ab UNION ALL SELECT * FROM iso"""
+
+
+@query("nested_overrides", NESTED_SQL)
+def nested_overrides(spark, d):
+    """Three levels for every customer: defaults, a grid where the segment has one, and the point itself."""
+    k = F.col("c_custkey") % 3
+    defaults = F.format_string('{"metallicity": %.1f, "turbvel": 1.0, "individual_abundances": [[26, %.2f], [20, 6.34]], "isotopes": [[6.012, 0.9], [6.013, 0.1], [12.024, 0.79]]}',
+                               F.col("c_nationkey") / 10, 7.5 + F.col("c_nationkey") / 100)
+    grid = F.when(F.col("c_mktsegment") == "BUILDING", '{"metallicity": -0.5, "individual_abundances": [[20, 6.0]], "isotopes": [[6.012, 0.95]]}')
+    point = F.when(k == 0, F.format_string('{"metallicity": %.3f, "individual_abundances": [[26, 9.9], [8, 8.69], [26, 7.0]], "isotopes": [[6.013, 0.05], [3.007, 1.0]]}', F.col("c_acctbal") / 1000)) \
+        .when(k == 1, '{"turbvel": 2, "individual_abundances": [], "isotopes": null}').otherwise("{}")
+    df = table(spark, d, "customer").withColumn("s", ST.merge_settings([defaults, grid, point]))
+    none = F.lit(None).cast("int")
+    row = lambda item, z, a, v: F.struct(F.lit(item).alias("item"), z.alias("z"), a.alias("a"), v.alias("value"))
+    rows = F.concat(F.array(row("metallicity", none, none, F.col("s.metallicity")), row("turbvel", none, none, F.col("s.turbvel"))),
+                    F.transform(ST.abundance_rows(F.col("s")), lambda r: row("abundance", r["z"], none, r["a_log"])),
+                    F.transform(ST.isotope_rows(F.col("s")), lambda r: row("isotope", r["z"], r["a"], r["frac"])))
+    return df.select("c_custkey", F.explode(rows).alias("r")).select("c_custkey", "r.*")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -149,6 +148,5 @@ def incremental_ingest(spark, d):
 def job_progress(spark, d):
     schema = table(spark, d, "orders").schema
     log = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(d).select(F.col("o_orderstatus").alias("status"))
-    name = f"progress_{uuid.uuid4().hex}"
-    I.run_to_table(I.job_progress(log), name, f"{I.new_folder(spark)}/checkpoint").awaitTermination()
-    return spark.table(name)
+    folder = I.new_folder(spark)
+    return I.job_progress(spark, log, f"{folder}/progress", f"{folder}/checkpoint")

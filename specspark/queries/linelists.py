@@ -11,6 +11,8 @@ from specspark.operators import lines as L
 from specspark.operators.layout import small_table
 from specspark.queries.common import LINE_KEY, LINES_SQL, lines, rnd, table
 from specspark.registry import query
+from specspark.sources import linelists as LL
+from specspark.sources import vald as V
 
 KEY_SQL = "l_orderkey, l_linenumber, l_partkey, species_id, wave"
 
@@ -474,3 +476,70 @@ def partition_sqrt_table(spark, d):
     vib = P.partition_sqrt_table(F.col("temp"))
     t = t.withColumn("vib", vib)
     return t.select("o_orderkey", rnd("vib", 6).alias("q_vib"), rnd(F.col("vib") * P.water_rotation(F.col("temp")), 2).alias("q"))
+
+
+# --- VALD extracts --------------------------------------------------------------------------
+
+# seven layouts by line number: commas, blanks, an empty field, no depth, molecules, hydrogen, a row that ends early
+VALD_NAMES = ["Fe 1", "Fe 2", "Ca 1", "TiO 1", "H 1", "Ni 1", "Sr 2"]
+VALD_REFS = ["_          Kurucz FeI 2014   1 wl:K14   1 gf:K14   1 K14    Fe", "_          Kurucz FeII 2013   2 wl:K13   2 gf:K13    Fe+",
+             "_          BellCa   3 wl:BL   3 gf:BL    BellCa", "_                             3 wl:PPN2012   3 gf:PPN2012    (48)TiO",
+             "_          1 wl:H    H", "E 0.06     Sc-Ni Wisconsin   13 wl:LBT,iso:K08  13 gf:WLSCow    (64)Ni", "_          4 wl:R    Sr+"]
+
+
+def _vald_raw(spark, d):
+    """Four rows for each row of lineitem, 31 files."""
+    n, q = F.col("l_linenumber"), F.col("l_quantity")
+    li = table(spark, d, "lineitem").withColumns({"_chi": F.col("l_discount") * 160, "_v": F.col("l_linenumber") - 1})
+    text = lambda names: F.get(F.array(*[F.lit(s) for s in names]), F.col("_v"))
+    fixed = lambda c, k: F.format_string(f"%.{k}f", c)
+    fields = [fixed("l_extendedprice", 2), fixed(0.25 - F.col("l_tax") * 20, 3), fixed("_chi", 3), F.lit("2.0"), fixed(F.col("_chi") + F.col("l_tax") * 100, 3),
+              fixed(F.col("l_suppkey") % 9 / 2, 1), F.lit("1.420"), F.lit("99.000"), F.lit("1.110"), fixed(F.col("l_tax") * 100, 3),
+              F.when(n == 6, "").otherwise(fixed(q / -10, 3)), F.when(q > 40, fixed(q * 5.25, 3)).when(q > 30, fixed(q / -7 - 1, 3)).otherwise("0.000")]
+    name = F.concat(F.lit("'"), text(VALD_NAMES), F.lit("'"))
+    data = F.when(n == 3, F.concat(name, F.lit("  "), F.concat_ws("  ", *fields))).when(n == 7, F.concat(name, F.lit(", "), F.concat_ws(",  ", *fields[:3]))) \
+        .when(n == 2, F.concat(name, F.lit(", "), F.concat_ws(", ", *fields))).otherwise(F.concat(name, F.lit(",  "), F.concat_ws(", ", *fields), F.lit(", 0.009,")))
+    orbit = lambda shift: F.substring(F.lit("spdf"), (F.col("l_suppkey") % 3 + shift).cast("int"), F.lit(1))
+    lower = F.concat(F.when(n == 2, "'       ").otherwise("'  LS   "), F.lit("3d6.(5D).4"), orbit(1), F.lit("  a6D      '"))
+    upper = F.concat(F.lit("'  LS                 3d6.(5D).4"), orbit(2), F.lit(" z6F*'"))
+    rows = F.array(data, lower, upper, F.concat(F.lit("'"), text(VALD_REFS), F.lit("'")), F.lit("* references follow"))
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax"]
+    raw = li.select(*order, F.format_string("v%d", F.col("l_suppkey") % 31).alias("file"), F.posexplode(rows).alias("i", "value"))
+    return raw.select("file", F.col("l_orderkey").alias("block"), F.struct(*order, "i").alias("pos"), "value")
+
+
+VALD_SQL = f"""WITH {IONPOT_SQL},
+ vr AS (SELECT concat('v', l_suppkey % 31) AS list_id, row_number() OVER (PARTITION BY l_suppkey % 31
+    ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax)::BIGINT AS line_no, l_linenumber AS n, l_suppkey AS s,
+   round(l_extendedprice, 2) AS wave, round(l_discount * 160, 3) + 0.0 AS chi_low, round(l_discount * 160 + l_tax * 100, 3) AS chi_up, round(0.25 - l_tax * 20, 3) AS log_gf,
+   round(l_tax * 100, 3) AS rad, l_quantity AS q, [26, 26, 20, 822, 1, 28, 38][l_linenumber]::BIGINT AS iel, CASE WHEN l_linenumber IN (2, 7) THEN 2 ELSE 1 END AS ion,
+   ['Fe I', 'Fe II', 'Ca I', 'TiO I', 'H I', 'Ni I', 'Sr II'][l_linenumber] AS comment FROM lineitem),
+ vm AS (SELECT vr.*, CASE WHEN n = 7 THEN 'fields' WHEN n = 5 THEN 'H or He' WHEN chi_low >= 15 THEN 'low level' WHEN iel <= 92 AND chi_up >= chi_ion THEN 'bound-free' END AS reason
+   FROM vr LEFT JOIN ip ON iel = ip.z AND vr.ion = ip.ion)"""
+
+
+@query("vald_to_lines", VALD_SQL + """ SELECT list_id, line_no, CASE WHEN iel = 822 THEN 8220000001 ELSE iel * 10000000 + ion END AS block_id,
+  CASE WHEN iel = 822 THEN '822.000000' ELSE concat(iel, '.000') END AS species, ion, comment, wave, chi_low, log_gf, s % 9 + 1.0::DOUBLE AS g_up,
+  round(CASE WHEN q > 40 THEN q * 5.25 WHEN q > 30 THEN q / -7 - 1 WHEN n = 1 THEN 1.4 WHEN n = 3 THEN 1.8 ELSE 2.5 END, 3) AS fdamp, round(CASE WHEN rad > 3 THEN pow(10, rad) ELSE 1e5 END, 1) AS gam_rad,
+  CASE WHEN n = 6 THEN 0 ELSE round(q / -10, 3) END::DOUBLE AS gam_stark, CASE WHEN n = 4 THEN 'X' ELSE substr('spd', (s % 3 + 1)::INTEGER, 1) END AS lev_lo,
+  CASE WHEN n = 4 THEN 'X' ELSE substr('pdf', (s % 3 + 1)::INTEGER, 1) END AS lev_up,
+  concat(comment, CASE WHEN n = 2 THEN ' __' ELSE ' LS' END, ':3d6.(5D).4', substr('spd', (s % 3 + 1)::INTEGER, 1), ' a6D LS:3d6.(5D).4', substr('pdf', (s % 3 + 1)::INTEGER, 1), ' z6F*') AS descr
+  FROM vm WHERE reason IS NULL""")
+def vald_to_lines(spark, d):
+    kept, _ = V.vald_to_lines(_vald_raw(spark, d), ionpot(spark))
+    return kept.select("list_id", "line_no", "block_id", "species", "ion", "comment", "wave", "chi_low", "log_gf", "g_up", rnd("fdamp", 3).alias("fdamp"),
+                       rnd("gam_rad", 1).alias("gam_rad"), "gam_stark", "lev_lo", "lev_up", "descr")
+
+
+@query("vald_rejects", VALD_SQL + """ SELECT list_id, line_no, ['Fe', 'Fe', 'Ca', 'TiO', 'H', 'Ni', 'Sr'][n] AS token, reason AS reject_reason FROM vm WHERE reason IS NOT NULL""")
+def vald_rejects(spark, d):
+    _, rejected = V.vald_to_lines(_vald_raw(spark, d), ionpot(spark))
+    return rejected.select("list_id", "line_no", F.regexp_extract("data", r"^'([^\s']+)", 1).alias("token"), "reject_reason")
+
+
+@query("vald_counts", VALD_SQL + """ SELECT list_id, CASE WHEN iel = 822 THEN '822.000000' ELSE concat(iel, '.000') END AS species, ion, count(*) AS n_read,
+  count(*) FILTER (reason IS NULL) AS n_written, count(reason) AS n_skipped FROM vm GROUP BY ALL""")
+def vald_counts(spark, d):
+    """Read = written + skipped, by file, species and stage."""
+    marked = V.vald_marked(LL.parse_vald3(_vald_raw(spark, d)), ionpot(spark))
+    return L.count_lines(marked, ["list_id", "species", "ion"])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,8 +26,12 @@ def ingest_tables(stream: DataFrame, transform: Callable[[DataFrame], Sequence[D
     not add its rows twice.  It counts as done when all its tables are written.
     """
     def append(batch: DataFrame, batch_id: int) -> None:
-        for rows, table in zip(transform(batch), tables, strict=True):
-            rows.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        batch.persist()  # read once, whatever the number of tables
+        try:
+            for rows, table in zip(transform(batch), tables, strict=True):
+                rows.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     return (stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
@@ -59,12 +64,46 @@ def ingest_linelists(spark: SparkSession, source: str, table: str, checkpoint: s
     return incremental_ingest(text_stream(spark, source, glob), lambda b: parse_linelist(with_position(b)), table, checkpoint)
 
 
-def job_progress(log: DataFrame) -> DataFrame:
-    """Status counts of a streaming run log (complete output mode: one row per status)."""
-    return log.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+def _versions(spark: SparkSession, table: str) -> DataFrame:
+    return spark.read.schema("version long, rows long").json(f"{table}/finished")
 
 
-def run_to_table(counts: DataFrame, name: str, checkpoint: str) -> StreamingQuery:
-    """Run a small streaming aggregate over what is there now into an in-memory table."""
-    return (counts.writeStream.outputMode("complete").format("memory").queryName(name)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+def upsert_counts(stream: DataFrame, key: Sequence[str], table: str, checkpoint: str) -> StreamingQuery:
+    """Keep the rows of ``stream`` counted by ``key`` in ``table``, and stop when nothing is left.
+
+    A micro-batch counts its own rows, adds them to the counts of the last finished batch before it, key by key, and writes the
+    sums as version <batch_id>; then it marks the version as finished. Only counts move, never rows, and nothing
+    passes through the driver. A batch that is repeated after a failure starts from the same earlier version and
+    overwrites its own, so it changes nothing. ``read_counts`` gives the last finished version.
+    """
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        new = batch.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+        if batch_id > 0:
+            last = _versions(spark, table).filter(F.col("version") < batch_id).agg(F.max("version")).first()[0]
+            if last is not None:
+                old = spark.read.schema(new.schema).parquet(f"{table}/counts/version={last}")
+                new = new.unionByName(old).groupBy(*key).agg(F.sum("n").alias("n"))
+        path = f"{table}/counts/version={batch_id}"
+        new.write.mode("overwrite").parquet(path)
+        done = spark.read.schema(new.schema).parquet(path).agg(F.lit(batch_id).cast("long").alias("version"), F.count(F.lit(1)).alias("rows"))
+        done.coalesce(1).write.mode("overwrite").json(f"{table}/finished/batch={batch_id}")
+
+    return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def read_counts(spark: SparkSession, key_schema: str, table: str) -> DataFrame:
+    """The counts of the last finished batch of ``upsert_counts``; no rows before the first."""
+    schema = f"{key_schema}, n long"
+    try:
+        last = _versions(spark, table).agg(F.max("version")).first()[0]
+    except AnalysisException:  # nothing has been written yet
+        last = None
+    return spark.createDataFrame([], schema) if last is None else spark.read.schema(schema).parquet(f"{table}/counts/version={last}")
+
+
+def job_progress(spark: SparkSession, log: DataFrame, table: str, checkpoint: str) -> DataFrame:
+    """Status counts of a streaming run log (column ``status``), brought up to date in ``table``."""
+    upsert_counts(log, ["status"], table, checkpoint).awaitTermination()
+    return read_counts(spark, "status string", table)

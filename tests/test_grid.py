@@ -116,3 +116,20 @@ def test_segments_against_a_loop(spark):
         want = {i: min((s for s, a, b in part if a <= w <= b), default=None) for i, w in pts}
         got = R.assign_segment(lines, "wave", spark.createDataFrame(part, "seg_id int, wmin double, wmax double"))
         assert {r["id"]: r["seg_id"] for r in got.collect()} == want
+
+
+def test_settings_of_three_levels(spark):
+    from specspark.plans import settings as ST
+
+    texts = [('{"abund_source": "magg", "turbvel": 1.0, "isotopes": [[6.012, 0.9], [6.013, 0.1]], "individual_abundances": [[26, 7.5]]}',
+              '{"turbvel": null, "isotopes": [[6.01, 0.5], [12.024, 0.8]], "comment": {"any": [1]}}', '{"isotopes": [[6.012, 0.95]], "individual_abundances": [[26, 7.4], [26, 7.3], [20]]}'),
+             (None, "not json", "{}"), ("{}", '{"turbvel": "fast", "alpha_fe": 0.4}', None)]
+    df = spark.createDataFrame(texts, "a string, b string, c string").select(ST.merge_settings([F.col("a"), F.col("b"), F.col("c")]).alias("s"))
+    one, none, two = df.select("s.*", ST.abundance_rows(F.col("s")).alias("ab"), ST.isotope_rows(F.col("s")).alias("iso")).collect()
+    assert (one.abund_source, one.turbvel, one.individual_abundances) == ("magg", 1.0, {26: 7.3})
+    assert one.isotopes == {6: {12: 0.95, 13: 0.1, 10: 0.5}, 12: {24: 0.8}}
+    assert [tuple(r) for r in one.iso] == [(6, 10, 0.5), (6, 12, 0.95), (6, 13, 0.1), (12, 24, 0.8)] and [tuple(r) for r in one.ab] == [(26, 7.3)]
+    assert none.turbvel is None and none.isotopes == {} == none.individual_abundances and none.iso == []
+    assert two.turbvel is None and two.isotopes == {}
+    with pytest.raises(ValueError):
+        ST.merge_settings([])

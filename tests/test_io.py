@@ -8,6 +8,7 @@ from specspark.sources import linelists as LL
 from specspark.sources import models as M
 from specspark.sources import spectra as SS
 from specspark.sources import tables as T
+from specspark.sources import vald as V
 from specspark.sources.text import read_saved, save_whole
 from specspark.streaming import ingest as I
 
@@ -159,3 +160,59 @@ def test_queries_call_their_operators(spark, sf, monkeypatch):
     monkeypatch.setattr(job_runs.J, "status_counts", lambda log: called.append("counts") or counts(log))
     assert {r["list_id"] for r in Q.concat_linelists(spark, sf).collect()} == {"all", "even"} and job_runs.sort_status(spark, sf).count() > 0
     assert called == ["lines", "counts"]
+
+
+def test_vald_files_become_line_lists(spark, tmp_path):
+    def record(data, refs, lower="'  LS   3d6.4s a6D'", upper="'  LS   3d6.4p   z6F*'"):
+        return "\n".join([data, lower, upper, f"'_   1 wl:K14  {refs}'"]) + "\n"
+
+    text = "Elm Ion WL_air log gf\n" + record("'Fe 1',  5000.5, -1.5, 1.25, 2.0, 3.729, 3.0, 1.4, 99.0, 1.1, 8.1, -5.9, -7.55, 0.009,", "Fe") + "a row that belongs to nothing\n" \
+        + record("'CN 1', 5001.25, -12.25, 0.5, 2.0, 2.9, 3.5,,,,0.0,,0.0,", "(12)C(14)N", "'  Hb   v=1'", "") + record("'Fe 2'  4999.75 -0.5 2.0 1.5 4.4 0.5 1.4 99.0 1.1 0.0 0.0 290.245", "Fe+") \
+        + record("'Fe 1', 4000.0, -1.0, 15.0, 2.0, 15.5, 2.0", "Fe") + record("'Qq 1', 4000.0, -1.0, 1.0, 2.0, 2.5, 2.0", "Qq") + record("'Fe 1', 4000.0, x, 1.0, 2.0, 2.5, 2.0", "Fe") \
+        + record("'Na 1', 4000.0, -1.0, 1.0, 2.0, 9.5, 2.0", "Na") + record("'Na 3', 4000.0, -1.0, 1.0, 2.0, 9.5, 2.0", "Na+2") + "'He 1', 4000.0\n"
+    write(tmp_path / "in" / "a.vald", text)
+    ionpot = spark.createDataFrame([(26, 1, 7.9), (26, 2, 16.2), (11, 1, 5.1)], "z int, ion int, chi_ion double")
+    kept, rejected = V.read_vald_lines(spark, str(tmp_path / "in"), ionpot)
+    assert sorted((r.line_no, r.reject_reason) for r in rejected.collect()) == [(4, "low level"), (5, "species"), (6, "fields"), (7, "bound-free"), (8, "ion"), (9, "fields")]
+    LL.write_linelist(kept.withColumn("list_id", F.lit("out")), str(tmp_path / "out"))
+    got = [tuple(r) for r in LL.read_linelist(spark, str(tmp_path / "out" / "list_id=out")).orderBy("block_id", "line_no").select(
+        "block_id", "species", "ion", "comment", "wave", "chi_low", "log_gf", "fdamp", "g_up", "gam_rad", "gam_stark", "lev_lo", "lev_up", "descr").collect()]
+    assert got == [
+        (1, "26.000", 1, "Fe I", 5000.5, 1.25, -1.5, -7.55, 7.0, 1.26e8, -5.9, "s", "p", "Fe I LS:3d6.4s a6D LS:3d6.4p z6F*"),
+        (2, "26.000", 2, "Fe II", 4999.75, 2.0, -0.5, 290.245, 2.0, 1e5, 0.0, "s", "p", "Fe II LS:3d6.4s a6D LS:3d6.4p z6F*"),
+        (3, "607.000000", 1, "CN I", 5001.25, 0.5, -12.25, 2.5, 8.0, 1e5, None, "X", "X", "CN I Hb:v=1 __:")]
+    whole, _ = V.read_vald_lines(spark, str(tmp_path / "in"), ionpot)
+    raw = V.read_rows(spark, str(tmp_path / "in"))
+    cut, _ = V.vald_to_lines(raw, ionpot, rows_per_chunk=7)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, cut.collect()))
+    assert sum(V.vald_to_lines(raw.limit(0), ionpot)[i].count() for i in (0, 1)) == 0
+
+
+def test_counts_are_brought_up_to_date_once(spark, tmp_path):
+    src, out, ck = str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "ck")
+    (tmp_path / "in").mkdir()
+    log = spark.readStream.schema("status string, node string").csv(src)
+    assert I.job_progress(spark, log, out, ck).count() == 0
+    write(tmp_path / "in" / "a.csv", "ok,1\nok,2\nfailed,1\n,3\n")
+    first = sorted(map(str, I.job_progress(spark, log, out, ck).collect()))
+    assert first == sorted(map(str, I.job_progress(spark, log, out, ck).collect()))
+    write(tmp_path / "in" / "b.csv", "ok,1\nskipped,2\n")
+    want = {"ok": 3, "failed": 1, "skipped": 1, None: 1}
+    assert {r.status: r.n for r in I.job_progress(spark, log, out, ck).collect()} == want
+    # the last batch once more, as after a failure: from the version before it, over its own
+    commits = sorted((tmp_path / "ck" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    commits[-1].unlink()
+    commits[-1].with_name(f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    assert {r.status: r.n for r in I.job_progress(spark, log, out, ck).collect()} == want
+
+
+def test_line_lists_keep_their_layout(spark, tmp_path):
+    tail, ids = "'p' 'd'   0.0    1.0 'Fe I, x y'", " 82 0 'z3D3*' 'none' 'c' 'x'"
+    blocks = [("26.000", f"-5.500 {tail}{ids}"), ("26.000", f"0.000 {tail}"), ("26.000", f"{tail}{ids}"), ("26.000", tail), ("26.000", ""), ("608.012016", tail), ("608.012016", "")]
+    text = "".join(f"'{code}            '    1       1\n'name {i}'\n  4200.087  3.884 -1.130 -7.420 7.0 1.00E+05 {end}\n" for i, (code, end) in enumerate(blocks))
+    write(tmp_path / "in" / "a.list", text)
+    lines = LL.read_linelist(spark, str(tmp_path / "in")).withColumn("list_id", F.lit("out"))
+    assert [r["format"] for r in lines.orderBy("block_id").collect()] == ["stark_levels", "stark", "levels", "short", "old", "short", "old"]
+    LL.write_linelist(lines, str(tmp_path / "out"))
+    back = LL.read_linelist(spark, str(tmp_path / "out" / "list_id=out")).withColumn("list_id", F.lit("out"))
+    assert [tuple(r) for r in back.orderBy("block_id").collect()] == [tuple(r) for r in lines.orderBy("block_id").collect()]

@@ -81,3 +81,36 @@ def test_rejects_are_counted_on_the_way(spark, sf):
     n = inside.count()
     assert n == lines.filter("wave between 5000 and 9000 or wave between 20000 and 40000").count()
     assert seen.get == {"rows": lines.count(), "outside": lines.count() - n, "other": 0}
+
+
+def test_spline_ends(spark):
+    from specspark.operators.series import cubic_spline, resample_spline
+
+    rng = np.random.default_rng(4)
+    x = np.cumsum(rng.uniform(0.3, 2.0, 9))
+    at = np.linspace(x[0] - 1, x[-1] + 1, 50)
+    cubic = lambda t: 0.3 * t**3 - 2 * t**2 + t - 5
+    for n in (4, 5, 9):  # the spline of a cubic is that cubic, beyond the ends too
+        assert np.allclose(cubic_spline(x[:n], cubic(x[:n]), at, "third"), cubic(at), rtol=1e-9, atol=1e-7)
+    parabola = lambda t: t**2 - 3 * t
+    assert np.allclose(cubic_spline(x[:3], parabola(x[:3]), at, "third"), parabola(at))
+    y = rng.normal(size=9)
+    for ends in ("third", "natural"):  # a dense solution of the same conditions
+        h, a, b = np.diff(x), np.zeros((9, 9)), np.zeros(9)
+        for i in range(1, 8):
+            a[i, i - 1:i + 2] = h[i - 1], 2 * (h[i - 1] + h[i]), h[i]
+            b[i] = 6 * ((y[i + 1] - y[i]) / h[i] - (y[i] - y[i - 1]) / h[i - 1])
+        a[0, 0] = a[8, 8] = 1
+        if ends == "third":
+            a[0, 1] = a[8, 7] = -1
+            b[0], b[8] = (-6 * h[0] * np.polyfit(x[:4], y[:4], 3)[0], 6 * h[-1] * np.polyfit(x[-4:], y[-4:], 3)[0])
+        m = np.linalg.solve(a, b)
+        mid = (x[:-1] + x[1:]) / 2
+        assert np.allclose(cubic_spline(x, y, mid, ends), (y[:-1] + y[1:]) / 2 - h**2 * (m[:-1] + m[1:]) / 16)
+        assert np.allclose(cubic_spline(x, y, x, ends), y)
+    assert np.allclose(cubic_spline(np.array([1.0, 2.0]), np.array([1.0, 3.0]), np.array([0.0, 4.0]), "third"), [-1, 7])
+    rows = spark.createDataFrame([(1, [], []), (2, [1.0], [5.0])], "k int, x array<double>, y array<double>")
+    got = {r.k: r.value for r in resample_spline(rows, ["k"], "x", "y", [0.0, 1.0], "third").collect()}
+    assert got[2] == [5.0, 5.0] and got[1] == [None, None]
+    with pytest.raises(ValueError):
+        resample_spline(rows, ["k"], "x", "y", [0.0], "clamped")
