@@ -5,6 +5,7 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import duckdb
 import numpy as np
@@ -447,6 +448,29 @@ def test_top_k(spark, monkeypatch):
     assert sliced_topk.top_k(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+@pytest.mark.parametrize("most", [8, 256])
+def test_top_k_of_large_components(spark, monkeypatch, most):
+    """Integers beyond +-2^25 and scores beyond a long, next to ordinary vectors; extra columns with the names of its own."""
+    monkeypatch.setattr(sliced_topk, "BLOCK", 64)
+    monkeypatch.setattr(sliced_topk, "QUERIES", most)
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(0, 10.0 ** (i % 7), 4)]) for i in range(260)] + [(i, [40000.0, 1.0, 0.0, -0.0]) for i in range(260, 300)]
+    rows += [(300, [1.0, 1.0]), (301, [50000.0, 0.0]), (302, [32768.0, 1.0]), (303, [32767.9999, 1.0]), (304, [-32768.0]), (305, [1e300, -1e300, 0.1, 0.0]),
+             (400, [1.7e308, 1.7e308, 1e-300, 5e-324]), (500, [-1.7e308, 3.5, 2.0**53, 2.0**52 + 0.5]), (600, [1e18, 1e18, 1e18, 1e18]), (None, [1e17, 0.0]), (700, [])]
+    df = spark.createDataFrame([(i, v, "b", 1, 2, "q") for i, v in rows], "vec_id long, embedding array<double>, block string, id int, score int, queries string").repartition(5)
+    whole = lambda x: math.floor(Fraction(x) * 1024)
+    good = [(i, [whole(x) for x in v] + [0] * (4 - len(v))) for i, v in rows]
+    got = defaultdict(list)
+    for r in sorted(sliced_topk.top_k(df, F.col("vec_id") % 50 == 0, k=10).collect(), key=lambda r: (r.query_id, r.rank)):
+        got[r.query_id].append((r.vec_id, r.score))
+    want = {}
+    for q, v in good:
+        if q is not None and q % 50 == 0:
+            best = sorted((-sum(a * b for a, b in zip(v, w)), i is None, i or 0) for i, w in good if i != q)[:10]
+            want[q] = [(None if n else i, -s if -(1 << 63) <= -s < 1 << 63 else None) for s, n, i in best]
+    assert dict(got) == want and any(s is None for found in want.values() for _, s in found)
+
+
 def test_pipeline(spark, sf):
     pipeline = pytest.importorskip("corpus_pipeline")
     docs = spark.read.parquet(f"{sf}/documents.parquet")
