@@ -7,7 +7,8 @@ dual has one multiplier a source and the rates are exponentially tilted, r = min
 The dual is solved by distributed Newton steps on ln(sum r size) over the table of (source, size, number of documents), a
 sufficient statistic that Spark pre-aggregates; each step is one aggregation for all sources, kept inside a bracket. Rates are
 then rounded systematically: documents of a source stand by falling size, and a document gets as many copies as there are
-whole numbers in its stretch of the running sum of rates. The sum telescopes, so a source misses its target by a part of one
+whole numbers in its stretch of the running sum of rates. The sums of a step are exact decimals, so multipliers, rates and copies do not
+depend on how the table is partitioned; a solution that misses its target is an error, never a result. The sum telescopes, so a source misses its target by a part of one
 document only; the offset of the whole numbers is the best of `probes` ones. No source or size meets in one task: ranks of
 documents alike in source and size are dealt over chunks by a hash.
 
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from specspark.llm.shared import chunk_counts, cut, n_words, rank_in_chunk
 
 CHUNKS = 256
-MAX_STEPS = 60
+MAX_STEPS = 200  # halving alone needs some 60
 TOLERANCE = 1e-7
 
 
@@ -50,6 +51,11 @@ def source_targets(groups: DataFrame, weights: tuple[float, ...], cap: float) ->
     return s.select("_s", "source_size", F.least(limit, F.col("w") * F.col("level")).alias("target"))
 
 
+def exact(c: Column, digits: int) -> Column:
+    """The sum of doubles, each rounded to so many digits: a decimal sum does not depend on the order of the rows."""
+    return F.sum(c.cast(f"decimal(38,{digits})")).cast("double")
+
+
 def solve_rates(groups: DataFrame, targets: DataFrame, cap: float) -> DataFrame:
     """_s, source_size, target, lam: Newton steps on the dual, all sources at once, until every target is met."""
     top = math.log(cap)
@@ -62,7 +68,7 @@ def solve_rates(groups: DataFrame, targets: DataFrame, cap: float) -> DataFrame:
         rate = F.least(F.lit(float(cap)), tilt)
         words = F.col("n") * F.col("size") * rate
         sums = groups.join(state, "_s").groupBy("_s", "source_size", "target", "lo", "hi", "lam", "miss").agg(
-            F.sum(words).alias("f"), F.sum(F.when(tilt < cap, words * F.col("size")).otherwise(0.0)).alias("slope"))
+            exact(words, 12).alias("f"), exact(F.when(tilt < cap, words * F.col("size")).otherwise(0.0), 6).alias("slope"))
         over = F.col("f") > F.col("target")
         lo = F.when(over, F.col("lo")).otherwise(F.col("lam"))
         hi = F.when(over, F.col("lam")).otherwise(F.col("hi"))
@@ -77,6 +83,8 @@ def solve_rates(groups: DataFrame, targets: DataFrame, cap: float) -> DataFrame:
             F.when(open_, miss).otherwise(0.0).alias("miss")))
         if not state.agg(F.max("miss")).first()[0]:
             break
+    else:
+        raise RuntimeError(f"a source misses its target after {MAX_STEPS} steps")
     return state.select("_s", "source_size", "target", "lam")
 
 

@@ -180,9 +180,29 @@ def test_mix(docs, rows, nothing):
     assert all(abs(taken[s] - target[s]) <= largest[s] for s in order)
     again = entropy_mix.mix(docs, carry=["doc_id", "source"]).collect()
     assert Counter((r.row.doc_id, r.size, r.copies) for r in out) == Counter((r.row.doc_id, r.size, r.copies) for r in again)
+    other = entropy_mix.mix(docs.repartition(7), carry=["doc_id", "source"]).collect()  # rates to the last bit, however the rows are dealt
+    assert Counter((r.row.doc_id, r.size, r.rate, r.copies) for r in out) == Counter((r.row.doc_id, r.size, r.rate, r.copies) for r in other)
+    for s in order:  # rates by halving, copies by walking the sum of rates
+        mine = sorted([r for r in out if r.row.source == s], key=lambda r: -r.size)
+        low, high = -64.0, math.log(3)
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if sum(r.size * min(3, math.exp(min(50, mid * r.size))) for r in mine) <= target[s] else (low, mid)
+        assert all(math.isclose(r.rate, min(3, math.exp(min(50, low * r.size))), rel_tol=1e-4, abs_tol=1e-9) for r in mine if r.size)
+        before, got = 0.0, 0
+        for size in sorted({r.size for r in mine}, reverse=True):
+            same = [r for r in mine if r.size == size]
+            before, got = before + sum(r.rate for r in same), got + sum(r.copies for r in same)
+            assert abs(got - before) <= 1 and len({r.rate for r in same}) == 1
     assert entropy_mix.mixed_documents(docs).columns == docs.columns and entropy_mix.mix(nothing).count() == 0
 
 
+def test_a_missed_target_is_an_error(docs, monkeypatch):
+    monkeypatch.setattr(entropy_mix, "MAX_STEPS", 1)
+    with pytest.raises(RuntimeError):
+        entropy_mix.mix(docs)
+
+
 def _notice(line):
     unit, weight, other = license_scan.template_vectors(license_scan.TEMPLATES)
     import re
