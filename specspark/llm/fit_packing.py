@@ -2,11 +2,13 @@
 
 The lengths of all documents form a histogram with at most max(capacities) rows, whatever the number of documents; Spark counts
 it. Best-fit decreasing then runs on the histogram with runs of equal bins instead of single bins: the longest length first, into
-the open bins with the least room that still takes it, and when none is left new bins are opened at the least-cost permitted
-size. How large new bins open decides how well short pieces fill them, so the permitted sizes are tried jointly: one full plan a
-size, each ending with every bin downsized to the smallest permitted size that holds its contents, and the plan of least cost
-stays. The plan is a list of steps (length, ranks, first bin, pieces a bin), and Spark deals every piece to its bin by its rank
-among the pieces of equal length; ranks are dealt over chunks, so that no common length meets in one task.
+the open bins with the least room that still takes it, and when none is left new bins are opened. The size of new bins depends on the
+length that opens them: lengths fall into classes at capacity / 1, 2, 3, 4, and the sizes of all classes are chosen jointly, for the
+cost of the whole plan. The search starts from the best of: one size for all, and for each length the size that is least costly for it
+alone; then a class at a time changes its size as long as the whole plan gets cheaper. A plan counts with every bin downsized to the
+smallest permitted size that holds its contents. The plan that keeps every length in bins of its own is tried too, so the result is
+never dearer than that. The plan is a list of steps (length, ranks, first bin, pieces a bin), and Spark deals every piece to its bin
+by its rank among the pieces of equal length; ranks are dealt over chunks, so that no common length meets in one task.
 
 The cost of a sequence of c tokens is c + c * c / QUADRATIC: attention grows with the square.
 Documents longer than the largest size are cut into full sequences and a rest. Nothing is dropped or shortened.
@@ -18,7 +20,7 @@ null bin. Null ids and repeated rows are documents like others. An empty table g
 from __future__ import annotations
 
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,14 +32,16 @@ from specspark.llm.shared import cut, n_words, spread_rank
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 QUADRATIC = 16384.0
 CHUNKS = 256
+SWEEPS = 3  # over all classes of lengths; each class tries each size
 
 
 def cost(capacity: float) -> float:
     return capacity + capacity * capacity / QUADRATIC
 
 
-def _fit(histogram: list[tuple[int, int]], capacities: tuple[int, ...], opened: int) -> tuple[list, list]:
-    """Best fit of (length, count), longest first; new bins open at `opened`, or at the least size that takes the length.
+def _fit(histogram: list[tuple[int, int]], capacities: tuple[int, ...], opened: int | Callable[[int], int]) -> tuple[list, list]:
+    """Best fit of (length, count), longest first; new bins open at `opened` (of the length, if it is a function), or at the least
+    size that takes the length.
     Steps: (length, first rank, end rank, first bin, pieces a bin, offset of the first piece). Bins: (first, end, contents)."""
     room: list[int] = []  # the rooms for which there are open bins, rising
     open_bins: dict[int, list[tuple[int, int, int]]] = {}  # room -> runs of bins (first, end, size)
@@ -60,7 +64,7 @@ def _fit(histogram: list[tuple[int, int]], capacities: tuple[int, ...], opened:
                 if not open_bins[left]:
                     del open_bins[left], room[at]
             else:
-                size = max(opened, capacities[bisect_left(capacities, length)])
+                size = max(opened if isinstance(opened, int) else opened(length), capacities[bisect_left(capacities, length)])
                 left = size
                 first, end = bins, bins - (rank - count) // (left // length)
                 bins = end
@@ -76,18 +80,49 @@ def _fit(histogram: list[tuple[int, int]], capacities: tuple[int, ...], opened:
     return steps, sorted(contents)
 
 
+def _alone(length: int, capacities: tuple[int, ...]) -> int:
+    """The size that costs least a token if only pieces of this length are packed."""
+    return min((c for c in capacities if c >= length), key=lambda c: cost(c) / (c // length))
+
+
+def _apart(histogram: list[tuple[int, int]], capacities: tuple[int, ...]) -> tuple[list, list]:
+    """As _fit, every length in bins of its own."""
+    steps, bins, contents = [], 0, []
+    for length, count in histogram:
+        own, runs = _fit([(length, count)], capacities, _alone(length, capacities))
+        steps += [(n, rank, end, first + bins, each, offset) for n, rank, end, first, each, offset in own]
+        contents += [(first + bins, end + bins, used) for first, end, used in runs]
+        bins = max(end for _, end, _ in contents)
+    return steps, contents
+
+
 def plan(histogram: list[tuple[int, int]], capacities: tuple[int, ...] = CAPACITIES) -> tuple[list, list]:
-    """The steps and the runs of bins (first, end, downsized capacity) of the cheapest way to open bins."""
+    """The steps and the runs of bins (first, end, downsized capacity) of the cheapest plan found."""
     capacities = tuple(sorted(capacities))
     histogram = sorted(histogram, reverse=True)
-    best = None
-    for opened in capacities:
-        steps, contents = _fit(histogram, capacities, opened)
-        sized = [(first, end, capacities[bisect_left(capacities, used)]) for first, end, used in contents]
-        total = sum((end - first) * cost(size) for first, end, size in sized)
-        if best is None or total < best[0]:
-            best = total, steps, sized
-    return best[1], best[2]
+    bounds = sorted({c // k for c in capacities for k in (1, 2, 3, 4)})
+    alone = {length: _alone(length, capacities) for length, _ in histogram}
+    used = sorted({bisect_left(bounds, length) for length, _ in histogram}, reverse=True)
+
+    def priced(steps: list, contents: list) -> tuple[float, list, list]:
+        sized = [(first, end, capacities[bisect_left(capacities, held)]) for first, end, held in contents]
+        return sum((end - first) * cost(size) for first, end, size in sized), steps, sized
+
+    def tried(sizes: dict[int, int | None]) -> tuple[float, list, list]:
+        """sizes: of each class, None for what is best for each length alone."""
+        return priced(*_fit(histogram, capacities, lambda n: sizes[bisect_left(bounds, n)] or alone[n]))
+
+    choices = [None, *capacities]
+    best, sizes = min(((tried(s), s) for s in (dict.fromkeys(used, c) for c in choices)), key=lambda x: x[0][0])
+    for _ in range(SWEEPS):
+        before = best[0]
+        for part in used:
+            for size in choices:
+                if size != sizes[part] and (found := tried(sizes | {part: size}))[0] < best[0]:
+                    best, sizes = found, sizes | {part: size}
+        if best[0] == before:
+            break
+    return min(best, priced(*_apart(histogram, capacities)), key=lambda x: x[0])[1:]
 
 
 def pack(docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES, length: Column | None = None, key: str = "doc_id",

@@ -387,6 +387,57 @@ def test_runs_of_bins_equal_single_bins():
         assert len(made) == len(free) and sum(made) == sum(free)
 
 
+def _price(plan):
+    return sum((end - first) * fit_packing.cost(size) for first, end, size in plan[1])
+
+
+def test_sizes_are_chosen_jointly(monkeypatch):
+    """The planned bins hold every piece, and cost no more than one size for all or each length at its own best size."""
+    rng = random.Random(9)
+    cases = [({1365: 1000, 1024: 3000}, fit_packing.CAPACITIES), ({8192: 3}, fit_packing.CAPACITIES), ({}, fit_packing.CAPACITIES)]
+    cases += [({rng.randint(1, 64): rng.randint(1, 400) for _ in range(rng.randint(1, 12))}, (8, 16, 32, 64)) for _ in range(15)]
+    for histogram, sizes in cases:
+        monkeypatch.setattr(fit_packing, "QUADRATIC", 16384.0 if max(sizes) == 8192 else rng.choice([16.0, 64.0, 1e9]))
+        steps, bins = got = fit_packing.plan(list(histogram.items()), sizes)
+        apart = 0.0
+        for n, count in histogram.items():
+            whole = {c: divmod(count, c // n) for c in sizes if c >= n}
+            apart += min(full * fit_packing.cost(c) + (fit_packing.cost(min(d for d in sizes if d >= rest * n)) if rest else 0) for c, (full, rest) in whole.items()
+                         if c == fit_packing._alone(n, sizes))
+        assert _price(got) <= apart + 1e-6
+        longest_first = sorted(histogram.items(), reverse=True)
+        for c in sizes:
+            _, contents = fit_packing._fit(longest_first, sizes, c)
+            assert _price(got) <= sum((end - first) * fit_packing.cost(min(d for d in sizes if d >= used)) for first, end, used in contents) + 1e-6
+        held = Counter()
+        for n, rank, end, first, each, offset in steps:
+            for i in range(end - rank):
+                held[first + i // each] += n
+        size_of = {b: size for first, end, size in bins for b in range(first, end)}
+        assert set(held) == set(size_of) and all(held[b] <= size_of[b] for b in held)
+        assert sum(held.values()) == sum(n * c for n, c in histogram.items())
+
+
+def test_plans_against_all_packings(monkeypatch):
+    """Up to seven pieces: never below the optimum of all partitions, and near it on the whole."""
+    monkeypatch.setattr(fit_packing, "QUADRATIC", 16.0)
+    sizes, rng, ratio = (4, 8, 16), random.Random(3), []
+    for _ in range(40):
+        pieces = [rng.randint(1, 16) for _ in range(rng.randint(1, 7))]
+        total = [sum(p for i, p in enumerate(pieces) if m >> i & 1) for m in range(1 << len(pieces))]
+        best = [0.0] + [math.inf] * (len(total) - 1)
+        for m in range(1, len(total)):
+            part = m
+            while part:
+                if total[part] <= 16:
+                    best[m] = min(best[m], best[m ^ part] + fit_packing.cost(min(c for c in sizes if c >= total[part])))
+                part = (part - 1) & m
+        price = _price(fit_packing.plan(list(Counter(pieces).items()), sizes))
+        assert price >= best[-1] - 1e-9
+        ratio.append(price / best[-1])
+    assert sum(ratio) / len(ratio) < 1.08 and max(ratio) < 1.5
+
+
 def _brute_repeats(texts, length=400):
     raws = [(t or "").encode() for t in texts]
     seen = Counter(xxhash.xxh3_128_digest(r[i:i + length]) for r in raws for i in range(len(r) - length + 1))
