@@ -7,7 +7,8 @@ misses all of them with probability (1 - 0.8^5)^32 = 3e-6.
 
 Equal sets become one class before anything is paired. In a bucket the classes are not paired with each other: leaders are compared
 with all members, and a bucket is done when all its members are connected. In each round the parts of a bucket, four times as many as before, name a
-leader each; later only among the members outside the bucket's largest component, and only members of other
+leader each; before the first round the buckets of the EARLY first bands alone go through this, so that copies of one text, which share
+most of their buckets, are connected before they are compared in all of them; later only among the members outside the bucket's largest component, and only members of other
 components are compared with it. So every pair of a bucket is either compared or already connected at the end, and a bucket of
 copies ends after one round. A bucket
 that still holds more than CROWD classes then is one of texts that share a passage without being alike; its classes are dealt
@@ -29,13 +30,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from specspark.llm.shared import cut
 
 BANDS, ROWS = 32, 5
 CROWD = 8
+EARLY = 4  # bands that are compared before all others
 BLOCK = 1 << 15
 VOCABULARY = 1 << 20
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63,
@@ -222,8 +224,9 @@ def rare_buckets(sets: DataFrame, percent: int) -> DataFrame:
 def class_labels(classes: DataFrame, signed: DataFrame, docs: DataFrame, width: int, percent: int, key: str,
                  text: str) -> DataFrame | None:
     """node, label for every class that is linked with another; None if there is no link."""
-    members = classes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
-    live = cut(distinct_buckets(members, ["bucket"]).select("node", "n", F.lit(0).cast("long").alias("own"), F.col("n").alias("most"), "bucket"))
+    members = classes.select("node", F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "bucket"))
+    live = cut(distinct_buckets(members, ["band", "bucket"]).select(
+        "node", "n", F.lit(0).cast("long").alias("own"), F.col("n").alias("most"), "band", "bucket"))
     sets = class_sets(signed, live.select("node").distinct(), docs, width, key, text)
     labels, row = None, ["node", "n", "own", "most", "bucket", "c", "minor"]
     live = live.select("*", F.col("node").alias("c"), F.lit(True).alias("minor"))
@@ -239,23 +242,31 @@ def class_labels(classes: DataFrame, signed: DataFrame, docs: DataFrame, width:
             F.max(F.struct("m", "c")).alias("major"), F.sum("m").alias("size"))
         return sides.where("size > major.m").select("bucket", "size", F.col("major.c").alias("major"))
 
-    for turn in itertools.count():
-        if live.isEmpty():
-            return labels
-        parts = 4 ** max(turn - 1, 0)
-        part = F.pmod(F.xxhash64("node"), F.lit(parts)).alias("part")
+    def compared(members: DataFrame, part: list[Column]) -> tuple[DataFrame, DataFrame]:
+        """The leaders of the buckets (of each part), and the links between them and members of other components."""
         # an original has few shingles that none of its copies has
-        leaders = cut(live.where("minor").groupBy("bucket", part).agg(F.min(F.struct("own", "node", "n", "most", "c")).alias("x")).select(
+        leaders = cut(members.where("minor").groupBy("bucket", *part).agg(F.min(F.struct("own", "node", "n", "most", "c")).alias("x")).select(
             "bucket", F.col("x.node").alias("lead"), F.col("x.n").alias("lead_n"), F.col("x.most").alias("lead_most"),
             F.col("x.c").alias("lead_c")))
         both = F.least("most", "lead_most", "n", "lead_n")  # no larger intersection is possible
-        met = live.join(leaders, "bucket").where(
+        met = members.join(leaders, "bucket").where(
             (F.col("c") != F.col("lead_c")) & (100 * both >= percent * (F.col("n") + F.col("lead_n") - both)))
         pairs = met.select(F.least("node", "lead").alias("u"), F.greatest("node", "lead").alias("v")).distinct()
-        edges = cut(confirmed(cut(pairs), sets, percent))
+        return leaders, cut(confirmed(cut(pairs), sets, percent))
+
+    _, edges = compared(live.where(F.col("band") < EARLY), [])
+    if not edges.isEmpty():
+        labels = spread_labels(edges, labels)
+        known = live.drop("c", "minor").join(labels, "node", "left").withColumn("c", F.coalesce("label", "node"))
+        live = cut(known.join(mixed(known), "bucket").withColumn("minor", F.col("c") != F.col("major")).select(*row))
+    for turn in itertools.count():
+        if live.isEmpty():
+            return labels
+        parts = 4 ** max(turn - 1, 0)
+        leaders, edges = compared(live, [F.pmod(F.xxhash64("node"), F.lit(parts)).alias("part")])
         if not edges.isEmpty():
             labels = spread_labels(edges, labels)
-        rest = component(live.drop("minor").join(leaders.select("bucket", F.col("lead").alias("node")), ["bucket", "node"], "left_anti"))
+        rest = component(live.drop("minor", "band").join(leaders.select("bucket", F.col("lead").alias("node")), ["bucket", "node"], "left_anti"))
         open_ = cut(mixed(rest)) if turn == 0 else mixed(rest)
         minor = (F.col("c") != F.col("major")).alias("minor")
         if turn == 0:  # crowds are dealt anew
