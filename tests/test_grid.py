@@ -133,3 +133,18 @@ def test_settings_of_three_levels(spark):
     assert two.turbvel is None and two.isotopes == {}
     with pytest.raises(ValueError):
         ST.merge_settings([])
+
+
+def test_corners_are_never_broadcast(spark, tmp_path):
+    """Points from a small file are eight corners each and can be many: the cells and the models are sent to them."""
+    spark.range(300).select(F.col("id").alias("p"), F.lit("t").alias("turb"), (F.col("id") % 9 + 0.25).alias("teff"), (F.col("id") % 4 + 0.5).alias("logg"),
+                            (F.col("id") % 3 / -2).alias("feh")).write.parquet(str(tmp_path / "points"))
+    cells = spark.range(300).select(F.lit("t").alias("turb"), (F.col("id") % 10).cast("double").alias("teff"), (F.floor(F.col("id") / 10) % 6).cast("double").alias("logg"),
+                                    (F.floor(F.col("id") / 60) / -2).alias("feh"), F.col("id").cast("string").alias("path"), F.col("id").alias("cat_pos"))
+    depths = cells.select(F.col("path").alias("model_id"), F.lit(1).alias("k"), F.col("teff").alias("temp"))
+    rows = G.corners(spark.read.parquet(str(tmp_path / "points")), "p", cells)
+    blended = G.blend_corners(rows, "p", depths, "model_id", ["k"], ["temp"], optimize=False)
+    plan = blended._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in plan and "BuildLeft" not in plan
+    got = blended.collect()
+    assert len(got) == 300 and all(r["temp"] == pytest.approx(r["p"] % 9 + 0.25) for r in got)
