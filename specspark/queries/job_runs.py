@@ -82,7 +82,7 @@ def interpolate_missing(spark, d):
     plan = grid.select(F.col("p_partkey").cast("string").alias("base_name"), F.struct("teff", "logg", "feh", "turb").alias("params"),
                        F.when(F.col("p_partkey") % 2 == 1, "interpolate").otherwise("ready").alias("status"))
     out = J.interpolate_missing(plan, models, depths, ["temp"], optimize=False)
-    return out.join(plan, "base_name").select("params.turb", "params.teff", "params.logg", "params.feh", "k", rnd("temp", 3).alias("temp"))
+    return out.join(plan.hint("merge"), "base_name").select("params.turb", "params.teff", "params.logg", "params.feh", "k", rnd("temp", 3).alias("temp"))
 
 
 def _run_log(spark, d):
