@@ -404,7 +404,8 @@ def read_species_flags(spark, d):
 # --- small tables ------------------------------------------------------------------------------
 
 def _part_text(spark, d, *rows):
-    return table(spark, d, "part").select(F.col("p_partkey").alias("file"), F.array_join(F.array(*[F.lit(r) if isinstance(r, str) else r for r in rows]), "\n").alias("text"))
+    # texts far larger than the rows they are made of: more tasks than the small file has splits
+    return table(spark, d, "part").repartition(spark.sparkContext.defaultParallelism, "p_partkey").select(F.col("p_partkey").alias("file"), F.array_join(F.array(*[F.lit(r) if isinstance(r, str) else r for r in rows]), "\n").alias("text"))
 
 
 @query("read_segments", """SELECT p_partkey AS file, i::INTEGER AS seg_id, 4800.0::DOUBLE + p_size * i AS wmin, 4810.0::DOUBLE + p_size * i AS wmax FROM part, (SELECT unnest([1, 2, 3]) AS i)""")

@@ -195,8 +195,8 @@ def parse_table2d(raw: DataFrame) -> DataFrame:
     rows = F.filter(F.transform(rows_of(F.col("text")), lambda r: F.transform(
         tokens(r), lambda w: number(F.regexp_replace(w, r"K$", "")))),
         lambda r: (F.size(r) > 1) & ~F.exists(r, lambda v: v.isNull()))
-    df = raw.select("file", rows.alias("_r")).filter("size(_r) > 1")
-    df = df.withColumn("_axis", F.get("_r", F.lit(0)))
+    # a file without an axis and a row gives none below; a filter here would take every text apart a second time
+    df = raw.select("file", rows.alias("_r")).withColumn("_axis", F.get("_r", F.lit(0)))
     long = df.select("file", "_axis", F.explode(F.slice("_r", F.lit(2), F.size("_r"))).alias("_row"))
     long = long.filter(F.size("_row") == F.size("_axis") + 1)
     cells = F.zip_with("_axis", F.slice("_row", F.lit(2), F.size("_axis")), lambda t, v: F.struct(t.alias("t"), v.alias("v")))

@@ -216,3 +216,11 @@ def test_line_lists_keep_their_layout(spark, tmp_path):
     LL.write_linelist(lines, str(tmp_path / "out"))
     back = LL.read_linelist(spark, str(tmp_path / "out" / "list_id=out")).withColumn("list_id", F.lit("out"))
     assert [tuple(r) for r in back.orderBy("block_id").collect()] == [tuple(r) for r in lines.orderBy("block_id").collect()]
+
+
+def test_grid_text_is_taken_apart_once(spark):
+    good = "title\n 1000K 1500.  \n 10.0 1.0 2.0\n 20.0 3.0D0 4.0\n"
+    raw = spark.createDataFrame([("a", good), ("no row", "title\n 1000K 1500.\n"), ("no axis", "title\n"), ("empty", ""), ("none", None)], "file string, text string")
+    table = T.parse_table2d(raw.repartition(1))
+    assert table._jdf.queryExecution().optimizedPlan().toString().count("K$") == 1
+    assert sorted(map(tuple, table.collect())) == [("a", 10.0, 1000.0, 1.0), ("a", 10.0, 1500.0, 2.0), ("a", 20.0, 1000.0, 3.0), ("a", 20.0, 1500.0, 4.0)]
