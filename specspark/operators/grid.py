@@ -10,9 +10,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specspark.operators.layout import arrange, broadcast_or_merge, maybe_broadcast, row_numbers, small_table
+from specspark.operators.layout import arrange, broadcast_or_merge, maybe_broadcast, row_numbers, small_table, written
 from specspark.operators.ranges import bracket, explode_count, tolerance_join
-from specspark.session import new_folder
 
 
 # --- axes and sampling -----------------------------------------------------------------
@@ -61,20 +60,13 @@ def axis_distribution(df: DataFrame, key: Sequence[str], count: str, kind: str =
 Axis = Sequence | DataFrame
 
 
-def _written(df: DataFrame) -> DataFrame:
-    """df as a table in the shared folder, so that what it comes from is scanned once."""
-    folder = new_folder(df.sparkSession)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
 def _tables(spark: SparkSession, axes: dict[str, Axis]) -> dict[str, tuple[DataFrame, int]]:
     """Each axis as an indexed table and its length: what axis_table gives (written once, so that its source is scanned once),
     or a list of values in their own order."""
     out = {}
     for name, axis in axes.items():
         if isinstance(axis, DataFrame):
-            table = _written(axis.select("i", "value"))
+            table = written(axis.select("i", "value"))
             out[name] = table, table.count()
         else:
             kind = spark.createDataFrame([(v,) for v in axis], [name]).schema[0].dataType.simpleString()
@@ -272,7 +264,7 @@ def corners(points: DataFrame, point_id: str, models: DataFrame, turb: str = "tu
                         ends("logg", c & 2).alias("c_logg"), ends("feh", c & 1).alias("c_feh")) for c in range(8)]
     long = b.withColumn("_c", F.explode(F.array(*options))).select("*", "_c.*").drop("_c")
     # the cells decide how to join; the corners, eight for each point, are never the side that is broadcast
-    found = broadcast_or_merge(_written(_cells(models, turb, position, tol)))
+    found = broadcast_or_merge(written(_cells(models, turb, position, tol)))
     return long.join(found, [turb, "c_teff", "c_logg", "c_feh"], "left")
 
 

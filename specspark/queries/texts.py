@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from specspark.queries.common import SPECTRA_SQL, rnd, spectra, table
+from specspark.queries.common import SPECTRA_SQL, rnd, row_text, spectra, table
 from specspark.registry import query
 from specspark.sources import linelists as LL
 from specspark.sources import models as M
@@ -171,12 +171,12 @@ def read_manifest(spark, d):
 @query("read_vald3", """SELECT concat('v', l_suppkey % 31) AS file, l_orderkey, l_linenumber, concat('''Fe 1'',  ', printf('%10.4f', l_extendedprice), ', ', l_partkey) AS data, concat('''  LS lo', l_partkey, '''') AS lower,
   concat('''  LS up', l_suppkey, '''') AS upper, '''_  1 wl:K14 Fe''' AS refs FROM lineitem""")
 def read_vald3(spark, d):
-    four = F.array(F.lit("* a comment row"), F.concat(F.lit("'Fe 1',  "), F.format_string("%10.4f", "l_extendedprice"), F.format_string(", %d", "l_partkey")),
-                   F.format_string("'  LS lo%d'", "l_partkey"), F.format_string("'  LS up%d'", "l_suppkey"), F.lit("'_  1 wl:K14 Fe'"))
+    four = [F.lit("* a comment row"), F.concat(F.lit("'Fe 1',  "), F.format_string("%10.4f", "l_extendedprice"), F.format_string(", %d", "l_partkey")),
+            F.format_string("'  LS lo%d'", "l_partkey"), F.format_string("'  LS up%d'", "l_suppkey"), F.lit("'_  1 wl:K14 Fe'")]
     raw = table(spark, d, "lineitem").select(
         F.format_string("v%d", F.col("l_suppkey") % 31).alias("file"), F.col("l_orderkey").alias("block"), "l_linenumber", "l_partkey", "l_suppkey",
-        "l_extendedprice", F.posexplode(four).alias("i", "value"))
-    raw = raw.select("file", "block", F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "i").alias("pos"), "value",
+        "l_extendedprice", F.explode(F.array(*[F.lit(i) for i in range(len(four))])).alias("i"))
+    raw = raw.select("file", "block", F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "i").alias("pos"), row_text(four).alias("value"),
                      F.col("block").alias("l_orderkey"), "l_linenumber")
     # every record keeps the keys of its own start row
     v = LL.parse_vald3(raw.select("file", "block", "pos", F.concat_ws("|", "value", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("value")))

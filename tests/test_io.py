@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from specspark.operators.layout import arrange
 from specspark.queries import texts as Q
 from specspark.sources import linelists as LL
 from specspark.sources import models as M
@@ -218,6 +219,23 @@ def test_line_lists_keep_their_layout(spark, tmp_path):
     assert [tuple(r) for r in back.orderBy("block_id").collect()] == [tuple(r) for r in lines.orderBy("block_id").collect()]
 
 
+def test_records_of_a_hot_file_are_sorted_once(spark):
+    """Chunks take what they need of each other from written rows: no window is left in the plan, and the records are those of the whole file."""
+    rows = [("f", i, 0, r) for i, r in enumerate(t for k in range(60) for t in (
+        [f"'Fe 1',  {k}"] + [f"'  LS lo{k}'", f"'  LS up{k}'", "'_ 1 wl:K14'", "* other"][:k % 5]))]
+    raw = spark.createDataFrame(rows, "file string, block bigint, pos int, value string")
+    whole, cut = LL.parse_vald3(raw), LL.parse_vald3(raw, 7)
+    assert "Window" not in cut._jdf.queryExecution().executedPlan().toString()
+    got = [tuple(r) for r in cut.orderBy("rec").collect()]
+    assert len(got) == 60 and got == [tuple(r) for r in whole.orderBy("rec").collect()]
+    assert got[0][:4] == ("f", 1, "'Fe 1',  0", "'Fe 1',  1")
+
+
+def test_the_search_for_a_chunk_is_as_deep_as_there_are_cuts(spark):
+    lay = arrange(spark.range(1000).select(F.lit(1).alias("k"), "id"), ["k"], ["id"], 300)
+    assert lay.split and "8192" not in lay.df._jdf.queryExecution().analyzed().toString()
+
+
 def test_grid_text_is_taken_apart_once(spark):
     good = "title\n 1000K 1500.  \n 10.0 1.0 2.0\n 20.0 3.0D0 4.0\n"
     raw = spark.createDataFrame([("a", good), ("no row", "title\n 1000K 1500.\n"), ("no axis", "title\n"), ("empty", ""), ("none", None)], "file string, text string")
