@@ -242,3 +242,9 @@ def test_grid_text_is_taken_apart_once(spark):
     table = T.parse_table2d(raw.repartition(1))
     assert table._jdf.queryExecution().optimizedPlan().toString().count("K$") == 1
     assert sorted(map(tuple, table.collect())) == [("a", 10.0, 1000.0, 1.0), ("a", 10.0, 1500.0, 2.0), ("a", 20.0, 1000.0, 3.0), ("a", 20.0, 1500.0, 4.0)]
+
+
+def test_fields_between_commas_and_blanks(spark):
+    data = [("'Fe 1', 4200.5,-1.0 , 2.5  3.0,, 5.0",), ("'Fe 1' 4200.5 -1D0   2.5,3.0 , ,5.0",), ("'Fe 1',  ,x",)]
+    got = V.vald_fields(spark.createDataFrame(data, "data string")).select("token", *V.FIELDS[:6]).collect()
+    assert [tuple(r) for r in got] == [("Fe", 4200.5, -1.0, 2.5, 3.0, None, 5.0)] * 2 + [("Fe", None, None, None, None, None, None)]
