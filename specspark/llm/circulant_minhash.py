@@ -6,7 +6,7 @@ permuted(scattered - k). Two permutations in all, not K. BANDS bands of ROWS coo
 misses all of them with probability (1 - 0.8^5)^32 = 3e-6.
 
 Equal sets become one class before anything is paired. In a bucket the classes are not paired with each other: leaders are compared
-with all members, and a bucket is done when all its members are connected. In each round the parts of a bucket, four times as many as before, name a
+with all members, and a bucket is done when all its members are connected. In each round the parts of a bucket, FANOUT times as many as before, name a
 leader each; before the first round the buckets of the EARLY first bands alone go through this, so that copies of one text, which share
 most of their buckets, are connected before they are compared in all of them; later only among the members outside the bucket's largest component, and only members of other
 components are compared with it. So every pair of a bucket is either compared or already connected at the end, and a bucket of
@@ -14,7 +14,8 @@ copies ends after one round. A bucket
 that still holds more than CROWD classes then is one of texts that share a passage without being alike; its classes are dealt
 anew, without loss, by their rarest shingles: sets at similarity t have one in common among the n - ceil(t n) + 1 that are rarest
 in each; shingles that only one of them has, and the place of the bucket among a text's shingles, bound what it can share. Of buckets that hold
-the same classes one is kept. Compared pairs are confirmed on the full sets with 100 * intersection >= percent * union. Components spread the least
+the same classes one is kept. Each set has a parity sketch: SKETCH bits, a shingle flips one of them. Two sets differ in as many shingles at least as
+their sketches in bits, so pairs whose sketches differ too much are no candidates; that loses no link. Compared pairs are confirmed on the full sets with 100 * intersection >= percent * union. Components spread the least
 label along links, with pointer jumping, one written table a step.
 
 Nulls and ties: texts that are null, empty or blank have an empty set and are linked with nothing, not even with each other. Rows with
@@ -26,18 +27,23 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from specspark.llm.shared import cut
+from specspark.llm.shared import cut, few, maybe_broadcast
 
 BANDS, ROWS = 32, 5
 CROWD = 8
 EARLY = 4  # bands that are compared before all others
+FANOUT = 64
+SKETCH = 512  # bits, a multiple of 64; sets of up to some thousand shingles are told apart
+FEW = 200_000  # rows of a table of short rows that is broadcast
 BLOCK = 1 << 15
 VOCABULARY = 1 << 20
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63,
@@ -139,12 +145,25 @@ def signatures(docs: DataFrame, width: int, key: str = "doc_id", text: str = "te
     return docs.select(key, text, F.xxhash64(text)).mapInArrow(run, f"`{key}` {kind}, {SIGNED}")
 
 
+def parity_sketch(found: np.ndarray) -> np.ndarray:
+    """SKETCH bits as signed 64-bit words; each element of the set flips one of them."""
+    return np.packbits(np.bincount((found & np.uint64(SKETCH - 1)).astype(np.intp), minlength=SKETCH).astype(np.uint8) & 1).view(np.int64)
+
+
+def sketch_distance(a: str, b: str) -> Column:
+    """In how many bits two sketches differ: no more than their sets differ in elements."""
+    return reduce(add, [F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(SKETCH // 64)]).cast("long")
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose full sets are alike enough. sets: node, s, one row a node."""
+    """The distinct pairs (u, v) whose full sets are alike enough. sets: node, s, one row a node."""
     both = F.size(F.array_intersect("su", "sv"))
-    return pairs.join(sets.select(F.col("node").alias("u"), F.col("s").alias("su")), "u").join(
-        sets.select(F.col("node").alias("v"), F.col("s").alias("sv")), "v").where(
-        100 * both >= percent * (F.size("su") + F.size("sv") - both)).select("u", "v")
+    of_u, of_v = (sets.select(F.col("node").alias(end), F.col("s").alias(f"s{end}")) for end in "uv")
+    if few(pairs, FEW):  # only the sets of the pairs are moved
+        met = of_u.join(F.broadcast(pairs), "u").join(of_v.join(F.broadcast(pairs), "v"), ["u", "v"])
+    else:
+        met = pairs.join(of_u, "u").join(of_v, "v")
+    return met.where(100 * both >= percent * (F.size("su") + F.size("sv") - both)).select("u", "v")
 
 
 def _between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -180,29 +199,33 @@ def spread_labels(edges: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def class_sets(signed: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
-    """node, s: the full set of each class in nodes, from the text of one of its documents."""
+    """node, s, sketch: the full set of each class in nodes, from the text of one of its documents."""
     reps = cut(signed.select("node", F.struct(F.col(key).alias("id"), "text_hash").alias("at")).join(nodes, "node").groupBy(
         "node").agg(F.min("at").alias("at")).select("node", "at.*"))
     whole = docs.select(F.col(key).alias("own"), F.col(text).alias("text"), F.xxhash64(text).alias("hash"))
-    found = whole.join(reps, whole["own"].eqNullSafe(reps["id"]) & (whole["hash"] == reps["text_hash"]))
+    found = whole.join(maybe_broadcast(reps, FEW), whole["own"].eqNullSafe(reps["id"]) & (whole["hash"] == reps["text_hash"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Words()
         for b in batches:
-            sets = [shingle_set(t, known, width).view(np.int64) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "s"])
+            sets = [shingle_set(t, known, width) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                 pa.array([parity_sketch(s) for s in sets], pa.list_(pa.int64()))], ["node", "s", "sketch"])
 
-    return cut(found.select("node", "text").dropDuplicates(["node"]).mapInArrow(run, "node binary, s array<long>"))
+    return cut(found.select("node", "text").dropDuplicates(["node"]).mapInArrow(run, "node binary, s array<long>, sketch array<long>"))
 
 
 def distinct_buckets(members: DataFrame, order: list[str]) -> DataFrame:
     """members without buckets of one node, and of buckets that hold the same nodes only the first in `order`: the others would
     give the same pairs again. Sets of nodes are told apart by their size and 128 bits of hashes."""
+    # most buckets hold one node: they are left out in one pass, before anything is joined
+    members = cut(members.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("bucket"))).where("m > 1").drop("m"))
     held = members.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("node")).alias("h"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("g"),
         F.min(F.struct(*order)).alias("place"))
-    first = held.where("m > 1").groupBy("m", "h", "g").agg(F.min_by("bucket", "place").alias("bucket")).select("bucket")
-    return members.join(cut(first), "bucket")
+    first = held.groupBy("m", "h", "g").agg(F.min_by("bucket", "place").alias("bucket")).select("bucket")
+    return members.join(maybe_broadcast(cut(first), FEW), "bucket")
 
 
 def rare_buckets(sets: DataFrame, percent: int) -> DataFrame:
@@ -211,7 +234,7 @@ def rare_buckets(sets: DataFrame, percent: int) -> DataFrame:
     on in the common order; two nodes share no more than the lesser of theirs in the first bucket that they have in common."""
     each = sets.select("node", F.size("s").cast("long").alias("n"), F.explode("s").alias("s"))
     common = cut(each.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
-    owned = each.join(common, "s").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("s"))
+    owned = each.join(maybe_broadcast(common, FEW), "s").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("s"))
     first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("s"))
     held = F.size("s").cast("long")
     each = owned.select("node", "n", held.alias("held"), F.posexplode(F.slice(
@@ -228,13 +251,13 @@ def class_labels(classes: DataFrame, signed: DataFrame, docs: DataFrame, width:
     live = cut(distinct_buckets(members, ["band", "bucket"]).select(
         "node", "n", F.lit(0).cast("long").alias("own"), F.col("n").alias("most"), "band", "bucket"))
     sets = class_sets(signed, live.select("node").distinct(), docs, width, key, text)
-    labels, row = None, ["node", "n", "own", "most", "bucket", "c", "minor"]
-    live = live.select("*", F.col("node").alias("c"), F.lit(True).alias("minor"))
+    labels, row = None, ["node", "n", "own", "most", "bucket", "c", "minor", "sketch"]
+    live = cut(live.join(sets.select("node", "sketch"), "node")).select("*", F.col("node").alias("c"), F.lit(True).alias("minor"))
 
     def component(members: DataFrame) -> DataFrame:
         if labels is None:
             return cut(members.withColumn("c", F.col("node")))
-        return cut(members.drop("c").join(labels, "node", "left").withColumn("c", F.coalesce("label", "node")))
+        return cut(members.drop("c").join(maybe_broadcast(labels, FEW), "node", "left").withColumn("c", F.coalesce("label", "node")))
 
     def mixed(members: DataFrame) -> DataFrame:
         """The buckets whose members are not all connected: their size and the component that most are of."""
@@ -245,10 +268,13 @@ def class_labels(classes: DataFrame, signed: DataFrame, docs: DataFrame, width:
     def compared(members: DataFrame, part: list[Column]) -> tuple[DataFrame, DataFrame]:
         """The leaders of the buckets (of each part), and the links between them and members of other components."""
         # an original has few shingles that none of its copies has
-        leaders = cut(members.where("minor").groupBy("bucket", *part).agg(F.min(F.struct("own", "node", "n", "most", "c")).alias("x")).select(
+        leaders = cut(members.where("minor").groupBy("bucket", *part).agg(
+            F.min(F.struct("own", "node", "n", "most", "c", "sketch")).alias("x")).select(
             "bucket", F.col("x.node").alias("lead"), F.col("x.n").alias("lead_n"), F.col("x.most").alias("lead_most"),
-            F.col("x.c").alias("lead_c")))
-        both = F.least("most", "lead_most", "n", "lead_n")  # no larger intersection is possible
+            F.col("x.c").alias("lead_c"), F.col("x.sketch").alias("lead_sketch")))
+        # no larger intersection is possible
+        same = F.floor((F.col("n") + F.col("lead_n") - sketch_distance("sketch", "lead_sketch")) / 2)
+        both = F.least("most", "lead_most", "n", "lead_n", same)
         met = members.join(leaders, "bucket").where(
             (F.col("c") != F.col("lead_c")) & (100 * both >= percent * (F.col("n") + F.col("lead_n") - both)))
         pairs = met.select(F.least("node", "lead").alias("u"), F.greatest("node", "lead").alias("v")).distinct()
@@ -257,12 +283,12 @@ def class_labels(classes: DataFrame, signed: DataFrame, docs: DataFrame, width:
     _, edges = compared(live.where(F.col("band") < EARLY), [])
     if not edges.isEmpty():
         labels = spread_labels(edges, labels)
-        known = live.drop("c", "minor").join(labels, "node", "left").withColumn("c", F.coalesce("label", "node"))
+        known = live.drop("c", "minor").join(maybe_broadcast(labels, FEW), "node", "left").withColumn("c", F.coalesce("label", "node"))
         live = cut(known.join(mixed(known), "bucket").withColumn("minor", F.col("c") != F.col("major")).select(*row))
     for turn in itertools.count():
         if live.isEmpty():
             return labels
-        parts = 4 ** max(turn - 1, 0)
+        parts = FANOUT ** max(turn - 1, 0)
         leaders, edges = compared(live, [F.pmod(F.xxhash64("node"), F.lit(parts)).alias("part")])
         if not edges.isEmpty():
             labels = spread_labels(edges, labels)
@@ -271,7 +297,8 @@ def class_labels(classes: DataFrame, signed: DataFrame, docs: DataFrame, width:
         minor = (F.col("c") != F.col("major")).alias("minor")
         if turn == 0:  # crowds are dealt anew
             crowded = rest.join(open_.where(F.col("size") > CROWD), "bucket").select("node").distinct()
-            fresh = component(rare_buckets(cut(sets.join(crowded, "node")), percent))
+            fresh = component(rare_buckets(cut(sets.select("node", "s").join(crowded, "node")), percent).join(
+                sets.select("node", "sketch"), "node"))
             small = rest.join(open_.where(F.col("size") <= CROWD), "bucket").withColumn("minor", minor).select(*row)
             live = cut(small.unionByName(fresh.join(mixed(fresh), "bucket").withColumn("minor", minor).select(*row)))
         else:
