@@ -107,6 +107,33 @@ def test_crowded_buckets_lose_no_link(spark):
     assert {r.doc_id: r.component_id for r in circulant_minhash.groups(df, width=4).collect()} == {r.doc_id: least[i] for i, r in enumerate(rows)}
 
 
+def test_near_copies_of_one_text_are_not_paired_with_each_other(spark, monkeypatch):
+    """Copies that drop words of one text share most shingles: all are links of it or candidates of each other without sketches."""
+    rng = random.Random(5)
+    base = [f"v{i}" for i in range(150)]
+    texts = [" ".join(base)] + [" ".join(w for i, w in enumerate(base) if i not in (gone := set(rng.sample(range(150), rng.randint(1, 9))))) for _ in range(250)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = df.collect()
+    sets, least, _ = _components(rows, 4)
+    compared, plain = [], circulant_minhash.confirmed
+    monkeypatch.setattr(circulant_minhash, "confirmed", lambda pairs, *rest: compared.append(pairs.collect()) or plain(pairs, *rest))
+    got = circulant_minhash.groups(df, width=4).collect()
+    assert {r.doc_id: r.component_id for r in got} == {r.doc_id: least[i] for i, r in enumerate(rows)}
+    assert sum(map(len, compared)) < 2000  # 444; without sketches 9603
+
+
+@pytest.mark.parametrize("size", [3, 150, 6000])
+def test_sketches_differ_no_more_than_their_sets(spark, size):
+    rng = np.random.default_rng(size)
+    a = rng.integers(0, 1 << 63, size, np.int64)
+    b = np.concatenate((a[size // 3:], rng.integers(0, 1 << 63, size // 5, np.int64)))
+    pair = [circulant_minhash.parity_sketch(np.unique(x.view(np.uint64))).tolist() for x in (a, b)]
+    df = spark.createDataFrame([(pair[0], pair[1])], "x array<long>, y array<long>")
+    got = df.select(circulant_minhash.sketch_distance("x", "y"), circulant_minhash.sketch_distance("x", "x")).first()
+    assert got[0] <= size // 3 + size // 5 and got[1] == 0
+    assert size != 150 or got[0] >= 60  # of 80
+
+
 def test_circulant_signatures_estimate_similarity():
     rng = np.random.default_rng(0)
     a = rng.integers(0, 1 << 63, 3000).astype(np.uint64)
@@ -474,6 +501,28 @@ def test_seams_inside_characters(spark):
     assert {r.doc_id: r.text for r in suffix_dedup.shortened(df).collect()} == {1: "one  end", 2: "two .", 3: "\u00e9t\u00e9"}
 
 
+def test_anchors_are_the_rightmost_least_hashes():
+    rng = np.random.default_rng(4)
+    for raw in (b"ab" * 300, b"x" * 700, bytes(rng.integers(97, 123, 900).astype(np.uint8)), bytes(rng.integers(97, 99, 900).astype(np.uint8))):
+        h = suffix_dedup.gram_hashes(np.frombuffer(raw, np.uint8))
+        for wide in (65, 100, len(h)):
+            want = {max(j for j in range(i, i + wide) if h[j] == h[i:i + wide].min()) for i in range(len(h) - wide + 1)}
+            assert suffix_dedup.anchors(h, wide).tolist() == sorted(want)
+
+
+def test_ranks_are_sorted_no_deeper_than_the_string(monkeypatch):
+    """LMS names reach two bytes at least, so eight doublings order strings of 400 bytes; nothing is sorted after them."""
+    rng, sorts, plain = np.random.default_rng(2), [], np.argsort
+    passage = rng.integers(97, 101, 3000).astype(np.uint8)
+    t = np.concatenate([np.append(passage, 0).astype(np.int16) for _ in range(3)])
+    monkeypatch.setattr(np, "argsort", lambda x, **kind: sorts.append(x.dtype) or plain(x, **kind))
+    order = suffix_dedup.suffix_array(t, 400)
+    assert sum(d == np.int64 for d in sorts) <= 8
+    raw = t.tobytes()
+    keys = [raw[2 * i:2 * min(i + 400, i // 3001 * 3001 + 3000)] for i in order.tolist() if t[i]]
+    assert all(int.from_bytes(a[1:2]) == 0 for a in keys[:1]) and [k[::2] for k in keys] == sorted(k[::2] for k in keys)
+
+
 def test_suffix_arrays():
     rng = random.Random(1)
     for _ in range(40):
