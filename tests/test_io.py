@@ -248,3 +248,21 @@ def test_fields_between_commas_and_blanks(spark):
     data = [("'Fe 1', 4200.5,-1.0 , 2.5  3.0,, 5.0",), ("'Fe 1' 4200.5 -1D0   2.5,3.0 , ,5.0",), ("'Fe 1',  ,x",)]
     got = V.vald_fields(spark.createDataFrame(data, "data string")).select("token", *V.FIELDS[:6]).collect()
     assert [tuple(r) for r in got] == [("Fe", 4200.5, -1.0, 2.5, 3.0, None, 5.0)] * 2 + [("Fe", None, None, None, None, None, None)]
+
+
+def test_cut_line_lists_are_read_once(spark, tmp_path):
+    """Headers at the edges of chunks, a header without rows, rows beyond the announced number, rows before any header."""
+    row = "  4200.087  3.884 -1.130 2.5 7.0 1.0E+05 'p' 'd' 0.0 1.0 'x'\n"
+    head = lambda k, n: f"'{k:4d}.000            '    1       {n}\n"
+    text = row * 2 + head(26, 2) + "'Fe I'\n" + row * 4 + head(20, 1) + head(12, 3) + "'Mg I'\n" + row * 3 + head(11, 1) + "'Na I'\n" + row.replace("2.5 7.0", "2.5 7.0 1E5") + head(3, 9)
+    write(tmp_path / "in" / "a.dat", text * 5)
+    write(tmp_path / "in" / "b.dat", head(8, 1) + "'O I'\n" + row)
+    raw = LL.read_rows(spark, str(tmp_path / "in"))
+    odd = raw.withColumn("value", F.when(F.col("value") != "'Mg I'", F.col("value")))  # a comment that is null
+    for rows in (raw, odd):
+        want = sorted(map(str, LL.parse_linelist(rows).collect()))
+        for chunk in (2, 7):
+            got = LL.parse_linelist(rows, rows_per_chunk=chunk)
+            assert sorted(map(str, got.collect())) == want and len(want) == 35
+    plan = LL.parse_linelist(raw, rows_per_chunk=7)._jdf.queryExecution().optimizedPlan().toString()
+    assert "text" not in plan.split("Relation")[1][:400] and plan.count("Relation") <= 3, plan
