@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from specspark.functions.physics import LINE_CONST, planck, voigt_np, with_voigt
@@ -89,19 +91,24 @@ def with_passing(lines: DataFrame, wave: str, start: float, step: float, n: int,
 
 
 def line_points(lines: DataFrame, wave: str, start: float, step: float, n: int, eps: float,
-                mode: str = "symmetric") -> DataFrame:
+                mode: str = "symmetric", cluster: Sequence[str] = ()) -> DataFrame:
     """One row per line and grid point j (wave_j = start + j*step, 0 <= j < n) that the line contributes to.
 
     symmetric: every point whose largest ratio over depth is >= eps.  compat: the walk outward includes
     the first point below eps; the blue side copies the number of points of the red side plus two unless
     the red side ran into the end of the grid; lines outside the grid are walked from its first or last
     point.  A line never becomes one big row: its range is cut into blocks of REACH_BLOCK points.
+
+    cluster: the columns that name a line, for results by line: its points are then made where its group is.
     """
-    # neighbouring lines share a task, so partial sums over the grid collapse; equal wavelengths are
-    # spread by the hash
-    names = [c for c, t in lines.dtypes if not t.startswith("array")]
-    df = lines.repartitionByRange(F.col(wave), F.xxhash64(*names))
-    df = with_passing(df, wave, start, step, n, eps)
+    if cluster:  # one row a line is shuffled, not one for each of its points
+        df = with_passing(lines, wave, start, step, n, eps).repartition(*cluster)
+    else:
+        # neighbouring lines share a task, so partial sums over the grid collapse; equal wavelengths are
+        # spread by the hash
+        names = [c for c, t in lines.dtypes if not t.startswith("array")]
+        df = lines.repartitionByRange(F.col(wave), F.xxhash64(*names))
+        df = with_passing(df, wave, start, step, n, eps)
     base = F.floor((F.col(wave) - start) / step)
     red, blue, last = F.col("n_red"), F.col("n_blue"), n - 1
     whole = (F.col(wave) - start) / step
@@ -130,13 +137,14 @@ def line_points(lines: DataFrame, wave: str, start: float, step: float, n: int,
 
 
 def line_opacity(lines: DataFrame, wave: str, start: float, step: float, n: int, eps: float,
-                 mode: str = "symmetric", extra: Sequence[str] = ()) -> DataFrame:
+                 mode: str = "symmetric", extra: Sequence[str] = (), cluster: Sequence[str] = ()) -> DataFrame:
     """Contribution rows (j, k, profile, kappa, ratio_k, emissivity) of every line at its grid points and depths.
 
     ``lines`` carries one row per line with equally long depth arrays a, dnud, ratio (peak strength over
     continuum), kappa0 and emis0, so a line is multiplied by wavelength first and by depth last.
+    cluster (some of extra): see ``line_points``; what groups by these columns and more needs no further shuffle.
     """
-    pts = line_points(lines, wave, start, step, n, eps, mode)
+    pts = line_points(lines, wave, start, step, n, eps, mode, cluster)
     depth = F.posexplode(F.arrays_zip("a", "dnud", "ratio", "kappa0", "emis0")).alias("k", "_z")
     rows = pts.select(*extra, F.col(wave), "j", depth).select(*extra, wave, "j", "k", "_z.*")
     lam = F.lit(start) + F.col("j") * F.lit(step)
@@ -161,9 +169,11 @@ def peak_ratio(contrib: DataFrame, line: Sequence[str], point: str = "j") -> Dat
 
 
 def strength_cut(contrib: DataFrame, line: Sequence[str], eps: float = 1e-4, point: str = "j") -> DataFrame:
-    """Contributions of the (line, point) pairs whose peak ratio reaches eps."""
-    keep = peak_ratio(contrib, line, point).filter(F.col("peak") >= eps)
-    return contrib.join(keep.drop("peak"), [*line, point], "left_semi")
+    """Contributions of the (line, point) pairs whose peak ratio reaches eps; pairs with a null are left out."""
+    pair = [*line, point]
+    named = contrib.filter(reduce(and_, [F.col(c).isNotNull() for c in pair]))
+    # contributions are computed and sorted once, which a join with their peaks would do twice
+    return named.withColumn("_peak", F.max("ratio_k").over(Window.partitionBy(*pair))).filter(F.col("_peak") >= eps).drop("_peak")
 
 
 def total_opacity(line: DataFrame, continuum: DataFrame, key: Sequence[str] = ("k", "j")) -> DataFrame:

@@ -88,8 +88,8 @@ def depth_lines(spark, d):
         arr(lambda k: q * (1 + F.col("l_discount")) / (1 + k) * 0.9).alias("emis0"))
 
 
-def contributions(spark, d, extra=()):
-    return O.line_opacity(depth_lines(spark, d), "wave", START, STEP, N, EPS, extra=extra)
+def contributions(spark, d, extra=(), cluster=()):
+    return O.line_opacity(depth_lines(spark, d), "wave", START, STEP, N, EPS, extra=extra, cluster=cluster)
 
 
 @query("line_opacity", f"""WITH {POINTS_SQL} SELECT l_suppkey AS species_id, count(*) AS n_points, round(sum(kappa), 3) AS kappa FROM (SELECT species_id AS l_suppkey, kappa FROM co) GROUP BY 1""")
@@ -106,14 +106,14 @@ def opacity_sum(spark, d):
 
 @query("peak_ratio", f"WITH {POINTS_SQL} SELECT species_id, count(*) AS n, round(sum(peak), 5) AS peak_sum, round(max(peak), 6) AS peak_max FROM pk GROUP BY 1")
 def peak_ratio(spark, d):
-    p = O.peak_ratio(contributions(spark, d, LINE_KEY), LINE_KEY)
+    p = O.peak_ratio(contributions(spark, d, LINE_KEY, LINE_KEY), LINE_KEY)
     return p.groupBy("species_id").agg(F.count(F.lit(1)).alias("n"), rnd(F.sum("peak"), 5).alias("peak_sum"), rnd(F.max("peak"), 6).alias("peak_max"))
 
 
 @query("strength_cut", f"""WITH {POINTS_SQL}, pc AS (SELECT * FROM pk WHERE peak >= 0.03)
 SELECT co.species_id, count(*) AS n, round(sum(kappa), 3) AS kappa FROM co JOIN pc USING (l_orderkey, l_linenumber, l_partkey, species_id, wave, j) GROUP BY 1""")
 def strength_cut(spark, d):
-    c = O.strength_cut(contributions(spark, d, LINE_KEY), LINE_KEY, 0.03)
+    c = O.strength_cut(contributions(spark, d, LINE_KEY, LINE_KEY), LINE_KEY, 0.03)
     return c.groupBy("species_id").agg(F.count(F.lit(1)).alias("n"), rnd(F.sum("kappa"), 3).alias("kappa"))
 
 

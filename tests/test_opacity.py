@@ -146,3 +146,22 @@ def test_continuum_next_above_the_line(spark):
     got = {r["wave"]: r["cont"] for r in S.continuum_beside(lines, "wave", cont, ["cont"]).collect()}
     one, two, three = [1.0, 2.0], [3.0, 4.0], [5.0, 6.0]
     assert got == {5.0: one, 10.0: one, 10.5: two, 20.0: three, 29.9: three, 30.0: three, 99.0: three, None: None}
+
+
+def test_peaks_are_found_where_the_points_of_a_line_are(spark):
+    """Repeated lines are one, lines with a null in their key have peaks but pass no cut, and no row of a point is shuffled."""
+    lines = make_lines(n=40)
+    rows = [(i if i < 39 else None, lam, a, dnud, ratio) for i, lam, a, dnud, ratio in lines]
+    rows = [*rows, rows[0], rows[0]]
+    df = spark.createDataFrame(rows, "id int, wave double, a array<double>, dnud array<double>, ratio array<double>").withColumns(
+        {"kappa0": F.col("ratio"), "emis0": F.col("ratio")})
+    key = ["id", "wave"]
+    near, far = (O.line_opacity(df, "wave", START, STEP, N, 1e-3, extra=key, cluster=c) for c in (key, ()))
+    peaks = lambda c: sorted(map(str, O.peak_ratio(c, key).collect()))
+    assert peaks(near) == peaks(far) and peaks(near)
+    joined = far.join(O.peak_ratio(far, key).filter("peak >= 0.05").drop("peak"), [*key, "j"], "left_semi")
+    cut = O.strength_cut(near, key, 0.05)
+    assert sorted(map(str, cut.select(*joined.columns).collect())) == sorted(map(str, joined.collect())) and not joined.isEmpty()
+    for out in (O.peak_ratio(near, key), cut):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange ") == 1, plan
