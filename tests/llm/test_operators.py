@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -510,6 +511,54 @@ def test_anchors_are_the_rightmost_least_hashes():
             assert suffix_dedup.anchors(h, wide).tolist() == sorted(want)
 
 
+def test_segments_of_documents_laid_end_to_end(monkeypatch):
+    """One pass over the bytes of many documents finds what each has alone; no window and no segment crosses into the next."""
+    rng, passes, plain = np.random.default_rng(6), [], suffix_dedup.gram_hashes
+    passage = bytes(rng.integers(97, 123, 700).astype(np.uint8))
+    raws = [b"", passage, b"short", passage[:399], passage[:400], b"x" * 900, b"", b"ab" * 300 + passage, passage[150:] + b"ab" * 300, b"y" * 31, b""]
+    raws += [bytes(rng.integers(97, 97 + k, rng.integers(0, 1500)).astype(np.uint8)) for k in (1, 2, 3, 26) * 10]
+    for length in (400, 97):
+        wide, edges, want, cores = length - 31, suffix_dedup._edges(length), {}, defaultdict(set)
+        for i, raw in enumerate(raws):
+            h = plain(np.frombuffer(raw, np.uint8)) if len(raw) >= length else np.empty(0, np.uint64)
+            least = (h >> np.uint64(32)) | np.uint64(1)
+            for j in range(len(h) - wide + 1):
+                p = j + max(k for k in range(wide) if least[j + k] == least[j:j + wide].min())
+                lo = max(0, p - wide + 1)
+                want[i, p] = int(h[p].view(np.int64)), raw[lo:p + length], p - lo
+        text = np.frombuffer(b"".join(raws), np.uint8)
+        first = np.concatenate(([0], np.cumsum([len(r) for r in raws])))[:-1]
+        monkeypatch.setattr(suffix_dedup, "gram_hashes", lambda *a: passes.append(1) or plain(*a))
+        doc, anchor, segment, place, size, core, held = suffix_dedup.segments(text, first, length)
+        monkeypatch.setattr(suffix_dedup, "gram_hashes", plain)
+        assert sorted(zip(doc.tolist(), place.tolist())) == sorted(want)
+        classes = defaultdict(set)
+        for i, p, a, s, n, c, ok in zip(doc.tolist(), place.tolist(), anchor.tolist(), segment.tolist(), size.tolist(), core, held):
+            assert (a, n) == (want[i, p][0], len(want[i, p][1]))
+            classes[s].add(want[i, p][1:])
+            for j in range(suffix_dedup.PARTS):
+                inside = [o for o in range(edges[j], edges[j + 1]) if 0 <= p - o and p - o + length <= len(raws[i])]
+                assert bool(inside) == bool(ok[j])
+                if inside:
+                    cores[a, j, int(c[j])].add(raws[i][p - edges[j]:p - edges[j + 1] + 1 + length])
+        assert all(len(c) == 1 for c in classes.values()) and all(len(c) == 1 for c in cores.values())
+        assert len(classes) == len({w[1:] for w in want.values()})
+    assert len(passes) == 2
+
+
+def test_common_prefixes_of_some_positions():
+    """Only starts of whole strings are compared, each with the start before it."""
+    rng = random.Random(3)
+    for _ in range(40):
+        text = np.frombuffer(bytes(rng.choices(b"ab", k=60)), np.uint8)
+        left = np.concatenate((np.arange(25, 0, -1), np.arange(35, 0, -1)))
+        raw = [text[i:i + left[i]].tobytes() for i in range(60)]
+        order = np.array(sorted((i for i in range(60) if left[i] >= rng.choice((3, 8))), key=lambda i: (raw[i], i)), np.int64)
+        got = suffix_dedup.permuted_prefixes(text, left, order)
+        assert [int(got[b]) for b in order[1:]] == [len(os.path.commonprefix([raw[a], raw[b]])) for a, b in zip(order, order[1:])]
+        assert got.sum() == got[order[1:]].sum()
+
+
 def test_ranks_are_sorted_no_deeper_than_the_string(monkeypatch):
     """LMS names reach two bytes at least, so eight doublings order strings of 400 bytes; nothing is sorted after them."""
     rng, sorts, plain = np.random.default_rng(2), [], np.argsort
