@@ -74,24 +74,38 @@ POINTS_SQL = DEPTH_SQL + f""",
    JOIN pk USING (l_orderkey, l_linenumber, l_partkey, species_id, wave, j))"""
 
 
+def plain_lines(spark, d):
+    """One row per line with what its depth arrays are made of."""
+    return table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.col("l_suppkey").alias("species_id"), F.col("l_extendedprice").alias("wave"),
+        "l_quantity", "l_discount", "l_tax")
+
+
+def depth_arrays():
+    """The depth arrays of a line."""
+    w, q = F.col("wave"), F.col("l_quantity")
+    arr = lambda f: F.array(*[f(k) for k in range(3)])
+    return {"a": arr(lambda k: F.lit(0.01) * (1 + F.col("l_tax") * 20) * (1 + 0.2 * k)),
+            "dnud": arr(lambda k: F.lit(2.9979e18) / (w * w) * (6.0 + 2 * k)),
+            "ratio": arr(lambda k: q / 500 * (1 + 0.1 * k)),
+            "kappa0": arr(lambda k: q * (1 + F.col("l_discount")) / (1 + k)),
+            "emis0": arr(lambda k: q * (1 + F.col("l_discount")) / (1 + k) * 0.9)}
+
+
 def depth_lines(spark, d):
     """One row per line with its depth arrays."""
-    li = table(spark, d, "lineitem")
-    w, q = F.col("l_extendedprice"), F.col("l_quantity")
-    arr = lambda f: F.array(*[f(k) for k in range(3)])
-    return li.select(
-        "l_orderkey", "l_linenumber", "l_partkey", F.col("l_suppkey").alias("species_id"), w.alias("wave"),
-        arr(lambda k: F.lit(0.01) * (1 + F.col("l_tax") * 20) * (1 + 0.2 * k)).alias("a"),
-        arr(lambda k: F.lit(2.9979e18) / (w * w) * (6.0 + 2 * k)).alias("dnud"),
-        arr(lambda k: q / 500 * (1 + 0.1 * k)).alias("ratio"),
-        arr(lambda k: q * (1 + F.col("l_discount")) / (1 + k)).alias("kappa0"),
-        arr(lambda k: q * (1 + F.col("l_discount")) / (1 + k) * 0.9).alias("emis0"))
+    return plain_lines(spark, d).select(*LINE_KEY, *[c.alias(n) for n, c in depth_arrays().items()])
 
 
 def contributions(spark, d, extra=(), cluster=()):
     return O.line_opacity(depth_lines(spark, d), "wave", START, STEP, N, EPS, extra=extra, cluster=cluster)
 
 
+def peak_contributions(spark, d):
+    """Contributions by line with the peak of their point; a line is shuffled without its depth arrays."""
+    return O.line_opacity(plain_lines(spark, d), "wave", START, STEP, N, EPS, extra=LINE_KEY, cluster=LINE_KEY, peak=True, depth=depth_arrays())
+
+
 @query("line_opacity", f"""WITH {POINTS_SQL} SELECT l_suppkey AS species_id, count(*) AS n_points, round(sum(kappa), 3) AS kappa FROM (SELECT species_id AS l_suppkey, kappa FROM co) GROUP BY 1""")
 def line_opacity(spark, d):
     c = contributions(spark, d, ["species_id"])
@@ -113,7 +127,7 @@ def peak_ratio(spark, d):
 @query("strength_cut", f"""WITH {POINTS_SQL}, pc AS (SELECT * FROM pk WHERE peak >= 0.03)
 SELECT co.species_id, count(*) AS n, round(sum(kappa), 3) AS kappa FROM co JOIN pc USING (l_orderkey, l_linenumber, l_partkey, species_id, wave, j) GROUP BY 1""")
 def strength_cut(spark, d):
-    c = O.strength_cut(contributions(spark, d, LINE_KEY, LINE_KEY), LINE_KEY, 0.03)
+    c = O.strength_cut(peak_contributions(spark, d), LINE_KEY, 0.03)
     return c.groupBy("species_id").agg(F.count(F.lit(1)).alias("n"), rnd(F.sum("kappa"), 3).alias("kappa"))
 
 

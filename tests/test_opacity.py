@@ -165,3 +165,56 @@ def test_peaks_are_found_where_the_points_of_a_line_are(spark):
     for out, most in ((O.peak_ratio(near, key), 1), (cut, 2)):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange ") <= most, plan
+
+
+def peaked_lines(spark):
+    """Names that come once, twice alike, twice with other strengths, often, at two wavelengths, and with nulls."""
+    lines = make_lines(n=40)
+    rows = [*lines, *lines[:5], *[(i, lam, a, dnud, [x * 30 for x in ratio]) for i, lam, a, dnud, ratio in lines[3:20]]]
+    rows += [(7, lines[7][1], lines[i][2], lines[7][3], lines[i][4]) for i in range(40)]
+    rows += [(8, lines[9][1], *lines[10][2:]), (9, lines[9][1], [0.1, None, 0.3], *lines[9][3:]), (None, *lines[1][1:]), (None, *lines[2][1:])]
+    return spark.createDataFrame(rows, DEEP).withColumns({"kappa0": F.transform("ratio", lambda x: x * 3), "emis0": F.col("ratio")})
+
+
+@pytest.mark.parametrize("mode, key, small", [("symmetric", ["id", "wave"], False), ("symmetric", ["id"], True), ("compat", ["id"], False),
+                                              ("compat", ["id", "wave"], True)])
+def test_peaks_carried_by_contributions(spark, mode, key, small, monkeypatch):
+    """The cut by carried peaks and the one by a window against a plain loop; small blocks, pieces and memory cut names everywhere."""
+    if small:
+        for name, value in (("REACH_BLOCK", 16), ("PEAK_VALUES", 60), ("HELD_BYTES", 500)):
+            monkeypatch.setattr(O, name, value)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        df = peaked_lines(spark)
+        far, near = (O.line_opacity(df, "wave", START, STEP, N, 1e-3, mode, ["id", "wave"], **more) for more in ({}, {"cluster": key, "peak": True}))
+        best, rows, names = {}, far.filter("id is not null").collect(), far.columns
+        pair = lambda r: (*(r[c] for c in key), r["j"])
+        for r in rows:
+            best[pair(r)] = max(best.get(pair(r), 0.0), r["ratio_k"] or 0.0)
+        want = sorted(str(r) for r in rows if best[pair(r)] >= 0.5)
+        for contrib in (far, near):
+            cut = O.strength_cut(contrib, key, 0.5)
+            assert sorted(cut.columns) == sorted(names)
+            assert sorted(map(str, cut.select(names).collect())) == want
+        assert 0 < len(want) < len(rows) == near.count()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_peaks_hold_for_their_own_name_only(spark):
+    """Peaks of (id, wave) are not those of id: the cut finds the latter itself."""
+    df = peaked_lines(spark)
+    far, near = (O.line_opacity(df, "wave", START, STEP, N, 1e-3, "symmetric", ["id", "wave"], **more) for more in ({}, {"cluster": ["id", "wave"], "peak": True}))
+    rows = lambda c, key: sorted(map(str, O.strength_cut(c, key, 0.5).select(far.columns).collect()))
+    assert rows(near, ["id"]) == rows(far, ["id"]) != rows(far, ["id", "wave"])
+
+
+def test_strength_cut_moves_no_points(spark, sf):
+    """Neither points nor the depth arrays of lines are shuffled or sorted."""
+    import __spark_entry__ as entry
+
+    plan = entry.queries()["strength_cut"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if any(f"- {x} " in line for x in ("Exchange", "Sort", "Window"))]
+    assert len(moved) >= 3 and not any(" j#" in line or "ratio_k" in line for line in moved), moved
+    below = plan[plan.index("- Sort "):]
+    assert "array<double>" not in below and below.index("Exchange hashpartitioning") < below.index("array("), below
