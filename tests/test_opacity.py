@@ -1,6 +1,7 @@
 """Voigt profile and the walk over grid points against a plain loop."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,7 +173,7 @@ def peaked_lines(spark):
     lines = make_lines(n=40)
     rows = [*lines, *lines[:5], *[(i, lam, a, dnud, [x * 30 for x in ratio]) for i, lam, a, dnud, ratio in lines[3:20]]]
     rows += [(7, lines[7][1], lines[i][2], lines[7][3], lines[i][4]) for i in range(40)]
-    rows += [(8, lines[9][1], *lines[10][2:]), (9, lines[9][1], [0.1, None, 0.3], *lines[9][3:]), (None, *lines[1][1:]), (None, *lines[2][1:])]
+    rows += [(8, lines[9][1], *lines[10][2:]), (None, *lines[1][1:]), (None, *lines[2][1:])]
     return spark.createDataFrame(rows, DEEP).withColumns({"kappa0": F.transform("ratio", lambda x: x * 3), "emis0": F.col("ratio")})
 
 
@@ -201,6 +202,19 @@ def test_peaks_carried_by_contributions(spark, mode, key, small, monkeypatch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_peaks_pass_over_nulls():
+    """A depth with a null is none; a line without a depth has no peak, and others keep theirs."""
+    arrays = pa.list_(pa.float64())
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([5000.0] * 4), pa.array([0, 0, 1, 0]), pa.array([1, 1, 1, 0]), pa.array([[0.1, None, 0.3], [None], [], [0.1]], arrays),
+         pa.array([[1e10, 1e10, None], [1e10], [], [1e10]], arrays), pa.array([[2.0, 9.0, 9.0], [1.0], [], [2.0]], arrays)],
+        ["wave", "_from", "_to", "a", "dnud", "ratio"])
+    row, j, peaks = O._own_peaks(batch, "wave", START, STEP)
+    want = [2.0 * float(voigt_np(0.1, x * STEP * C / 5000.0**2 / 1e10)) for x in (0, 1)]
+    assert row.tolist() == [0, 0, 1, 1, 2, 3] and j.tolist() == [0, 1, 0, 1, 1, 0]
+    assert peaks == pytest.approx([*want, -np.inf, -np.inf, -np.inf, want[0]])
+
+
 def test_peaks_hold_for_their_own_name_only(spark):
     """Peaks of (id, wave) are not those of id: the cut finds the latter itself."""
     df = peaked_lines(spark)
